@@ -16,22 +16,10 @@ from netscope.functions import exprs as X
 from netscope.functions.labels import performance_class, slo_tier
 from netscope.operators import labels as L
 from netscope.operators import profile as P
+from netscope.plans.registry import ORACLES, QUERIES, query  # noqa: F401
 from netscope.plans.standins import (EXP_FEATURES, SHIP_DIMS, SHIP_NUMERIC, exp, series, ship,
                                      table, with_views)
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None, views: tuple[str, ...] = ()):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLES[name] = with_views(sql, *views)
-        return fn
-    return deco
-
-
 # ---------------------------------------------------------------- shared SQL fragments
 
 def tier_sql(dl="delay_mean", tp="tput_mean", ls="loss_mean", D=150.0, T=100.0, Lp=1.0) -> str:

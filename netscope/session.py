@@ -38,6 +38,8 @@ def build_session(master: str | None = None, app: str = "netscope",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
     })
+    if master and master.startswith("local"):
+        conf.setdefault("spark.driver.memory", "8g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if extra:
