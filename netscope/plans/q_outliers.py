@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from netscope.operators import outliers as O
 from netscope.plans.registry import query
 from netscope.plans.standins import EXP_FEATURES, exp, table
+from netscope.session import cut_lineage
 
 EPS_LIST = (0.3, 0.5, 0.7, 1.0)
 MS_LIST = (5, 10, 20)
@@ -29,7 +30,8 @@ _DIST2 = "0.0 + " + " + ".join(f"(a.z_{c} - b.z_{c}) * (a.z_{c} - b.z_{c})" for
 
 
 def _zexp(spark, sf):
-    return O.zscore(exp(spark, sf), EXP_FEATURES)
+    # read many times by the detectors below: computed once and checkpointed
+    return cut_lineage(O.zscore(exp(spark, sf), EXP_FEATURES))
 
 
 @query("zscore", sql="WITH " + _ZSQL + "\nSELECT user_id, day, " + ", ".join(

@@ -37,6 +37,7 @@ def build_session(master: str | None = None, app: str = "netscope",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     })
     if master and master.startswith("local"):
         conf.setdefault("spark.driver.memory", "8g")
@@ -85,3 +86,15 @@ def unique_subdir(spark: SparkSession, name: str) -> str:
     """A new, never reused path under the shared dir (one per run)."""
     import uuid
     return shared_dir(spark, f"{name}-{os.getpid()}-{uuid.uuid4().hex[:12]}")
+
+
+def cut_lineage(df):
+    """Materialise ``df`` with a reliable checkpoint in the shared checkpoint dir.
+
+    Used where an iterative operator reads the same intermediate many times
+    (so it is computed once), and to bound lineage for recovery after executor
+    loss.  Never a local (executor-disk) checkpoint.
+    """
+    spark = df.sparkSession
+    shared_dir(spark, "")
+    return df.checkpoint(eager=True)
