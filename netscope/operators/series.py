@@ -131,7 +131,7 @@ def windowed(df: DataFrame, keys: Sequence[str], ts: str, tie: str,
     w = Window.partitionBy(*keys, "_block").orderBy("_idx")
     cols: dict[str, Column] = make_cols(w)
     out = blk.withColumns(cols).where(F.col("_home") == F.col("_block"))
-    return out.drop("_home", "_block")
+    return out.drop("_home", "_block", "_idx", "_n")
 
 
 # ---------------------------------------------------------------- W1 / D1 lags
