@@ -50,7 +50,8 @@ EXPERIMENT_METRICS = sorted([f"{m}_{s}" for m in METRICS for s in STATS] + [f"{m
 def discover(spark: SparkSession, root: str, glob: str = "*_results.json") -> DataFrame:
     """Recursive listing (path, length, modificationTime); contents are not read."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-            .load(root).select("path", "length", "modificationTime"))
+            .load(root).select(F.regexp_replace("path", "^file:/+", "file:/").alias("path"), "length",
+                               "modificationTime"))
 
 
 def read_raw(spark: SparkSession, root: str, glob: str = "*_results.json", multiline: bool = True) -> DataFrame:
@@ -68,12 +69,19 @@ def rejects(spark: SparkSession, root: str, glob: str = "*_results.json", multil
     """Files or records that yield no experiment: (path, reason)."""
     listing = discover(spark, root, glob)
     raw = read_raw(spark, root, glob, multiline)
-    empty = listing.where(F.col("length") == 0).select("path", F.lit("empty").alias("reason"))
-    bad = raw.where(F.col(CORRUPT).isNotNull()).select(F.col("source_path").alias("path"),
-                                                       F.lit("invalid_json").alias("reason"))
-    no_results = raw.where(F.col(CORRUPT).isNull() & ~_has_results()).select(
-        F.col("source_path").alias("path"), F.lit("no_results").alias("reason"))
-    return empty.unionByName(bad).unionByName(no_results)
+    # zero-length files produce no split, hence no listing row: they are the files the
+    # file index knows (``inputFiles``, the driver-side listing Spark keeps anyway)
+    # that are missing from the scanned listing
+    known = spark.createDataFrame([(p,) for p in listing.inputFiles()], "path string").select(
+        F.regexp_replace("path", "^file:/+", "file:/").alias("path"))
+    empty = (known.join(listing.select("path"), "path", "left_anti")
+             .unionByName(listing.where(F.col("length") == 0).select("path"))
+             .select("path", F.lit("empty").alias("reason")))
+    # one pass over the records; the corrupt column is read together with parsed fields
+    reason = (F.when(F.col(CORRUPT).isNotNull(), F.lit("invalid_json"))
+              .when(~_has_results(), F.lit("no_results")))
+    bad = raw.select(F.col("source_path").alias("path"), reason.alias("reason")).where(F.col("reason").isNotNull())
+    return empty.unionByName(bad)
 
 
 def _has_results():

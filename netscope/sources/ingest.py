@@ -37,8 +37,13 @@ def _esc(s: str) -> str:
 
 def listing(spark: SparkSession, root: str) -> DataFrame:
     """S5 + F2 + P15: every object under ``root`` with its path context and a skip reason."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-             .select("path", "length"))
+    scan = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+            .select(F.regexp_replace("path", "^file:/+", "file:/").alias("path"), "length"))
+    # zero-length files give no split: add them back from the file index's listing
+    known = spark.createDataFrame([(p,) for p in scan.inputFiles()], "path string").select(
+        F.regexp_replace("path", "^file:/+", "file:/").alias("path"))
+    files = scan.unionByName(known.join(scan.select("path"), "path", "left_anti").select(
+        "path", F.lit(0).cast("bigint").alias("length")))
     rel, parts = _rel_parts(F.col("path"), root)
     vm, proto = split_first(parts[1], "_")
     az = F.when((F.size(parts) > 3) & ~parts[3].endswith(".json"), parts[3])
@@ -59,7 +64,8 @@ def read_documents(spark: SparkSession, root: str, whole_file: bool = True) -> D
     otherwise every line is a document (JSON Lines)."""
     txt = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
            .text(root, wholetext=whole_file))
-    return txt.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"),
+    return txt.select(F.regexp_replace("_metadata.file_path", "^file:/+", "file:/").alias("path"),
+                      F.col("value").alias("text"),
                       F.try_parse_json("value").alias("doc"))
 
 
