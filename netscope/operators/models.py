@@ -86,6 +86,8 @@ def regression_task(df: DataFrame, target: str, num: Sequence[str], cat: Sequenc
     # materialise the prepared input once in the shared checkpoint dir
     d = cut_lineage(hash_split(d, "_key", 80, seed))
     p = dict(params or {})
+    if model == "rf":
+        p.setdefault("featureSubsetStrategy", "all")  # every feature at every split, as the reference's forest
     est = (RandomForestRegressor(labelCol=target, featuresCol="features", **p) if model == "rf"
            else GBTRegressor(labelCol=target, featuresCol="features", **p))
     pipe = Pipeline(stages=preprocessor(num, cat) + [est])
