@@ -126,3 +126,9 @@ def prepare(df: DataFrame, string_fill: str = "Unknown") -> DataFrame:
     num, cat = split_numeric_categorical(d)
     d = impute_median(d, num)
     return fill_unknown(d, cat, string_fill)
+
+
+def parseable_dates(df: DataFrame, col: str, fmt: str | None = None) -> DataFrame:
+    """keep rows whose ``col`` parses as a timestamp."""
+    ts = F.try_to_timestamp(F.col(col).cast("string"), F.lit(fmt)) if fmt else F.try_to_timestamp(F.col(col).cast("string"))
+    return df.where(ts.isNotNull())

@@ -92,3 +92,11 @@ def group_mean_prediction(df: DataFrame, keys, y: str, out: str = "y_pred") -> D
     keys = list(keys)
     means = df.groupBy(*keys).agg(F.avg(y).alias(out))
     return df.join(means, keys, "left")
+
+
+def pr_auc(df: DataFrame, label: str, score: str) -> float:
+    """Area under the precision-recall curve of an anomaly score against a 0/1 label."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    d = df.select(F.col(label).cast("double").alias("label"), F.col(score).cast("double").alias("score"))
+    ev = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", metricName="areaUnderPR")
+    return float(ev.evaluate(d))

@@ -80,13 +80,15 @@ def align_metrics(series: DataFrame, metrics: Sequence[str], keys: Sequence[str]
 # ---------------------------------------------------------------- skew-safe row index
 
 def series_index(df: DataFrame, keys: Sequence[str], ts: str, tie: str,
-                 chunk_seconds: int = 86400) -> DataFrame:
+                 chunk_seconds: int = 3600) -> DataFrame:
     """Add ``_idx`` (1-based position of the row inside its series by (ts, tie)) and ``_n``.
 
     Plan: rows are cut into (series, time-chunk) groups; per-chunk counts are
     aggregated (partial aggregation, small output) and turned into offsets by a
     window over chunks; the row number is then taken inside each chunk only.
-    No window ever spans a whole series.
+    No window ever spans a whole series.  ``chunk_seconds`` bounds the largest
+    task: pick it so that one chunk of the busiest series fits a task (hourly by
+    default; the counts table grows by one row per non-empty chunk).
     """
     keys = list(keys)
     chunk = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(chunk_seconds * 1_000_000)).cast("bigint")
@@ -123,7 +125,7 @@ def _blocked(indexed: DataFrame, keys: Sequence[str], back: int, fwd: int,
 
 def windowed(df: DataFrame, keys: Sequence[str], ts: str, tie: str,
              make_cols, back: int, fwd: int, block_rows: int = 100_000,
-             chunk_seconds: int = 86400) -> DataFrame:
+             chunk_seconds: int = 3600) -> DataFrame:
     """Apply window expressions built by ``make_cols(window)`` row-by-row in
     series order, using the skew-safe index + block + halo plan."""
     idx = series_index(df, keys, ts, tie, chunk_seconds)
@@ -198,3 +200,15 @@ def longest_series(df: DataFrame, key: str = "exp_id", min_points: int | None =
     top = sizes.orderBy(F.desc("_len"), F.asc(key)).limit(1).select(key)
     # one row by construction: safe to broadcast
     return df.join(F.broadcast(top), key, "left_semi")
+
+
+def compare_summaries(exp: DataFrame, points: DataFrame, key: str, prefix: str = "tput_",
+                      value: str = "value") -> DataFrame:
+    """Recompute the nine statistics from the points and report, per statistic,
+    the largest absolute difference to the stored ones (one aggregate row)."""
+    re = summary_stats(points, [key], value, prefix="re_")
+    j = exp.join(re, key)
+    stats = ["mean", "median", "min", "max", "std", *PCTL_NAMES]
+    return j.agg(F.count(F.lit(1)).alias("n_experiments"),
+                 F.sum((F.col(f"{prefix}n") != F.col("re_n")).cast("int")).cast("bigint").alias("n_count_mismatch"),
+                 *[F.max(F.abs(F.col(f"{prefix}{s}") - F.col(f"re_{s}"))).alias(f"max_diff_{s}") for s in stats])

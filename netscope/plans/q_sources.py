@@ -73,3 +73,22 @@ def q_sample_exact(spark, sf):
     """Exactly 1,000 rows (when more exist) chosen by a seeded hash of the key."""
     from netscope.operators.sampling import sample_exact
     return sample_exact(table(spark, sf, "events"), 1000, key="event_id", seed=42)
+
+
+_STATS = ["mean", "median", "min", "max", "std", "pctl5", "pctl25", "pctl75", "pctl95"]
+
+
+@query("summary_check", sql=f"""WITH {POINTS_SQL}
+SELECT COUNT(*) AS n_experiments, CAST(0 AS BIGINT) AS n_count_mismatch,
+       {", ".join(f"0.0 AS max_diff_{s}" for s in _STATS)}
+FROM rec""")
+def q_summary_check(spark, sf):
+    """Statistics stored in the JSON records vs statistics recomputed from their points."""
+    from netscope.operators.series import compare_summaries
+    root = write_raw_json(spark, sf)
+    raw = E.read_raw(spark, root, "*.json", multiline=False)
+    exp = E.flatten(raw, root)
+    pts = E.explode_series(raw, root).where(F.col("metric") == "tput")
+    out = compare_summaries(exp, pts, "exp_name")
+    return out.select("n_experiments", "n_count_mismatch",
+                      *[F.round(F.col(f"max_diff_{s}"), 6).alias(f"max_diff_{s}") for s in _STATS])

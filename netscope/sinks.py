@@ -41,3 +41,31 @@ def merge_csv_to_parquet(spark: SparkSession, csv_dir: str, out: str) -> str:
 def write_report_json(df: DataFrame, path: str) -> None:
     """K6: report rows as JSON (one small file: the report is an aggregate)."""
     df.coalesce(1).write.mode("overwrite").json(path)
+
+
+def latest_file(spark: SparkSession, root: str, glob: str = "*") -> str | None:
+    """Newest file under ``root`` by modification time (one aggregate over the listing)."""
+    from pyspark.sql import functions as F
+    lst = (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+           .load(root).select("path", "modificationTime"))
+    row = lst.agg(F.max_by("path", F.struct("modificationTime", "path")).alias("p")).first()
+    return row["p"] if row else None
+
+
+def clean_and_save(df: DataFrame, out_dir: str, sample_n: int = 1000, key: str | None = None, seed: int = 42) -> dict:
+    """K2: CSV + Parquet of the prepared table, an exact-size sample and a summary,
+    all written from one persisted DataFrame."""
+    from netscope.operators.profile import dataset_overview
+    from netscope.operators.sampling import sample_exact
+    d = df.persist()
+    try:
+        out = {"parquet": write_dataset(d, out_dir, "parquet"), "csv": write_dataset(d, out_dir, "csv")}
+        k = key or d.columns[0]
+        sample_exact(d, sample_n, k, seed).write.mode("errorifexists").option("header", "true").csv(
+            f"{out_dir.rstrip('/')}/sample.csv")
+        out["sample"] = f"{out_dir.rstrip('/')}/sample.csv"
+        dataset_overview(d).write.mode("errorifexists").json(f"{out_dir.rstrip('/')}/summary.json")
+        out["summary"] = f"{out_dir.rstrip('/')}/summary.json"
+        return out
+    finally:
+        d.unpersist()

@@ -134,3 +134,24 @@ def test_csv_roundtrip(spark, workdir):
     p = write_dataset(df, os.path.join(workdir, "csvout"), "csv")
     back = read_any(spark, p)
     assert back.count() == 10 and set(back.columns) == {"id", "x"}
+
+
+def test_generic_flatten_and_path_metadata(spark, workdir):
+    from netscope.sources.generic_json import flatten_records, read_records
+    root = os.path.join(workdir, "PaperDataset")
+    _w(root, "AWS/m3.xlarge_tput_udp/US-EU/1426345644.json", json.dumps([
+        {"protocol": "tcp", "exp_name": "t1", "start_time": 1426345644, "duration": "120", "granularity": "1",
+         "hops": [1, 2, 3], "mixed": [1, "a"], "empty": [], "nested": {"a": 1, "deep": {"x": 1}}, "none": None},
+        {"protocol": "udp", "exp_name": "t2", "granularity": 0.1}]))
+    _w(root, "Azure/a2.medium_tput_tcp/Fig5/x.json", json.dumps({"tool": "HPING_S"}))
+    _w(root, "Other/thing/y.json", "5")
+    recs = read_records(spark, root)
+    wide = {r["exp_name"] or r["tool"]: r for r in flatten_records(recs, root).collect()}
+    t1 = wide["t1"]
+    assert t1["provider"] == "AWS" and t1["vm_size"] == "XLarge" and t1["protocol"] == "tcp"
+    assert t1["timestamp"] == 1426345644 and t1["hops_mean"] == "2.0" and t1["hops_count"] == "3"
+    assert t1["nested_a"] == "1" and "nested_deep" not in wide["t1"].asDict() and "mixed_mean" not in t1.asDict()
+    assert wide["t2"]["granularity"] == "0.1" and wide["t2"]["hops_mean"] is None
+    hp = wide["HPING_S"]
+    assert hp["provider"] == "Azure" and hp["vm_size"] == "Medium" and hp["protocol"] == "TCP_Throughput"
+    assert len(wide) == 3
