@@ -63,10 +63,18 @@ def top_k(counts: DataFrame, key: str, k: int, count_col: str = "count") -> Data
 
 
 def top_k_per_group(long_counts: DataFrame, group: str, key: str, k: int,
-                    count_col: str = "count") -> DataFrame:
-    """row_number per group (the input is an aggregate, so groups are small)."""
-    w = Window.partitionBy(group).orderBy(F.desc(count_col), F.asc(key))
-    return long_counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+                    count_col: str = "count", salt_buckets: int = 64) -> DataFrame:
+    """Top-k rows per group by count desc, key asc, with a ``rank`` column.
+
+    Two rounds so that a group with very many keys is never ranked in one task:
+    first the top-k inside (group, hash bucket of key), then the top-k among the
+    at most ``salt_buckets * k`` survivors of each group."""
+    order = [F.desc(count_col), F.asc(key)]
+    salted = long_counts.withColumn("_salt", F.pmod(F.xxhash64(F.col(key)), F.lit(salt_buckets)))
+    w1 = Window.partitionBy(group, "_salt").orderBy(*order)
+    pre = salted.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= k).drop("_salt", "_r1")
+    w2 = Window.partitionBy(group).orderBy(*order)
+    return pre.withColumn("rank", F.row_number().over(w2)).where(F.col("rank") <= k)
 
 
 # ---------------------------------------------------------------- A2 distinct counts
@@ -96,12 +104,16 @@ def count_by(df: DataFrame, key: Column, name: str) -> DataFrame:
 
 # ---------------------------------------------------------------- A7 numeric summary, A17 describe
 
-def numeric_summary(df: DataFrame, cols: Sequence[str], decimals: int = 6) -> DataFrame:
-    """mean, median, sample std, min, max, missing % per column (one pass)."""
+def numeric_summary(df: DataFrame, cols: Sequence[str], decimals: int = 6, approx: bool = False) -> DataFrame:
+    """mean, median, sample std, min, max, missing % per column (one pass).
+
+    ``approx=True`` takes the median from the mergeable ``percentile_approx``
+    sketch (for tables where an exact global median is too costly)."""
     aggs = []
     for c in cols:
         x = F.col(c)
-        aggs += [F.avg(x).alias(f"{c}__mean"), F.median(x).alias(f"{c}__median"),
+        med = F.percentile_approx(x, 0.5, 10000) if approx else F.median(x)
+        aggs += [F.avg(x).alias(f"{c}__mean"), med.cast("double").alias(f"{c}__median"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).cast("double").alias(f"{c}__min"),
                  F.max(x).cast("double").alias(f"{c}__max"),
                  (F.avg(F.when(x.isNull(), 1.0).otherwise(0.0)) * 100).alias(f"{c}__missing_pct")]
@@ -111,14 +123,17 @@ def numeric_summary(df: DataFrame, cols: Sequence[str], decimals: int = 6) -> Da
                   ["column", *stats])
 
 
-def describe(df: DataFrame, cols: Sequence[str], decimals: int = 6) -> DataFrame:
-    """count, mean, std, min, 25%, 50%, 75%, max with exact linear quartiles."""
+def describe(df: DataFrame, cols: Sequence[str], decimals: int = 6, approx: bool = False) -> DataFrame:
+    """count, mean, std, min, 25%, 50%, 75%, max with exact linear quartiles
+    (``approx=True``: sketch quartiles)."""
     aggs = []
     for c in cols:
         x = F.col(c)
+        q = (F.percentile_approx(x.cast("double"), [0.25, 0.5, 0.75], 10000) if approx
+             else F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).cast("double").alias(f"{c}__min"),
-                 F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"{c}__q"),
+                 q.alias(f"{c}__q"),
                  F.max(x).cast("double").alias(f"{c}__max")]
     wide = df.agg(*aggs)
     vals = []
