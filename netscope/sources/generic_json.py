@@ -8,7 +8,7 @@ become one record per element, and each record is flattened one level:
 - objects contribute their scalar members as ``<key>_<member>``;
 - deeper levels and NULLs are dropped.
 
-The walk is a pair of ``variant_explode`` steps into a long
+The walk is a pair of map explosions of the VARIANT records into a long
 ``(rec_id, column, value)`` table; the final column list is the set of column
 names seen (a small, bounded aggregate), and the long table is pivoted on it.
 Path metadata (provider, VM size, protocol, epoch) comes from regexes on the
@@ -73,7 +73,8 @@ def read_records(spark: SparkSession, root: str, glob: str = "*.json") -> DataFr
 
 def long_form(records: DataFrame) -> DataFrame:
     """P13 as a long table (rec_id, column, value-as-text)."""
-    lvl1 = records.select("rec_id", F.variant_explode("rec").alias("pos1", "key", "v"))
+    as_map = F.try_variant_get("rec", "$", "map<string,variant>")
+    lvl1 = records.select("rec_id", F.explode(as_map).alias("key", "v"))
     typ = F.schema_of_variant("v")
     is_obj = typ.startswith("OBJECT")
     is_arr = typ.startswith("ARRAY")
@@ -89,7 +90,8 @@ def long_form(records: DataFrame) -> DataFrame:
                            (F.aggregate("a", F.lit(0.0), lambda s, x: s + x) / F.size("a")).cast("string").alias("value"))
     counts = numeric.select("rec_id", F.concat("key", F.lit("_count")).alias("column"),
                             F.size("a").cast("string").alias("value"))
-    objs = lvl1.where(is_obj).select("rec_id", "key", F.variant_explode("v").alias("pos2", "sub", "sv"))
+    objs = lvl1.where(is_obj).select("rec_id", "key", F.explode(F.try_variant_get("v", "$", "map<string,variant>"))
+                                     .alias("sub", "sv"))
     subs = objs.where(~F.schema_of_variant("sv").startswith("OBJECT") & ~F.schema_of_variant("sv").startswith("ARRAY")
                       & ~F.is_variant_null("sv")).select(
         "rec_id", F.concat("key", F.lit("_"), "sub").alias("column"), F.try_variant_get("sv", "$", "string").alias("value"))
@@ -102,6 +104,10 @@ def flatten_records(records: DataFrame, root: str, columns: Sequence[str] | None
     if columns is None:  # the distinct column names: a small, bounded set
         columns = sorted(r[0] for r in long.select("column").distinct().collect())
     wide = long.groupBy("rec_id").pivot("column", list(columns)).agg(F.first("value"))
-    meta = records.select("rec_id", *[v.alias(k) for k, v in path_metadata(F.col("path"), root).items()])
-    meta = meta.select("rec_id", *[c for c in meta.columns if c != "rec_id" and c not in columns])
-    return meta.join(wide, "rec_id", "left")
+    md = path_metadata(F.col("path"), root)
+    meta = records.select("rec_id", *[v.alias(f"_m_{k}") for k, v in md.items()])
+    j = meta.join(wide, "rec_id", "left")
+    # a record's own key overwrites the path value of the same name, row by row
+    out = [F.coalesce(F.col(k), F.col(f"_m_{k}").cast("string")).alias(k) if k in columns
+           else F.col(f"_m_{k}").alias(k) for k in md]
+    return j.select("rec_id", *out, *[F.col(f"`{c}`") for c in columns if c not in md])
