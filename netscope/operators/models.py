@@ -34,6 +34,31 @@ PRESETS = {
 }
 
 
+# The reference's feature lists per task (absent columns are skipped).
+TASK_FEATURES = {
+    "throughput": {"cat": ["provider", "region_pair", "vm_size_pair", "proto"],
+                   "num": ["delay_mean", "loss_mean", "hour", "dow"]},
+    "throughput_v2": {"cat": ["provider_pair", "region_pair", "vm_size_pair", "proto"],
+                      "num": ["delay_mean", "loss_mean", "jitter_mean", "hour", "dow"]},
+    "latency": {"num": ["duration_s", "granularity_snd", "granularity_rcv", "target_bwd"],
+                "cat": ["provider", "proto", "region_snd", "region_rcv", "size_snd", "size_rcv", "port"]},
+    "performance_class": {"num": ["duration_s", "delay_mean", "granularity_snd", "granularity_rcv", "target_bwd"],
+                          "cat": ["provider", "proto", "size_snd", "size_rcv", "region_snd", "region_rcv", "port"]},
+    "slo_tier": {"cat": ["provider_pair", "region_pair", "vm_size_pair", "proto"],
+                 "num": ["tput_mean", "delay_mean", "loss_mean", "jitter_mean", "hour", "dow"]},
+    "anomaly": {"num": ["duration_s", "granularity_snd", "granularity_rcv", "target_bwd", "tput_mean", "tput_pctl95",
+                        "tput_pctl5", "delay_mean", "loss_mean", "tput_n", "delay_n", "loss_n"]},
+    "config": {"cat": ["provider", "region", "az", "vm_size", "l4_protocol"],
+               "num": ["cpu_pct", "mem_pct", "packet_loss", "jitter_ms"]},
+}
+
+
+def task_features(df: DataFrame, task: str) -> tuple[list[str], list[str]]:
+    """M1g / D6: the task's (numeric, categorical) lists restricted to present columns."""
+    spec = TASK_FEATURES[task]
+    return ([c for c in spec.get("num", []) if c in df.columns], [c for c in spec.get("cat", []) if c in df.columns])
+
+
 def preprocessor(num: Sequence[str], cat: Sequence[str], impute: bool = True, scale: bool = True) -> list:
     """M1a/M1b stages: numeric median impute -> assemble -> standardise;
     categorical string index (unknown/NULL kept as its own bucket) -> one-hot."""
@@ -84,7 +109,7 @@ def regression_task(df: DataFrame, target: str, num: Sequence[str], cat: Sequenc
     d = d.withColumn("_key", F.xxhash64(*[F.col(c) for c in key_cols]))
     # the estimators make several passes (imputer, indexers, scaler, one per tree level):
     # materialise the prepared input once in the shared checkpoint dir
-    d = cut_lineage(hash_split(d, "_key", 80, seed))
+    d = cut_lineage(hash_split(d, "_key", 80, seed).select(*num, *cat, target, "_key", "split"))
     p = dict(params or {})
     if model == "rf":
         p.setdefault("featureSubsetStrategy", "all")  # every feature at every split, as the reference's forest
@@ -108,7 +133,7 @@ def classification_task(df: DataFrame, label: str, num: Sequence[str], cat: Sequ
     d = stratified_split(d, "_key", label, 80, seed)
     if balanced:
         d = with_class_weights(d, label, "_w")
-    d = cut_lineage(d)
+    d = cut_lineage(d.select(*num, *cat, label, "_key", "split", *(["_w"] if balanced else [])))
     lab_idx = StringIndexer(inputCol=label, outputCol="_label", handleInvalid="keep", stringOrderType="alphabetAsc")
     est = RandomForestClassifier(labelCol="_label", featuresCol="features", weightCol="_w" if balanced else None,
                                  featureSubsetStrategy="sqrt", **dict(params or {}))
