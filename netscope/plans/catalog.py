@@ -550,9 +550,11 @@ def q_insights(spark, sf):
 
 @query("class_weights", sql="""
 WITH c AS (SELECT provider, COUNT(*) AS n_c FROM ship GROUP BY provider)
-SELECT provider, n_c, (SELECT SUM(n_c) FROM c) / ((SELECT COUNT(*) FROM c) * n_c) AS weight FROM c""", views=("ship",))
+SELECT provider, n_c, ROUND((SELECT SUM(n_c) FROM c) / ((SELECT COUNT(*) FROM c) * n_c), 6) AS weight FROM c""",
+       views=("ship",))
 def q_class_weights(spark, sf):
-    return L.class_weights(ship(spark, sf), "provider")
+    w = L.class_weights(ship(spark, sf), "provider")
+    return w.select("provider", "n_c", F.round("weight", 6).alias("weight"))
 
 
 @query("merge_rare_classes", sql="""
@@ -622,9 +624,15 @@ def q_impute_mode(spark, sf):
     return impute_mode(p, ["qkey"])
 
 
-@query("summary_flatten", sql="SELECT * FROM exp", views=("exp",))
+_EXP_STATS = ["tput_mean", "tput_median", "tput_min", "tput_max", "tput_std", "tput_pctl5", "tput_pctl25",
+              "tput_pctl75", "tput_pctl95"]
+
+
+@query("summary_flatten", sql="SELECT user_id, day, tput_n, " + ", ".join(
+    f"ROUND({c}, 6) AS {c}" for c in _EXP_STATS) + " FROM exp", views=("exp",))
 def q_summary_flatten(spark, sf):
-    return exp(spark, sf)
+    e = exp(spark, sf)
+    return e.select("user_id", "day", "tput_n", *[F.round(c, 6).alias(c) for c in _EXP_STATS])
 
 
 # ship2 = ship + an all-NULL jitter column, for the column screens
