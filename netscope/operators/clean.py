@@ -73,20 +73,19 @@ def drop_any_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def impute_median(df: DataFrame, cols: Sequence[str], zero_last: bool = False,
-                  approx: bool = False) -> DataFrame:
-    """Fill NULLs with each column's exact median (``approx`` for huge tables).
-
-    All medians come from one aggregate row used as a scalar subquery.
-    """
+                  method: str = "bounded") -> DataFrame:
+    """Fill NULLs with each column's exact median (bounded memory by default;
+    ``method="approx"`` for a sketch).  All medians come from one stacked quantile
+    job, referenced as a scalar subquery."""
+    from netscope.operators.profile import _column_quantiles
     cols = list(cols)
     if not cols:
         return df
-    med = (lambda c: F.percentile_approx(c, 0.5, 10000)) if approx else (lambda c: F.median(c))
-    stats = df.agg(F.struct(*[med(F.col(c)).cast("double").alias(c) for c in cols]).alias("m"))
-    m = stats.scalar()
+    med = _column_quantiles(df, cols, [0.5], ["median"], method)
+    m = med.agg(F.map_from_entries(F.collect_list(F.struct("column", "median"))).alias("m")).scalar()
     out = df
     for c in cols:
-        fill = m.getField(c)
+        fill = m[F.lit(c)]
         if zero_last:
             fill = F.coalesce(fill, F.lit(0.0))
         out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), fill))

@@ -11,7 +11,7 @@ FLOOR = 1e-6
 
 
 def psi(ref: DataFrame, cur: DataFrame, value: str, keys: Sequence[str] = (), bins: int = 10,
-        threshold: float = 0.2, decimals: int = 6, approx: bool = False) -> DataFrame:
+        threshold: float = 0.2, decimals: int = 6, method: str = "bounded") -> DataFrame:
     """Population stability index per group.
 
     Edges are the reference window's quantiles at 1/bins .. (bins-1)/bins; a
@@ -21,11 +21,12 @@ def psi(ref: DataFrame, cur: DataFrame, value: str, keys: Sequence[str] = (), bi
     keys = list(keys)
     if not keys:  # one global group
         ref, cur, keys = ref.withColumn("_all", F.lit(0)), cur.withColumn("_all", F.lit(0)), ["_all"]
-        return psi(ref, cur, value, keys, bins, threshold, decimals, approx).drop("_all")
+        return psi(ref, cur, value, keys, bins, threshold, decimals, method).drop("_all")
+    from netscope.operators.quantiles import quantile_columns
     probs = [i / bins for i in range(1, bins)]
-    q = (F.percentile_approx(value, probs, 10000) if approx
-         else F.percentile(F.col(value), F.array(*[F.lit(p) for p in probs])))
-    edges = ref.groupBy(*keys).agg(q.alias("_edges"))
+    names = [f"_e{i}" for i in range(len(probs))]
+    edges = quantile_columns(ref, keys, value, probs, names, method).select(
+        *keys, F.array(*[F.col(n) for n in names]).alias("_edges"))
 
     def binned(df, tag):
         # one row of edges per group: AQE broadcasts it when small, else a shuffle join

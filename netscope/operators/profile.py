@@ -104,45 +104,56 @@ def count_by(df: DataFrame, key: Column, name: str) -> DataFrame:
 
 # ---------------------------------------------------------------- A7 numeric summary, A17 describe
 
-def numeric_summary(df: DataFrame, cols: Sequence[str], decimals: int = 6, approx: bool = False) -> DataFrame:
-    """mean, median, sample std, min, max, missing % per column (one pass).
+def numeric_summary(df: DataFrame, cols: Sequence[str], decimals: int = 6, method: str = "bounded") -> DataFrame:
+    """mean, median, sample std, min, max, missing % per column.
 
-    ``approx=True`` takes the median from the mergeable ``percentile_approx``
-    sketch (for tables where an exact global median is too costly)."""
+    Moments come from one aggregate pass; medians from ``quantiles`` (exact with
+    bounded memory by default, ``method="approx"`` for a sketch)."""
+    cols = list(cols)
     aggs = []
     for c in cols:
         x = F.col(c)
-        med = F.percentile_approx(x, 0.5, 10000) if approx else F.median(x)
-        aggs += [F.avg(x).alias(f"{c}__mean"), med.cast("double").alias(f"{c}__median"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).cast("double").alias(f"{c}__min"),
-                 F.max(x).cast("double").alias(f"{c}__max"),
+        aggs += [F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std"),
+                 F.min(x).cast("double").alias(f"{c}__min"), F.max(x).cast("double").alias(f"{c}__max"),
                  (F.avg(F.when(x.isNull(), 1.0).otherwise(0.0)) * 100).alias(f"{c}__missing_pct")]
     wide = df.agg(*aggs)
-    stats = ["mean", "median", "std", "min", "max", "missing_pct"]
-    return _stack(wide, cols, [[f"ROUND(`{c}__{s}`, {decimals})" for s in stats] for c in cols],
-                  ["column", *stats])
-
-
-def describe(df: DataFrame, cols: Sequence[str], decimals: int = 6, approx: bool = False) -> DataFrame:
-    """count, mean, std, min, 25%, 50%, 75%, max with exact linear quartiles
-    (``approx=True``: sketch quartiles)."""
+    stats = ["mean", "std", "min", "max", "missing_pct"]
+    mom = _stack(wide, cols, [[f"`{c}__{s}`" for s in stats] for c in cols], ["column", *stats])
+    med = _column_quantiles(df, cols, [0.5], ["median"], method)
+    out = mom.join(med, "column", "left")
+    return out.select("column", *[F.round(c, decimals).alias(c) for c in ["mean", "median", "std", "min", "max",
+                                                                          "missing_pct"]])
+
+
+def _column_quantiles(df: DataFrame, cols: Sequence[str], probs, names, method: str) -> DataFrame:
+    """(column, <names>) for every column of ``cols``."""
+    from netscope.operators.quantiles import exact_quantiles_long, quantile_columns
+    if method == "bounded":
+        return exact_quantiles_long(df, [], cols, probs, names).drop("_n")
+    parts = [quantile_columns(df, [], c, probs, names, method).withColumn("column", F.lit(c)) for c in cols]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def describe(df: DataFrame, cols: Sequence[str], decimals: int = 6, method: str = "bounded") -> DataFrame:
+    """count, mean, std, min, 25%, 50%, 75%, max; quartiles exact (bounded memory)
+    by default, ``method="approx"`` for sketch quartiles."""
+    cols = list(cols)
     aggs = []
     for c in cols:
         x = F.col(c)
-        q = (F.percentile_approx(x.cast("double"), [0.25, 0.5, 0.75], 10000) if approx
-             else F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).cast("double").alias(f"{c}__min"),
-                 q.alias(f"{c}__q"),
                  F.max(x).cast("double").alias(f"{c}__max")]
     wide = df.agg(*aggs)
-    vals = []
-    for c in cols:
-        vals.append([f"`{c}__count`", f"ROUND(`{c}__mean`, {decimals})", f"ROUND(`{c}__std`, {decimals})",
-                     f"ROUND(`{c}__min`, {decimals})", f"ROUND(`{c}__q`[0], {decimals})",
-                     f"ROUND(`{c}__q`[1], {decimals})", f"ROUND(`{c}__q`[2], {decimals})",
-                     f"ROUND(`{c}__max`, {decimals})"])
-    return _stack(wide, cols, vals, ["column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"])
+    stats = ["count", "mean", "std", "min", "max"]
+    mom = _stack(wide, cols, [[f"`{c}__{s}`" for s in stats] for c in cols], ["column", *stats])
+    qs = _column_quantiles(df, cols, [0.25, 0.5, 0.75], ["p25", "p50", "p75"], method)
+    out = mom.join(qs, "column", "left")
+    return out.select("column", "count", *[F.round(c, decimals).alias(c) for c in
+                                           ["mean", "std", "min", "p25", "p50", "p75", "max"]])
 
 
 # ---------------------------------------------------------------- A8 / A10 / A19 missingness and overview
@@ -231,14 +242,12 @@ def histogram(df: DataFrame, col: str, bins: int = 30, decimals: int = 6) -> Dat
 
 # ---------------------------------------------------------------- A16 / D7 box statistics and IQR outliers
 
-def box_stats(df: DataFrame, group: str, col: str, decimals: int = 6, approx: bool = False) -> DataFrame:
+def box_stats(df: DataFrame, group: str, col: str, decimals: int = 6, method: str = "bounded") -> DataFrame:
     """Quartiles, 1.5*IQR whiskers clipped to the data, outlier counts per group."""
+    from netscope.operators.quantiles import quantile_columns
     x = F.col(col)
-    q = (F.percentile_approx(x, [0.25, 0.5, 0.75], 10000) if approx
-         else F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
-    quart = df.groupBy(group).agg(q.alias("_q")).select(
-        group, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
-    quart = quart.withColumn("iqr", F.col("q3") - F.col("q1"))
+    quart = quantile_columns(df, [group], col, [0.25, 0.5, 0.75], ["q1", "median", "q3"], method)
+    quart = quart.where(F.col("q1").isNotNull()).withColumn("iqr", F.col("q3") - F.col("q1"))
     lo_f = F.col("q1") - 1.5 * F.col("iqr")
     hi_f = F.col("q3") + 1.5 * F.col("iqr")
     # quart has one row per group; the join is an ordinary equi-join that AQE may broadcast
@@ -253,11 +262,11 @@ def box_stats(df: DataFrame, group: str, col: str, decimals: int = 6, approx: bo
                                     ["q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi"]], "n_outliers")
 
 
-def iqr_outlier_flags(df: DataFrame, group: str, col: str, k: float = 1.5) -> DataFrame:
+def iqr_outlier_flags(df: DataFrame, group: str, col: str, k: float = 1.5, method: str = "bounded") -> DataFrame:
     """Per-row outlier flag against the group's 1.5*IQR fences."""
+    from netscope.operators.quantiles import quantile_columns
     x = F.col(col)
-    quart = df.groupBy(group).agg(F.percentile(x, F.array(F.lit(0.25), F.lit(0.75))).alias("_q")).select(
-        group, F.col("_q")[0].alias("_q1"), F.col("_q")[1].alias("_q3"))
+    quart = quantile_columns(df, [group], col, [0.25, 0.75], ["_q1", "_q3"], method)
     j = df.join(quart, group)
     iqr = F.col("_q3") - F.col("_q1")
     flag = (x < F.col("_q1") - k * iqr) | (x > F.col("_q3") + k * iqr)

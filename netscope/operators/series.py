@@ -22,33 +22,31 @@ PCTL_NAMES = ("pctl5", "pctl25", "pctl75", "pctl95")
 # ---------------------------------------------------------------- A24 summary statistics
 
 def summary_stats(df: DataFrame, keys: Sequence[str], value: str, prefix: str = "",
-                  approx: bool = False, accuracy: int = 10000) -> DataFrame:
+                  method: str = "bounded", accuracy: int = 10000) -> DataFrame:
     """n, mean, median, min, max, population std and p5/p25/p75/p95 per group.
 
-    Exact percentiles (linear interpolation, numpy's default) keep one group's
-    value histogram in memory; ``approx=True`` switches to the mergeable
-    ``percentile_approx`` sketch, which partially aggregates before the shuffle
-    and is the right choice for very large or hot groups.
+    Moments are one algebraic aggregate.  Quantiles are exact with linear
+    interpolation (numpy's default); ``method="bounded"`` computes them with
+    bounded memory per group (sketch bracket + exact rank walk, see
+    ``operators.quantiles``), ``"spark"`` with Spark's single-pass exact
+    ``percentile`` (one group histogram per task), ``"approx"`` with the sketch.
     """
+    from netscope.operators.quantiles import quantile_columns
+    keys = list(keys)
     v = F.col(value)
-    if approx:
-        qs = F.percentile_approx(v, list(PCTLS) + [0.5], accuracy)
-        med = qs[4]
-    else:
-        qs = F.percentile(v, F.array(*[F.lit(p) for p in PCTLS]))
-        med = F.median(v)
-    g = df.groupBy(*keys).agg(
+    mom = df.groupBy(*keys).agg(
         F.count(v).alias(f"{prefix}n"),
         F.avg(v).alias(f"{prefix}mean"),
-        med.alias(f"{prefix}median"),
         F.min(v).alias(f"{prefix}min"),
         F.max(v).alias(f"{prefix}max"),
         F.stddev_pop(v).alias(f"{prefix}std"),
-        qs.alias("_q"),
     )
-    return g.select(*keys, f"{prefix}n", f"{prefix}mean", f"{prefix}median", f"{prefix}min",
+    qn = ["_p5", "_p25", "_med", "_p75", "_p95"]
+    qs = quantile_columns(df, keys, value, [0.05, 0.25, 0.5, 0.75, 0.95], qn, method, accuracy)
+    g = mom.join(qs, keys, "left")
+    return g.select(*keys, f"{prefix}n", f"{prefix}mean", F.col("_med").alias(f"{prefix}median"), f"{prefix}min",
                     f"{prefix}max", f"{prefix}std",
-                    *[F.col("_q")[i].alias(f"{prefix}{nm}") for i, nm in enumerate(PCTL_NAMES)])
+                    *[F.col(q).alias(f"{prefix}{nm}") for q, nm in zip(["_p5", "_p25", "_p75", "_p95"], PCTL_NAMES)])
 
 
 # ---------------------------------------------------------------- I1 explode detailed maps
