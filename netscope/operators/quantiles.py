@@ -5,9 +5,10 @@ task; for a group holding a third of a very large table that histogram does
 not fit.  This operator gets the same exact, linearly interpolated result
 (numpy's default, DuckDB's ``quantile_cont``) in two passes:
 
+0. groups of at most ``accuracy`` values (their histogram is already bounded)
+   use Spark's exact ``percentile``; for the larger ones:
 1. a mergeable sketch (``percentile_approx``, rank error <= n / accuracy) gives
-   per group and probability a value bracket ``[lo, hi]`` around the target rank,
-   plus the exact count ``n`` (groups of at most ``accuracy`` values keep all values);
+   per group and probability a value bracket ``[lo, hi]`` around the target rank;
 2. one scan counts the rows below ``lo`` exactly (algebraic, partially
    aggregated) and gathers the distinct values inside the bracket with their
    counts -- about ``6 n / accuracy`` rows per (group, probability), fewer with
@@ -27,34 +28,43 @@ from pyspark.sql import functions as F
 def exact_quantiles(df: DataFrame, keys: Sequence[str], col: str, probs: Sequence[float],
                     names: Sequence[str] | None = None, accuracy: int = 10000) -> DataFrame:
     """One row per group: ``keys..., _n, <name_i>`` with the exact interpolated quantile
-    ``probs[i]`` of ``col`` (NULL for groups without values)."""
+    ``probs[i]`` of ``col`` (NULL for groups without values).
+
+    Groups of at most ``accuracy`` values use Spark's exact ``percentile`` (their
+    value histogram is bounded by ``accuracy``); larger groups -- at most
+    rows / accuracy of them -- use the sketch bracket described above."""
     keys = list(keys)
     if not keys:  # one global group
         return exact_quantiles(df.withColumn("_g", F.lit(0)), ["_g"], col, probs, names, accuracy).drop("_g")
     probs = [float(q) for q in probs]
     names = list(names) if names else [f"q{i}" for i in range(len(probs))]
     m = len(probs)
+    base = df.select(*keys, F.col(col).cast("double").alias("_x"))
+    cnt = base.groupBy(*keys).agg(F.count("_x").alias("_n"))
+    small = base.join(cnt.where(F.col("_n") <= accuracy).select(*keys), keys, "left_semi")
+    small_q = small.groupBy(*keys).agg(F.percentile("_x", F.array(*[F.lit(p) for p in probs])).alias("_q")).select(
+        *keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    big = base.join(cnt.where(F.col("_n") > accuracy), keys)
+    big_q = _bracket_quantiles(big, keys, probs, names, accuracy)
+    return cnt.join(small_q.unionByName(big_q), keys, "left")
+
+
+def _bracket_quantiles(j: DataFrame, keys: list[str], probs: list[float], names: list[str],
+                       accuracy: int) -> DataFrame:
+    """Exact quantiles for groups with more than ``accuracy`` values; ``j`` holds
+    ``keys, _x, _n`` (``_n`` = non-null count of the row's group)."""
+    m = len(probs)
     delta = 3.0 / accuracy
     bounds = [max(0.0, q - delta) for q in probs] + [min(1.0, q + delta) for q in probs]
-    base = df.select(*keys, F.col(col).cast("double").alias("_x"))
-    sk = base.groupBy(*keys).agg(F.count("_x").alias("_n"),
-                                 F.percentile_approx("_x", bounds, accuracy).alias("_b"))
-    # the sketch table has one row per group; AQE broadcasts it when small
-    # groups of at most ``accuracy`` values take all of them (already bounded);
-    # larger groups get a bracket whose rank margin (>= 2 n / accuracy) exceeds
-    # the sketch's rank error, so it holds the floor and ceil target ranks
-    small = F.col("_n") <= accuracy
-    b = F.transform(F.col("_b"), lambda v, i: F.when(small, F.when(i < m, F.lit(float("-inf"))).otherwise(
-        F.lit(float("inf")))).otherwise(v))
-    sk = sk.withColumn("_b", b)
-    j = base.where(F.col("_x").isNotNull()).join(sk.where(F.col("_n") > 0), keys)
-    lo = [F.col("_b")[i] for i in range(m)]
-    hi = [F.col("_b")[m + i] for i in range(m)]
-    below = j.groupBy(*keys).agg(*[F.sum(F.when(F.col("_x") < lo[i], 1).otherwise(0)).cast("bigint")
-                                   .alias(f"_below{i}") for i in range(m)])
+    # the bracket has a rank margin (>= 2 n / accuracy) larger than the sketch's rank
+    # error, so it holds the floor and ceil target ranks
+    sk = j.groupBy(*keys, "_n").agg(F.percentile_approx("_x", bounds, accuracy).alias("_b"))
+    jj = j.where(F.col("_x").isNotNull()).drop("_n").join(sk, keys)  # one sketch row per big group
+    below = jj.groupBy(*keys).agg(*[F.sum(F.when(F.col("_x") < F.col("_b")[i], 1).otherwise(0)).cast("bigint")
+                                    .alias(f"_below{i}") for i in range(m)])
     inside = F.filter(F.sequence(F.lit(0), F.lit(m - 1)),
                       lambda i: (F.col("_x") >= F.col("_b")[i]) & (F.col("_x") <= F.col("_b")[i + m]))
-    win = (j.select(*keys, "_x", F.explode(inside).alias("_qi"))
+    win = (jj.select(*keys, "_x", F.explode(inside).alias("_qi"))
            .groupBy(*keys, "_qi", "_x").agg(F.count(F.lit(1)).alias("_c"))
            .groupBy(*keys, "_qi").agg(F.sort_array(F.collect_list(F.struct("_x", "_c"))).alias("_w")))
     t = win.join(below, keys).join(sk.select(*keys, "_n"), keys)
@@ -73,7 +83,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], col: str, probs: Sequenc
                         F.when(s["vlo"].isNull() & (nxt > r_lo), e["_x"]).otherwise(s["vlo"]).alias("vlo"),
                         F.when(s["vhi"].isNull() & (nxt > r_hi), e["_x"]).otherwise(s["vhi"]).alias("vhi"))
 
-    walked = t.select(*keys, "_qi", "_n", pos.alias("_pos"), F.aggregate("_w", init, step).alias("_s"),
+    walked = t.select(*keys, "_qi", pos.alias("_pos"), F.aggregate("_w", init, step).alias("_s"),
                       r_lo.alias("_rlo"))
     vlo, vhi = F.col("_s.vlo"), F.col("_s.vhi")
     p, fl, ce = F.col("_pos"), F.floor(F.col("_pos")), F.ceil(F.col("_pos"))
@@ -85,8 +95,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], col: str, probs: Sequenc
     val = F.when(ok, val).otherwise(F.raise_error(F.lit("quantile bracket missed the target rank")))
     vals = walked.select(*keys, "_qi", val.alias("_v"))
     wide = vals.groupBy(*keys).pivot("_qi", list(range(m))).agg(F.first("_v"))
-    wide = wide.select(*keys, *[F.col(f"`{i}`").alias(n) for i, n in enumerate(names)])
-    return sk.select(*keys, "_n").join(wide, keys, "left")
+    return wide.select(*keys, *[F.col(f"`{i}`").cast("double").alias(n) for i, n in enumerate(names)])
 
 
 def exact_quantiles_long(df: DataFrame, keys: Sequence[str], cols: Sequence[str], probs: Sequence[float],

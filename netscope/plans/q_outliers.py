@@ -31,7 +31,8 @@ _DIST2 = "0.0 + " + " + ".join(f"(a.z_{c} - b.z_{c}) * (a.z_{c} - b.z_{c})" for
 
 def _zexp(spark, sf):
     # read many times by the detectors below: computed once and checkpointed
-    return cut_lineage(O.zscore(exp(spark, sf), EXP_FEATURES))
+    # the stand-in is read twice by the z-score (statistics + rows): materialise it first
+    return cut_lineage(O.zscore(cut_lineage(exp(spark, sf)), EXP_FEATURES))
 
 
 @query("zscore", sql="WITH " + _ZSQL + "\nSELECT user_id, day, " + ", ".join(
