@@ -159,3 +159,21 @@ def test_model_roundtrip(spark, workdir):
     again = Mo.load_model(f"{workdir}/m").transform(df).select("id", "prediction").collect()
     first = model.transform(df).select("id", "prediction").collect()
     assert sorted(again) == sorted(first)
+
+
+def test_exact_quantiles_match_spark_percentile(spark):
+    from netscope.operators.quantiles import exact_quantiles
+    rng = np.random.default_rng(1)
+    rows = []
+    for g, n in enumerate([1, 2, 5, 300, 5000, 20000]):
+        vals = rng.integers(0, 50, n).astype(float) if g == 4 else rng.normal(0, 1, n)  # g=4: heavy ties
+        rows += [(g, float(v)) for v in vals]
+    rows += [(9, None)] * 3
+    df = spark.createDataFrame(rows, "g int, x double")
+    probs = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
+    got = {r["g"]: r for r in exact_quantiles(df, ["g"], "x", probs, accuracy=100).collect()}  # groups > 100 use brackets
+    ref = {r["g"]: r["q"] for r in
+           df.groupBy("g").agg(F.percentile("x", F.array(*[F.lit(p) for p in probs])).alias("q")).collect()}
+    for g, q in ref.items():
+        assert [got[g][f"q{i}"] for i in range(len(probs))] == (list(q) if q else [None] * len(probs))
+    assert got[9]["_n"] == 0
