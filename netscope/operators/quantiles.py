@@ -5,8 +5,8 @@ task; for a group holding a third of a very large table that histogram does
 not fit.  This operator gets the same exact, linearly interpolated result
 (numpy's default, DuckDB's ``quantile_cont``) in two passes:
 
-0. groups of at most ``accuracy`` values (their histogram is already bounded)
-   use Spark's exact ``percentile``; for the larger ones:
+0. groups of at most ``max_exact`` (1,000,000) values -- their histogram is
+   bounded by that constant -- use Spark's exact ``percentile``; for larger ones:
 1. a mergeable sketch (``percentile_approx``, rank error <= n / accuracy) gives
    per group and probability a value bracket ``[lo, hi]`` around the target rank;
 2. one scan counts the rows below ``lo`` exactly (algebraic, partially
@@ -24,27 +24,36 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from netscope.session import cut_lineage
+
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], col: str, probs: Sequence[float],
-                    names: Sequence[str] | None = None, accuracy: int = 10000) -> DataFrame:
+                    names: Sequence[str] | None = None, accuracy: int = 100_000,
+                    max_exact: int = 1_000_000) -> DataFrame:
     """One row per group: ``keys..., _n, <name_i>`` with the exact interpolated quantile
     ``probs[i]`` of ``col`` (NULL for groups without values).
 
-    Groups of at most ``accuracy`` values use Spark's exact ``percentile`` (their
-    value histogram is bounded by ``accuracy``); larger groups -- at most
-    rows / accuracy of them -- use the sketch bracket described above."""
+    Groups of at most ``max_exact`` values use Spark's exact ``percentile`` (their
+    value histogram is bounded by that constant); larger groups -- at most
+    rows / max_exact of them -- use the sketch bracket described above, whose
+    window holds about ``6 n / accuracy`` distinct values."""
     keys = list(keys)
+    if max_exact < accuracy:
+        raise ValueError("max_exact must be >= accuracy (the bracket needs n > accuracy)")
     if not keys:  # one global group
-        return exact_quantiles(df.withColumn("_g", F.lit(0)), ["_g"], col, probs, names, accuracy).drop("_g")
+        return exact_quantiles(df.withColumn("_g", F.lit(0)), ["_g"], col, probs, names, accuracy,
+                               max_exact).drop("_g")
     probs = [float(q) for q in probs]
     names = list(names) if names else [f"q{i}" for i in range(len(probs))]
     m = len(probs)
-    base = df.select(*keys, F.col(col).cast("double").alias("_x"))
+    # the (keys, value) projection is read by several branches below: materialise it
+    # once in the shared checkpoint folder instead of recomputing the input plan
+    base = cut_lineage(df.select(*keys, F.col(col).cast("double").alias("_x")))
     cnt = base.groupBy(*keys).agg(F.count("_x").alias("_n"))
-    small = base.join(cnt.where(F.col("_n") <= accuracy).select(*keys), keys, "left_semi")
+    small = base.join(cnt.where(F.col("_n") <= max_exact).select(*keys), keys, "left_semi")
     small_q = small.groupBy(*keys).agg(F.percentile("_x", F.array(*[F.lit(p) for p in probs])).alias("_q")).select(
         *keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    big = base.join(cnt.where(F.col("_n") > accuracy), keys)
+    big = base.join(cnt.where(F.col("_n") > max_exact), keys)
     big_q = _bracket_quantiles(big, keys, probs, names, accuracy)
     return cnt.join(small_q.unionByName(big_q), keys, "left")
 
@@ -99,7 +108,8 @@ def _bracket_quantiles(j: DataFrame, keys: list[str], probs: list[float], names:
 
 
 def exact_quantiles_long(df: DataFrame, keys: Sequence[str], cols: Sequence[str], probs: Sequence[float],
-                         names: Sequence[str] | None = None, accuracy: int = 10000) -> DataFrame:
+                         names: Sequence[str] | None = None, accuracy: int = 100_000,
+                         max_exact: int = 1_000_000) -> DataFrame:
     """Several columns at once: the columns are stacked into (``column``, value) and
     ``column`` joins the group keys, so one sketch pass and one bracket pass serve
     them all.  Rows: ``keys..., column, _n, <names>``."""
@@ -107,11 +117,11 @@ def exact_quantiles_long(df: DataFrame, keys: Sequence[str], cols: Sequence[str]
     stacked = df.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_v")) for c in cols])).alias("_s"))
     stacked = stacked.select(*keys, "_s.column", "_s._v")
-    return exact_quantiles(stacked, [*keys, "column"], "_v", probs, names, accuracy)
+    return exact_quantiles(stacked, [*keys, "column"], "_v", probs, names, accuracy, max_exact)
 
 
 def quantile_columns(df: DataFrame, keys: Sequence[str], col: str, probs: Sequence[float],
-                     names: Sequence[str], method: str = "bounded", accuracy: int = 10000) -> DataFrame:
+                     names: Sequence[str], method: str = "bounded", accuracy: int = 100_000) -> DataFrame:
     """Per group quantiles by method: ``bounded`` (exact, bounded memory, default),
     ``spark`` (exact single-pass ``percentile``: one group histogram per task) or
     ``approx`` (sketch only).  Rows: ``keys..., <names>``."""

@@ -171,7 +171,7 @@ def test_exact_quantiles_match_spark_percentile(spark):
     rows += [(9, None)] * 3
     df = spark.createDataFrame(rows, "g int, x double")
     probs = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
-    got = {r["g"]: r for r in exact_quantiles(df, ["g"], "x", probs, accuracy=100).collect()}  # groups > 100 use brackets
+    got = {r["g"]: r for r in exact_quantiles(df, ["g"], "x", probs, accuracy=100, max_exact=100).collect()}  # > 100: brackets
     ref = {r["g"]: r["q"] for r in
            df.groupBy("g").agg(F.percentile("x", F.array(*[F.lit(p) for p in probs])).alias("q")).collect()}
     for g, q in ref.items():
