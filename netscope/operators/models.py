@@ -143,7 +143,9 @@ def classification_task(df: DataFrame, label: str, num: Sequence[str], cat: Sequ
     labels = fitted.stages[0].labels
     lab_map = F.create_map(*[x for i, v in enumerate(labels) for x in (F.lit(float(i)), F.lit(v))])
     pred = pred.withColumn("predicted", lab_map[F.col("prediction")])
-    return fitted, pred, classification_report(pred, label, "predicted")
+    # the report reads the predictions in several branches: score the test split once
+    scored = cut_lineage(pred.select(label, "predicted"))
+    return fitted, pred, classification_report(scored, label, "predicted")
 
 
 def feature_importance(model: PipelineModel, num: Sequence[str], cat: Sequence[str], spark, k: int = 10) -> DataFrame:
