@@ -7,18 +7,14 @@ Every query reads the driver tables (directly or through the stand-in views in
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netscope.functions import exprs as X
 from netscope.functions.labels import performance_class, slo_tier
 from netscope.operators import labels as L
 from netscope.operators import profile as P
-from netscope.plans.registry import ORACLES, QUERIES, query  # noqa: F401
-from netscope.plans.standins import (EXP_FEATURES, SHIP_DIMS, SHIP_NUMERIC, exp, series, ship,
-                                     table, with_views)
+from netscope.plans.registry import ORACLES, query
+from netscope.plans.standins import SHIP_DIMS, SHIP_NUMERIC, exp, series, ship, table
 
 # ---------------------------------------------------------------- shared SQL fragments
 
