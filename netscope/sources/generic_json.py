@@ -98,8 +98,13 @@ def long_form(records: DataFrame) -> DataFrame:
     return scalars.unionByName(means).unionByName(counts).unionByName(subs)
 
 
-def flatten_records(records: DataFrame, root: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Wide table: path metadata + flattened record columns (record keys win)."""
+def flatten_records(records: DataFrame, root: str, columns: Sequence[str] | None = None,
+                    merge: bool = True) -> DataFrame:
+    """Wide table: path metadata + flattened record columns.
+
+    With ``merge`` a record key overwrites the path value of the same name row by
+    row (so ``protocol`` mixes ``TCP_Throughput`` with ``tcp``, as in the
+    reference); without it the path values keep their own ``path_<name>`` columns."""
     long = long_form(records)
     if columns is None:  # the distinct column names: a small, bounded set
         columns = sorted(r[0] for r in long.select("column").distinct().collect())
@@ -107,6 +112,9 @@ def flatten_records(records: DataFrame, root: str, columns: Sequence[str] | None
     md = path_metadata(F.col("path"), root)
     meta = records.select("rec_id", *[v.alias(f"_m_{k}") for k, v in md.items()])
     j = meta.join(wide, "rec_id", "left")
+    if not merge:
+        return j.select("rec_id", *[F.col(f"_m_{k}").alias(f"path_{k}") for k in md],
+                        *[F.col(f"`{c}`") for c in columns])
     # a record's own key overwrites the path value of the same name, row by row
     out = [F.coalesce(F.col(k), F.col(f"_m_{k}").cast("string")).alias(k) if k in columns
            else F.col(f"_m_{k}").alias(k) for k in md]

@@ -155,3 +155,19 @@ def test_generic_flatten_and_path_metadata(spark, workdir):
     hp = wide["HPING_S"]
     assert hp["provider"] == "Azure" and hp["vm_size"] == "Medium" and hp["protocol"] == "TCP_Throughput"
     assert len(wide) == 3
+
+
+def test_generic_flatten_without_merge_and_prepare(spark, workdir):
+    from netscope.operators.clean import prepare
+    from netscope.sources.generic_json import flatten_records, read_records
+    root = os.path.join(workdir, "PD")
+    _w(root, "AWS/m3.xlarge_tput_udp/US-EU/1426345644.json", json.dumps(
+        [{"protocol": "tcp", "Exp Name": "a", "duration": "120"}, {"protocol": "tcp", "Exp Name": "a", "duration": "120"},
+         {"protocol": "udp", "Exp Name": "b"}]))
+    wide = flatten_records(read_records(spark, root), root, merge=False)
+    rows = wide.collect()
+    assert {r["path_protocol"] for r in rows} == {"UDP_Throughput"} and {r["protocol"] for r in rows} == {"tcp", "udp"}
+    typed = wide.drop("rec_id").withColumn("duration", F.col("duration").try_cast("double"))
+    prep = prepare(typed).collect()  # names normalised, duplicates dropped, median / Unknown fills
+    assert len(prep) == 2 and {r["exp_name"] for r in prep} == {"a", "b"}
+    assert all(r["duration"] == 120.0 for r in prep)
