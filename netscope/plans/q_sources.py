@@ -92,3 +92,25 @@ def q_summary_check(spark, sf):
     out = compare_summaries(exp, pts, "exp_name")
     return out.select("n_experiments", "n_count_mismatch",
                       *[F.round(F.col(f"max_diff_{s}"), 6).alias(f"max_diff_{s}") for s in _STATS])
+
+
+_GENERIC_COLS = ["exp_name", "proto", "start", "duration", "camp_region_snd", "camp_region_rcv", "camp_size_snd",
+                 "info_snd_tool", "info_snd_target_bwd", "info_rcv_tool"]
+
+
+@query("generic_flatten", sql=f"""WITH {POINTS_SQL},
+r2 AS (SELECT provider, 'u' || user_id || '-' || event_type || '-' || blk AS exp_name,
+              CASE WHEN event_type IN ('click', 'view', 'purchase') THEN 'tcp' ELSE 'udp' END AS proto,
+              CAST(MIN(sec) AS VARCHAR) AS start, CAST(MAX(sec) - MIN(sec) AS VARCHAR) AS duration,
+              'user-' || user_id AS camp_region_snd, event_type AS camp_region_rcv, 'm3.xlarge' AS camp_size_snd,
+              'NUTTCP_S' AS info_snd_tool, CAST(COUNT(*) * 1000 AS VARCHAR) AS info_snd_target_bwd,
+              'NUTTCP_R' AS info_rcv_tool
+       FROM pts GROUP BY provider, user_id, event_type, blk)
+SELECT {", ".join(_GENERIC_COLS)} FROM r2""")
+def q_generic_flatten(spark, sf):
+    """S3 + P13: schema-free JSON records flattened one level (scalars, object members;
+    the nested ``results`` level is dropped), over JSON derived from ``events``."""
+    from netscope.sources.generic_json import flatten_records, read_records
+    root = write_raw_json(spark, sf)
+    wide = flatten_records(read_records(spark, root, "*.json", whole_file=False), root)
+    return wide.select(*_GENERIC_COLS)

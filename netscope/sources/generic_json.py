@@ -59,16 +59,22 @@ def path_metadata(path_col, root: str) -> dict:
     }
 
 
-def read_records(spark: SparkSession, root: str, glob: str = "*.json") -> DataFrame:
-    """S3: (path, rec_id, rec VARIANT) for every object record under ``root``."""
+def read_records(spark: SparkSession, root: str, glob: str = "*.json", whole_file: bool = True) -> DataFrame:
+    """S3: (path, rec_id, rec VARIANT) for every object record under ``root``.
+
+    ``whole_file`` parses each file as one document (object or array); otherwise
+    every line is a document (JSON Lines)."""
     txt = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
-           .text(root, wholetext=True))
-    docs = txt.select(F.col("_metadata.file_path").alias("path"), F.try_parse_json("value").alias("doc"))
+           .text(root, wholetext=whole_file))
+    # document id: file splits are deterministic, so the id is stable when a lost
+    # partition is recomputed
+    docs = txt.select(F.col("_metadata.file_path").alias("path"), F.try_parse_json("value").alias("doc"),
+                      F.monotonically_increasing_id().alias("_doc"))
     arr = F.try_variant_get("doc", "$", "array<variant>")
     recs = docs.where(F.col("doc").isNotNull()).select(
-        "path", F.posexplode(F.when(arr.isNotNull(), arr).otherwise(F.array(F.col("doc")))).alias("pos", "rec"))
+        "path", "_doc", F.posexplode(F.when(arr.isNotNull(), arr).otherwise(F.array(F.col("doc")))).alias("pos", "rec"))
     recs = recs.where(F.try_variant_get("rec", "$", "map<string,variant>").isNotNull())
-    return recs.select("path", F.xxhash64("path", "pos").alias("rec_id"), "rec")
+    return recs.select("path", F.xxhash64("_doc", "pos").alias("rec_id"), "rec")
 
 
 def long_form(records: DataFrame) -> DataFrame:
