@@ -54,6 +54,11 @@ def build_session(master: str | None = None, app: str = "netscope",
 
 
 def apply_runtime_conf(spark: SparkSession) -> SparkSession:
+    # Python workers import the package from where the driver found it (same path or an installed copy).
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH"), root) if x)
     for k, v in RUNTIME_CONF.items():
         try:
             spark.conf.set(k, v)
