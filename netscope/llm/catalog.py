@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from netscope.llm import byte_bpe, packing, quality_rules
+from netscope.llm import byte_bpe, language_id, packing, quality_rules
 
-MODULES = (quality_rules, packing, byte_bpe)
+MODULES = (quality_rules, packing, language_id, byte_bpe)
 QUERIES = {m.NAME: m.query for m in MODULES}
 ORACLES = {m.NAME: m.ORACLE for m in MODULES if getattr(m, "ORACLE", None)}
