@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from netscope.llm import byte_bpe, language_id, minhash_links, packing, quality_rules
+from netscope.llm import byte_bpe, language_id, lattice_lm, minhash_links, packing, quality_rules
 
-MODULES = (quality_rules, packing, language_id, byte_bpe, minhash_links)
+MODULES = (quality_rules, packing, language_id, lattice_lm, byte_bpe, minhash_links)
 QUERIES = {m.NAME: m.query for m in MODULES}
 ORACLES = {m.NAME: m.ORACLE for m in MODULES if getattr(m, "ORACLE", None)}
