@@ -25,11 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netscope.llm.common import lists, table, text_groups
+from netscope.llm.common import Recent, lists, table, text_groups
 
 NAME = "op8_byte_bpe"
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-CACHE = 600_000
 
 # White space of the pattern's \s, and its contractions.
 SPACES = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -201,25 +200,11 @@ def merge(piece: bytes, rank: dict[bytes, int]) -> list[int]:
     return out
 
 
-class _Cache(dict):
-    """Slice -> its ids as little-endian bytes; merged on first sight, emptied when full."""
-
-    def __init__(self, path: str):
-        super().__init__()
-        self.rank = ranks(path)
-
-    def __missing__(self, piece: str) -> bytes:
-        out = np.array(merge(piece.encode(), self.rank), "<u4").tobytes()
-        if len(self) >= CACHE:
-            self.clear()
-        if len(piece) <= 64:
-            self[piece] = out
-        return out
-
-
 @functools.cache
-def _cache(path: str) -> _Cache:
-    return _Cache(path)
+def _cache(path: str) -> Recent:
+    """Slice -> its ids as little-endian bytes, merged on first sight."""
+    rank = ranks(path)
+    return Recent(lambda piece: np.array(merge(piece.encode(), rank), "<u4").tobytes())
 
 
 def encode_batch(texts: Sequence[str | None], path: str) -> tuple[np.ndarray, np.ndarray]:

@@ -60,3 +60,23 @@ def text_groups(texts: Sequence[str | None], chars: int = 2_000_000) -> Iterator
 def lists(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     """Arrow lists that take ``values[offsets[i]:offsets[i + 1]]``."""
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))
+
+
+class Recent(dict):
+    """``compute(key)``, remembered for the keys seen last: between ``size`` and twice as many."""
+
+    def __init__(self, compute, size: int = 500_000, longest: int = 64):
+        super().__init__()
+        self.compute, self.size, self.longest, self.before = compute, size, longest, {}
+
+    def __missing__(self, key):
+        out = self.before.get(key)
+        if out is None:
+            out = self.compute(key)
+            if len(key) > self.longest:
+                return out
+        if len(self) >= self.size:
+            self.before = dict(self)
+            self.clear()
+        self[key] = out
+        return out

@@ -20,15 +20,15 @@ from __future__ import annotations
 import bisect
 import functools
 import zlib
+from array import array
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netscope.llm.common import table
+from netscope.llm.common import Recent, table
 
 NAME = "op3_packing"
 VOCABULARY = "word_bpe_49k.json"
@@ -36,57 +36,58 @@ TIERS = (2048, 1024, 512, 256)
 END_ID = 1
 BLOCK_TOKENS = 2_000_000
 STEP_TOKENS = 16_384
-CACHE = 600_000
 
 SCHEMA = ("start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
           "offset bigint, tier int, step_id bigint")
 
 
-class _Words(dict):
+def _byte_letters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: printable Latin-1 bytes
+    stand for themselves, the others are numbered from 256."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    rest = iter(range(256, 512))
+    return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
+
+
+class _Chunks:
     """White-space separated chunk -> its ids as little-endian bytes.
 
     The tokenizer never joins across white space, and keeps letters apart from the punctuation behind
-    them, so a chunk like ``Word,`` is looked up as ``word`` and ``,``.
+    them, so a chunk like ``Word,`` is looked up as ``word`` and ``,``.  A word of plain letters is one
+    pre-token, which goes straight to the tokenizer's BPE model.
     """
 
     def __init__(self, path: str):
-        super().__init__()
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
+        self.ids = Recent(self._chunk)
 
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def __missing__(self, chunk: bytes) -> bytes:
+    def _chunk(self, chunk: bytes) -> bytes:
         text = chunk.decode()
         core = text.rstrip(".,")
-        if core and max(core) < "ɐ" and core.isalpha() and core.lower().isalpha():
-            low = core.lower().encode()
-            if low != chunk:
-                out = self[low] + (self[text[len(core):].encode()] if len(core) < len(text) else b"")
-            else:
-                out = self._ids(text)
-        else:
-            out = self._ids(text)
-        if len(self) >= CACHE:
-            self.clear()
-        if len(chunk) <= 64:
-            self[chunk] = out
-        return out
+        if core and max(core) < "ɐ" and core.isalpha():
+            low = core.lower()
+            if low.isalpha():
+                if low != text:
+                    return self.ids[low.encode()] + (self.ids[text[len(core):].encode()] if len(core) < len(text) else b"")
+                word = low if low.isascii() else "".join([self.letters[b] for b in chunk])
+                return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 
 @functools.cache
-def _words(path: str) -> _Words:
-    return _Words(path)
+def _chunks(path: str) -> _Chunks:
+    return _Chunks(path)
 
 
 def token_ids(text: str | None, path: str) -> bytes:
     """The text's ids and the end token, as little-endian unsigned 32-bit numbers."""
-    end = np.array([END_ID], "<u4").tobytes()
+    end = END_ID.to_bytes(4, "little")
     if not text:
         return end
-    words = _words(path)
-    return b"".join([words[c] for c in text.encode().split()]) + end
+    ids = _chunks(path).ids
+    return b"".join([ids[c] for c in text.encode().split()]) + end
 
 
 Piece = tuple[int, int, int]  # document, start, length
