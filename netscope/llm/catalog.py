@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from netscope.llm import byte_bpe, language_id, lattice_lm, minhash_links, packing, quality_rules, site_templates
+from netscope.llm import byte_bpe, itq_neighbors, language_id, lattice_lm, minhash_links, packing, quality_rules, site_templates
 
-MODULES = (quality_rules, packing, language_id, lattice_lm, byte_bpe, minhash_links, site_templates)
+MODULES = (quality_rules, packing, language_id, lattice_lm, byte_bpe, itq_neighbors, minhash_links, site_templates)
 QUERIES = {m.NAME: m.query for m in MODULES}
 ORACLES = {m.NAME: m.ORACLE for m in MODULES if getattr(m, "ORACLE", None)}
