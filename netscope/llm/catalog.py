@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from netscope.llm import (byte_bpe, itq_neighbors, language_id, lattice_lm, minhash_links, packing,
-                          quality_rules, site_quality, site_templates)
+                          quality_rules, recompression, site_quality, site_templates)
 
-MODULES = (site_quality, packing, language_id, lattice_lm, quality_rules, site_templates, byte_bpe,
+MODULES = (recompression, site_quality, packing, language_id, lattice_lm, quality_rules, site_templates, byte_bpe,
            itq_neighbors, minhash_links)
 QUERIES = {m.NAME: m.query for m in MODULES}
 ORACLES = {m.NAME: m.ORACLE for m in MODULES if getattr(m, "ORACLE", None)}
