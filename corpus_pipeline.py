@@ -1,5 +1,78 @@
-"""Training-data pipeline over ``documents``."""
+"""Training-data pipeline over ``documents``: rules, classifier, near-dedup, substring dedup, packing.
+
+Every stage takes what its predecessor kept, whole, and all but the last return the columns of
+``documents``.  Stages are joined by Parquet tables in the shared folder, so a lost executor or a failed
+stage repeats one stage's work at most.
+
+Documents with a null ``doc_id`` pass the dedup stages untouched; repeated rows (same ``doc_id`` and
+text) become one in the near-dedup stage; null texts are rejected by the first stage; empty tables give
+empty results; further columns pass through.  No part of the result can be told in SQL (the packing is by
+a tokenizer), so ``ORACLE_SQL`` is None and the tests compare the stages with brute force.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from netscope.llm import minhash_links, packing, quality_rules, recompression, site_quality
+from netscope.llm.common import table
+from netscope.session import unique_subdir
+
 ORACLE_SQL = None
-STAGES = []
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def _whole(docs: DataFrame) -> DataFrame:
+    """The documents as one column, so that no column of theirs clashes with a computed one."""
+    return docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col("text"))
+
+
+def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no quality rule rejects."""
+    return quality_rules.apply_rules(_whole(docs)).filter("rejected_by is null").select("row.*")
+
+
+def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are probably neither of low quality nor toxic."""
+    judged = site_quality.classify(docs, table(spark, sf_dir, "labels"))
+    return judged.filter(site_quality.accepted(judged)).select("row.*")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the smallest ``doc_id``, of each group of near copies."""
+    again = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
+    if not again.isEmpty():
+        whole = docs.filter("doc_id is not null").dropDuplicates(["doc_id", "text"])
+        docs = whole.unionByName(docs.filter("doc_id is null"))
+    copies = minhash_links.classes(docs).filter("not kept").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that also start earlier; those with nothing left go."""
+    done = recompression.dedup(docs).filter("n_removed = 0 or n_removed < n_words")
+    changed = F.col("n_removed") > 0
+    new = {"text": F.col("kept"), "n_chars": F.when(changed, F.length("kept")).otherwise(F.col("row.n_chars"))
+           if "n_chars" in docs.columns else None}
+    return done.select(*[(new[c] if c in new else F.col(f"row.`{c}`")).cast(docs.schema[c].dataType).alias(c)
+                         for c in docs.columns])
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of training sequences."""
+    import public_tokenizers
+    return packing.pack(docs, public_tokenizers.path(packing.VOCABULARY))
+
+
+STAGES = [("quality_rules", rules), ("quality_classifier", classifier), ("near_dedup", near_dedup),
+          ("substring_dedup", substring_dedup), ("packing", sequences)]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each read from its predecessor's table."""
+    at = unique_subdir(spark, "pipeline")
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(f"{at}/{name}")
+        docs = spark.read.parquet(f"{at}/{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
