@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 # Fixed values (must equal the reference's rules).
 # SLO tier defaults: delay threshold 150 ms, throughput 100 Mbps, loss 1 %.
-SLO_DEFAULTS = {"dl_ms": 150.0, "tp_mbps": 100.0, "loss_pct": 1.0}
+SLO_LIMITS = {"delay_limit": 150.0, "tput_limit": 100.0, "loss_limit": 1.0}
+# Tier -> share of each limit that must be met; the best tier must stay below its delay share.
+SLO_TIERS = {3: (0.5, 1.5, 0.25), 2: (1.0, 1.0, 1.0), 1: (1.5, 0.5, 2.0)}
 # Performance-class score thresholds.
 DELAY_STEPS = (100.0, 200.0, 300.0)          # delay < 100 -> 4, < 200 -> 3, < 300 -> 2
 BANDWIDTH_STEPS = (1.5e9, 1e9, 5e8)          # target_bwd > 1.5e9 -> 4, > 1e9 -> 3, > 5e8 -> 2
@@ -20,15 +22,22 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def slo_tier(delay, tput, loss, dl_ms: float = 150.0, tp_mbps: float = 100.0,
-             loss_pct: float = 1.0) -> Column:
-    """3 / 2 / 1 / 0 tier; NULL when any KPI is missing."""
-    dl, tp, ls = _c(delay), _c(tput), _c(loss)
-    tier = (F.when((dl < 0.5 * dl_ms) & (tp >= 1.5 * tp_mbps) & (ls <= 0.25 * loss_pct), 3)
-            .when((dl <= dl_ms) & (tp >= tp_mbps) & (ls <= loss_pct), 2)
-            .when((dl <= 1.5 * dl_ms) & (tp >= 0.5 * tp_mbps) & (ls <= 2.0 * loss_pct), 1)
-            .otherwise(0))
-    return F.when(dl.isNull() | tp.isNull() | ls.isNull(), F.lit(None).cast("int")).otherwise(tier).cast("int")
+def slo_tier(delay, tput, loss, delay_limit: float = 150.0, tput_limit: float = 100.0,
+             loss_limit: float = 1.0, tiers=None) -> Column:
+    """Highest tier whose shares of the limits hold, 0 if none does; NULL when any KPI is missing.
+
+    ``tiers`` maps a tier to its (delay, throughput, loss) shares of the limits.
+    """
+    tiers = tiers or SLO_TIERS
+    kpis = [_c(delay), _c(tput), _c(loss)]
+    held = []
+    for tier, (d, t, p) in tiers.items():
+        ceiling = F.lit(d * delay_limit)
+        in_time = kpis[0] < ceiling if tier == max(tiers) else kpis[0] <= ceiling
+        held.append(F.when(in_time & (kpis[1] >= t * tput_limit) & (kpis[2] <= p * loss_limit), F.lit(tier)))
+    best = F.greatest(*held, F.lit(0)) if held else F.lit(0)
+    known = kpis[0].isNotNull() & kpis[1].isNotNull() & kpis[2].isNotNull()
+    return F.when(known, best).cast("int")
 
 
 def _score_lt(x: Column, steps) -> Column:

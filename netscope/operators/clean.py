@@ -24,37 +24,42 @@ KPI_ALIASES = {
 START_CANDIDATES = ["start", "start_ts", "info_snd.start_time", "start_time"]
 
 
-def _present(df: DataFrame, name: str) -> bool:
-    try:
-        df.select(F.col(f"`{name}`") if "." in name and name in df.columns else F.col(name))
-        return True
-    except Exception:
-        return False
-
-
-def _ref(df: DataFrame, name: str):
-    return F.col(f"`{name}`") if name in df.columns else F.col(name)
+def column_paths(df: DataFrame) -> dict[str, tuple]:
+    """Name -> (column, type) of every top-level column and struct field; a top-level column whose own
+    name has dots goes before a field of that path."""
+    out: dict[str, tuple] = {}
+
+    def walk(fields, prefix: str, base) -> None:
+        for f in fields:
+            name, col = prefix + f.name, (base.getField(f.name) if base is not None else F.col(f"`{f.name}`"))
+            out.setdefault(name, (col, f.dataType))
+            if isinstance(f.dataType, T.StructType):
+                nested.append((f.dataType.fields, name + ".", col))
+
+    nested = [(df.schema.fields, "", None)]
+    while nested:
+        walk(*nested.pop(0))
+    return out
 
 
 def basic_clean(df: DataFrame) -> DataFrame:
     """Canonical KPI columns (plan-time alias choice), numeric coercion,
-    lower-case protocol, start timestamp with hour and Monday=0 weekday."""
-    out = df
-    for canon, aliases in KPI_ALIASES.items():
-        for a in aliases:
-            if _present(out, a):
-                out = out.withColumn(canon, finite_or_null(safe_double(_ref(out, a))))
-                break
-    if "proto" in out.columns:
-        out = out.withColumn("proto", F.lower("proto"))
-    for cand in START_CANDIDATES:
-        if _present(out, cand):
-            c = _ref(out, cand)
-            ts = c if isinstance(out.select(c).schema[0].dataType, (T.TimestampType, T.TimestampNTZType)) else epoch_to_ts(c)
-            parts = calendar_parts(ts)
-            out = out.withColumn("start_ts", ts).withColumn("hour", parts["hour"]).withColumn("dow", parts["dow"])
-            break
-    return out
+    lower-case protocol, start timestamp with hour and Monday=0 weekday.
+
+    The schema alone decides, so the result is one projection over ``df``.
+    """
+    known = column_paths(df)
+    pick = lambda names: next((known[n] for n in names if n in known), None)
+    new = {kpi: finite_or_null(safe_double(found[0])) for kpi, names in KPI_ALIASES.items()
+           if (found := pick(names)) is not None}
+    if "proto" in df.columns:
+        new["proto"] = F.lower(known["proto"][0])
+    if (start := pick(START_CANDIDATES)) is not None:
+        col, kind = start
+        ts = col if isinstance(kind, (T.TimestampType, T.TimestampNTZType)) else epoch_to_ts(col)
+        parts = calendar_parts(ts)
+        new |= {"start_ts": ts, "hour": parts["hour"], "dow": parts["dow"]}
+    return df.withColumns(new) if new else df
 
 
 def target_filter(df: DataFrame, target: str) -> DataFrame:

@@ -39,11 +39,11 @@ def with_class_weights(df: DataFrame, label: str, weight_col: str = "weight") ->
     return df.join(w, label, "left")
 
 
-def slo_by_region_pair(df: DataFrame, dl_ms: float = 150.0, tp_mbps: float = 100.0,
-                       loss_pct: float = 1.0, decimals: int = 6) -> DataFrame:
+def slo_by_region_pair(df: DataFrame, delay_limit: float = 150.0, tput_limit: float = 100.0,
+                       loss_limit: float = 1.0, decimals: int = 6) -> DataFrame:
     """I4: per region pair, experiments, labelled ones, mean tier and SLA compliance (tier >= 2)."""
     t = df.select(region_pair("region_snd", "region_rcv").alias("region_pair"),
-                  slo_tier("delay_mean", "tput_mean", "loss_mean", dl_ms, tp_mbps, loss_pct).alias("tier"))
+                  slo_tier("delay_mean", "tput_mean", "loss_mean", delay_limit, tput_limit, loss_limit).alias("tier"))
     return t.groupBy("region_pair").agg(
         F.count(F.lit(1)).alias("n"),
         F.count("tier").alias("n_labelled"),

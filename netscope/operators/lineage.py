@@ -3,22 +3,27 @@
 from __future__ import annotations
 
 import hashlib
-import json
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def schema_hash(df: DataFrame) -> str:
-    spec = json.dumps({"cols": df.columns, "dtypes": {f.name: f.dataType.simpleString() for f in df.schema.fields}},
-                      sort_keys=True).encode()
-    return hashlib.sha256(spec).hexdigest()
+    """Hash of the schema as Spark writes it (names, types, nullability, order)."""
+    return hashlib.sha256(df.schema.json().encode()).hexdigest()
+
+
+def row_digest(df: DataFrame):
+    """md5 of a row's canonical text: every value by its length, so that neither a moved NULL nor a
+    shifted boundary between columns leaves it unchanged."""
+    texts = [F.col(f"`{c}`").cast("string") for c in df.columns]
+    return F.md5(F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]))
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """Order-free fingerprint over ALL rows: sum and xor-free combination of per-row
-    64-bit hashes (as an exact decimal sum), row count, and the schema hash."""
-    h = F.xxhash64(*[F.col(c) for c in df.columns]).cast("decimal(38,0)")
+    """Order-free fingerprint over all rows: row count and the exact sum of 60-bit row digests, which
+    partial aggregation combines.  The schema's hash goes with it in ``schema_hash``."""
+    h = F.conv(F.substring(row_digest(df), 1, 15), 16, 10).cast("decimal(38,0)")
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(h).cast("string").alias("content_hash")).select(
         "n_rows", "content_hash", F.lit(schema_hash(df)).alias("schema_hash"))
 

@@ -298,4 +298,4 @@ def first_nonconstant(df: DataFrame, candidates: Sequence[str]) -> str:
     for c in candidates:
         if flags.get(c):
             return c
-    raise ValueError(f"No non-constant target among: {list(candidates)}")
+    raise ValueError(f"every candidate is constant or empty: {', '.join(candidates)}")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -10,10 +10,19 @@ def _h(key: str, seed: int):
     return F.xxhash64(F.col(key), F.lit(seed))
 
 
-def sample_exact(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
-    """Exactly ``n`` rows when more exist (all rows otherwise): the ``n``
-    smallest seeded hashes, ties by key.  Planned as a top-k (partial per task)."""
-    return df.orderBy(_h(key, seed), F.col(key)).limit(n)
+def digest(key: str, seed: int):
+    """Seeded md5 of the key's text: an order that any engine can reproduce."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+
+
+def sample_exact(df: DataFrame, n: int, key: str | None = None, seed: int = 42) -> DataFrame:
+    """Exactly ``n`` rows when more exist (all rows otherwise): the ``n`` smallest seeded digests of
+    the key, ties by key.  Without ``key`` the whole row decides.  Planned as a top-k (partial per task)."""
+    if key is not None:
+        return df.orderBy(digest(key, seed), F.col(key)).limit(n)
+    from netscope.operators.lineage import row_digest
+    by = F.md5(F.concat(F.lit(f"{seed}:"), row_digest(df)))
+    return df.withColumn("_by", by).orderBy("_by").limit(n).drop("_by")
 
 
 def hash_split(df: DataFrame, key: str, train_pct: int = 80, seed: int = 42) -> DataFrame:
@@ -21,8 +30,22 @@ def hash_split(df: DataFrame, key: str, train_pct: int = 80, seed: int = 42) ->
     return df.withColumn("split", F.when(F.pmod(_h(key, seed), F.lit(100)) < train_pct, "train").otherwise("test"))
 
 
-def stratified_split(df: DataFrame, key: str, label: str, train_pct: int = 80, seed: int = 42) -> DataFrame:
-    """Per-label split by a seeded hash of (label, key): every class gets
-    ``train_pct`` % of its rows in expectation, without ranking a class in one task."""
-    b = F.pmod(F.xxhash64(F.col(label), F.col(key), F.lit(seed)), F.lit(100))
-    return df.withColumn("split", F.when(b < train_pct, "train").otherwise("test"))
+def stratified_split(df: DataFrame, key: str, label: str, train_pct: int = 80, seed: int = 42,
+                     buckets: int = 4096) -> DataFrame:
+    """``train_pct`` % of every class, and at least one row on each side of a class of two or more.
+
+    Rows of a class are ordered by a seeded digest.  Classes are cut into ``buckets`` digest ranges whose
+    counts give each range its offset, so a class is never ranked in one task.
+    """
+    d = df.withColumn("_by", digest(key, seed)).withColumn(
+        "_range", F.pmod(F.conv(F.substring("_by", 1, 8), 16, 10).cast("long") * buckets / 2 ** 32, F.lit(buckets)).cast("int"))
+    counts = d.groupBy(label, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(label).orderBy("_range")
+    counts = counts.withColumn("_off", F.sum("_n").over(before) - F.col("_n")).withColumn(
+        "_all", F.sum("_n").over(Window.partitionBy(label)))
+    rank = F.row_number().over(Window.partitionBy(label, "_range").orderBy("_by", key))
+    rows = d.withColumn("_rank", rank).join(counts.drop("_n"), [label, "_range"])
+    cut = F.floor(F.col("_all") * train_pct / 100.0)
+    cut = F.when(F.col("_all") >= 2, F.least(F.greatest(cut, F.lit(1)), F.col("_all") - 1)).otherwise(F.col("_all"))
+    return rows.withColumn("split", F.when(F.col("_off") + F.col("_rank") <= cut, "train").otherwise("test")).select(
+        *df.columns, "split")

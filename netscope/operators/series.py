@@ -49,25 +49,6 @@ def summary_stats(df: DataFrame, keys: Sequence[str], value: str, prefix: str =
                     *[F.col(q).alias(f"{prefix}{nm}") for q, nm in zip(["_p5", "_p25", "_p75", "_p95"], PCTL_NAMES)])
 
 
-# ---------------------------------------------------------------- I1 explode detailed maps
-
-def explode_detailed(exp: DataFrame, id_col: str = "exp_id",
-                     metrics: Sequence[str] = ("tput", "delay", "loss", "jitter")) -> DataFrame:
-    """RAW records' ``results.<m>.detailed`` maps -> SERIES rows (narrow, no shuffle)."""
-    parts = []
-    for m in metrics:
-        parts.append(
-            exp.select(F.col(id_col).alias("exp_id"), F.lit(m).alias("metric"),
-                       F.explode(F.col(f"results.{m}.detailed")).alias("k", "value"))
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("exp_id", "metric",
-                      F.timestamp_seconds(F.col("k").try_cast("bigint")).alias("ts"),
-                      F.col("value").cast("double").alias("value"))
-
-
 # ---------------------------------------------------------------- I2 align metrics per timestamp
 
 def align_metrics(series: DataFrame, metrics: Sequence[str], keys: Sequence[str] = ("exp_id", "ts")) -> DataFrame:

@@ -28,7 +28,7 @@ def tier_sql(dl="delay_mean", tp="tput_mean", ls="loss_mean", D=150.0, T=100.0,
 
 # Query parameters for the ship stand-in (its KPIs are quantities and days, so
 # thresholds are scaled to them; the library defaults are the reference's).
-SHIP_SLO = dict(dl_ms=150.0, tp_mbps=20.0, loss_pct=5.0)
+SHIP_SLO = dict(delay_limit=150.0, tput_limit=20.0, loss_limit=5.0)
 SHIP_CLASS = dict(delay_steps=(100.0, 200.0, 300.0), bandwidth_steps=(75000.0, 50000.0, 25000.0),
                   granularity_steps=(0.02, 0.04, 0.06))
 
@@ -171,9 +171,6 @@ def q_falsy_coalesce(spark, sf):
                          X.safe_bigint(F.regexp_extract("url", RX_LAST, 1)), numeric=True).alias("page_or_doc"))
 
 
-# The reference's value mappings (pass-through for other keys).
-PROTOCOL_MAPPING = {"tput_tcp": "TCP_Throughput", "tput_udp": "UDP_Throughput"}
-VM_SIZE_MAPPING = {"m3.medium": "Medium", "m3.xlarge": "XLarge", "a2.medium": "Medium", "a4.xlarge": "XLarge"}
 # Query mapping for the part stand-in (sizes of part types).
 PART_TYPE_MAPPING = {"SMALL": "Small", "MEDIUM": "Medium", "LARGE": "Large"}
 

@@ -12,7 +12,7 @@ from netscope.plans.registry import query
 from netscope.plans.standins import ship, table
 
 # second labeller for the classification checks: looser delay, stricter throughput/loss
-ALT_SLO = dict(dl_ms=200.0, tp_mbps=25.0, loss_pct=4.0)
+ALT_SLO = dict(delay_limit=200.0, tput_limit=25.0, loss_limit=4.0)
 
 
 @query("regression_metrics", sql="""
@@ -35,8 +35,8 @@ def _tiers(spark, sf):
                     slo_tier("delay_mean", "tput_mean", "loss_mean", **ALT_SLO).cast("string").alias("p"))
 
 
-_T1 = tier_sql(D=SHIP_SLO["dl_ms"], T=SHIP_SLO["tp_mbps"], Lp=SHIP_SLO["loss_pct"])
-_T2 = tier_sql(D=ALT_SLO["dl_ms"], T=ALT_SLO["tp_mbps"], Lp=ALT_SLO["loss_pct"])
+_T1 = tier_sql(D=SHIP_SLO["delay_limit"], T=SHIP_SLO["tput_limit"], Lp=SHIP_SLO["loss_limit"])
+_T2 = tier_sql(D=ALT_SLO["delay_limit"], T=ALT_SLO["tput_limit"], Lp=ALT_SLO["loss_limit"])
 _CLS = f"""t AS (SELECT CAST({_T1} AS VARCHAR) AS y, CAST({_T2} AS VARCHAR) AS p FROM ship),
 conf AS (SELECT y, p, COUNT(*) AS c FROM t GROUP BY y, p),
 tc AS (SELECT y AS cls, SUM(c) AS support FROM conf GROUP BY y),

@@ -61,18 +61,40 @@ def q_file_row_counts(spark, sf):
     return out
 
 
-@query("table_fingerprint")
+# The canonical row text of ``operators.lineage.row_digest`` over events, in SQL.
+_EVENT_TEXT = " || ".join(f"coalesce(length({t})::VARCHAR || ':' || {t}, '-')" for t in (
+    "event_id::VARCHAR", "user_id::VARCHAR", "event_type"))
+
+
+@query("table_fingerprint", sql=f"""
+SELECT COUNT(*) AS n_rows, CAST(SUM(CAST('0x' || substr(md5({_EVENT_TEXT}), 1, 15) AS BIGINT)::HUGEINT) AS VARCHAR) AS content_hash
+FROM events""")
 def q_table_fingerprint(spark, sf):
-    """Order-free content hash of a whole table + row count + schema hash."""
+    """Order-free content hash of a table + row count (its exact-text columns: engines print
+    floating-point numbers and times differently)."""
     from netscope.operators.lineage import fingerprint
-    return fingerprint(table(spark, sf, "lineitem"))
+    e = table(spark, sf, "events").select("event_id", "user_id", "event_type")
+    return fingerprint(e).select("n_rows", "content_hash")
 
 
-@query("sample_exact")
+@query("sample_exact", sql="""
+SELECT event_id, user_id, event_type, value FROM events
+ORDER BY md5('42:' || event_id::VARCHAR), event_id LIMIT 1000""")
 def q_sample_exact(spark, sf):
     """Exactly 1,000 rows (when more exist) chosen by a seeded hash of the key."""
     from netscope.operators.sampling import sample_exact
-    return sample_exact(table(spark, sf, "events"), 1000, key="event_id", seed=42)
+    e = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    return sample_exact(e, 1000, key="event_id", seed=42)
+
+
+@query("stratified_split", sql="""
+SELECT event_id, event_type, CASE WHEN row_number() OVER (PARTITION BY event_type ORDER BY md5('42:' || event_id::VARCHAR), event_id)
+  <= CASE WHEN c < 2 THEN c ELSE least(greatest(floor(c * 0.8), 1), c - 1) END THEN 'train' ELSE 'test' END AS split
+FROM (SELECT event_id, event_type, count(*) OVER (PARTITION BY event_type) AS c FROM events)""")
+def q_stratified_split(spark, sf):
+    """Exact 80/20 split within every event type."""
+    from netscope.operators.sampling import stratified_split
+    return stratified_split(table(spark, sf, "events").select("event_id", "event_type"), "event_id", "event_type")
 
 
 _STATS = ["mean", "median", "min", "max", "std", "pctl5", "pctl25", "pctl75", "pctl95"]

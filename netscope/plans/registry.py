@@ -27,11 +27,5 @@ def query(name: str, sql: str | None = None, views: tuple[str, ...] = ()):
 
 def load_all() -> tuple[dict, dict]:
     """Import every query module (registration happens on import)."""
-    from netscope.plans import catalog, q_series, q_outliers, q_metrics  # noqa: F401
-    for mod in ("q_sources", "q_models"):
-        try:
-            __import__(f"netscope.plans.{mod}")
-        except ModuleNotFoundError as e:
-            if e.name != f"netscope.plans.{mod}":
-                raise
+    from netscope.plans import catalog, q_metrics, q_models, q_outliers, q_series, q_sources  # noqa: F401
     return QUERIES, ORACLES

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 def write_dataset(df: DataFrame, out_dir: str, fmt: str = "parquet", stamp: bool = True,
                   mode: str = "errorifexists", max_records_per_file: int | None = None) -> str:
     """K1/K3: write Parquet (default) or CSV under a timestamped name; returns the path."""
-    name = f"cloud_network_performance_{time.strftime('%Y%m%d_%H%M%S')}" if stamp else "dataset"
+    name = f"netscope_{time.strftime('%Y%m%d_%H%M%S')}" if stamp else "dataset"
     path = f"{out_dir.rstrip('/')}/{name}.{fmt}"
     w = df.write.mode(mode)
     if max_records_per_file:
@@ -60,8 +60,7 @@ def clean_and_save(df: DataFrame, out_dir: str, sample_n: int = 1000, key: str |
     d = df.persist()
     try:
         out = {"parquet": write_dataset(d, out_dir, "parquet"), "csv": write_dataset(d, out_dir, "csv")}
-        k = key or d.columns[0]
-        sample_exact(d, sample_n, k, seed).write.mode("errorifexists").option("header", "true").csv(
+        sample_exact(d, sample_n, key, seed).write.mode("errorifexists").option("header", "true").csv(
             f"{out_dir.rstrip('/')}/sample.csv")
         out["sample"] = f"{out_dir.rstrip('/')}/sample.csv"
         dataset_overview(d).write.mode("errorifexists").json(f"{out_dir.rstrip('/')}/summary.json")

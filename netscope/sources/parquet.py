@@ -59,7 +59,7 @@ def _footers(batches):
                              md.created_by, str(md.schema.to_arrow_schema()), int(length),
                              round(int(length) / (1024 * 1024), 6)))
             except Exception as e:  # one bad file must not fail the job
-                rows.append((path, False, f"{type(e).__name__}: {e}"[:500], None, None, None, None, None,
+                rows.append((path, False, f"{type(e).__name__}: {e}", None, None, None, None, None,
                              int(length), round(int(length) / (1024 * 1024), 6)))
         yield pd.DataFrame(rows, columns=["path", "valid", "error", "num_rows", "num_columns", "num_row_groups",
                                           "created_by", "schema", "size_bytes", "size_mb"])
