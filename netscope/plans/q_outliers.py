@@ -151,11 +151,50 @@ def q_anomaly_group_summary(spark, sf):
     return O.group_summary(n, "dbscan_noise", GROUP_DIMS, 20)
 
 
+def _forest(spark, sf, n_trees: int = 100):
+    z = _zexp(spark, sf)
+    forest = O.fit_isolation_forest(z, ZCOLS, ["user_id", "day"], n_trees=n_trees, max_samples=256, seed=42)
+    return cut_lineage(O.score_isolation_forest(z.select("user_id", "day", *ZCOLS), forest, ZCOLS))
+
+
 @query("iforest_scores")
 def q_iforest_scores(spark, sf):
-    z = _zexp(spark, sf)
-    forest = O.fit_isolation_forest(z, ZCOLS, n_trees=100, max_samples=256, seed=42)
-    scored = O.score_isolation_forest(z.select("user_id", "day", *ZCOLS), forest, ZCOLS)
-    thr = O.contamination_threshold(scored, "iforest_score", 0.02)
+    """The 400-tree detector with its automatic cut."""
+    scored = _forest(spark, sf, 400)
     return scored.select("user_id", "day", F.round("iforest_score", 6).alias("iforest_score"),
-                         (F.col("iforest_score") > thr.scalar()).alias("iforest_flag"))
+                         (F.col("iforest_score") > 0.5).alias("iforest_flag"))
+
+
+_RATES = ", ".join(f"({c!r})" for c in O.CONTAMINATIONS)
+
+
+@query("iforest_sweep", sql=f"""
+SELECT CAST(c AS DOUBLE) AS contamination, (SELECT CAST(COUNT(*) AS BIGINT) FROM exp) AS n_rows,
+       CAST(TRUE AS BOOLEAN) AS rate_fits FROM (VALUES {_RATES}) t(c)""", views=("exp",))
+def q_iforest_sweep(spark, sf):
+    """M5: what holds for any forest: every cut flags its contamination's share of the rows, up to ties."""
+    scored = _forest(spark, sf)
+    n = scored.count()
+    r = O.contamination_rates(scored, "iforest_score").where("contamination is not null")
+    return r.select("contamination", F.lit(n).cast("long").alias("n_rows"),
+                    (F.col("n_flagged") <= F.ceil(F.col("contamination") * n)).alias("rate_fits"))
+
+
+@query("iforest_rates")
+def q_iforest_rates(spark, sf):
+    """Observed rate per contamination, the selected one marked, and the automatic cut."""
+    r = O.contamination_rates(_forest(spark, sf), "iforest_score")
+    return r.select("contamination", F.round("threshold", 6).alias("threshold"), "n_flagged",
+                    F.round("rate", 6).alias("rate"), "selected")
+
+
+@query("anomaly_forest_union")
+def q_anomaly_forest_union(spark, sf):
+    """Forest (selected contamination) or DBSCAN noise."""
+    scored = _forest(spark, sf)
+    cut = O.contamination_rates(scored, "iforest_score").where("selected").select("threshold").scalar()
+    flags = scored.select("user_id", "day", (F.col("iforest_score") > cut).alias("iforest_flag"))
+    noise = _noise(spark, sf).select("user_id", "day", "dbscan_noise")
+    both = noise.join(flags, ["user_id", "day"])
+    return O.combine_flags(both, "dbscan_noise", "iforest_flag").select(
+        "user_id", "day", "dbscan_noise", "iforest_flag", "anomaly")

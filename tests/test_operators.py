@@ -79,12 +79,32 @@ def test_isolation_forest_ranks_planted_outliers(spark):
     rng = np.random.default_rng(11)
     X = np.vstack([rng.normal(0, 1, (1000, 2)), [[8, 8], [-9, 7], [10, -10]]])
     df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(X)], "id long, a double, b double")
-    forest = O.fit_isolation_forest(df, ["a", "b"], n_trees=50, max_samples=128, seed=1, key="id")
+    forest = O.fit_isolation_forest(df, ["a", "b"], "id", n_trees=50, max_samples=128, seed=1)
     scored = O.score_isolation_forest(df, forest, ["a", "b"])
     top = [r["id"] for r in scored.orderBy(F.desc("iforest_score")).limit(3).collect()]
     assert set(top) == {1000, 1001, 1002}
-    assert O.choose_contamination([(0.005, 0.004), (0.01, 0.01), (0.02, 0.02)]) == (0.02, 0.02)
-    assert O.choose_contamination([(0.005, 0.05), (0.01, 0.006)]) == (0.01, 0.006)
+    rates = {r["contamination"]: r for r in O.contamination_rates(scored, "iforest_score").collect()}
+    assert len(rates) == 6 and [c for c, r in rates.items() if r["selected"]] == [0.03 if rates[0.03]["rate"] <= 0.03 else 0.02]
+
+
+def test_forest_samples_are_exact_and_spread(spark):
+    """90 % identical rows: every tree still draws exactly 256 rows, and not the same ones."""
+    df = spark.range(40_000).select("id", F.when(F.col("id") % 10 == 0, F.rand(1)).otherwise(0.0).alias("a"))
+    got = O.forest_samples(df, ["a"], ["id"], 40_000, 20, 256, 7).groupBy("tree").agg(
+        F.count("*").alias("n"), F.avg((F.col("a") == 0).cast("int")).alias("same")).collect()
+    assert len(got) == 20 and all(r["n"] == 256 for r in got)
+    assert all(0.8 < r["same"] < 0.98 for r in got)
+
+
+def test_forest_threshold_never_vanishes(spark):
+    """At 1e12 rows the share is 7.7e-8: the threshold at full hash width still lets that share through."""
+    share = 3 * 256 * 100 / 1e12
+    df = spark.range(1).select(O._below(F.lit(-2 ** 63), share).alias("lowest"), O._below(F.lit(0), share).alias("middle"))
+    assert df.first().asDict() == {"lowest": True, "middle": False}
+    n = spark.range(2_000_000).where(O._below(F.xxhash64("id"), 0.001)).count()
+    assert 1700 < n < 2300
+    with pytest.raises(ValueError):
+        O.fit_isolation_forest(spark.range(0).withColumn("a", F.lit(1.0)), ["a"], "id")
 
 
 def test_slo_tier_boundaries_and_missing(spark):
