@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from netscope.functions.exprs import finite_or_null
 from netscope.operators.labels import with_class_weights
 from netscope.operators.metrics import classification_report, regression_metrics
+from netscope.operators.quantiles import exact_quantiles_long
 from netscope.operators.sampling import hash_split, stratified_split
 from netscope.session import cut_lineage
 
@@ -59,41 +60,64 @@ def task_features(df: DataFrame, task: str) -> tuple[list[str], list[str]]:
     return ([c for c in spec.get("num", []) if c in df.columns], [c for c in spec.get("cat", []) if c in df.columns])
 
 
-def preprocessor(num: Sequence[str], cat: Sequence[str], impute: bool = True, scale: bool = True) -> list:
-    """M1a/M1b stages: numeric median impute -> assemble -> standardise;
-    categorical string index (unknown/NULL kept as its own bucket) -> one-hot."""
-    stages = []
+def _literal(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def preprocessor(train: DataFrame, num: Sequence[str], cat: Sequence[str], impute: bool = True,
+                 scale: bool = True) -> tuple[list, list[str]]:
+    """M1a/M1b stages fitted on ``train``, and the numeric columns that they use.
+
+    Numeric columns without any value in ``train`` are dropped; the others get their exact median and are
+    scaled by the population standard deviation.  Categories get their most frequent value (smallest on
+    ties), then string index (values unseen in ``train`` in a bucket of their own) and one-hot.  All
+    figures stand in the first stage's statement, so they are saved with the pipeline.
+    """
     num, cat = list(num), list(cat)
-    num_in = num
-    if impute and num:
-        num_in = [f"{c}__imp" for c in num]
-        stages.append(Imputer(inputCols=num, outputCols=num_in, strategy="median"))
-    parts = []
     if num:
-        stages.append(VectorAssembler(inputCols=num_in, outputCol="_num_vec", handleInvalid="keep"))
+        have = train.agg(*[F.count(c).alias(c) for c in num]).first()
+        num = [c for c in num if have[c]]
+    exprs = {}
+    if num:
+        median = {}
+        if impute:
+            median = {r["column"]: r["m"] for r in exact_quantiles_long(train, [], num, [0.5], ["m"]).collect()}
+        filled = {c: f"COALESCE(`{c}`, {median[c]!r}D)" if c in median else f"`{c}`" for c in num}
+        exprs = {f"{c}__num": f"CAST({filled[c]} AS DOUBLE)" for c in num}
         if scale:
-            stages.append(StandardScaler(inputCol="_num_vec", outputCol="_num_scaled", withMean=True, withStd=True))
-            parts.append("_num_scaled")
-        else:
-            parts.append("_num_vec")
+            st = train.agg(*[F.struct(F.avg(F.expr(filled[c])), F.stddev_pop(F.expr(filled[c]))).alias(c) for c in num]).first()
+            exprs = {f"{c}__num": f"({filled[c]} - ({st[c][0]!r}D)) / {(st[c][1] or 1.0)!r}D" for c in num}
+    for c in cat:
+        top = train.where(F.col(c).isNotNull()).groupBy(c).count().orderBy(F.desc("count"), F.asc(c)).first() if impute else None
+        exprs[f"{c}__cat"] = f"COALESCE(`{c}`, {_literal(top[c])})" if top else f"`{c}`"
+    stages = [SQLTransformer(statement="SELECT *, " + ", ".join(f"{e} AS `{n}`" for n, e in exprs.items()) + " FROM __THIS__")]
+    parts = [f"{c}__num" for c in num]
     if cat:
-        idx = [f"{c}__idx" for c in cat]
-        ohe = [f"{c}__ohe" for c in cat]
-        stages.append(StringIndexer(inputCols=cat, outputCols=idx, handleInvalid="keep", stringOrderType="alphabetAsc"))
-        stages.append(OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=False, handleInvalid="keep"))
-        parts += ohe
-    stages.append(VectorAssembler(inputCols=parts, outputCol="features"))
-    return stages
-
-
-def encoded_names(model: PipelineModel, num: Sequence[str], cat: Sequence[str]) -> list[str]:
-    """M1e: feature names in vector order: numeric names, then ``col_value`` per category
-    (plus ``col___unknown`` for the kept invalid bucket)."""
-    names = list(num)
+        stages.append(StringIndexer(inputCols=[f"{c}__cat" for c in cat], outputCols=[f"{c}__idx" for c in cat],
+                                    handleInvalid="keep", stringOrderType="alphabetAsc"))
+        stages.append(OneHotEncoder(inputCols=[f"{c}__idx" for c in cat], outputCols=[f"{c}__ohe" for c in cat],
+                                    dropLast=False, handleInvalid="error"))
+        parts += [f"{c}__ohe" for c in cat]
+    # without imputation a missing number stays NaN, which trees accept
+    stages.append(VectorAssembler(inputCols=parts, outputCol="features", handleInvalid="error" if impute else "keep"))
+    return stages, num
+
+
+def encoded_names(model: PipelineModel) -> list[str]:
+    """M1e: feature names in vector order: numeric names, then ``col_value`` per category and
+    ``col___unknown`` for values not seen in training.  They must be as many as the model has features."""
+    names = []
+    for st in model.stages:
+        kind = type(st).__name__
+        if kind == "VectorAssembler":
+            names += [c.removesuffix("__num") for c in st.getInputCols() if c.endswith("__num")]
     for st in model.stages:
-        if type(st).__name__ == "StringIndexerModel":
-            for c, labels in zip(cat, st.labelsArray):
+        if type(st).__name__ == "StringIndexerModel" and st.isSet("inputCols"):
+            for c, labels in zip(st.getInputCols(), st.labelsArray):
+                c = c.removesuffix("__cat")
                 names += [f"{c}_{v}" for v in labels] + [f"{c}___unknown"]
+    if len(names) != model.stages[-1].numFeatures:
+        raise ValueError(f"{len(names)} names for {model.stages[-1].numFeatures} features")
     return names
 
 
@@ -115,30 +139,37 @@ def regression_task(df: DataFrame, target: str, num: Sequence[str], cat: Sequenc
         p.setdefault("featureSubsetStrategy", "all")  # every feature at every split, as the reference's forest
     est = (RandomForestRegressor(labelCol=target, featuresCol="features", **p) if model == "rf"
            else GBTRegressor(labelCol=target, featuresCol="features", **p))
-    pipe = Pipeline(stages=preprocessor(num, cat) + [est])
-    fitted = pipe.fit(d.where(F.col("split") == "train"))
+    train = d.where(F.col("split") == "train")
+    fitted = Pipeline(stages=preprocessor(train, num, cat)[0] + [est]).fit(train)
     pred = fitted.transform(d.where(F.col("split") == "test"))
     return fitted, pred, regression_metrics(pred, target, "prediction")
 
 
 def classification_task(df: DataFrame, label: str, num: Sequence[str], cat: Sequence[str], key_cols: Sequence[str],
-                        params: dict | None = None, seed: int = 42, balanced: bool = True):
-    """M7/M8/M9: label NULLs dropped, rare classes merged, stratified split,
-    balanced class weights, random forest, per-class report."""
-    from netscope.operators.labels import merge_rare_classes
+                        params: dict | None = None, seed: int = 42, balanced: bool = True,
+                        rare_into: str | None = None, drop_label_inputs: Sequence[str] = ()):
+    """M7/M8/M9: label NULLs dropped, stratified split (plain where a class has a single row), balanced
+    class weights of the training rows, random forest, per-class report.
+
+    ``rare_into`` merges classes of one row into that class; ``drop_label_inputs`` leaves out features
+    from which the label is computed.
+    """
+    from netscope.operators.labels import merge_rare_classes, stratify_ok
+    num, cat = ([c for c in cols if c not in drop_label_inputs] for cols in (num, cat))
     d = _clean_numeric(df, num).where(F.col(label).isNotNull())
     d = d.withColumn(label, F.col(label).cast("string"))
-    d = merge_rare_classes(d, label)
-    d = d.withColumn("_key", F.xxhash64(*[F.col(c) for c in key_cols]))
-    d = stratified_split(d, "_key", label, 80, seed)
+    if rare_into is not None:
+        d = merge_rare_classes(d, label, into=rare_into)
+    d = cut_lineage(d.withColumn("_key", F.xxhash64(*[F.col(c) for c in key_cols])).select(*num, *cat, label, "_key"))
+    d = stratified_split(d, "_key", label, 80, seed) if stratify_ok(d, label) else hash_split(d, "_key", 80, seed)
+    d = cut_lineage(d)
+    train = d.where(F.col("split") == "train")
     if balanced:
-        d = with_class_weights(d, label, "_w")
-    d = cut_lineage(d.select(*num, *cat, label, "_key", "split", *(["_w"] if balanced else [])))
+        train = cut_lineage(with_class_weights(train, label, "_w"))
     lab_idx = StringIndexer(inputCol=label, outputCol="_label", handleInvalid="keep", stringOrderType="alphabetAsc")
     est = RandomForestClassifier(labelCol="_label", featuresCol="features", weightCol="_w" if balanced else None,
                                  featureSubsetStrategy="sqrt", **dict(params or {}))
-    pipe = Pipeline(stages=[lab_idx] + preprocessor(num, cat) + [est])
-    fitted = pipe.fit(d.where(F.col("split") == "train"))
+    fitted = Pipeline(stages=[lab_idx] + preprocessor(train, num, cat)[0] + [est]).fit(train)
     pred = fitted.transform(d.where(F.col("split") == "test"))
     labels = fitted.stages[0].labels
     lab_map = F.create_map(*[x for i, v in enumerate(labels) for x in (F.lit(float(i)), F.lit(v))])
@@ -148,11 +179,10 @@ def classification_task(df: DataFrame, label: str, num: Sequence[str], cat: Sequ
     return fitted, pred, classification_report(scored, label, "predicted")
 
 
-def feature_importance(model: PipelineModel, num: Sequence[str], cat: Sequence[str], spark, k: int = 10) -> DataFrame:
+def feature_importance(model: PipelineModel, spark, k: int = 10) -> DataFrame:
     """M10 + T7: importance per encoded feature name, top-k (a vector of fixed length)."""
     imp = model.stages[-1].featureImportances.toArray().tolist()
-    names = encoded_names(model, num, cat)
-    rows = [(n, float(v)) for n, v in zip(names, imp)]
+    rows = [(n, float(v)) for n, v in zip(encoded_names(model), imp, strict=True)]
     df = spark.createDataFrame(rows, "feature string, importance double")
     return df.orderBy(F.desc("importance"), F.asc("feature")).limit(k)
 

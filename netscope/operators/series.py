@@ -119,31 +119,34 @@ def windowed(df: DataFrame, keys: Sequence[str], ts: str, tie: str,
 
 def supervised_lags(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str = "value",
                     lags: int = 12, horizon: int = 1, drop_incomplete: bool = True,
-                    block_rows: int = 100_000) -> DataFrame:
+                    block_rows: int = 100_000, chunk_seconds: int = 3600) -> DataFrame:
     """``y = value[t+h]``, ``lag_i = value[t-i]`` (i=1..lags); value at t is not a feature."""
     def mk(w):
         cols = {"y": F.lead(value, horizon).over(w)}
         for i in range(1, lags + 1):
             cols[f"lag_{i}"] = F.lag(value, i).over(w)
         return cols
-    out = windowed(df, keys, ts, tie, mk, back=lags, fwd=horizon, block_rows=block_rows)
+    out = windowed(df, keys, ts, tie, mk, back=lags, fwd=horizon, block_rows=block_rows,
+                   chunk_seconds=chunk_seconds)
     if drop_incomplete:
         out = out.na.drop(subset=["y"] + [f"lag_{i}" for i in range(1, lags + 1)])
     return out
 
 
 def lag_set(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str = "value",
-            offsets: Sequence[int] = (1, 3, 6, 12), block_rows: int = 100_000) -> DataFrame:
+            offsets: Sequence[int] = (1, 3, 6, 12), block_rows: int = 100_000, chunk_seconds: int = 3600) -> DataFrame:
     """Selected lags, NULL where the series is too short."""
     def mk(w):
         return {f"lag_{i}": F.lag(value, i).over(w) for i in offsets}
-    return windowed(df, keys, ts, tie, mk, back=max(offsets), fwd=0, block_rows=block_rows)
+    return windowed(df, keys, ts, tie, mk, back=max(offsets), fwd=0, block_rows=block_rows,
+                    chunk_seconds=chunk_seconds)
 
 
 # ---------------------------------------------------------------- D2 rolling frames
 
 def rolling(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str = "value",
-            mean_window: int = 6, std_window: int = 12, block_rows: int = 100_000) -> DataFrame:
+            mean_window: int = 6, std_window: int = 12, block_rows: int = 100_000,
+            chunk_seconds: int = 3600) -> DataFrame:
     """Rolling mean over ``mean_window`` rows and sample std over ``std_window`` rows;
     NULL until the frame is full (pandas ``rolling(w)`` default)."""
     def mk(w):
@@ -154,14 +157,15 @@ def rolling(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str =
             f"roll_std_{std_window}": F.when(F.count(value).over(ws) == std_window, F.stddev_samp(value).over(ws)),
         }
     return windowed(df, keys, ts, tie, mk, back=max(mean_window, std_window) - 1, fwd=0,
-                    block_rows=block_rows)
+                    block_rows=block_rows, chunk_seconds=chunk_seconds)
 
 
 # ---------------------------------------------------------------- U6 chronological split
 
-def chrono_split(df: DataFrame, keys: Sequence[str], ts: str, tie: str, train_frac: float = 0.8) -> DataFrame:
+def chrono_split(df: DataFrame, keys: Sequence[str], ts: str, tie: str, train_frac: float = 0.8,
+                 chunk_seconds: int = 3600) -> DataFrame:
     """Per series, the first floor(frac*n) rows by time are ``train``, the rest ``test``."""
-    idx = series_index(df, keys, ts, tie)
+    idx = series_index(df, keys, ts, tie, chunk_seconds)
     cut = F.floor(F.col("_n") * F.lit(train_frac))
     return (idx.withColumn("split", F.when(F.col("_idx") <= cut, F.lit("train")).otherwise(F.lit("test")))
             .drop("_idx", "_n"))

@@ -38,9 +38,9 @@ def q_gbt_latency(spark, sf):
 
 @query("forecast_preview")
 def q_forecast_preview(spark, sf):
-    """M4: pooled forecaster on 12 lags per series, chronological 80/20 split per series."""
-    lagged = S.supervised_lags(series(spark, sf), ["exp_id"], "ts", "event_id", lags=12, horizon=1)
-    split = cut_lineage(S.chrono_split(lagged, ["exp_id"], "ts", "event_id", 0.8))
+    """M4: pooled forecaster on 12 lags per series (one metric each), chronological 80/20 split per series."""
+    lagged = S.supervised_lags(series(spark, sf), ["exp_id", "metric"], "ts", "event_id", lags=12, horizon=1)
+    split = cut_lineage(S.chrono_split(lagged, ["exp_id", "metric"], "ts", "event_id", 0.8))
     lags = [f"lag_{i}" for i in range(1, 13)]
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
@@ -65,7 +65,7 @@ def _ship_labels(spark, sf):
 @query("rf_performance_class")
 def q_rf_performance_class(spark, sf):
     _, _, rep = Mo.classification_task(_ship_labels(spark, sf), "performance_class", NUM + ["tput_mean"], CAT, KEY,
-                                       SMALL_RF)
+                                       SMALL_RF, rare_into="Good")
     return rep
 
 
@@ -85,5 +85,6 @@ def q_rf_provider(spark, sf):
 @query("feature_importance")
 def q_feature_importance(spark, sf):
     num = NUM + ["tput_mean"]
-    model, _, _ = Mo.classification_task(_ship_labels(spark, sf), "performance_class", num, CAT, KEY, SMALL_RF)
-    return Mo.feature_importance(model, num, CAT, spark, 10)
+    model, _, _ = Mo.classification_task(_ship_labels(spark, sf), "performance_class", num, CAT, KEY, SMALL_RF,
+                                         rare_into="Good")
+    return Mo.feature_importance(model, spark, 10)

@@ -37,11 +37,11 @@ _lag_nn = " AND ".join(f"lag_{i} IS NOT NULL" for i in range(1, LAGS + 1))
 @query("lag_features", sql=f"""
 SELECT exp_id, event_id, strftime(ts, {TS_FMT}) AS ts, y, {", ".join(f"lag_{i}" for i in range(1, LAGS + 1))}
 FROM (SELECT exp_id, event_id, ts, LEAD(value, 1) OVER w AS y, {_lag_cols}
-      FROM series WINDOW w AS (PARTITION BY exp_id ORDER BY ts, event_id)) t
+      FROM series WINDOW w AS (PARTITION BY exp_id, metric ORDER BY ts, event_id)) t
 WHERE y IS NOT NULL AND {_lag_nn}""", views=("series",))
 def q_lag_features(spark, sf):
     s = series(spark, sf)
-    out = S.supervised_lags(s, ["exp_id"], "ts", "event_id", lags=LAGS, horizon=1)
+    out = S.supervised_lags(s, ["exp_id", "metric"], "ts", "event_id", lags=LAGS, horizon=1)
     return out.select("exp_id", "event_id", ts_text("ts").alias("ts"), "y",
                       *[f"lag_{i}" for i in range(1, LAGS + 1)])
 
@@ -51,9 +51,9 @@ LAG_SET = (1, 3, 6, 12)
 
 @query("lag_set", sql=f"""
 SELECT exp_id, event_id, {", ".join(f"LAG(value, {i}) OVER w AS lag_{i}" for i in LAG_SET)}
-FROM series WINDOW w AS (PARTITION BY exp_id ORDER BY ts, event_id)""", views=("series",))
+FROM series WINDOW w AS (PARTITION BY exp_id, metric ORDER BY ts, event_id)""", views=("series",))
 def q_lag_set(spark, sf):
-    out = S.lag_set(series(spark, sf), ["exp_id"], "ts", "event_id", offsets=LAG_SET)
+    out = S.lag_set(series(spark, sf), ["exp_id", "metric"], "ts", "event_id", offsets=LAG_SET)
     return out.select("exp_id", "event_id", *[f"lag_{i}" for i in LAG_SET])
 
 
@@ -62,21 +62,21 @@ SELECT exp_id, event_id,
        ROUND(CASE WHEN COUNT(value) OVER w6 = 6 THEN AVG(value) OVER w6 END, 6) AS roll_mean_6,
        ROUND(CASE WHEN COUNT(value) OVER w12 = 12 THEN STDDEV_SAMP(value) OVER w12 END, 6) AS roll_std_12
 FROM series
-WINDOW w6 AS (PARTITION BY exp_id ORDER BY ts, event_id ROWS BETWEEN 5 PRECEDING AND CURRENT ROW),
-       w12 AS (PARTITION BY exp_id ORDER BY ts, event_id ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)""",
+WINDOW w6 AS (PARTITION BY exp_id, metric ORDER BY ts, event_id ROWS BETWEEN 5 PRECEDING AND CURRENT ROW),
+       w12 AS (PARTITION BY exp_id, metric ORDER BY ts, event_id ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)""",
        views=("series",))
 def q_rolling_features(spark, sf):
-    out = S.rolling(series(spark, sf), ["exp_id"], "ts", "event_id", mean_window=6, std_window=12)
+    out = S.rolling(series(spark, sf), ["exp_id", "metric"], "ts", "event_id", mean_window=6, std_window=12)
     return out.select("exp_id", "event_id", _r("roll_mean_6"), _r("roll_std_12"))
 
 
 @query("chrono_split", sql="""
 SELECT exp_id, event_id,
-       CASE WHEN ROW_NUMBER() OVER (PARTITION BY exp_id ORDER BY ts, event_id)
-                 <= FLOOR(COUNT(*) OVER (PARTITION BY exp_id) * 0.8) THEN 'train' ELSE 'test' END AS split
+       CASE WHEN ROW_NUMBER() OVER (PARTITION BY exp_id, metric ORDER BY ts, event_id)
+                 <= FLOOR(COUNT(*) OVER (PARTITION BY exp_id, metric) * 0.8) THEN 'train' ELSE 'test' END AS split
 FROM series""", views=("series",))
 def q_chrono_split(spark, sf):
-    out = S.chrono_split(series(spark, sf), ["exp_id"], "ts", "event_id", 0.8)
+    out = S.chrono_split(series(spark, sf), ["exp_id", "metric"], "ts", "event_id", 0.8)
     return out.select("exp_id", "event_id", "split")
 
 
