@@ -310,13 +310,13 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int
     repeated = bloom(repeated_symbols(docs.filter(F.col(key).isNotNull()), text, window))
     found = repeats(docs, key, text, window, repeated).groupBy("key").agg(
         F.collect_list("a").alias("a"), F.collect_list("b").alias("b"))
-    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(key).alias("key"),
-                       F.col(text).alias("text")).join(found, "key", "left").select("row", "text", "a", "b")
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(key).alias("key")).join(
+        found, "key", "left").select("row", "a", "b")  # the text moves once, inside the row
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = [remove_words(t.as_py(), list(zip(a.as_py(), b.as_py())) if a.is_valid else [])
-                    for t, a, b in zip(batch.column(1), batch.column(2), batch.column(3))]
+                    for t, a, b in zip(batch.column(0).field(text), batch.column(1), batch.column(2))]
             kept, n, removed = zip(*done) if done else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(kept, pa.string()), pa.array(n, pa.int64()), pa.array(removed, pa.int64())],
