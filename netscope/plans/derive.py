@@ -5,8 +5,8 @@ flattening and series explosion over data that grows with the driver tables,
 ``events`` are turned into result records and written as JSON text under the
 shared folder (a fresh sub-folder per call):
 
-- one record per (provider, user, event type, block of 64 consecutive event ids),
-  so every record holds a bounded number of points;
+- one record per (provider, user, event type, 30 days of the epoch): tens of points each, and a bounded
+  number of them (at most one per second of the 30 days);
 - ``results.tput.detailed`` maps epoch seconds to the mean value in that second,
   ``results.tput.synt`` holds the nine summary statistics of those points;
 - files are laid out as ``<root>/provider=<AWS|Azure>/vm=<size>_tput_<proto>/region=<type>/*.json``
@@ -23,14 +23,14 @@ from netscope.operators.series import PCTLS
 from netscope.plans.standins import table
 from netscope.session import unique_subdir
 
-BLOCK = 64
+BLOCK = 30 * 86_400
 # event type -> provider / protocol of the derived records
 PROVIDER_OF = {"click": "AWS", "view": "AWS", "signup": "AWS", "purchase": "Azure", "error": "Azure"}
 PROTO_OF = {"click": "tcp", "view": "tcp", "signup": "udp", "purchase": "tcp", "error": "udp"}
 
 POINTS_SQL = f"""pts AS (
   SELECT CASE WHEN event_type IN ('click', 'view', 'signup') THEN 'AWS' ELSE 'Azure' END AS provider,
-         user_id, event_type, event_id // {BLOCK} AS blk, epoch_us(ts) // 1000000 AS sec, AVG(value) AS value
+         user_id, event_type, epoch_us(ts) // 1000000 // {BLOCK} AS blk, epoch_us(ts) // 1000000 AS sec, AVG(value) AS value
   FROM events GROUP BY ALL),
 rec AS (
   SELECT provider, 'u' || user_id || '-' || event_type || '-' || blk AS exp_name,
@@ -40,6 +40,7 @@ rec AS (
          CAST(COUNT(*) * 1000 AS DOUBLE) AS target_bwd,
          COUNT(*) AS tput_n, AVG(value) AS tput_mean, MEDIAN(value) AS tput_median, MIN(value) AS tput_min,
          MAX(value) AS tput_max, STDDEV_POP(value) AS tput_std, QUANTILE_CONT(value, 0.05) AS tput_pctl5,
+         QUANTILE_CONT(value, 0.25) AS tput_pctl25, QUANTILE_CONT(value, 0.75) AS tput_pctl75,
          QUANTILE_CONT(value, 0.95) AS tput_pctl95
   FROM pts GROUP BY provider, user_id, event_type, blk)"""
 
@@ -47,7 +48,7 @@ rec AS (
 def write_raw_json(spark: SparkSession, sf_dir: str) -> str:
     e = table(spark, sf_dir, "events")
     pts = (e.select(map_values("event_type", PROVIDER_OF).alias("provider"), "user_id", "event_type",
-                    F.floor(F.col("event_id") / BLOCK).cast("bigint").alias("blk"),
+                    F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / BLOCK).cast("bigint").alias("blk"),
                     F.unix_seconds(F.col("ts").cast("timestamp")).alias("sec"), "value")
            .groupBy("provider", "user_id", "event_type", "blk", "sec").agg(F.avg("value").alias("value")))
     v = F.col("value")

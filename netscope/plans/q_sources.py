@@ -101,9 +101,14 @@ _STATS = ["mean", "median", "min", "max", "std", "pctl5", "pctl25", "pctl75", "p
 
 
 @query("summary_check", sql=f"""WITH {POINTS_SQL}
-SELECT COUNT(*) AS n_experiments, CAST(0 AS BIGINT) AS n_count_mismatch,
-       {", ".join(f"0.0 AS max_diff_{s}" for s in _STATS)}
-FROM rec""")
+,pt AS (SELECT 'u' || user_id || '-' || event_type || '-' || blk AS exp_name, value FROM pts),
+again AS (SELECT exp_name, COUNT(*) AS n, SUM(value) / COUNT(*) AS mean, QUANTILE_CONT(value, 0.5) AS median,
+                 MIN(value) AS min, MAX(value) AS max, SQRT(VAR_POP(value)) AS std, QUANTILE_CONT(value, 0.05) AS pctl5,
+                 QUANTILE_CONT(value, 0.25) AS pctl25, QUANTILE_CONT(value, 0.75) AS pctl75,
+                 QUANTILE_CONT(value, 0.95) AS pctl95 FROM pt GROUP BY exp_name)
+SELECT COUNT(*) AS n_experiments, CAST(SUM(CASE WHEN r.tput_n <> a.n THEN 1 ELSE 0 END) AS BIGINT) AS n_count_mismatch,
+       {", ".join(f"ROUND(MAX(ABS(r.tput_{s} - a.{s})), 6) AS max_diff_{s}" for s in _STATS)}
+FROM rec r JOIN again a USING (exp_name)""")
 def q_summary_check(spark, sf):
     """Statistics stored in the JSON records vs statistics recomputed from their points."""
     from netscope.operators.series import compare_summaries

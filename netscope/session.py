@@ -7,6 +7,7 @@ server (the UI stays off for sessions we build ourselves).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -71,8 +72,9 @@ def shared_dir(spark: SparkSession, sub: str) -> str:
     """Folder for lineage cuts and derived files.
 
     Uses the cluster's ``spark.checkpoint.dir`` (a shared file system) when the
-    session names one; only when it is unset (local runs, tests) a fresh local
-    temporary folder is created and registered as the checkpoint dir.
+    session names one.  Only where it is unset and all tasks run in this one process
+    (master ``local`` or ``local[n]``) a fresh temporary folder takes its place; on a
+    cluster that would be a folder which the executors can't see, so it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -81,6 +83,8 @@ def shared_dir(spark: SparkSession, sub: str) -> str:
         except Exception:
             base = None
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="netscope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
     spark.sparkContext.setCheckpointDir(base)
@@ -88,9 +92,12 @@ def shared_dir(spark: SparkSession, sub: str) -> str:
 
 
 def unique_subdir(spark: SparkSession, name: str) -> str:
-    """A new, never reused path under the shared dir (one per run)."""
+    """A new, never reused path under the shared dir (one per run), deleted when the session's JVM ends."""
     import uuid
-    return shared_dir(spark, f"{name}-{os.getpid()}-{uuid.uuid4().hex[:12]}")
+    out = shared_dir(spark, f"{name}-{os.getpid()}-{uuid.uuid4().hex[:12]}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(out)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return out
 
 
 def cut_lineage(df):
