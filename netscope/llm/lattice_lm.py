@@ -41,7 +41,7 @@ from netscope.session import cut_lineage
 NAME = "op5_lattice_lm"
 VOCABULARY = "piece_bpe_32k.model"
 HEAVY = 100_000
-PART_WORDS, PART_MESSAGES = 400_000, 6_000_000
+PART_WORDS, PART_MESSAGES = 150_000, 2_000_000
 CELLS = 200_000
 STEPS = 1
 START = "▁"
@@ -194,7 +194,7 @@ def word_counts(docs: DataFrame, train: Column, key: str, text: str) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, learn = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lo, hi in text_groups(texts, 16_000_000):
+            for lo, hi in text_groups(texts, 6_000_000):
                 c, a = Counter(), Counter()
                 for t, x in zip(texts[lo:hi], learn[lo:hi]):
                     (c if x else a).update(lower_words(t))
@@ -267,16 +267,23 @@ class Totals:
         return (np.logaddexp(edge, math.log(spare) + log_marginal) + math.log1p(-self.end)) / math.log(10)
 
 
-def word_scores(counts: DataFrame, totals: Totals, path: str, logp: np.ndarray) -> DataFrame:
-    """``word, known, base, score`` of every row of ``counts``."""
+def word_scores(counts: DataFrame, totals: Totals, path: str, logp: np.ndarray, parts: int = 1) -> DataFrame:
+    """``word, known, base, score, part`` of every row of ``counts``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words, c = batch.column(0).to_pylist(), batch.column(1).to_numpy()
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(c > 0), pa.array(totals.base(c)),
-                 pa.array(totals.word(c.astype(float), log_marginals(words, path, logp)))],
-                names=["word", "known", "base", "score"])
-    return counts.select("word", "c").mapInArrow(run, "word binary, known boolean, base double, score double")
+                 pa.array(totals.word(c.astype(float), log_marginals(words, path, logp))),
+                 pa.array([part_of(w, parts) for w in words], pa.int32())],
+                names=["word", "known", "base", "score", "part"])
+    return counts.select("word", "c").mapInArrow(
+        run, "word binary, known boolean, base double, score double, part int")
+
+
+def part_of(word: bytes, parts: int) -> int:
+    """Part of the word table that holds the word."""
+    return xxhash.xxh3_64_intdigest(word) % parts
 
 
 MESSAGE = ("key {kind}, row bigint, n bigint, known bigint, base double, score double, "
@@ -299,7 +306,7 @@ def _split(docs: DataFrame, key: str, text: str, heavy: dict, parts: int, copies
                                     ("part", pa.int32()), ("copy", pa.int32()), ("rows", pa.list_(pa.int64())),
                                     ("words", pa.binary())])
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lo, hi in text_groups(texts, 8_000_000):
+            for lo, hi in text_groups(texts, 4_000_000):
                 out = []
                 sent = [([], []) for _ in range(parts)]
                 for k, t in zip(keys[lo:hi], texts[lo:hi]):
@@ -313,7 +320,7 @@ def _split(docs: DataFrame, key: str, text: str, heavy: dict, parts: int, copies
                         mine = {}
                         for w, x in zip(words, found):
                             if x is None:
-                                mine.setdefault(xxhash.xxh3_64_intdigest(w) % parts, []).append(w)
+                                mine.setdefault(part_of(w, parts), []).append(w)
                         for p, ws in mine.items():
                             sent[p][0].append(row)
                             sent[p][1].append(b" ".join(ws))
@@ -353,14 +360,7 @@ def score_texts(docs: DataFrame, train: Column, path: str, key: str = "doc_id",
     copies = max(1, -(-totals.all_words // (parts * PART_MESSAGES)))
     sent = cut_lineage(_split(docs, key, text, heavy, parts, copies, kind))
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = [xxhash.xxh3_64_intdigest(w) % parts for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at, pa.int32())],
-                                             names=[*batch.schema.names, "part"])
-
-    rest = word_scores(counts.filter(F.col("a") < least), totals, path, logp).mapInArrow(
-        place, "word binary, known boolean, base double, score double, part int")
+    rest = word_scores(counts.filter(F.col("a") < least), totals, path, logp, parts)
     if copies > 1:
         rest = cut_lineage(rest).withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
     else:
