@@ -76,6 +76,8 @@ def ngrams(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndar
 def codewords(n: int, seed: int = 7) -> np.ndarray:
     """A +1/-1 codeword for each of ``n`` languages: all distinct splits up to seven languages, random
     distinct splits beyond."""
+    if n == 0:
+        return np.zeros((0, 0), np.int8)
     if n <= 7:
         columns = [[1 if (v >> i) & 1 else -1 for i in range(n)] for v in range(1, 2 ** max(n - 1, 0))]
     else:
