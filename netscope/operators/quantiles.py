@@ -3,41 +3,47 @@
 Spark's exact ``percentile`` merges one value histogram per group in a single
 task; for a group holding a third of a very large table that histogram does
 not fit.  This operator gets the same exact, linearly interpolated result
-(numpy's default, DuckDB's ``quantile_cont``) in two passes:
+(numpy's default, DuckDB's ``quantile_cont``):
 
-0. groups of at most ``max_exact`` (1,000,000) values -- their histogram is
-   bounded by that constant -- use Spark's exact ``percentile``; for larger ones:
+0. groups of at most ``MAX_EXACT`` values -- their histogram is bounded by that
+   constant -- use Spark's exact ``percentile``; for larger ones:
 1. a mergeable sketch (``percentile_approx``, rank error <= n / accuracy) gives
    per group and probability a value bracket ``[lo, hi]`` around the target rank;
 2. one scan counts the rows below ``lo`` exactly (algebraic, partially
-   aggregated) and gathers the distinct values inside the bracket with their
-   counts -- about ``6 n / accuracy`` rows per (group, probability), fewer with
-   ties -- and the value at the target rank is read off the sorted bracket.
-
-Everything is DataFrame operations; the per-group state is the bracket only.
+   aggregated) and counts the distinct values inside the bracket;
+3. while a bracket holds more than ``WINDOW`` distinct values, it is cut at 512
+   of them, the rows of each part are counted, and the parts that hold the
+   target ranks stay;
+4. the value at the target rank is read off the sorted bracket.
+
+Everything is DataFrame operations; the state that meets in one task is at most
+``WINDOW`` values per (group, probability).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from netscope.session import cut_lineage
 
+MAX_EXACT, ACCURACY = 1_000_000, 100_000
+WINDOW, PARTS = 20_000, 512
+
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], col: str, probs: Sequence[float],
-                    names: Sequence[str] | None = None, accuracy: int = 100_000,
-                    max_exact: int = 1_000_000) -> DataFrame:
+                    names: Sequence[str] | None = None, accuracy: int | None = None,
+                    max_exact: int | None = None) -> DataFrame:
     """One row per group: ``keys..., _n, <name_i>`` with the exact interpolated quantile
     ``probs[i]`` of ``col`` (NULL for groups without values).
 
     Groups of at most ``max_exact`` values use Spark's exact ``percentile`` (their
     value histogram is bounded by that constant); larger groups -- at most
-    rows / max_exact of them -- use the sketch bracket described above, whose
-    window holds about ``6 n / accuracy`` distinct values."""
+    rows / max_exact of them -- use the narrowed bracket described above."""
     keys = list(keys)
+    accuracy, max_exact = accuracy or ACCURACY, max_exact or MAX_EXACT
     if max_exact < accuracy:
         raise ValueError("max_exact must be >= accuracy (the bracket needs n > accuracy)")
     if not keys:  # one global group
@@ -73,15 +79,22 @@ def _bracket_quantiles(j: DataFrame, keys: list[str], probs: list[float], names:
                                     .alias(f"_below{i}") for i in range(m)])
     inside = F.filter(F.sequence(F.lit(0), F.lit(m - 1)),
                       lambda i: (F.col("_x") >= F.col("_b")[i]) & (F.col("_x") <= F.col("_b")[i + m]))
-    win = (jj.select(*keys, "_x", F.explode(inside).alias("_qi"))
-           .groupBy(*keys, "_qi", "_x").agg(F.count(F.lit(1)).alias("_c"))
-           .groupBy(*keys, "_qi").agg(F.sort_array(F.collect_list(F.struct("_x", "_c"))).alias("_w")))
-    t = win.join(below, keys).join(sk.select(*keys, "_n"), keys)
+    counted = cut_lineage(jj.select(*keys, "_x", F.explode(inside).alias("_qi")).groupBy(*keys, "_qi", "_x").agg(
+        F.count(F.lit(1)).alias("_c")))
+    # per (group, probability): rows below the bracket, and the position wanted among all rows
+    qi = F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
+    state = below.join(sk.select(*keys, "_n"), keys).withColumn("_qi", qi)
     q = F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("_qi") + 1)
-    below_q = F.element_at(F.array(*[F.col(f"_below{i}") for i in range(m)]), F.col("_qi") + 1)
-    pos = q * (F.col("_n") - 1)
-    r_lo = F.floor(pos) - below_q
-    r_hi = F.ceil(pos) - below_q
+    state = cut_lineage(state.select(
+        *keys, "_qi", (q * (F.col("_n") - 1)).alias("_pos"),
+        F.element_at(F.array(*[F.col(f"_below{i}") for i in range(m)]), F.col("_qi") + 1).alias("_below")))
+    while (counted.groupBy(*keys, "_qi").count().agg(F.max("count")).first()[0] or 0) > WINDOW:
+        counted, state = _narrow(counted, state, keys)
+    t = counted.groupBy(*keys, "_qi").agg(F.sort_array(F.collect_list(F.struct("_x", "_c"))).alias("_w")).join(
+        state, [*keys, "_qi"])
+    pos = F.col("_pos")
+    r_lo = F.floor(pos) - F.col("_below")
+    r_hi = F.ceil(pos) - F.col("_below")
     # walk the sorted bracket once: values at relative ranks r_lo and r_hi
     init = F.struct(F.lit(0).cast("bigint").alias("acc"), F.lit(None).cast("double").alias("vlo"),
                     F.lit(None).cast("double").alias("vhi"))
@@ -107,9 +120,27 @@ def _bracket_quantiles(j: DataFrame, keys: list[str], probs: list[float], names:
     return wide.select(*keys, *[F.col(f"`{i}`").cast("double").alias(n) for i, n in enumerate(names)])
 
 
+def _narrow(counted: DataFrame, state: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Cuts each bracket at ``PARTS`` of its distinct values and keeps the parts with the target ranks."""
+    by = [*keys, "_qi"]
+    edges = counted.groupBy(*by).agg(F.percentile_approx("_x", [i / PARTS for i in range(1, PARTS)], 10_000).alias("_e"))
+    part = F.size(F.filter("_e", lambda e: e < F.col("_x")))
+    placed = counted.join(edges, by).select(*by, "_x", "_c", part.alias("_part"))
+    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # PARTS rows at most
+    sums = placed.groupBy(*by, "_part").agg(F.sum("_c").alias("_s")).withColumn(
+        "_from", F.coalesce(F.sum("_s").over(before), F.lit(0)))
+    kept = sums.join(state, by).filter(
+        (F.col("_from") <= F.ceil("_pos") - F.col("_below"))
+        & (F.col("_from") + F.col("_s") > F.floor("_pos") - F.col("_below")))
+    kept = cut_lineage(kept.select(*by, "_part", "_from", "_pos", "_below"))
+    smaller = cut_lineage(placed.join(kept.select(*by, "_part"), [*by, "_part"]).select(*by, "_x", "_c"))
+    return smaller, cut_lineage(kept.groupBy(*by).agg(
+        F.first("_pos").alias("_pos"), (F.first("_below") + F.min("_from")).alias("_below")))
+
+
 def exact_quantiles_long(df: DataFrame, keys: Sequence[str], cols: Sequence[str], probs: Sequence[float],
-                         names: Sequence[str] | None = None, accuracy: int = 100_000,
-                         max_exact: int = 1_000_000) -> DataFrame:
+                         names: Sequence[str] | None = None, accuracy: int | None = None,
+                         max_exact: int | None = None) -> DataFrame:
     """Several columns at once: the columns are stacked into (``column``, value) and
     ``column`` joins the group keys, so one sketch pass and one bracket pass serve
     them all.  Rows: ``keys..., column, _n, <names>``."""
@@ -121,7 +152,7 @@ def exact_quantiles_long(df: DataFrame, keys: Sequence[str], cols: Sequence[str]
 
 
 def quantile_columns(df: DataFrame, keys: Sequence[str], col: str, probs: Sequence[float],
-                     names: Sequence[str], method: str = "bounded", accuracy: int = 100_000) -> DataFrame:
+                     names: Sequence[str], method: str = "bounded", accuracy: int | None = None) -> DataFrame:
     """Per group quantiles by method: ``bounded`` (exact, bounded memory, default),
     ``spark`` (exact single-pass ``percentile``: one group histogram per task) or
     ``approx`` (sketch only).  Rows: ``keys..., <names>``."""
@@ -129,7 +160,7 @@ def quantile_columns(df: DataFrame, keys: Sequence[str], col: str, probs: Sequen
     if method == "bounded":
         return exact_quantiles(df, keys, col, probs, names, accuracy).drop("_n")
     x = F.col(col)
-    q = (F.percentile_approx(x, list(probs), accuracy) if method == "approx"
+    q = (F.percentile_approx(x, list(probs), accuracy or ACCURACY) if method == "approx"
          else F.percentile(x, F.array(*[F.lit(float(p)) for p in probs])))
     g = df.groupBy(*keys).agg(q.alias("_q")) if keys else df.agg(q.alias("_q"))
     return g.select(*keys, *[F.col("_q")[i].cast("double").alias(n) for i, n in enumerate(names)])

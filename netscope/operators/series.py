@@ -22,7 +22,7 @@ PCTL_NAMES = ("pctl5", "pctl25", "pctl75", "pctl95")
 # ---------------------------------------------------------------- A24 summary statistics
 
 def summary_stats(df: DataFrame, keys: Sequence[str], value: str, prefix: str = "",
-                  method: str = "bounded", accuracy: int = 10000) -> DataFrame:
+                  method: str = "bounded", accuracy: int | None = None) -> DataFrame:
     """n, mean, median, min, max, population std and p5/p25/p75/p95 per group.
 
     Moments are one algebraic aggregate.  Quantiles are exact with linear

@@ -181,8 +181,13 @@ def test_model_roundtrip(spark, workdir):
     assert sorted(again) == sorted(first)
 
 
-def test_exact_quantiles_match_spark_percentile(spark):
+@pytest.mark.parametrize("window", [20_000, 15])
+def test_exact_quantiles_match_spark_percentile(spark, monkeypatch, window):
+    """Groups of 1 to 20,000 values with ties; a window of 15 values forces repeated narrowing."""
+    from netscope.operators import quantiles
     from netscope.operators.quantiles import exact_quantiles
+    monkeypatch.setattr(quantiles, "WINDOW", window)
+    monkeypatch.setattr(quantiles, "PARTS", 8 if window < 100 else 512)
     rng = np.random.default_rng(1)
     rows = []
     for g, n in enumerate([1, 2, 5, 300, 5000, 20000]):

@@ -50,6 +50,16 @@ def test_query_matches_oracle(spark, con, key):
     assert _rows(got, c) == _rows(exp, c)
 
 
+@pytest.mark.parametrize("key", ["numeric_summary", "box_stats", "impute_median", "iqr_outliers", "psi_drift"])
+def test_large_group_quantiles_match_oracle(spark, con, key, monkeypatch):
+    """The branch for groups beyond one task's histogram, forced by a low threshold."""
+    from netscope.operators import quantiles
+    monkeypatch.setattr(quantiles, "MAX_EXACT", 200)
+    monkeypatch.setattr(quantiles, "ACCURACY", 200)
+    monkeypatch.setattr(quantiles, "WINDOW", 100)
+    test_query_matches_oracle(spark, con, key)
+
+
 def test_every_key_has_callable():
     qs = queries()
     assert set(ORACLES) <= set(qs)
