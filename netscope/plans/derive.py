@@ -70,6 +70,7 @@ def write_raw_json(spark: SparkSession, sf_dir: str) -> str:
         F.struct(F.lit("NUTTCP_S").alias("tool"), F.lit("1").alias("granularity"),
                  (F.col("n") * 1000).cast("string").alias("target_bwd"), F.col("start").alias("start_time")).alias("info_snd"),
         F.struct(F.lit("NUTTCP_R").alias("tool")).alias("info_rcv"),
+        F.array(F.col("n"), F.col("dur")).alias("marks"),
         F.struct(F.struct(F.col("detailed"), F.col("synt")).alias("tput")).alias("results"),
     )
     out = unique_subdir(spark, "raw-json")

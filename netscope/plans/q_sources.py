@@ -123,6 +123,7 @@ def q_summary_check(spark, sf):
 
 _GENERIC_COLS = ["exp_name", "proto", "start", "duration", "camp_region_snd", "camp_region_rcv", "camp_size_snd",
                  "info_snd_tool", "info_snd_target_bwd", "info_rcv_tool"]
+_GENERIC_META = ["path_provider", "path_vm_size", "path_protocol"]
 
 
 @query("generic_flatten", sql=f"""WITH {POINTS_SQL},
@@ -131,13 +132,17 @@ r2 AS (SELECT provider, 'u' || user_id || '-' || event_type || '-' || blk AS exp
               CAST(MIN(sec) AS VARCHAR) AS start, CAST(MAX(sec) - MIN(sec) AS VARCHAR) AS duration,
               'user-' || user_id AS camp_region_snd, event_type AS camp_region_rcv, 'm3.xlarge' AS camp_size_snd,
               'NUTTCP_S' AS info_snd_tool, CAST(COUNT(*) * 1000 AS VARCHAR) AS info_snd_target_bwd,
-              'NUTTCP_R' AS info_rcv_tool
+              'NUTTCP_R' AS info_rcv_tool, (COUNT(*) + MAX(sec) - MIN(sec)) / 2.0 AS marks_mean, '2' AS marks_count,
+              provider AS path_provider, 'XLarge' AS path_vm_size, CASE WHEN event_type IN ('click', 'view', 'purchase')
+              THEN 'TCP_Throughput' ELSE 'UDP_Throughput' END AS path_protocol
        FROM pts GROUP BY provider, user_id, event_type, blk)
-SELECT {", ".join(_GENERIC_COLS)} FROM r2""")
+SELECT {", ".join([*_GENERIC_COLS, *_GENERIC_META])}, marks_count, ROUND(marks_mean, 6) AS marks_mean FROM r2""")
 def q_generic_flatten(spark, sf):
-    """S3 + P13: schema-free JSON records flattened one level (scalars, object members;
-    the nested ``results`` level is dropped), over JSON derived from ``events``."""
+    """S3 + P11 + P13: schema-free JSON records flattened one level (scalars, numeric lists, object members;
+    the nested ``results`` level is dropped) with path metadata, over JSON derived from ``events``."""
     from netscope.sources.generic_json import flatten_records, read_records
     root = write_raw_json(spark, sf)
-    wide = flatten_records(read_records(spark, root, "*.json", whole_file=False), root)
-    return wide.select(*_GENERIC_COLS)
+    columns = [*_GENERIC_COLS, "marks_mean", "marks_count"]
+    wide = flatten_records(read_records(spark, root, "*.json", whole_file=False), root, columns, merge=False)
+    return wide.select(*_GENERIC_COLS, *_GENERIC_META, "marks_count",
+                       F.round(F.col("marks_mean").cast("double"), 6).alias("marks_mean"))

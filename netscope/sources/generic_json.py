@@ -8,11 +8,11 @@ become one record per element, and each record is flattened one level:
 - objects contribute their scalar members as ``<key>_<member>``;
 - deeper levels and NULLs are dropped.
 
-The walk is a pair of map explosions of the VARIANT records into a long
-``(rec_id, column, value)`` table; the final column list is the set of column
-names seen (a small, bounded aggregate), and the long table is pivoted on it.
-Path metadata (provider, VM size, protocol, epoch) comes from regexes on the
-file path; record keys overwrite metadata of the same name.
+All of it happens in the scan's own rows: a record becomes an array of
+``(column, value)`` pairs, declared columns are looked up in it, and path
+metadata (provider, VM size, protocol, epoch) comes from regexes on the same
+row's file path; there is no shuffle.  Record keys overwrite metadata of the
+same name.
 """
 
 from __future__ import annotations
@@ -39,13 +39,14 @@ def _map(c, mapping: Mapping[str, str]):
 def path_metadata(path_col, root: str) -> dict:
     """provider = first segment under ``root``; for AWS/Azure the VM size and
     protocol come from the second segment (mapped, pass-through otherwise); the
-    first 10-digit run anywhere in the path is the epoch; defaults ``Unknown``."""
+    first 10-digit run anywhere in the path is the epoch; defaults ``Unknown``.
+    ``key=value`` directories give their value."""
     root = root.rstrip("/")
     if root.startswith("file:"):
         root = root[5:]
     import re
     rel = F.regexp_replace(F.regexp_replace(path_col, r"^file:/*", "/"), "^/*" + re.escape(root.lstrip("/")) + "/", "")
-    parts = F.split(rel, "/")
+    parts = F.transform(F.split(rel, "/"), lambda x: F.regexp_replace(x, r"^[^=]+=", ""))
     provider = F.when(F.size(parts) > 1, parts[0]).otherwise(F.lit("Unknown"))
     known = provider.isin(*PROVIDERS) & (F.size(parts) >= 2)
     vm = F.nullif(F.regexp_extract(parts[1], RX_VM, 1), F.lit(""))
@@ -74,34 +75,42 @@ def read_records(spark: SparkSession, root: str, glob: str = "*.json", whole_fil
     recs = docs.where(F.col("doc").isNotNull()).select(
         "path", "_doc", F.posexplode(F.when(arr.isNotNull(), arr).otherwise(F.array(F.col("doc")))).alias("pos", "rec"))
     recs = recs.where(F.try_variant_get("rec", "$", "map<string,variant>").isNotNull())
-    return recs.select("path", F.xxhash64("_doc", "pos").alias("rec_id"), "rec")
-
-
-def long_form(records: DataFrame) -> DataFrame:
-    """P13 as a long table (rec_id, column, value-as-text)."""
-    as_map = F.try_variant_get("rec", "$", "map<string,variant>")
-    lvl1 = records.select("rec_id", F.explode(as_map).alias("key", "v"))
-    typ = F.schema_of_variant("v")
-    is_obj = typ.startswith("OBJECT")
-    is_arr = typ.startswith("ARRAY")
-    scalars = lvl1.where(~is_obj & ~is_arr & ~F.is_variant_null("v")).select(
-        "rec_id", F.col("key").alias("column"), F.try_variant_get("v", "$", "string").alias("value"))
-    nums = F.try_variant_get("v", "$", "array<double>")
-    lists = lvl1.where(is_arr).select("rec_id", "key", nums.alias("a"),
-                                      F.try_variant_get("v", "$", "array<variant>").alias("raw"))
-    # all-numeric and non-empty: the cast keeps the array only when every element is a number
-    numeric = lists.where(F.col("a").isNotNull() & (F.size("a") > 0) &
-                          (F.size("raw") == F.size(F.filter("a", lambda x: x.isNotNull()))))
-    means = numeric.select("rec_id", F.concat("key", F.lit("_mean")).alias("column"),
-                           (F.aggregate("a", F.lit(0.0), lambda s, x: s + x) / F.size("a")).cast("string").alias("value"))
-    counts = numeric.select("rec_id", F.concat("key", F.lit("_count")).alias("column"),
-                            F.size("a").cast("string").alias("value"))
-    objs = lvl1.where(is_obj).select("rec_id", "key", F.explode(F.try_variant_get("v", "$", "map<string,variant>"))
-                                     .alias("sub", "sv"))
-    subs = objs.where(~F.schema_of_variant("sv").startswith("OBJECT") & ~F.schema_of_variant("sv").startswith("ARRAY")
-                      & ~F.is_variant_null("sv")).select(
-        "rec_id", F.concat("key", F.lit("_"), "sub").alias("column"), F.try_variant_get("sv", "$", "string").alias("value"))
-    return scalars.unionByName(means).unionByName(counts).unionByName(subs)
+    return recs.select("path", F.concat_ws(":", "_doc", "pos").alias("rec_id"), "rec")
+
+
+MAX_COLUMNS = 10_000
+
+
+def _pairs(rec):
+    """A record's flattened ``(k, v)`` pairs, values as text."""
+    def pair(name, value):
+        return F.struct(name.alias("k"), value.cast("string").alias("v"))
+
+    def kind(v, name: str):
+        return F.schema_of_variant(v).startswith(name)
+
+    def scalar(v):
+        return ~kind(v, "OBJECT") & ~kind(v, "ARRAY") & ~F.is_variant_null(v)
+
+    def members(e):
+        inside = F.filter(F.map_entries(F.try_variant_get(e["value"], "$", "map<string,variant>")), lambda m: scalar(m["value"]))
+        return F.transform(inside, lambda m: pair(F.concat(e["key"], F.lit("_"), m["key"]), F.try_variant_get(m["value"], "$", "string")))
+
+    def numbers(e):
+        # the cast keeps the array only when every element is a number
+        nums, raw = F.try_variant_get(e["value"], "$", "array<double>"), F.try_variant_get(e["value"], "$", "array<variant>")
+        whole = (F.size(nums) > 0) & (F.size(raw) == F.size(F.filter(nums, lambda x: x.isNotNull())))
+        mean = F.aggregate(nums, F.lit(0.0), lambda t, x: t + x) / F.size(nums)
+        return F.when(whole, F.array(pair(F.concat(e["key"], F.lit("_mean")), mean),
+                                     pair(F.concat(e["key"], F.lit("_count")), F.size(nums))))
+
+    def flat(e):
+        own = F.when(scalar(e["value"]), F.array(pair(e["key"], F.try_variant_get(e["value"], "$", "string"))))
+        found = F.when(kind(e["value"], "OBJECT"), members(e)).when(kind(e["value"], "ARRAY"), numbers(e)).otherwise(own)
+        return F.coalesce(found, F.array().cast("array<struct<k:string,v:string>>"))
+
+    entries = F.map_entries(F.try_variant_get(rec, "$", "map<string,variant>"))
+    return F.flatten(F.transform(entries, flat))
 
 
 def flatten_records(records: DataFrame, root: str, columns: Sequence[str] | None = None,
@@ -110,18 +119,24 @@ def flatten_records(records: DataFrame, root: str, columns: Sequence[str] | None
 
     With ``merge`` a record key overwrites the path value of the same name row by
     row (so ``protocol`` mixes ``TCP_Throughput`` with ``tcp``, as in the
-    reference); without it the path values keep their own ``path_<name>`` columns."""
-    long = long_form(records)
-    if columns is None:  # the distinct column names: a small, bounded set
-        columns = sorted(r[0] for r in long.select("column").distinct().collect())
-    wide = long.groupBy("rec_id").pivot("column", list(columns)).agg(F.first("value"))
+    reference); without it the path values keep their own ``path_<name>`` columns.
+    Without ``columns`` the names are looked up first, with an error beyond
+    ``MAX_COLUMNS`` of them."""
     md = path_metadata(F.col("path"), root)
-    meta = records.select("rec_id", *[v.alias(f"_m_{k}") for k, v in md.items()])
-    j = meta.join(wide, "rec_id", "left")
+    rows = records.select("rec_id", *[v.alias(f"_m_{k}") for k, v in md.items()], _pairs(F.col("rec")).alias("_p"))
+    if columns is None:
+        seen = rows.select(F.explode("_p.k").alias("k")).distinct().limit(MAX_COLUMNS + 1).collect()
+        if len(seen) > MAX_COLUMNS:
+            raise ValueError(f"the records have more than {MAX_COLUMNS} columns: name the ones wanted")
+        columns = sorted(r[0] for r in seen)
+    def last(name: str):
+        return F.try_element_at(F.filter("_p", lambda x: x["k"] == F.lit(name)), F.lit(-1))["v"]
+
+    value = {c: last(c) for c in columns}
     if not merge:
-        return j.select("rec_id", *[F.col(f"_m_{k}").alias(f"path_{k}") for k in md],
-                        *[F.col(f"`{c}`") for c in columns])
+        return rows.select("rec_id", *[F.col(f"_m_{k}").alias(f"path_{k}") for k in md],
+                           *[v.alias(c) for c, v in value.items()])
     # a record's own key overwrites the path value of the same name, row by row
-    out = [F.coalesce(F.col(k), F.col(f"_m_{k}").cast("string")).alias(k) if k in columns
+    out = [F.coalesce(value[k], F.col(f"_m_{k}").cast("string")).alias(k) if k in value
            else F.col(f"_m_{k}").alias(k) for k in md]
-    return j.select("rec_id", *out, *[F.col(f"`{c}`") for c in columns if c not in md])
+    return rows.select("rec_id", *out, *[v.alias(c) for c, v in value.items() if c not in md])

@@ -35,6 +35,17 @@ def _esc(s: str) -> str:
     return re.escape(s)
 
 
+def path_context(path, root: str) -> dict:
+    """Relative path, the five tags and the reason to skip, from the path alone."""
+    rel, parts = _rel_parts(path, root)
+    vm, proto = split_first(F.get(parts, F.lit(1)), "_")
+    deep = F.size(parts) >= 3
+    az = F.when((F.size(parts) > 3) & ~F.get(parts, F.lit(3)).endswith(".json"), F.get(parts, F.lit(3)))
+    reason = F.when(~path.endswith(".json"), F.lit("not_json")).when(~deep, F.lit("short_path"))
+    return {"rel_path": rel, "provider": F.when(deep, F.get(parts, F.lit(0))), "region": F.when(deep, F.get(parts, F.lit(2))),
+            "az": az, "vm_size": F.when(deep, vm), "l4_protocol": F.when(deep, proto), "skip_reason": reason}
+
+
 def listing(spark: SparkSession, root: str) -> DataFrame:
     """S5 + F2 + P15: every object under ``root`` with its path context and a skip reason."""
     scan = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
@@ -44,17 +55,9 @@ def listing(spark: SparkSession, root: str) -> DataFrame:
         F.regexp_replace("path", "^file:/+", "file:/").alias("path"))
     files = scan.unionByName(known.join(scan.select("path"), "path", "left_anti").select(
         "path", F.lit(0).cast("bigint").alias("length")))
-    rel, parts = _rel_parts(F.col("path"), root)
-    vm, proto = split_first(parts[1], "_")
-    az = F.when((F.size(parts) > 3) & ~parts[3].endswith(".json"), parts[3])
-    reason = (F.when(~F.col("path").endswith(".json"), F.lit("not_json"))
-              .when(F.size(parts) < 3, F.lit("short_path"))
-              .when(F.col("length") == 0, F.lit("empty")))
-    return files.select("path", "length", rel.alias("rel_path"),
-                        F.when(F.size(parts) >= 3, parts[0]).alias("provider"),
-                        F.when(F.size(parts) >= 3, parts[2]).alias("region"), az.alias("az"),
-                        F.when(F.size(parts) >= 3, vm).alias("vm_size"),
-                        F.when(F.size(parts) >= 3, proto).alias("l4_protocol"), reason.alias("skip_reason"))
+    context = path_context(F.col("path"), root)
+    reason = F.coalesce(context.pop("skip_reason"), F.when(F.col("length") == 0, F.lit("empty")))
+    return files.select("path", "length", *[c.alias(k) for k, c in context.items()], reason.alias("skip_reason"))
 
 
 def read_documents(spark: SparkSession, root: str, whole_file: bool = True) -> DataFrame:
@@ -81,17 +84,18 @@ def records(docs: DataFrame) -> DataFrame:
 
 def ingest(spark: SparkSession, root: str, whole_file: bool = True,
            fields: Sequence[str] = RECORD_FIELDS) -> tuple[DataFrame, DataFrame]:
-    """(tagged records, skipped files with reasons)."""
-    lst = listing(spark, root)
-    ok = lst.where(F.col("skip_reason").isNull())
+    """(tagged records, skipped files with reasons).
+
+    Tags come from the path of the row itself, in the same scan as the records."""
     docs = read_documents(spark, root, whole_file)
-    recs = records(docs)
-    good = recs.where("is_object")
+    context = path_context(F.col("path"), root)
+    docs = docs.withColumn("skip", context["skip_reason"])
+    recs = records(docs.where("skip is null"))
     cols = [F.try_variant_get("rec", f"$.{f}", "string").alias(f) for f in fields if f not in TAGS]
-    tagged = (good.select("path", "pos", *cols)
-              .join(ok.select("path", *TAGS), "path"))  # context columns overwrite record keys
+    tagged = recs.where("is_object").select("path", "pos", *cols, *[context[t].alias(t) for t in TAGS])
+    lst = listing(spark, root)
     skipped = (lst.where(F.col("skip_reason").isNotNull()).select("path", F.col("skip_reason").alias("reason"))
-               .unionByName(docs.where(F.col("doc").isNull() & (F.length("text") > 0))
+               .unionByName(docs.where(F.col("skip").isNull() & F.col("doc").isNull() & (F.length("text") > 0))
                             .select("path", F.lit("invalid_json").alias("reason")))
                .unionByName(recs.where(~F.col("is_object")).select("path", F.lit("not_object").alias("reason"))))
     return tagged, skipped
