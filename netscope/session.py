@@ -20,6 +20,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # rows that a Python worker holds at once: whole texts are kilobytes each
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
