@@ -12,12 +12,14 @@ a tokenizer), so ``ORACLE_SQL`` is None and the tests compare the stages with br
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netscope.llm import minhash_links, packing, quality_rules, recompression, site_quality
 from netscope.llm.common import table
-from netscope.session import unique_subdir
+from netscope.session import apply_runtime_conf, unique_subdir
 
 ORACLE_SQL = None
 
@@ -64,8 +66,17 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path(packing.VOCABULARY))
 
 
-STAGES = [("quality_rules", rules), ("quality_classifier", classifier), ("near_dedup", near_dedup),
-          ("substring_dedup", substring_dedup), ("packing", sequences)]
+def _stage(function):
+    """The stage under the session settings that all queries run with."""
+    @functools.wraps(function)
+    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return function(apply_runtime_conf(spark), docs, sf_dir)
+    return stage
+
+
+STAGES = [(name, _stage(f)) for name, f in (
+    ("quality_rules", rules), ("quality_classifier", classifier), ("near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup), ("packing", sequences))]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,7 +65,7 @@ def lists(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
 class Recent(dict):
     """``compute(key)``, remembered for the keys seen last: between ``size`` and twice as many."""
 
-    def __init__(self, compute, size: int = 500_000, longest: int = 64):
+    def __init__(self, compute, size: int = 150_000, longest: int = 64):
         super().__init__()
         self.compute, self.size, self.longest, self.before = compute, size, longest, {}
 

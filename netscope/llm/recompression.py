@@ -41,7 +41,7 @@ WINDOW = 20
 ROUNDS, MIN_SPAN = 7, 4
 FILTER_BITS = 1 << 28
 SEGMENT_BITS = 1 << 20
-GROUP_CHARS = 16_000_000
+GROUP_CHARS = 6_000_000
 
 U = np.uint64
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
