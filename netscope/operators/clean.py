@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from netscope.functions.exprs import calendar_parts, epoch_to_ts, finite_or_null, safe_double
+from netscope.functions.exprs import calendar_parts, epoch_to_ts, finite_or_null, pair_na, safe_double
 
 # Alias lists per canonical KPI, first present column wins.
 KPI_ALIASES = {
@@ -73,6 +73,30 @@ def finite_mask(df: DataFrame, target: str) -> DataFrame:
     return df.where(finite_or_null(F.col(target)).isNotNull())
 
 
+def finite_report(df: DataFrame, target: str) -> DataFrame:
+    """how many rows ``finite_mask`` keeps and drops (one aggregate row)."""
+    kept = F.count_if(finite_or_null(F.col(target)).isNotNull())
+    return df.agg(kept.alias("n_kept"), (F.count(F.lit(1)) - kept).alias("n_dropped"))
+
+
+# Where the two sides of each pair are found, first present name wins.
+PAIR_SIDES = {
+    "region_pair": (("camp.region_snd", "region_snd"), ("camp.region_rcv", "region_rcv")),
+    "vm_size_pair": (("camp.size_snd", "size_snd"), ("camp.size_rcv", "size_rcv")),
+    "provider_pair": (("camp.provider_snd", "provider_snd"), ("camp.provider_rcv", "provider_rcv")),
+}
+
+
+def standard_pairs(df: DataFrame) -> DataFrame:
+    """Region, size and provider pairs from nested or flat columns; absent or NULL sides are ``NA``."""
+    known = column_paths(df)
+
+    def side(names):
+        return next((known[n][0] for n in names if n in known), F.lit(None).cast("string"))
+
+    return df.withColumns({pair: pair_na(side(a), side(b)) for pair, (a, b) in PAIR_SIDES.items()})
+
+
 def drop_any_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.na.drop("any", subset=list(cols))
 

@@ -6,10 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _h(key: str, seed: int):
-    return F.xxhash64(F.col(key), F.lit(seed))
-
-
 def digest(key: str, seed: int):
     """Seeded md5 of the key's text: an order that any engine can reproduce."""
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
@@ -26,8 +22,9 @@ def sample_exact(df: DataFrame, n: int, key: str | None = None, seed: int = 42)
 
 
 def hash_split(df: DataFrame, key: str, train_pct: int = 80, seed: int = 42) -> DataFrame:
-    """U4: ``split`` = train/test by a seeded hash bucket (stable under repartition)."""
-    return df.withColumn("split", F.when(F.pmod(_h(key, seed), F.lit(100)) < train_pct, "train").otherwise("test"))
+    """U4: ``split`` = train/test by a seeded digest bucket (stable under repartition)."""
+    bucket = F.conv(F.substring(digest(key, seed), 1, 8), 16, 10).cast("long") % 100
+    return df.withColumn("split", F.when(bucket < train_pct, "train").otherwise("test"))
 
 
 def stratified_split(df: DataFrame, key: str, label: str, train_pct: int = 80, seed: int = 42,

@@ -27,5 +27,5 @@ def query(name: str, sql: str | None = None, views: tuple[str, ...] = ()):
 
 def load_all() -> tuple[dict, dict]:
     """Import every query module (registration happens on import)."""
-    from netscope.plans import catalog, q_metrics, q_models, q_outliers, q_series, q_sources  # noqa: F401
+    from netscope.plans import catalog, q_metrics, q_models, q_outliers, q_roundtrip, q_series, q_sources  # noqa: F401
     return QUERIES, ORACLES
