@@ -36,11 +36,29 @@ def q_gbt_latency(spark, sf):
     return m
 
 
+def _forecast_split(spark, sf):
+    """M4's rows: 12 lags per series (one metric each), chronological 80/20 split per series."""
+    lagged = S.supervised_lags(series(spark, sf), ["exp_id", "metric"], "ts", "event_id", lags=12, horizon=1)
+    return cut_lineage(S.chrono_split(lagged, ["exp_id", "metric"], "ts", "event_id", 0.8))
+
+
+@query("forecast_rows", sql="""
+WITH l AS (SELECT exp_id, metric, event_id, ts, LEAD(value) OVER w AS y, LAG(value, 12) OVER w AS last
+           FROM series WINDOW w AS (PARTITION BY exp_id, metric ORDER BY ts, event_id)),
+r AS (SELECT *, ROW_NUMBER() OVER w AS i, COUNT(*) OVER (PARTITION BY exp_id, metric) AS n
+      FROM l WHERE y IS NOT NULL AND last IS NOT NULL WINDOW w AS (PARTITION BY exp_id, metric ORDER BY ts, event_id))
+SELECT exp_id, metric, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, ROUND(y, 6) AS y_true
+FROM r WHERE i > FLOOR(n * 0.8)""", views=("series",))
+def q_forecast_rows(spark, sf):
+    """The rows that the forecaster is tested on, with what it should have predicted."""
+    return _forecast_split(spark, sf).where(F.col("split") == "test").select(
+        "exp_id", "metric", "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), F.round("y", 6).alias("y_true"))
+
+
 @query("forecast_preview")
 def q_forecast_preview(spark, sf):
-    """M4: pooled forecaster on 12 lags per series (one metric each), chronological 80/20 split per series."""
-    lagged = S.supervised_lags(series(spark, sf), ["exp_id", "metric"], "ts", "event_id", lags=12, horizon=1)
-    split = cut_lineage(S.chrono_split(lagged, ["exp_id", "metric"], "ts", "event_id", 0.8))
+    """M4: pooled forecaster over ``_forecast_split``."""
+    split = _forecast_split(spark, sf)
     lags = [f"lag_{i}" for i in range(1, 13)]
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
