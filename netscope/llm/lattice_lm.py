@@ -287,7 +287,7 @@ def part_of(word: bytes, parts: int) -> int:
 
 
 MESSAGE = ("key {kind}, row bigint, n bigint, known bigint, base double, score double, "
-           "part int, copy int, rows array<bigint>, words binary")
+           "part int, copy int, block bigint, rows array<bigint>, words binary")
 
 
 def _split(docs: DataFrame, key: str, text: str, heavy: dict, parts: int, copies: int, kind: str) -> DataFrame:
@@ -303,11 +303,11 @@ def _split(docs: DataFrame, key: str, text: str, heavy: dict, parts: int, copies
             if schema is None:
                 schema = pa.schema([("key", batch.schema.field(0).type), ("row", pa.int64()), ("n", pa.int64()),
                                     ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()),
-                                    ("part", pa.int32()), ("copy", pa.int32()), ("rows", pa.list_(pa.int64())),
+                                    ("part", pa.int32()), ("copy", pa.int32()), ("block", pa.int64()), ("rows", pa.list_(pa.int64())),
                                     ("words", pa.binary())])
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lo, hi in text_groups(texts, 4_000_000):
-                out = []
+                out, block = [], row
                 sent = [([], []) for _ in range(parts)]
                 for k, t in zip(keys[lo:hi], texts[lo:hi]):
                     words = lower_words(t)
@@ -315,7 +315,7 @@ def _split(docs: DataFrame, key: str, text: str, heavy: dict, parts: int, copies
                     hits = [x for x in found if x is not None]
                     known = sum([x[0] for x in hits])
                     out.append((k, row, len(words) + 1, known, math.fsum([x[1] for x in hits]),
-                                math.fsum([x[2] for x in hits]), None, None, None, None))
+                                math.fsum([x[2] for x in hits]), None, None, None, None, None))
                     if len(hits) < len(words):
                         mine = {}
                         for w, x in zip(words, found):
@@ -328,22 +328,33 @@ def _split(docs: DataFrame, key: str, text: str, heavy: dict, parts: int, copies
                 for p, (rows, lines) in enumerate(sent):
                     if rows:
                         copy = (row + p) % copies
-                        out.append((None, None, None, None, None, None, p, copy, rows, pack.compress(b"\n".join(lines))))
+                        out.append((None, None, None, None, None, None, p, copy, block, rows, pack.compress(b"\n".join(lines))))
                 yield pa.RecordBatch.from_pylist([dict(zip(schema.names, x)) for x in out], schema=schema)
 
     return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(
         run, MESSAGE.format(kind=kind))
 
 
+ANSWER = "block bigint, rows array<bigint>, known array<bigint>, base array<double>, score array<double>"
+
+
 def _answer(messages: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-    """Sums per text of one part of the word table."""
+    """One part of the word table answers its messages, each with sums per text."""
     value = dict(zip(words["word"], zip(words["known"].astype(int), words["base"], words["score"])))
     unpack, out = zstandard.ZstdDecompressor(), []
-    for rows, data in zip(messages["rows"], messages["words"]):
-        for row, line in zip(rows, unpack.decompress(data).split(b"\n")):
+    for block, rows, data in zip(messages["block"], messages["rows"], messages["words"]):
+        sums = []
+        for line in unpack.decompress(data).split(b"\n"):
             known, base, score = zip(*[value[w] for w in line.split(b" ")])
-            out.append((row, sum(known), math.fsum(base), math.fsum(score)))
-    return pd.DataFrame(out, columns=["row", "known", "base", "score"])
+            sums.append((sum(known), math.fsum(base), math.fsum(score)))
+        out.append((block, list(rows), *map(list, zip(*sums))))
+    return pd.DataFrame(out, columns=["block", "rows", "known", "base", "score"])
+
+
+def _block_sums(answers: pd.DataFrame) -> pd.DataFrame:
+    """Sums per text over the answers to one batch's messages."""
+    flat = pd.DataFrame({c: np.concatenate(answers[c].to_numpy()) for c in ("rows", "known", "base", "score")})
+    return flat.groupby("rows", as_index=False).sum().rename(columns={"rows": "row"})
 
 
 def score_texts(docs: DataFrame, train: Column, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -365,8 +376,10 @@ def score_texts(docs: DataFrame, train: Column, path: str, key: str = "doc_id",
         rest = cut_lineage(rest).withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
     else:
         rest = rest.withColumn("copy", F.lit(0))
-    answers = sent.filter("row is null").select("part", "copy", "rows", "words").groupBy("part", "copy").cogroup(
-        rest.groupBy("part", "copy")).applyInPandas(_answer, "row bigint, known bigint, base double, score double")
+    answers = sent.filter("row is null").select("part", "copy", "block", "rows", "words").groupBy("part", "copy").cogroup(
+        rest.groupBy("part", "copy")).applyInPandas(_answer, ANSWER)
+    # a row per message, so that the rows do not multiply with the parts; then a row per text
+    answers = answers.groupBy("block").applyInPandas(_block_sums, "row bigint, known bigint, base double, score double")
     sums = sent.filter("row is not null").select("key", "row", "n", "known", "base", "score").unionByName(
         answers.select(F.lit(None).cast(kind).alias("key"), "row", F.lit(0).cast("bigint").alias("n"), "known",
                        "base", "score"))
