@@ -11,6 +11,10 @@ licence lines), so there only link lists take part in the count.  Counts are par
 (host, subtree); a page gets back only its own recurring subtrees, so a host with a third of all pages
 needs no task of its own.
 
+Words of class, id and role mark an element if a whole word of the attribute consists of them; if only a
+part does (``related-posts``), the element must hold mostly links and less than half of the page.  No word
+drops ``html``, ``body``, ``main``, ``article`` or an element around one of them.
+
 Null and blank pages have an empty text; without a host, pages count under the empty host; repeated
 rows each get their text; an empty table gives an empty result.
 """
@@ -51,38 +55,49 @@ MARKS = frozenset("""ad ads advert adverts advertisement advertising sponsor spo
     sharing social comment comments reply replies disqus footer masthead skip search login complementary
     contentinfo""".split())
 HEADER_MARKS = frozenset(("header", "site-header"))
+# How an element is marked: by its tag or as hidden, by a whole word, by a part of a word.
+KIND, WORD, PART = 1, 2, 3
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r")\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?/][^>]*>", re.S | re.I)
-_ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?=\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
-_WORD = re.compile(r"[a-z]+")
+_ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_INVISIBLE = re.compile(r"display\s*:\s*none")
+_PART = re.compile(r"[a-z]+")
 
 
 class Element:
-    __slots__ = ("tag", "dropped", "content", "hash", "chars", "linked", "first", "mutes")
+    __slots__ = ("tag", "dropped", "content", "hash", "chars", "linked", "first", "mutes", "mark", "at")
 
-    def __init__(self, tag: str, dropped: bool, content: bool, first: int):
-        self.tag, self.dropped, self.content, self.first = tag, dropped, content, first
+    def __init__(self, tag: str, dropped: bool, content: bool, first: int, mark: int = 0, at: int = 0):
+        self.tag, self.dropped, self.content, self.first, self.mark, self.at = tag, dropped, content, first, mark, at
         self.hash = xxhash.xxh3_64(tag.encode())
         self.chars = self.linked = 0
         self.mutes = False  # an inline element whose text is left out of the block around it
 
 
-def _marked(tag: str, attributes: str, in_content: bool) -> bool:
-    """Whether tag or attributes say that an element isn't part of the article."""
+def _marked(tag: str, attributes: str, in_content: bool) -> tuple[int, bool]:
+    """How tag or attributes say that an element isn't part of the article, and whether it is a main element."""
+    main = tag in ("article", "main")
     if tag in NOT_TEXT or (tag == "header" and not in_content):
-        return True
-    if not attributes or "=" not in attributes and "hidden" not in attributes.lower():
-        return False
-    if _HIDDEN.search(attributes):
-        return True
+        return KIND, main
+    if tag in ("html", "body") or not attributes or "=" not in attributes and "hidden" not in attributes.lower():
+        return 0, main
+    mark = 0
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
-        words = set(_WORD.findall((a or b or c).lower()))
-        if words & MARKS or (not in_content and words & HEADER_MARKS):
-            return True
-    return False
+        name, value = name.lower(), (a or b or c).lower()
+        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and _INVISIBLE.search(value):
+            return KIND, main
+        if name not in ("class", "id", "role"):
+            continue
+        main = main or name == "role" and value == "main"
+        for word in value.split():
+            parts = _PART.findall(word)
+            if word in MARKS or (not in_content and word in HEADER_MARKS) or parts and MARKS.issuperset(parts):
+                mark = WORD
+            elif not mark and not MARKS.isdisjoint(parts):
+                mark = PART
+    return 0 if main else mark, main
 
 
 class Page:
@@ -91,11 +106,21 @@ class Page:
     def __init__(self, source: str | None):
         self.blocks: list[tuple[str, bool, bool]] = []   # text, inside article or main, dropped by its kind
         self.subtrees: list[tuple[int, int, int]] = []   # hash, first block, block after the last
+        self._spared: set[int] = set()   # where elements start that hold a main element: no word marks them
+        source, known = source or "", -1
+        while known < len(self._spared):
+            known = len(self._spared)
+            self._read(source)
+
+    def _read(self, source: str) -> None:
+        self.blocks.clear()
+        self.subtrees.clear()
         self.has_content = False
         self._parts: list[str] = []
+        self._partly: list[tuple[int, int, int]] = []   # first block, block after the last, letters
         root = Element("", False, False, 0)
         self._stack, self._links, self._muted = [root], 0, 0
-        at, source = 0, source or ""
+        at = 0
         for m in _TOKEN.finditer(source):
             if m.start() > at:
                 self._text(source[at:m.start()])
@@ -106,12 +131,15 @@ class Page:
             if m[2]:
                 self._close(tag)
             else:
-                self._open(tag, m[4])
+                self._open(tag, m[4], m.start())
         if at < len(source):
             self._text(source[at:])
         while len(self._stack) > 1:
             self._pop()
         self._flush()
+        for a, b, chars in self._partly:
+            if 2 * chars < root.chars:
+                self.blocks[a:b] = [(t, content, True) for t, content, _ in self.blocks[a:b]]
 
     def _text(self, raw: str) -> None:
         if self._muted:
@@ -132,7 +160,7 @@ class Page:
             top.linked += self._links
         self._links = 0
 
-    def _open(self, tag: str, attributes: str) -> None:
+    def _open(self, tag: str, attributes: str, at: int) -> None:
         if tag == "p" or tag in BLOCK:
             self._flush()
             if any(e.tag == "p" for e in self._stack):
@@ -147,17 +175,27 @@ class Page:
             return
         top = self._stack[-1]
         if tag not in BLOCK:
-            drops = tag in NOT_TEXT or (attributes and _marked(tag, attributes, top.content))
+            mark = KIND if tag in NOT_TEXT else _marked(tag, attributes, top.content)[0] if attributes else 0
+            drops = mark == KIND or mark == WORD and at not in self._spared
             if tag == "a" or drops:
-                new = Element(tag, top.dropped, top.content, len(self.blocks))
-                new.mutes = bool(drops)
+                new = Element(tag, top.dropped, top.content, len(self.blocks), mark if drops else 0, at)
+                new.mutes = drops
                 self._muted += new.mutes
                 self._stack.append(new)
             return
-        dropped = top.dropped or _marked(tag, attributes, top.content)
-        content = top.content or (not dropped and (tag in ("article", "main") or "role=\"main\"" in attributes))
+        mark, main = _marked(tag, attributes, top.content)
+        if main or tag in ("html", "body"):
+            for e in self._stack:
+                if e.mark == WORD:
+                    self._spared.add(e.at)
+                elif e.mark == PART:
+                    e.mark = 0
+        if mark == WORD and at in self._spared:
+            mark = 0
+        dropped = top.dropped or mark in (KIND, WORD)
+        content = top.content or (not dropped and main)
         self.has_content |= content
-        self._stack.append(Element(tag, dropped, content, len(self.blocks)))
+        self._stack.append(Element(tag, dropped, content, len(self.blocks), mark, at))
 
     def _end(self, tags: tuple[str, ...], boundary: tuple[str, ...]) -> None:
         """Closes the innermost open element of ``tags`` unless a boundary element lies above it."""
@@ -189,6 +227,8 @@ class Page:
         if top.chars and top.tag in BLOCK and top.tag not in ("body", "html", "article", "main") and top.first < len(self.blocks):
             if not top.content or 2 * top.linked > top.chars:
                 self.subtrees.append((top.hash.intdigest() - 2 ** 63, top.first, len(self.blocks)))
+        if top.mark == PART and 2 * top.linked > top.chars:
+            self._partly.append((top.first, len(self.blocks), top.chars))
 
     def text(self, recurring: set[int]) -> str:
         """Text without the recurring subtrees."""

@@ -63,3 +63,20 @@ def test_given_pages(spark):
         article = re.search(r"<article>(.*?)(</article>|$)", pages[r["page_id"]], re.S)[1]
         blocks = [" ".join(html.unescape(re.sub(r"</?b>", "", x)).split()) for x in re.split(r"</?(?:p|h1)>", article.replace("<br>", " "))]
         assert r["text"] == "\n".join(x for x in blocks if x)
+
+
+def test_marking_words_never_drop_the_page():
+    """Parts of class words and other attributes say nothing; what holds the article isn't dropped by a word."""
+    inner = "<article><p>the story</p></article>"
+    for page in ('<body class="no-sidebar">' + inner, '<div class="content-with-sidebar">' + inner,
+                 '<main class="main has-banner"><p>the story</p></main>', '<article class="post share-enabled"><p>the story',
+                 '<article class="promo"><p>the story', '<html class="popup"><body id="search"><p>the story',
+                 f'<div class="widget"><div id="sidebar"><p>menu</p>{inner}</div></div>', f'<span class="promo">{inner}</span>',
+                 '<article data-post-id="promo-1" data-role="ad"><p data-class="ad">the story',
+                 '<div class="popup"><div role="main" class="banner"><p>the story</div></div>',
+                 '<article><div class="has-banner"><p>the story</p></div><p class="skip-nav">x</p><div id="comments">troll</div></article>'):
+        assert text(page) == "the story", page
+    links = "<ul><li><a href=a>one other</a><li><a href=b>two other</a></ul>"
+    story = "<p>" + "the long story " * 9 + "</p>"
+    assert text(f'<article>{story}<div class="related-posts">{links}</div></article>') == ("the long story " * 9).strip()
+    assert text(f'<article><div class="related-posts">{links}</div></article>') == "one other\ntwo other"
