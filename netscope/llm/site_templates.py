@@ -1,20 +1,23 @@
 """Main text of web pages by removal of site templates.
 
 Every element subtree of a page is hashed (tag, text, child hashes).  Spark counts, per host, on how
-many pages each subtree occurs; subtrees that recur on many pages of their host are the site's template
-and are deleted.  What remains is read block by block, without the elements whose kind marks them as
-something else than the article (menus, forms, scripts, comments ...), and within ``article``/``main``
-where a page has one.
+many distinct pages each subtree occurs; subtrees that stand on ``MIN_PAGES`` of them are the site's
+template and are deleted.  What remains is read block by block, without the elements whose kind marks
+them as something else than the article (menus, forms, scripts, comments ...), and within
+``article``/``main`` where a page has one.
 
-Text blocks of an ``article``/``main`` are content even if several pages of a host share them (copies,
-licence lines), so there only link lists take part in the count.  Counts are partial aggregates per
-(host, subtree); a page gets back only its own recurring subtrees, so a host with a third of all pages
-needs no task of its own.
+The number is absolute, so it does not depend on the size of a host, and what recurs in one section of a
+host recurs on the host.  Pages of a host whose texts are equal count once.  Blocks of an
+``article``/``main`` take part like all others; but where more than half of an article's blocks and of
+its letters recur, the page is a copy of an article with changes, and only its link lists go.
 
 Words of class, id and role mark an element if a whole word of the attribute consists of them; if only a
 part does (``related-posts``), the element must hold mostly links and less than half of the page.  No word
 drops ``html``, ``body``, ``main``, ``article`` or an element around one of them.
 
+A batch sends at most ``MIN_PAGES`` rows per (host, subtree) to the count, and a page gets back only its
+own recurring subtrees, so a host with a third of all pages needs no task of its own.
+
 Null and blank pages have an empty text; without a host, pages count under the empty host; repeated
 rows each get their text; an empty table gives an empty result.
 """
@@ -25,6 +28,7 @@ import html as htmllib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +37,7 @@ from pyspark.sql import functions as F
 from netscope.llm.common import table
 
 NAME = "op7_site_templates"
-MIN_PAGES, MIN_SHARE = 4, 0.2
+MIN_PAGES = 4
 
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -105,7 +109,7 @@ class Page:
 
     def __init__(self, source: str | None):
         self.blocks: list[tuple[str, bool, bool]] = []   # text, inside article or main, dropped by its kind
-        self.subtrees: list[tuple[int, int, int]] = []   # hash, first block, block after the last
+        self.subtrees: list[tuple[int, int, int, bool]] = []   # hash, first block, block after the last, mostly links
         self._spared: set[int] = set()   # where elements start that hold a main element: no word marks them
         source, known = source or "", -1
         while known < len(self._spared):
@@ -224,59 +228,102 @@ class Page:
         parent.hash.update(top.hash.digest())
         parent.chars += top.chars
         parent.linked += top.linked
-        if top.chars and top.tag in BLOCK and top.tag not in ("body", "html", "article", "main") and top.first < len(self.blocks):
-            if not top.content or 2 * top.linked > top.chars:
-                self.subtrees.append((top.hash.intdigest() - 2 ** 63, top.first, len(self.blocks)))
-        if top.mark == PART and 2 * top.linked > top.chars:
-            self._partly.append((top.first, len(self.blocks), top.chars))
+        if top.chars and top.tag in BLOCK and top.first < len(self.blocks):
+            links = 2 * top.linked > top.chars
+            if top.tag not in ("body", "html", "article", "main"):
+                self.subtrees.append((top.hash.intdigest() - 2 ** 63, top.first, len(self.blocks), links))
+            if top.mark == PART and links:
+                self._partly.append((top.first, len(self.blocks), top.chars))
+
+    def visible(self) -> list[bool]:
+        """Which blocks are read if nothing recurs."""
+        return [not dropped and (content or not self.has_content) for _, content, dropped in self.blocks]
+
+    def body(self) -> int:
+        """Hash of the text if nothing recurs."""
+        return xxhash.xxh3_64_intdigest(self.text(set()).encode("utf-8", "surrogatepass")) - 2 ** 63
+
+    def removable(self) -> set[int]:
+        """Subtrees with a block that is read if nothing recurs."""
+        before = [0]
+        for v in self.visible():
+            before.append(before[-1] + v)
+        return {h for h, a, b, _ in self.subtrees if before[b] > before[a]}
 
     def text(self, recurring: set[int]) -> str:
         """Text without the recurring subtrees."""
-        gone = [d for _, _, d in self.blocks]
-        for h, a, b in self.subtrees:
+        read = self.visible()
+        shared = [False] * len(read)
+        for h, a, b, links in self.subtrees:
             if h in recurring:
-                gone[a:b] = [True] * (b - a)
-        return "\n".join(t for (t, content, _), x in zip(self.blocks, gone) if not x and (content or not self.has_content))
+                if links or not any(content for _, content, _ in self.blocks[a:b]):
+                    read[a:b] = [False] * (b - a)
+                else:
+                    shared[a:b] = [True] * (b - a)
+        if any(shared):
+            sizes = [len(t) * r for (t, _, _), r in zip(self.blocks, read)]
+            again = [n for n, x in zip(sizes, shared) if n and x]
+            copy = 2 * len(again) > sum(read) and 2 * sum(again) > sum(sizes)
+            read = [r and (copy or not x) for r, x in zip(read, shared)]
+        return "\n".join(t for (t, _, _), r in zip(self.blocks, read) if r)
 
 
 def _host(url: str):
     return F.coalesce(F.lower(F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
 
 
-def subtrees(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
-    """``key, host, tree``: the hashed subtrees of every page, each once per page."""
-    kind = pages.schema[key].dataType.simpleString()
+def _pages(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
+    return pages.select(F.col(key).alias("key"), F.xxhash64(_host(url)).alias("host"), F.col(html).alias("html"))
+
+
+def recurring(pages: DataFrame, key: str, url: str, html: str, min_pages: int) -> DataFrame:
+    """``tree`` (hash of host and subtree) of the subtrees on at least ``min_pages`` distinct pages of their host."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            trees = [sorted({h for h, _, _ in Page(x.as_py()).subtrees}) for x in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(trees, pa.list_(pa.int64()))],
-                                             names=["key", "host", "trees"])
-
-    return pages.select(F.col(key).alias("key"), _host(url).alias("host"), F.col(html).alias("html")).mapInArrow(
-        run, f"key {kind}, host string, trees array<bigint>").select("key", "host", F.explode("trees").alias("tree"))
+            trees, bodies = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for host, x in zip(batch.column(1).to_pylist(), batch.column(2)):
+                page = Page(x.as_py())
+                trees.append(np.array([h for h, *_ in page.subtrees], np.int64) ^ host)
+                bodies.append(np.full(len(trees[-1]), page.body(), np.int64))
+            rows = np.unique(np.stack([np.concatenate(trees), np.concatenate(bodies)], 1), axis=0)
+            first = np.searchsorted(rows[:, 0], rows[:, 0])
+            rows = rows[np.arange(len(rows)) - first < min_pages]  # more of them say no more
+            yield pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1])], names=["tree", "body"])
+
+    found = _pages(pages, key, url, html).mapInArrow(run, "tree bigint, body bigint")
+    return found.repartition("tree").groupBy("tree").agg(F.countDistinct("body").alias("n")).filter(
+        F.col("n") >= min_pages).select("tree")
+
+
+def removable(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
+    """``key, tree``: the subtrees of every page that are read if they don't recur."""
+    kind = pages.schema[key].dataType.simpleString()
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            trees = [np.array(sorted(Page(x.as_py()).removable()), np.int64) ^ host
+                     for host, x in zip(batch.column(1).to_pylist(), batch.column(2))]
+            rows = np.repeat(np.arange(len(trees)), [len(t) for t in trees])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array(
+                np.concatenate([np.zeros(0, np.int64), *trees]))], names=["key", "tree"])
 
-def recurring(found: DataFrame, pages: DataFrame, url: str, min_pages: int, min_share: float) -> DataFrame:
-    """``host, tree`` of the subtrees that recur on many pages of their host."""
-    sizes = pages.groupBy(_host(url).alias("host")).agg(F.count("*").alias("pages"))
-    counts = found.groupBy("host", "tree").agg(F.count("*").alias("n")).filter(F.col("n") >= min_pages)
-    return counts.join(sizes, "host").filter(F.col("n") >= min_share * F.col("pages")).select("host", "tree")
+    return _pages(pages, key, url, html).mapInArrow(run, f"key {kind}, tree bigint")
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html",
-            min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+            min_pages: int = MIN_PAGES) -> DataFrame:
     """``key, url, text, n_chars`` of every page."""
     kind = pages.schema[key].dataType.simpleString()
-    found = subtrees(pages, key, url, html)
-    template = recurring(found, pages, url, min_pages, min_share)
-    mine = found.join(template, ["host", "tree"]).groupBy("key").agg(F.collect_set("tree").alias("trees"))
+    template = recurring(pages, key, url, html, min_pages)
+    mine = removable(pages, key, url, html).join(template, "tree").groupBy("key").agg(F.collect_set("tree").alias("trees"))
     rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(html).alias("html")).join(
-        mine, "key", "left").select("key", "url", "html", "trees")
+        mine, "key", "left").select("key", "url", "html", "trees", F.xxhash64(_host("url")).alias("host"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [Page(x.as_py()).text(set(t.as_py() or ())) for x, t in zip(batch.column(2), batch.column(3))]
+            texts = [Page(x.as_py()).text({t ^ host for t in trees.as_py() or ()}) for x, trees, host in zip(
+                batch.column(2), batch.column(3), batch.column(4).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], names=["key", "url", "text", "n_chars"])

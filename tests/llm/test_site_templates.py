@@ -80,3 +80,24 @@ def test_marking_words_never_drop_the_page():
     story = "<p>" + "the long story " * 9 + "</p>"
     assert text(f'<article>{story}<div class="related-posts">{links}</div></article>') == ("the long story " * 9).strip()
     assert text(f'<article><div class="related-posts">{links}</div></article>') == "one other\ntwo other"
+
+
+def test_blocks_inside_articles_recur(spark):
+    """On a host of any size; copies of an article aren't counted and changed copies keep their text."""
+    notice = "<div><p>Read all of it in our paper</p></div>"
+    story = lambda i: f"<h1>Title {i}</h1><p>story {i} told in some {i} words</p><p>and an end {i}</p>"
+    rows = [(i, f"http://one.org/a/{i}", f"<article>{story(i)}{notice if i < 8 else ''}</article>") for i in range(100)]
+    rows += [(200 + i, f"http://one.org/b/{i}", f"<p>plain story {i}</p>" + (notice if i < 5 else "")) for i in range(50)]
+    rows += [(300 + i, f"http://two.org/{i}", f"<article>{story(0)}{notice}</article>") for i in range(9)]
+    version = "".join(f"<p>paragraph {k} of a long report</p>" for k in range(8))
+    rows += [(400 + i, "http://three.org/x", f"<article>{version}<p>as of {i} o'clock</p></article>") for i in range(9)]
+    got = {r["page_id"]: r["text"] for r in S.extract(
+        spark.createDataFrame(rows, "page_id long, url string, html string").repartition(7)).collect()}
+    assert len(got) == len(rows)
+    for i, t in got.items():
+        if i < 100:
+            assert t == text(f"<article>{story(i)}</article>")
+        elif i < 300:
+            assert t == f"plain story {i - 200}"
+        else:
+            assert t == text(next(r[2] for r in rows if r[0] == i))
