@@ -77,6 +77,18 @@ def q_table_fingerprint(spark, sf):
     return fingerprint(e).select("n_rows", "content_hash")
 
 
+@query("table_fingerprint_all")
+def q_table_fingerprint_all(spark, sf):
+    """Fingerprint of every column of the whole tables, with the schema's hash (no SQL: engines print
+    floating-point numbers and times differently)."""
+    from netscope.operators.lineage import fingerprint
+    out = None
+    for t in ("lineitem", "events"):
+        f = fingerprint(table(spark, sf, t)).select(F.lit(t).alias("table_name"), "*")
+        out = f if out is None else out.unionByName(f)
+    return out
+
+
 @query("sample_exact", sql="""
 SELECT event_id, user_id, event_type, value FROM events
 ORDER BY md5('42:' || event_id::VARCHAR), event_id LIMIT 1000""")

@@ -161,6 +161,31 @@ def test_splits_and_fingerprint(spark):
     assert f1 == f2
 
 
+def test_registered_fingerprint_covers_every_column(spark, tmp_path):
+    from netscope.plans.registry import load_all
+    whole = load_all()[0]["table_fingerprint_all"]
+    tables = {t: spark.read.parquet(f"{SF_SMALL}/{t}.parquet").limit(50) for t in ("lineitem", "events")}
+    runs = iter(range(100))
+
+    def marks(**changed):
+        sf = f"{tmp_path}/{next(runs)}"
+        for t, df in {**tables, **changed}.items():
+            df.write.parquet(f"{sf}/{t}.parquet")
+        return {r["table_name"]: (r["n_rows"], r["content_hash"], r["schema_hash"]) for r in whole(spark, sf).collect()}
+
+    tables = {t: spark.createDataFrame(df.collect(), df.schema) for t, df in tables.items()}
+    base = marks()
+    assert {t: n for t, (n, _, _) in base.items()} == {"lineitem": 50, "events": 50}
+    assert marks(events=tables["events"].repartition(3)) == base
+    for t, df in tables.items():
+        key = F.struct(*df.columns) == df.agg(F.max(F.struct(*df.columns)).alias("k")).scalar()
+        for c in df.columns:
+            got = marks(**{t: df.withColumn(c, F.when(~key, F.col(c)))})
+            assert got[t][1] != base[t][1] and got[t][2] == base[t][2], c
+        renamed = marks(**{t: df.withColumnRenamed(df.columns[-1], "other")})
+        assert renamed[t][1] == base[t][1] and renamed[t][2] != base[t][2]
+
+
 def test_lag_plan_has_no_single_partition(spark):
     s = spark.read.parquet(f"{SF_SMALL}/events.parquet").select(
         F.col("user_id").alias("exp_id"), "ts", "value", "event_id")
