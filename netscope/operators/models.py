@@ -25,13 +25,13 @@ from netscope.operators.quantiles import exact_quantiles_long
 from netscope.operators.sampling import hash_split, stratified_split
 from netscope.session import cut_lineage
 
-# The reference's task presets (trees, depth, rates, seed).
+# The reference's task presets (trees, depth, rates, seed); its unlimited depth is Spark's limit of 30.
 PRESETS = {
     "throughput_rf": dict(numTrees=300, maxDepth=30, seed=42),
     "latency_gbt": dict(maxIter=200, stepSize=0.05, maxDepth=5, seed=42),
     "forecast_rf": dict(numTrees=300, maxDepth=30, seed=42),
-    "class_rf": dict(numTrees=200, seed=42),
-    "tier_rf": dict(numTrees=400, seed=42),
+    "class_rf": dict(numTrees=200, maxDepth=30, seed=42),
+    "tier_rf": dict(numTrees=400, maxDepth=30, seed=42),
 }
 
 

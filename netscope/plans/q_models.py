@@ -1,7 +1,6 @@
 """Registered model queries (rows-only checks: tree ensembles have no SQL oracle).
 
-Tree counts and depths here are small presets so every query runs in seconds;
-the reference's full presets live in ``operators.models.PRESETS``.
+Every query trains the reference's model of its task (``operators.models.PRESETS``).
 """
 
 from __future__ import annotations
@@ -19,12 +18,12 @@ from netscope.session import cut_lineage
 NUM = ["delay_mean", "loss_mean", "granularity_snd", "granularity_rcv", "target_bwd"]
 CAT = ["provider", "proto", "region_snd", "region_rcv"]
 KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "delay_mean", "tput_mean", "target_bwd"]
-SMALL_RF = dict(numTrees=10, maxDepth=6, seed=42)
 
 
 @query("rf_throughput")
 def q_rf_throughput(spark, sf):
-    _, _, m = Mo.regression_task(ship(spark, sf), "tput_mean", NUM, CAT, KEY, "rf", SMALL_RF)
+    _, _, m = Mo.regression_task(ship(spark, sf), "tput_mean", NUM, CAT, KEY, "rf",
+                                 Mo.PRESETS["throughput_rf"])
     return m
 
 
@@ -32,7 +31,7 @@ def q_rf_throughput(spark, sf):
 def q_gbt_latency(spark, sf):
     num = ["tput_mean", "loss_mean", "granularity_snd", "granularity_rcv", "target_bwd"]
     _, _, m = Mo.regression_task(ship(spark, sf), "delay_mean", num, CAT, KEY, "gbt",
-                                 dict(maxIter=10, stepSize=0.1, maxDepth=4, seed=42))
+                                 Mo.PRESETS["latency_gbt"])
     return m
 
 
@@ -64,7 +63,8 @@ def q_forecast_preview(spark, sf):
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import RandomForestRegressor
     pipe = Pipeline(stages=[VectorAssembler(inputCols=lags, outputCol="features"),
-                            RandomForestRegressor(labelCol="y", featuresCol="features", **SMALL_RF)])
+                            RandomForestRegressor(labelCol="y", featuresCol="features", featureSubsetStrategy="all",
+                                                  **Mo.PRESETS["forecast_rf"])])
     model = pipe.fit(split.where(F.col("split") == "train"))
     pred = model.transform(split.where(F.col("split") == "test"))
     return pred.select("exp_id", "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"),
@@ -83,26 +83,28 @@ def _ship_labels(spark, sf):
 @query("rf_performance_class")
 def q_rf_performance_class(spark, sf):
     _, _, rep = Mo.classification_task(_ship_labels(spark, sf), "performance_class", NUM + ["tput_mean"], CAT, KEY,
-                                       SMALL_RF, rare_into="Good")
+                                       Mo.PRESETS["class_rf"], rare_into="Good")
     return rep
 
 
 @query("rf_slo_tier")
 def q_rf_slo_tier(spark, sf):
-    _, _, rep = Mo.classification_task(_ship_labels(spark, sf), "slo_tier", NUM + ["tput_mean"], CAT, KEY, SMALL_RF)
+    _, _, rep = Mo.classification_task(_ship_labels(spark, sf), "slo_tier", NUM + ["tput_mean"], CAT, KEY,
+                                       Mo.PRESETS["tier_rf"])
     return rep
 
 
 @query("rf_provider")
 def q_rf_provider(spark, sf):
     cat = ["proto", "region_snd", "region_rcv", "size_snd", "size_rcv"]
-    _, _, rep = Mo.classification_task(ship(spark, sf), "provider", NUM + ["tput_mean"], cat, KEY, SMALL_RF)
+    _, _, rep = Mo.classification_task(ship(spark, sf), "provider", NUM + ["tput_mean"], cat, KEY,
+                                       Mo.PRESETS["class_rf"])
     return rep
 
 
 @query("feature_importance")
 def q_feature_importance(spark, sf):
     num = NUM + ["tput_mean"]
-    model, _, _ = Mo.classification_task(_ship_labels(spark, sf), "performance_class", num, CAT, KEY, SMALL_RF,
-                                         rare_into="Good")
+    model, _, _ = Mo.classification_task(_ship_labels(spark, sf), "performance_class", num, CAT, KEY,
+                                         Mo.PRESETS["class_rf"], rare_into="Good")
     return Mo.feature_importance(model, spark, 10)

@@ -193,6 +193,33 @@ def test_lag_plan_has_no_single_partition(spark):
     assert "SinglePartition" not in plan
 
 
+class _Trained(Exception):
+    pass
+
+
+@pytest.mark.parametrize("name, params", [
+    ("rf_throughput", dict(numTrees=300, maxDepth=30)), ("gbt_latency", dict(maxIter=200, stepSize=0.05, maxDepth=5)),
+    ("forecast_preview", dict(numTrees=300, maxDepth=30)), ("rf_performance_class", dict(numTrees=200, maxDepth=30)),
+    ("rf_slo_tier", dict(numTrees=400, maxDepth=30)), ("rf_provider", dict(numTrees=200, maxDepth=30)),
+    ("feature_importance", dict(numTrees=200, maxDepth=30))])
+def test_registered_models_are_whole(spark, monkeypatch, name, params):
+    """The estimator that each query trains (it isn't trained here)."""
+    from pyspark.ml import Pipeline
+    from netscope.plans.registry import load_all
+
+    def fit(self, df):
+        raise _Trained(self.getStages()[-1])
+
+    query = load_all()[0][name]
+    monkeypatch.setattr(Pipeline, "fit", fit)
+    with pytest.raises(_Trained) as caught:
+        query(spark, SF_SMALL)
+    est = caught.value.args[0]
+    assert {k: est.getOrDefault(k) for k in params} == params and est.getSeed() == 42
+    assert est.getFeatureSubsetStrategy() == ("sqrt" if "Classifier" in type(est).__name__ else "all")
+    assert est.getMinInstancesPerNode() == 1 and est.getSubsamplingRate() == 1.0
+
+
 def test_model_roundtrip(spark, workdir):
     from netscope.operators import models as Mo
     rng = np.random.default_rng(5)
