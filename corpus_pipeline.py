@@ -41,12 +41,12 @@ def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest ``doc_id``, of each group of near copies."""
+    """One document, the smallest ``doc_id``, of each group of near copies (5-word shingles, similarity 0.8)."""
     again = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
     if not again.isEmpty():
         whole = docs.filter("doc_id is not null").dropDuplicates(["doc_id", "text"])
         docs = whole.unionByName(docs.filter("doc_id is null"))
-    copies = minhash_links.classes(docs).filter("not kept").select("doc_id").distinct()
+    copies = minhash_links.classes(docs, words=5).filter("not kept").select("doc_id").distinct()
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
 
 

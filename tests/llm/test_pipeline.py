@@ -60,3 +60,18 @@ def test_stages_on_edge_rows(spark, make_docs, edge_rows):
         assert stage(spark, make_docs([]), SF_SMALL).count() == 0
     assert packing.TIERS[0] == 2048 and public_tokenizers.path(packing.VOCABULARY)
     assert set(quality_rules.RULES) >= set(quality_rules.BASE_RULES)
+
+
+def test_near_dedup_takes_five_words(spark, make_docs):
+    """Spread changes that leave 0.8 of the four-word shingles but fewer of the five-word ones are no copy."""
+    base = [f"w{i}" for i in range(200)]
+
+    def changed(places):
+        return " ".join(f"x{i}" if i in places else w for i, w in enumerate(base))
+
+    rows = [(1, " ".join(base)), (2, changed((20, 60, 100, 140, 180))), (3, changed((10, 50, 90, 130)))]
+    alike = lambda a, b, k: len(near.sets(a, k) & near.sets(b, k)) / len(near.sets(a, k) | near.sets(b, k))
+    assert alike(rows[0][1], rows[1][1], 4) >= 0.8 > alike(rows[0][1], rows[1][1], 5)
+    assert alike(rows[0][1], rows[2][1], 5) >= 0.8 > alike(rows[1][1], rows[2][1], 4)
+    out = dict(C.STAGES)["near_dedup"](spark, make_docs(rows), SF_SMALL)
+    assert sorted(r["doc_id"] for r in out.collect()) == [1, 2]
