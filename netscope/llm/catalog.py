@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from netscope.llm import (byte_bpe, itq_neighbors, language_id, lattice_lm, minhash_links, packing,
+from netscope.llm import (byte_bpe, itq_neighbors, language_id, lattice_lm, line_dedup, minhash_links, packing,
                           quality_rules, recompression, site_quality, site_templates)
 
 MODULES = (recompression, site_quality, packing, language_id, lattice_lm, quality_rules, site_templates, byte_bpe,
-           itq_neighbors, minhash_links)
+           itq_neighbors, minhash_links, line_dedup)
 QUERIES = {m.NAME: m.query for m in MODULES}
 ORACLES = {m.NAME: m.ORACLE for m in MODULES if getattr(m, "ORACLE", None)}
