@@ -1,8 +1,8 @@
 """Phrase collocations from FM-indexes over word ids, one per shard of the corpus.
 
-1. Each task turns its texts into shards of some ``SHARD_TOKENS`` word ids, with 0 between pieces.  Spark sums
-   the words' counts; only words that are frequent in the whole corpus can stand in a candidate, so all others
-   become breaks.
+1. Each task turns its texts into shards of at most some ``SHARD_TOKENS`` word ids, with 0 between pieces.  Spark
+   sums the words' counts and gives every shard back those of its words that are frequent in the corpus; no other
+   word can stand in a candidate, so all others become breaks.
 2. Each shard extends its words to the right and sends its word pairs with their counts; Spark sums them and
    gives every shard back those of its pairs that are frequent in the corpus.
 3. Each shard keeps the stretches whose neighbouring words are all frequent pairs, builds a bidirectional index
@@ -10,7 +10,7 @@
    phrases up to ``MAX_WORDS`` words, extending intervals on either side in turn.  Spark sums the counts.
 
 A phrase that is frequent has only frequent parts, so nothing that counts is ever left out, and the counts are
-exact.  A hot word or pair costs one row per shard.  The rest is joins and aggregates over the frequent phrases,
+exact.  A hot word or pair costs one row per shard, however often it stands there.  The rest is joins and aggregates over the frequent phrases,
 of which there are at most (phrases of the corpus) / ``min_count``: cuts, the drop of phrases that a longer one
 accounts for (it is enough to look at those one word longer, because counts fall with length) and the ranks.
 
@@ -26,6 +26,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -37,8 +38,11 @@ from netscope.session import cut_lineage, unique_subdir
 NAME = "op11_phrase_index"
 MAX_WORDS, MIN_COUNT, TOP = 5, 100, 2000
 UNKNOWN = "und"
-SHARD_TOKENS = 1 << 21
+SHARD_TOKENS = 1 << 23
 SEGMENT_BYTES = 1 << 22
+BLOCK_ROWS = 1 << 20
+# a word's number in the corpus: that of its first shard (task and place in it), then its id there
+SHARD_BITS, ID_BITS = 12, 26
 
 # Capital letters become small ones, these characters end a piece, a tab separates words like a blank.
 _FROM = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + b"\t" + b".,;:!?\x0b\x0c\r"
@@ -88,12 +92,14 @@ def single_breaks(ids: np.ndarray) -> np.ndarray:
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows ``shard, body`` (word ids) and rows ``shard, lang, word, id, n`` (words of the shard)."""
     names = ["shard", "body", "lang", "word", "id", "n"]
-    number = TaskContext.get().partitionId() << 24
+    number = TaskContext.get().partitionId() << SHARD_BITS
     words: dict[str, _Ids] = {}
     counter, parts, size = [0], [], 0
 
     def flush() -> Iterator[pa.RecordBatch]:
         nonlocal number, size
+        if counter[0] >> ID_BITS or number >> SHARD_BITS != TaskContext.get().partitionId():
+            raise ValueError("too many words for a shard or shards for a task: split the input finer")
         ids = single_breaks(np.concatenate(parts))
         n = np.bincount(ids, minlength=counter[0] + 1)
         null = lambda kind, k=1: pa.nulls(k, kind)
@@ -138,8 +144,11 @@ class Half:
             rank = np.empty_like(key)
             rank[order] = np.cumsum(np.diff(key[order], prepend=key[order[0]]) != 0)
             covered *= 2
+            del key
+        del rank
         #: symbol before each row's suffix, and the row of the suffix that starts with it
         self.before = text[order - 1]
+        del order
         by_symbol = np.argsort(self.before, kind="stable")
         self.to = np.empty(len(text), np.int32)
         self.to[by_symbol] = np.arange(len(text), dtype=np.int32)
@@ -167,11 +176,17 @@ class Index:
         return symbol[:, None], start[symbol], start[symbol], n[symbol]
 
     def extend(self, phrases: tuple, right: bool) -> tuple:
-        """The phrases that are one word longer on the given side.
-
-        To the right, the rows of the reversed phrase show the words that follow; words in their order cut the
-        phrase's own interval into those of the longer ones.  To the left it is the other way round.
-        """
+        """The phrases that are one word longer on the given side, some ``BLOCK_ROWS`` rows of the index at a time."""
+        n = phrases[3]
+        block = (np.cumsum(n) - n) // BLOCK_ROWS
+        cuts = np.flatnonzero(np.diff(block)) + 1
+        parts = [self._extend(tuple(x[lo:hi] for x in phrases), right)
+                 for lo, hi in zip([0, *cuts], [*cuts, len(n)])]
+        return tuple(np.concatenate(x) for x in zip(*parts))
+
+    def _extend(self, phrases: tuple, right: bool) -> tuple:
+        """To the right, the rows of the reversed phrase show the words that follow; words in their order cut the
+        phrase's own interval into those of the longer ones.  To the left it is the other way round."""
         words, lo, lo_reversed, n = phrases
         half, here, there = (self.backward, lo_reversed, lo) if right else (self.forward, lo, lo_reversed)
         first = np.cumsum(n) - n
@@ -183,7 +198,8 @@ class Index:
         key = key[order]
         at = np.flatnonzero(np.diff(key, prepend=-1))
         count = np.diff(at, append=len(key))
-        at, count = (x[symbol[order[at]] > 0] for x in (at, count))
+        real = symbol[order[at]] > 0
+        at, count = at[real], count[real]
         parent, begin = node[order[at]], order[at]
         new = symbol[begin][:, None]
         inner = half.to[rows[begin]].astype(np.int64)
@@ -204,27 +220,24 @@ def phrases(text: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, np.nda
         yield found[0], found[3]
 
 
-def _pairs(texts: pa.Table, ids: pa.Table) -> pa.Table:
-    """A shard's text over frequent words only (``body, names``) and its word pairs (``w1, w2, n``)."""
-    out = {"shard": [], "body": [], "names": [], "w1": [], "w2": [], "n": []}
-    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-    if len(texts) and len(ids):
-        shard = texts["shard"][0].as_py()
-        old = unpack(texts["body"][0].as_py(), np.int32)
-        names, first = np.unique(ids["wid"].to_numpy(), return_index=True)
-        code = np.zeros(int(old.max()) + 1, np.int32)
-        code[ids["id"].to_numpy()[first]] = np.arange(1, len(names) + 1)
-        text = single_breaks(code[old])
-        out = {"shard": [shard], "body": [pack(text)], "names": [pack(names)], "w1": [None], "w2": [None], "n": [None]}
-        for words, n in phrases(text, 2):
-            pass
-        if text.any():
-            k = len(n)
-            rest = [pa.array(np.full(k, shard)), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()),
-                    pa.array(names[words[:, 0] - 1]), pa.array(names[words[:, 1] - 1]), pa.array(n.astype(np.int64))]
-            head = pa.table([pa.array(v, t) for v, t in zip(out.values(), kinds)], names=list(out))
-            return pa.concat_tables([head, pa.table(rest, names=list(out))]).combine_chunks()
-    return pa.table([pa.array(v, t) for v, t in zip(out.values(), kinds)], names=list(out))
+def recode(body: bytes, ids: np.ndarray, wids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A shard's text over its frequent words, numbered from 1 in the order of their corpus numbers; those."""
+    text = unpack(body, np.int32)
+    order = np.argsort(wids)
+    code = np.zeros(int(text.max(initial=0)) + 1, np.int32)
+    code[ids[order]] = np.arange(1, len(order) + 1)
+    return single_breaks(code[text]), wids[order]
+
+
+def _pairs(texts: pa.Table, words: pa.Table) -> pa.Table:
+    """``shard, w1, w2, n``: the pairs of frequent words in a shard."""
+    cols = [np.zeros(0, np.int64)] * 4
+    if len(texts) and len(words):
+        text, names = recode(texts["body"][0].as_py(), words["a"].to_numpy(), words["b"].to_numpy())
+        for pair, n in phrases(text, 2):
+            if pair.shape[1] == 2:
+                cols = [np.full(len(n), texts["shard"][0].as_py()), names[pair[:, 0] - 1], names[pair[:, 1] - 1], n]
+    return pa.table([pa.array(c, pa.int64()) for c in cols], names=["shard", "w1", "w2", "n"])
 
 
 def stretches(text: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -244,17 +257,22 @@ def stretches(text: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.nda
     return single_breaks(out[keep].ravel()[out[keep].ravel() >= 0])
 
 
-def _long(texts: pa.Table, pairs: pa.Table) -> pa.Table:
-    """``w1 ... w5, n`` of a shard's phrases of three words and more whose pairs are all frequent."""
+def _long(texts: pa.Table, given: pa.Table) -> pa.Table:
+    """``w1 ... w5, n`` of a shard's phrases of three words and more whose pairs are all frequent.
+
+    ``given`` holds the shard's frequent words (id, number) and pairs (two numbers), told apart by ``pair``.
+    """
     cols = [[] for _ in range(MAX_WORDS + 1)]
+    pairs = given.filter(given["pair"])
     if len(texts) and len(pairs):
-        text, names = unpack(texts["body"][0].as_py(), np.int32), unpack(texts["names"][0].as_py(), np.int64)
-        code = [np.searchsorted(names, pairs[c].to_numpy()) + 1 for c in ("w1", "w2")]
-        for words, n in phrases(stretches(text, *code), MAX_WORDS):
-            k = words.shape[1]
+        words = given.filter(pa.compute.invert(given["pair"]))
+        text, names = recode(texts["body"][0].as_py(), words["a"].to_numpy(), words["b"].to_numpy())
+        code = [np.searchsorted(names, pairs[c].to_numpy()) + 1 for c in ("a", "b")]
+        for found, n in phrases(stretches(text, *code), MAX_WORDS):
+            k = found.shape[1]
             if k > 2:
                 for i, c in enumerate(cols[:-1]):
-                    c.append(pa.array(names[words[:, i] - 1]) if i < k else pa.nulls(len(n), pa.int64()))
+                    c.append(pa.array(names[found[:, i] - 1]) if i < k else pa.nulls(len(n), pa.int64()))
                 cols[-1].append(pa.array(n.astype(np.int64)))
     return pa.table([pa.chunked_array(c, pa.int64()).combine_chunks() for c in cols],
                     names=[f"w{i + 1}" for i in range(MAX_WORDS)] + ["n"])
@@ -276,20 +294,23 @@ def frequent(docs: DataFrame, text: str = "text", lang: str = "lang",
     own = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text).alias("text"))
     shards = written(own.filter("text is not null").mapInArrow(
         _shards, "shard bigint, body binary, lang string, word string, id int, n bigint"), "shards")
+    texts = shards.filter("body is not null").select("shard", "body")
     local = shards.filter("word is not null").select("shard", "lang", "word", "id", "n")
     totals = written(local.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    words = written(local.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= min_count).withColumn(
-        "wid", F.monotonically_increasing_id()), "words")
-    ids = local.join(words, ["lang", "word"]).select(F.col("shard").alias("of"), "id", "wid")
-    texts = shards.filter("body is not null").select("shard", "body")
-    pairs = written(texts.groupBy("shard").cogroup(ids.groupBy("of")).applyInArrow(
-        _pairs, "shard bigint, body binary, names binary, w1 bigint, w2 bigint, n bigint"), "pairs")
-    # a shard sends a pair once, so a window holds at most one row per shard
-    good = written(pairs.filter("w1 is not null").select("shard", "w1", "w2", F.sum("n").over(
-        Window.partitionBy("w1", "w2")).alias("f")).filter(F.col("f") >= min_count), "good")
-    texts = pairs.filter("body is not null").select("shard", "body", "names")
+    # a shard sends a word or a pair once, so a window holds at most one row per shard
+    same = Window.partitionBy("lang", "word")
+    place = F.shiftleft("shard", ID_BITS).bitwiseOR(F.col("id").cast("long"))
+    held = written(local.select("shard", "id", "lang", "word", place.alias("place"), F.sum("n").over(same).alias("f"),
+                                F.min(place).over(same).alias("wid")).filter(F.col("f") >= min_count), "held")
+    words = held.filter("place = wid").select("wid", "lang", "word", "f")
+    ids = held.select(F.col("shard").alias("of"), F.col("id").cast("long").alias("a"), F.col("wid").alias("b"))
+    pairs = texts.groupBy("shard").cogroup(ids.groupBy("of")).applyInArrow(_pairs, "shard bigint, w1 bigint, w2 bigint, n bigint")
+    good = written(pairs.select("shard", "w1", "w2", F.sum("n").over(Window.partitionBy("w1", "w2")).alias("f")).filter(
+        F.col("f") >= min_count), "good")
+    given = ids.withColumn("pair", F.lit(False)).unionByName(good.select(
+        F.col("shard").alias("of"), F.col("w1").alias("a"), F.col("w2").alias("b"), F.lit(True).alias("pair")))
     w = [f"w{i + 1}" for i in range(MAX_WORDS)]
-    longer = texts.groupBy("shard").cogroup(good.select(F.col("shard").alias("of"), "w1", "w2").groupBy("of")).applyInArrow(
+    longer = texts.groupBy("shard").cogroup(given.groupBy("of")).applyInArrow(
         _long, ", ".join(f"{c} bigint" for c in w) + ", n bigint").groupBy(*w).agg(F.sum("n").alias("f")).filter(
             F.col("f") >= min_count)
     found = words.select(F.array("wid").alias("p"), "f").unionByName(

@@ -63,8 +63,9 @@ def corpus(seed, n, words, length):
     return [(text(), rng.choice(["en", "de", None])) for _ in range(n)]
 
 
-@pytest.mark.parametrize("seed", [0, 1])
-def test_index_enumerates_every_phrase_with_its_count(seed):
+@pytest.mark.parametrize("seed,block", [(0, 1 << 20), (1, 50)])
+def test_index_enumerates_every_phrase_with_its_count(monkeypatch, seed, block):
+    monkeypatch.setattr(P, "BLOCK_ROWS", block)
     rng = np.random.default_rng(seed)
     text = P.single_breaks(rng.choice([0, 1, 2, 3, 3, 70_000], 3000).astype(np.int32))
     want = [collections.Counter() for _ in range(6)]
