@@ -1,10 +1,8 @@
 """Feature preparation and model tasks on Spark ML.
 
 One ``Pipeline`` holds imputation, encoding, scaling and the estimator, so the
-saved model carries its scaler (the reference fitted it outside).  Tree
-ensembles are distributed by Spark ML; their values will not equal
-scikit-learn's, so tests check properties (fit quality on planted signal,
-shapes, persistence round trips).
+saved model carries its scaler (the reference fitted it outside).  Forests
+are grown by ``operators.forest``, boosting by Spark ML.
 """
 
 from __future__ import annotations
@@ -12,20 +10,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netscope.functions.exprs import finite_or_null
+from netscope.operators.forest import ForestClassifier, ForestRegressor
 from netscope.operators.labels import with_class_weights
 from netscope.operators.metrics import classification_report, regression_metrics
 from netscope.operators.quantiles import exact_quantiles_long
 from netscope.operators.sampling import hash_split, stratified_split
 from netscope.session import cut_lineage
 
-# The reference's task presets (trees, depth, rates, seed); its unlimited depth is Spark's limit of 30.
+# The reference's task presets (trees, depth, rates, seed); its unlimited depth is 30 levels here.
 PRESETS = {
     "throughput_rf": dict(numTrees=300, maxDepth=30, seed=42),
     "latency_gbt": dict(maxIter=200, stepSize=0.05, maxDepth=5, seed=42),
@@ -137,7 +135,7 @@ def regression_task(df: DataFrame, target: str, num: Sequence[str], cat: Sequenc
     p = dict(params or {})
     if model == "rf":
         p.setdefault("featureSubsetStrategy", "all")  # every feature at every split, as the reference's forest
-    est = (RandomForestRegressor(labelCol=target, featuresCol="features", **p) if model == "rf"
+    est = (ForestRegressor(labelCol=target, featuresCol="features", **p) if model == "rf"
            else GBTRegressor(labelCol=target, featuresCol="features", **p))
     train = d.where(F.col("split") == "train")
     fitted = Pipeline(stages=preprocessor(train, num, cat)[0] + [est]).fit(train)
@@ -167,7 +165,7 @@ def classification_task(df: DataFrame, label: str, num: Sequence[str], cat: Sequ
     if balanced:
         train = cut_lineage(with_class_weights(train, label, "_w"))
     lab_idx = StringIndexer(inputCol=label, outputCol="_label", handleInvalid="keep", stringOrderType="alphabetAsc")
-    est = RandomForestClassifier(labelCol="_label", featuresCol="features", weightCol="_w" if balanced else None,
+    est = ForestClassifier(labelCol="_label", featuresCol="features", weightCol="_w" if balanced else None,
                                  featureSubsetStrategy="sqrt", **dict(params or {}))
     fitted = Pipeline(stages=[lab_idx] + preprocessor(train, num, cat)[0] + [est]).fit(train)
     pred = fitted.transform(d.where(F.col("split") == "test"))

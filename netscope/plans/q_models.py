@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from netscope.functions.labels import performance_class, slo_tier
 from netscope.operators import models as Mo
 from netscope.operators import series as S
+from netscope.operators.forest import ForestRegressor
 from netscope.plans.catalog import SHIP_CLASS, SHIP_SLO
 from netscope.plans.registry import query
 from netscope.plans.standins import series, ship
@@ -61,9 +62,8 @@ def q_forecast_preview(spark, sf):
     lags = [f"lag_{i}" for i in range(1, 13)]
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import RandomForestRegressor
     pipe = Pipeline(stages=[VectorAssembler(inputCols=lags, outputCol="features"),
-                            RandomForestRegressor(labelCol="y", featuresCol="features", featureSubsetStrategy="all",
+                            ForestRegressor(labelCol="y", featuresCol="features", featureSubsetStrategy="all",
                                                   **Mo.PRESETS["forecast_rf"])])
     model = pipe.fit(split.where(F.col("split") == "train"))
     pred = model.transform(split.where(F.col("split") == "test"))
