@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from netscope.session import unique_subdir
 
 MAX_CUTS, COARSE = 4096, 256
-BOUND = 131_072
+BOUND = 1 << 19
 TRAIN_CHUNK, SCORE_CHUNK = 32_768, 4_096
 UPPER_BYTES = 1 << 26   # of a batch's upper splits, which are broadcast
 
@@ -77,8 +77,9 @@ def with_cuts(df: DataFrame, x: str, columns: list[dict], most: int = MAX_CUTS)
     at = lambda c: F.get(x, F.lit(c["features"][0]))
     n = df.agg(*[F.approx_count_distinct(at(c), 0.02).alias(str(i)) for i, c in enumerate(ordered)]).first()
     few = [n[str(i)] <= 0.9 * most for i in range(len(ordered))]
-    steps = [k / most for k in range(1, most)]
-    v = df.agg(*[(F.collect_set(at(c)) if f else F.percentile_approx(at(c), steps, 10 * most)).alias(str(i))
+    # as text: thousands of literals cost seconds one by one
+    quantiles = f"percentile_approx(get({x}, %d), array({', '.join(f'{k / most!r}D' for k in range(1, most))}), {10 * most})"
+    v = df.agg(*[(F.collect_set(at(c)) if f else F.expr(quantiles % c["features"][0])).alias(str(i))
                  for i, (c, f) in enumerate(zip(ordered, few))]).first()
     for i, c in enumerate(ordered):
         values = np.unique(np.array([u for u in v[str(i)] or [] if u == u], float))
@@ -174,7 +175,7 @@ class Rules:
 
 
 def _score(s: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return (s * s).sum(-1) / w
+    return (s[..., 0] ** 2 if s.shape[-1] == 1 else np.einsum("...j,...j->...", s, s)) / w
 
 
 def _category_gains(s, w, n, total_s, total_w, total_n):
@@ -185,7 +186,7 @@ def _category_gains(s, w, n, total_s, total_w, total_n):
     return np.where(ok, g, -np.inf)
 
 
-def grow(codes: np.ndarray, y: np.ndarray, w: np.ndarray, rules: Rules, tree: int, path: str) -> dict[str, list]:
+def grow(codes: np.ndarray, y: np.ndarray, w: np.ndarray, rules: Rules, tree: int, path: str) -> dict[str, np.ndarray]:
     """One subtree over all given rows, level by level; arrays of its nodes, the root first."""
     rng, columns = rules.generator(tree, path), rules.columns
     stats, m = rules.stats(y, w), rules.classes or 1
@@ -225,7 +226,8 @@ def grow(codes: np.ndarray, y: np.ndarray, w: np.ndarray, rules: Rules, tree: in
                 if not len(cand):
                     continue
                 start = np.cumsum(n) - n
-                cw, cs = np.cumsum(w[o]), np.cumsum(stats[o], 0)
+                cw = np.cumsum(w[o])
+                cs = np.cumsum(stats[o], 0) if m > 1 else np.cumsum(stats[o, 0])[:, None]
                 before = np.where(start > 0, start - 1, 0)
                 bw = np.where(start > 0, cw[before], 0.0)
                 bs = np.where((start > 0)[:, None], cs[before], 0.0)
@@ -233,10 +235,10 @@ def grow(codes: np.ndarray, y: np.ndarray, w: np.ndarray, rules: Rules, tree: in
                 lw, ls = cw[cand] - bw[g], cs[cand] - bs[g]
                 with np.errstate(divide="ignore", invalid="ignore"):
                     gain = _score(ls, lw) + _score(ts[g] - ls, tw[g] - lw)
-                has, begin = np.unique(g, return_index=True)
-                best = np.maximum.reduceat(gain, begin)
-                hit = np.flatnonzero(gain == np.repeat(best, np.diff(np.append(begin, len(g)))))
-                hit = hit[np.unique(g[hit], return_index=True)[1]]
+                begin = np.flatnonzero(np.diff(g, prepend=-1))     # g rises
+                has, best = g[begin], np.maximum.reduceat(gain, begin)
+                hit = np.flatnonzero(gain == np.repeat(best, np.diff(begin, append=len(g))))
+                hit = hit[np.flatnonzero(np.diff(g[hit], prepend=-1))]
                 gains[has, at[k]] = best
                 cuts[has, k] = c[cand[hit]]
             gains[pure] = -np.inf
@@ -247,16 +249,15 @@ def grow(codes: np.ndarray, y: np.ndarray, w: np.ndarray, rules: Rules, tree: in
         cut = np.where(block, pick - at[col], cuts[np.arange(count), col])
         children = first + count + 2 * (np.cumsum(split) - 1)
         got = np.where(split, gains[np.arange(count), pick] - _score(ts, tw), 0.0)
-        out["column"] += col.tolist()
-        out["cut"] += np.where(split, cut, -1).tolist()
-        out["feature"] += np.where(split, number[pick], -1).tolist()
-        out["threshold"] += [None if not s else 0.5 if b else columns[k]["cuts"][c] for s, b, k, c in
-                             zip(split.tolist(), block.tolist(), col.tolist(), cut.tolist())]
-        out["left"] += np.where(split, children, -1).tolist()
-        out["right"] += np.where(split, children + 1, -1).tolist()
-        out["value"] += (ts / tw[:, None]).ravel().tolist()
-        out["gain"] += np.maximum(got, 0.0).tolist()
-        out["n"] += n.tolist()
+        level = {"column": col, "cut": np.where(split, cut, -1), "feature": np.where(split, number[pick], -1),
+                 "threshold": np.full(count, np.nan), "left": np.where(split, children, -1),
+                 "right": np.where(split, children + 1, -1), "value": (ts / tw[:, None]).ravel(),
+                 "gain": np.maximum(got, 0.0), "n": n}
+        for k, c in enumerate(columns):
+            own = np.flatnonzero(col == k)
+            level["threshold"][own] = 0.5 if "block" in c else np.array(c["cuts"])[cut[own]]
+        for f in _FIELDS:
+            out[f].append(level[f])
         # rows of split nodes go on, in the order of their new nodes
         rows = rows[split[nd]]
         nd = node[rows]
@@ -273,7 +274,11 @@ def grow(codes: np.ndarray, y: np.ndarray, w: np.ndarray, rules: Rules, tree: in
             orders[k] = o[np.argsort(node[o].astype(small), kind="stable")]
         rows = rows[np.argsort(node[rows].astype(small), kind="stable")]
         depth += 1
-    return out
+    return {f: np.concatenate(v) for f, v in out.items()}
+
+
+def _one_list(values: np.ndarray, kind: pa.DataType) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values).cast(kind))
 
 
 def walk(codes: np.ndarray, nodes: dict[str, np.ndarray], kinds: list[bool]) -> np.ndarray:
@@ -376,7 +381,7 @@ def _work(chunks: DataFrame, trees: range, upper: DataFrame) -> DataFrame:
 
 
 def _bags(batches: Iterator[pa.RecordBatch], rules: Rules) -> Iterator[tuple]:
-    """``tree, path, codes, y, w`` of the rows in a tree's bag, by the node that they reach."""
+    """``chunk, tree, path, codes, y, w`` of the rows in a tree's bag, by the node that they reach."""
     for batch in batches:
         for chunk, codes, rest, tree, upper in zip(*(c.to_pylist() for c in batch.columns)):
             codes = np.frombuffer(codes, np.uint16).reshape(len(rules.columns), -1)
@@ -387,7 +392,7 @@ def _bags(batches: Iterator[pa.RecordBatch], rules: Rules) -> Iterator[tuple]:
             drawn = np.flatnonzero(w > 0)
             codes, y, w = codes[:, drawn], y[drawn], w[drawn]
             for path, rows in _route(codes, [(u["path"], u["column"], u["cut"]) for u in upper or []], rules.kinds).items():
-                yield tree, path, codes[:, rows], y[rows], w[rows]
+                yield chunk, tree, path, codes[:, rows], y[rows], w[rows]
 
 
 def _upper_splits(chunks: DataFrame, trees: range, rules: Rules, bound: int, total: int) -> DataFrame:
@@ -405,7 +410,7 @@ def _upper_splits(chunks: DataFrame, trees: range, rules: Rules, bound: int, tot
             sums: dict[tuple[int, str], np.ndarray] = {}
             for batch in batches:
                 wanted = {(t, p) for t, o in zip(batch.column(3).to_pylist(), batch.column(5).to_pylist()) for p in o}
-                for tree, path, codes, y, w in _bags([batch.select([0, 1, 2, 3, 4])], rules):
+                for _, tree, path, codes, y, w in _bags([batch.select([0, 1, 2, 3, 4])], rules):
                     if (tree, path) in wanted:
                         h = histogram(codes, y, w, rules)
                         sums[tree, path] = sums[tree, path] + h if (tree, path) in sums else h
@@ -491,31 +496,32 @@ class _Forest(Estimator, _ForestParams):
         trees, at = self.getNumTrees(), unique_subdir(spark, "forest-nodes")
         # a batch's upper splits: some 100 bytes for each of at most 2 total / bound nodes a tree
         most = max(1, int(UPPER_BYTES / (100 * max(1, 2 * total // self.bound))))
-        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * spark.sparkContext.defaultParallelism)
 
         def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for tree, path, codes, y, w in _bags(batches, rules):
+            for chunk, tree, path, codes, y, w in _bags(batches, rules):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([tree], pa.int32()), pa.array([path]), *(pa.array([v.tobytes()], pa.binary()) for v in (codes, y, w))],
-                    names=["tree", "path", "codes", "y", "w"])
+                    [pa.array([tree], pa.int32()), pa.array([path]), pa.array([chunk], pa.int64()),
+                     *(pa.array([v.tobytes()], pa.binary()) for v in (codes, y, w))],
+                    names=["tree", "path", "chunk", "codes", "y", "w"])
 
         def finish(key: tuple, t: pa.Table) -> pa.Table:
             tree, path = key[0].as_py(), key[1].as_py()
+            t = t.sort_by("chunk")     # the shuffle's order must not show
             codes = np.concatenate([np.frombuffer(b, np.uint16).reshape(len(rules.columns), -1)
                                     for b in t.column("codes").to_pylist()], 1)
             y, w = (np.concatenate([np.frombuffer(b, float) for b in t.column(c).to_pylist()]) for c in ("y", "w"))
-            order = np.lexsort((w, y, *codes))     # the shuffle's order must not show
-            nodes = grow(codes[:, order], y[order], w[order], rules, tree, path)
+            nodes = grow(codes, y, w, rules, tree, path)
             kinds = [pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.int64()]
             return pa.table([pa.array([tree], pa.int32()), pa.array([path]), *(
-                pa.array([nodes[f]], pa.list_(k)) for f, k in zip(_FIELDS, kinds))], names=["tree", "path", *_FIELDS])
+                _one_list(nodes[f], k) for f, k in zip(_FIELDS, kinds))], names=["tree", "path", *_FIELDS])
 
         for lo in range(0, trees, most):
             batch = range(lo, min(lo + most, trees))
             upper = _upper_splits(chunks, batch, rules, self.bound, total)
             upper.write.mode("append").parquet(f"{at}/upper")
-            _work(chunks, batch, upper).mapInArrow(bags, "tree int, path string, codes binary, y binary, w binary").repartition(
-                min(tasks, 4 * len(batch)) if total <= self.bound else tasks, "tree", "path").groupBy("tree", "path").applyInArrow(
+            _work(chunks, batch, upper).mapInArrow(bags, "tree int, path string, chunk bigint, codes binary, y binary, w binary").repartition(
+                tasks, "tree", "path").groupBy("tree", "path").applyInArrow(
                     finish, _SUBTREE).write.mode("append").parquet(f"{at}/subtrees")
         meta = {"columns": columns, "classes": classes, "trees": trees, "features": n_features}
         model = ForestModel(spark.read.parquet(f"{at}/upper"), spark.read.parquet(f"{at}/subtrees"), meta)
@@ -578,7 +584,7 @@ class ForestModel(Model, _ForestParams, MLWritable, MLReadable):
         def answer(left: pa.Table, right: pa.Table) -> pa.Table:
             out = []
             if len(left) and len(right):
-                nodes = {f: np.array(left.column(f)[0].as_py()) for f in ("column", "cut", "left", "right", "value")}
+                nodes = {f: left.column(f)[0].values.to_numpy() for f in ("column", "cut", "left", "right", "value")}
                 value = nodes["value"].reshape(-1, m)
                 for chunk, rows, codes in zip(*(right.column(c).to_pylist() for c in ("chunk", "rows", "codes"))):
                     leaf = walk(np.frombuffer(codes, np.uint16).reshape(len(kinds), -1), nodes, kinds)
