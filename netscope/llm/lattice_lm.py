@@ -1,12 +1,10 @@
 """Language-model scoring by marginal subword-lattice likelihood.
 
 A word's probability sums over all its segmentations into pieces of an existing subword vocabulary:
-a log-space forward recursion over the lattice, run for all distinct words in batches.  The
-vocabulary's own scores weight the lattice first; ``STEPS`` expectation steps over all distinct
-training words turn them into the corpus's unigram piece weights.  A training word is one more edge of
-its lattice, with its discounted corpus count (absolute discounting: the edge and the pieces share the
-probability mass, and the pieces, which stand in for rare words, are learned from distinct words).  A
-text is its words and one end.
+a log-space forward recursion over the lattice, weighted by the vocabulary's own scores and run for all
+distinct words in batches.  A training word is one more edge of its lattice, with its discounted corpus
+count (absolute discounting: the edge and the pieces share the probability mass).  A text is its words
+and one end.
 
 Distribution: word counts are partial aggregates.  Words that make up at least 1/``HEAVY`` of all
 tokens are at most ``HEAVY`` many, whatever the corpus; their scores are broadcast.  All other words
@@ -43,7 +41,6 @@ VOCABULARY = "piece_bpe_32k.model"
 HEAVY = 100_000
 PART_WORDS, PART_MESSAGES = 150_000, 2_000_000
 CELLS = 200_000
-STEPS = 1
 START = "▁"
 
 
@@ -212,35 +209,6 @@ def word_counts(docs: DataFrame, train: Column, key: str, text: str) -> DataFram
         F.sum("c").alias("c"), F.sum("a").alias("a"))
 
 
-def _step(counts: DataFrame, path: str, logp: np.ndarray) -> np.ndarray:
-    """Log weights of the pieces after one more expectation step over all distinct training words."""
-    vocabulary = pieces(path)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = pieces(path)
-        total = np.zeros(own.size)
-        for batch in batches:
-            for at, lattice in lattices(batch.column(0).to_pylist(), own, logp):
-                total += lattice.expected(np.ones(len(at)), own)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["piece", "n"])
-
-    found = counts.filter("c > 0").select("word").mapInArrow(run, "piece bigint, n double").groupBy(
-        "piece").agg(F.sum("n").alias("n")).toPandas()
-    weight = np.where(np.isfinite(vocabulary.prior), 0.01, 0.0)
-    weight[found["piece"].to_numpy()] += found["n"].to_numpy()
-    with np.errstate(divide="ignore"):
-        return np.log(weight / weight.sum())
-
-
-def fit_pieces(counts: DataFrame, path: str, steps: int = STEPS) -> np.ndarray:
-    """The vocabulary's own scores, improved by ``steps`` expectation steps over the corpus."""
-    logp = pieces(path).prior
-    for _ in range(steps):
-        logp = _step(counts, path, logp)
-    return logp
-
-
 class Totals:
     """Corpus totals behind the base and the model."""
 
@@ -362,7 +330,7 @@ def score_texts(docs: DataFrame, train: Column, path: str, key: str = "doc_id",
     kind = docs.schema[key].dataType.simpleString()
     counts = cut_lineage(word_counts(docs, train, key, text))
     totals = Totals(counts, docs.filter(train).count())
-    logp = fit_pieces(counts, path)
+    logp = pieces(path).prior
     least = max(1, -(-totals.all_words // HEAVY))
     top = word_scores(counts.filter(F.col("a") >= least), totals, path, logp).toPandas()  # at most HEAVY rows
     heavy = dict(zip(top["word"].map(bytes), zip(top["known"].astype(int).tolist(), top["base"].tolist(),

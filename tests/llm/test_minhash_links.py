@@ -12,8 +12,8 @@ def sets(text, k=4):
     return frozenset(tuple(w[i:i + k]) for i in range(max(len(w) - k + 1, 1))) if w else frozenset()
 
 
-def brute(rows, percent=80):
-    s = {i: sets(t) for i, t in rows if i is not None}
+def brute(rows, percent=80, k=4):
+    s = {i: sets(t, k) for i, t in rows if i is not None}
     root = {i: i for i in s}
 
     def find(x):
