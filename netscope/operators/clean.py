@@ -103,22 +103,16 @@ def drop_any_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def impute_median(df: DataFrame, cols: Sequence[str], zero_last: bool = False,
                   method: str = "bounded") -> DataFrame:
-    """Fill NULLs with each column's exact median (bounded memory by default;
-    ``method="approx"`` for a sketch).  All medians come from one stacked quantile
-    job, referenced as a scalar subquery."""
+    """Fill NULLs with each column's exact median (``method="approx"`` for a sketch).
+    All medians come from the same few scans (``quantiles.wide_quantiles``)."""
     from netscope.operators.profile import _column_quantiles
     cols = list(cols)
     if not cols:
         return df
-    med = _column_quantiles(df, cols, [0.5], ["median"], method)
-    m = med.agg(F.map_from_entries(F.collect_list(F.struct("column", "median"))).alias("m")).scalar()
-    out = df
-    for c in cols:
-        fill = m[F.lit(c)]
-        if zero_last:
-            fill = F.coalesce(fill, F.lit(0.0))
-        out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), fill))
-    return out
+    med = {r["column"]: r["median"] for r in _column_quantiles(df, cols, [0.5], ["median"], method).collect()}  # a row per column
+    if zero_last:
+        med = {c: 0.0 if m is None else m for c, m in med.items()}
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(med[c]).cast("double")) for c in cols})
 
 
 def impute_mode(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -79,7 +79,7 @@ def preprocessor(train: DataFrame, num: Sequence[str], cat: Sequence[str], imput
     if num:
         median = {}
         if impute:
-            median = {r["column"]: r["m"] for r in exact_quantiles_long(train, [], num, [0.5], ["m"]).collect()}
+            median = {r["column"]: r["m"] for r in exact_quantiles_long(train, num, [0.5], ["m"]).collect()}
         filled = {c: f"COALESCE(`{c}`, {median[c]!r}D)" if c in median else f"`{c}`" for c in num}
         exprs = {f"{c}__num": f"CAST({filled[c]} AS DOUBLE)" for c in num}
         if scale:

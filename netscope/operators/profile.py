@@ -107,8 +107,8 @@ def count_by(df: DataFrame, key: Column, name: str) -> DataFrame:
 def numeric_summary(df: DataFrame, cols: Sequence[str], decimals: int = 6, method: str = "bounded") -> DataFrame:
     """mean, median, sample std, min, max, missing % per column.
 
-    Moments come from one aggregate pass; medians from ``quantiles`` (exact with
-    bounded memory by default, ``method="approx"`` for a sketch)."""
+    Moments come from one aggregate pass; medians from ``quantiles`` (exact, all columns
+    in each scan, by default; ``method="approx"`` for a sketch)."""
     cols = list(cols)
     aggs = []
     for c in cols:
@@ -129,7 +129,7 @@ def _column_quantiles(df: DataFrame, cols: Sequence[str], probs, names, method:
     """(column, <names>) for every column of ``cols``."""
     from netscope.operators.quantiles import exact_quantiles_long, quantile_columns
     if method == "bounded":
-        return exact_quantiles_long(df, [], cols, probs, names).drop("_n")
+        return exact_quantiles_long(df, cols, probs, names).drop("_n")
     parts = [quantile_columns(df, [], c, probs, names, method).withColumn("column", F.lit(c)) for c in cols]
     out = parts[0]
     for p in parts[1:]:

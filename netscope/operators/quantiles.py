@@ -18,10 +18,16 @@ not fit.  This operator gets the same exact, linearly interpolated result
 
 Everything is DataFrame operations; the state that meets in one task is at most
 ``WINDOW`` values per (group, probability).
+
+Columns of a whole table (no group keys) take the wide way, ``wide_quantiles``: every scan
+handles all columns and probabilities in one aggregate row, at any size alike.  Nothing
+is exploded, shuffled or materialised; brackets are numbers on the driver, two for each
+column and probability.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -44,11 +50,10 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], col: str, probs: Sequenc
     rows / max_exact of them -- use the narrowed bracket described above."""
     keys = list(keys)
     accuracy, max_exact = accuracy or ACCURACY, max_exact or MAX_EXACT
+    if not keys:
+        return exact_quantiles_long(df, [col], probs, names).drop("column")
     if max_exact < accuracy:
         raise ValueError("max_exact must be >= accuracy (the bracket needs n > accuracy)")
-    if not keys:  # one global group
-        return exact_quantiles(df.withColumn("_g", F.lit(0)), ["_g"], col, probs, names, accuracy,
-                               max_exact).drop("_g")
     probs = [float(q) for q in probs]
     names = list(names) if names else [f"q{i}" for i in range(len(probs))]
     m = len(probs)
@@ -138,17 +143,80 @@ def _narrow(counted: DataFrame, state: DataFrame, keys: list[str]) -> tuple[Data
         F.first("_pos").alias("_pos"), (F.first("_below") + F.min("_from")).alias("_below")))
 
 
-def exact_quantiles_long(df: DataFrame, keys: Sequence[str], cols: Sequence[str], probs: Sequence[float],
-                         names: Sequence[str] | None = None, accuracy: int | None = None,
-                         max_exact: int | None = None) -> DataFrame:
-    """Several columns at once: the columns are stacked into (``column``, value) and
-    ``column`` joins the group keys, so one sketch pass and one bracket pass serve
-    them all.  Rows: ``keys..., column, _n, <names>``."""
-    keys = list(keys)
-    stacked = df.select(*keys, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_v")) for c in cols])).alias("_s"))
-    stacked = stacked.select(*keys, "_s.column", "_s._v")
-    return exact_quantiles(stacked, [*keys, "column"], "_v", probs, names, accuracy, max_exact)
+def wide_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int | None = None,
+                   window: int | None = None) -> dict[str, tuple[int, list[float | None]]]:
+    """``{column: (values, [quantile per probability])}``, exact and linearly interpolated.
+
+    1. One scan counts the values of all columns, about how many are distinct, and finds their range: the first
+       bracket of every rank that is looked for.
+    2. While a bracket has more than ``window`` distinct values, a scan sketches its inside around the rank
+       (rank error inside / accuracy) and another counts the rows below the narrower bracket, at its two ends and
+       between them.  A rank that falls on an end is found; else the ends go, so each turn leaves less.
+    3. One scan reads the other ranks off their brackets (``percentile_disc``, whose state is the distinct values
+       inside).
+    """
+    accuracy, window, cols = accuracy or ACCURACY, window or WINDOW, list(cols)
+    x = {c: f"CAST(`{c}` AS DOUBLE)" for c in cols}
+    lit = lambda v: f"{v!r}D" if math.isfinite(v) else f"double('{v}')"
+
+    def scan(exprs: dict[str, str]) -> dict:
+        return df.selectExpr(*[f"{e} AS `{n}`" for n, e in exprs.items()]).first().asDict() if exprs else {}
+
+    first = scan({f"{w}{i}": f"{f}({x[c]})" for i, c in enumerate(cols) for w, f in (
+        ("n", "count"), ("kinds", "approx_count_distinct"), ("lo", "min"), ("hi", "max"))})
+    n = {c: first[f"n{i}"] for i, c in enumerate(cols)}
+    wanted = {c: [(f(p), p) for p in (float(p) * (n[c] - 1) for p in probs) for f in (math.floor, math.ceil)] for c in cols if n[c]}
+    # by column and rank: rows below the bracket, rows and distinct values inside, the condition of being inside
+    open_ = {(c, r): (0, n[c], first[f"kinds{cols.index(c)}"], f"{x[c]} IS NOT NULL") for c, ranks in wanted.items() for r, _ in ranks}
+    value, ready = {}, {}
+    while open_:
+        bounds = {}
+        for (c, r), (below, m, kinds, inside) in open_.items():
+            k = r - below
+            if not 0 <= k < m:
+                raise ValueError("quantile bracket missed the rank")
+            if kinds <= window:
+                ready[c, r] = (k, m, inside)
+            else:
+                delta = 3.0 / accuracy + 2.0 / m
+                bounds[c, r] = (inside, max(0.0, k / m - delta), min(1.0, (k + 1) / m + delta))
+        keys = list(bounds)
+        sketch = scan({f"b{i}": f"percentile_approx(CASE WHEN {bounds[k][0]} THEN {x[k[0]]} END, array({bounds[k][1]!r}D, "
+                                f"{bounds[k][2]!r}D), {accuracy})" for i, k in enumerate(keys)})
+        between = {k: f"{x[k[0]]} > {lit(sketch[f'b{i}'][0])} AND {x[k[0]]} < {lit(sketch[f'b{i}'][1])}" for i, k in enumerate(keys)}
+        counts = scan({f"{w}{i}": e for i, k in enumerate(keys) for v, (lo, hi) in ((x[k[0]], sketch[f"b{i}"]),) for w, e in (
+            ("below", f"count_if({v} < {lit(lo)})"), ("low", f"count_if({v} = {lit(lo)})"), ("in", f"count_if({between[k]})"),
+            ("kinds", f"approx_count_distinct(CASE WHEN {between[k]} THEN {v} END)"))})
+        open_ = {}
+        for i, (c, r) in enumerate(keys):
+            below, low, m = (counts[f"{w}{i}"] for w in ("below", "low", "in"))
+            if below <= r < below + low:
+                value[c, r] = sketch[f"b{i}"][0]
+            elif r >= below + low + m:
+                value[c, r] = sketch[f"b{i}"][1]
+            else:
+                open_[c, r] = (below + low, m, counts[f"kinds{i}"], between[c, r])
+    keys = list(ready)
+    found = scan({f"v{i}": f"percentile_disc({(ready[k][0] + 0.5) / ready[k][1]!r}D) WITHIN GROUP (ORDER BY CASE WHEN "
+                           f"{ready[k][2]} THEN {x[k[0]]} END)" for i, k in enumerate(keys)})
+    value.update({k: found[f"v{i}"] for i, k in enumerate(keys)})
+    out = {c: (n[c], [None] * len(probs)) for c in cols}
+    for c, ranks in wanted.items():
+        for j in range(len(probs)):
+            (fl, pos), (ce, _) = ranks[2 * j:2 * j + 2]
+            lo, hi = value[c, fl], value[c, ce]
+            # same interpolation arithmetic as Spark's exact percentile
+            out[c][1][j] = lo if ce == fl or lo == hi else (ce - pos) * lo + (pos - fl) * hi
+    return out
+
+
+def exact_quantiles_long(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                         names: Sequence[str] | None = None) -> DataFrame:
+    """Several columns of a whole table at once.  Rows: ``column, _n, <names>``, one per column."""
+    names = list(names) if names else [f"q{i}" for i in range(len(probs))]
+    found = wide_quantiles(df, list(cols), probs)
+    schema = "column string, _n bigint, " + ", ".join(f"`{n}` double" for n in names)
+    return df.sparkSession.createDataFrame([(c, k, *q) for c, (k, q) in found.items()], schema)
 
 
 def quantile_columns(df: DataFrame, keys: Sequence[str], col: str, probs: Sequence[float],

@@ -254,3 +254,38 @@ def test_exact_quantiles_match_spark_percentile(spark, monkeypatch, window):
     for g, q in ref.items():
         assert [got[g][f"q{i}"] for i in range(len(probs))] == (list(q) if q else [None] * len(probs))
     assert got[9]["_n"] == 0
+
+
+@pytest.mark.parametrize("accuracy,window", [(None, None), (300, 50), (200, 4)])
+def test_wide_quantiles_equal_spark_percentile(spark, accuracy, window):
+    """All columns in each scan; a small window forces several turns of narrowing."""
+    from netscope.operators import quantiles as Q
+    rng = np.random.default_rng(8)
+    n = 6000
+    cols = {"a": rng.normal(0, 1, n), "ties": rng.integers(0, 3, n).astype(float), "one": np.full(n, 7.25),
+            "heavy": np.where(rng.random(n) < 0.6, 1.5, rng.exponential(1, n)), "big": rng.normal(0, 1e300, n),
+            "inf": np.where(rng.random(n) < 0.2, np.inf, rng.normal(0, 1, n))}
+    rows = [tuple(None if (i + k) % 17 == 0 else float(v[i]) for k, v in enumerate(cols.values())) + (None,) for i in range(n)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols) + ", none double")
+    probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0]
+    got = Q.wide_quantiles(df, [*cols, "none"], probs, accuracy, window)
+    for c in cols:
+        want = df.agg(F.percentile(c, F.array(*[F.lit(p) for p in probs])).alias("q"), F.count(c).alias("n")).first()
+        assert got[c] == (want["n"], list(want["q"]))
+    assert got["none"] == (0, [None] * len(probs))
+    assert Q.wide_quantiles(df.limit(0), ["a"], [0.5]) == {"a": (0, [None])}
+
+
+def test_wide_quantiles_never_stack_the_input(spark, monkeypatch):
+    """Each scan is one aggregate row over the input: no Generate, no row leaves a task."""
+    from netscope.operators import clean, profile, quantiles
+    monkeypatch.setattr(quantiles, "WINDOW", 100)
+    frame, plans = type(spark.range(1)), []
+    select = frame.selectExpr
+    monkeypatch.setattr(frame, "selectExpr", lambda self, *e: (out := select(self, *e), plans.append(
+        out._jdf.queryExecution().executedPlan().toString()))[0])
+    df = spark.range(5000).selectExpr("id", "id % 7 as a", "cast(id as double) as b")
+    assert clean.impute_median(df, ["a", "b"]).count() == 5000
+    scans = [p for p in plans if "percentile" in p]
+    assert len(scans) >= 2 and not any("Generate" in p or "Expand" in p or "hashpartitioning" in p for p in scans)
+    assert profile.describe(df, ["a", "b"]).count() == 2
