@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from netscope.session import cut_lineage
+
 EPS = 1e-8
 
 
@@ -94,9 +96,32 @@ def group_mean_prediction(df: DataFrame, keys, y: str, out: str = "y_pred") -> D
     return df.join(means, keys, "left")
 
 
-def pr_auc(df: DataFrame, label: str, score: str) -> float:
-    """Area under the precision-recall curve of an anomaly score against a 0/1 label."""
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    d = df.select(F.col(label).cast("double").alias("label"), F.col(score).cast("double").alias("score"))
-    ev = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", metricName="areaUnderPR")
-    return float(ev.evaluate(d))
+def pr_curve(df: DataFrame, label: str, score: str) -> DataFrame:
+    """One point per distinct score, from the highest down: ``score, tp, n, precision, recall`` of flagging
+    all rows with that score or more.  ``label`` is 0/1; rows without label or score are left out.
+
+    The global running counts need no single task: distinct scores are dealt out by ranges, every range's counts
+    give the next ones their offset, and rows are added up inside their range.
+    """
+    y, s = F.col(label).cast("int"), F.col(score).cast("double")
+    counts = df.where(y.isNotNull() & s.isNotNull()).groupBy(s.alias("score")).agg(F.sum(y).alias("p"), F.count(F.lit(1)).alias("c"))
+    # written once, so that a range keeps its number
+    ranged = cut_lineage(counts.repartitionByRange(F.desc("score")).withColumn("_range", F.spark_partition_id()))
+    sums = ranged.groupBy("_range").agg(F.sum("p").alias("_p"), F.sum("c").alias("_c"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = sums.select("_range", F.coalesce(F.sum("_p").over(before), F.lit(0)).alias("_p0"),
+                          F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_c0"))
+    inside = Window.partitionBy("_range").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    rows = ranged.join(offsets, "_range").select(
+        "score", "p", (F.col("_p0") + F.sum("p").over(inside)).alias("tp"), (F.col("_c0") + F.sum("c").over(inside)).alias("n"))
+    total = ranged.agg(F.sum("p")).scalar()
+    return rows.select("score", "p", "tp", "n", (F.col("tp") / F.col("n")).alias("precision"),
+                       F.try_divide(F.col("tp").cast("double"), total).alias("recall"))
+
+
+def pr_auc(df: DataFrame, label: str, score: str, decimals: int = 6) -> DataFrame:
+    """Area under the precision-recall curve as average precision (each score's precision weighted by the
+    recall that it adds): ``positives, n, pr_auc``; NULL without positives."""
+    return pr_curve(df, label, score).agg(
+        F.coalesce(F.sum("p"), F.lit(0)).cast("bigint").alias("positives"), F.coalesce(F.max("n"), F.lit(0)).cast("bigint").alias("n"),
+        F.round(F.try_divide(F.sum(F.col("p") * F.col("precision")), F.sum("p")), decimals).alias("pr_auc"))

@@ -136,7 +136,7 @@ def regression_task(df: DataFrame, target: str, num: Sequence[str], cat: Sequenc
     if model == "rf":
         p.setdefault("featureSubsetStrategy", "all")  # every feature at every split, as the reference's forest
     est = (ForestRegressor(labelCol=target, featuresCol="features", **p) if model == "rf"
-           else GBTRegressor(labelCol=target, featuresCol="features", **p))
+           else GBTRegressor(labelCol=target, featuresCol="features", checkpointInterval=10, cacheNodeIds=True, **p))
     train = d.where(F.col("split") == "train")
     fitted = Pipeline(stages=preprocessor(train, num, cat)[0] + [est]).fit(train)
     pred = fitted.transform(d.where(F.col("split") == "test"))

@@ -97,3 +97,21 @@ def q_psi_drift(spark, sf):
     e = table(spark, sf, "events").select("event_type", "value", "ts")
     ref, cur = D.time_windows(e, "ts", ref_days=7, cur_days=1)
     return D.psi(ref, cur, "value", ["event_type"], bins=10, threshold=0.2)
+
+
+_SCORES = {"price": "target_bwd", "quantity": "tput_mean", "wait": "delay_mean"}
+
+
+@query("pr_auc", sql="\nUNION ALL\n".join(f"""SELECT '{name}' AS score, positives, n, pr_auc FROM (
+  SELECT CAST(SUM(p) AS BIGINT) AS positives, CAST(SUM(c) AS BIGINT) AS n, ROUND(SUM(p * CAST(cp AS DOUBLE) / cn) / SUM(p), 6) AS pr_auc
+  FROM (SELECT p, c, SUM(p) OVER (ORDER BY s DESC) AS cp, SUM(c) OVER (ORDER BY s DESC) AS cn
+        FROM (SELECT {col} AS s, SUM(CASE WHEN provider = 'R' THEN 1 ELSE 0 END) AS p, COUNT(*) AS c FROM ship GROUP BY {col})))"""
+    for name, col in _SCORES.items()), views=("ship",))
+def q_pr_auc(spark, sf):
+    """Three scores against the returned rows; whole numbers of days and pieces give long ties."""
+    s = ship(spark, sf).withColumn("hit", (F.col("provider") == "R").cast("int"))
+    out = None
+    for name, col in _SCORES.items():
+        one = M.pr_auc(s, "hit", col).select(F.lit(name).alias("score"), "positives", "n", "pr_auc")
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -289,3 +289,36 @@ def test_wide_quantiles_never_stack_the_input(spark, monkeypatch):
     scans = [p for p in plans if "percentile" in p]
     assert len(scans) >= 2 and not any("Generate" in p or "Expand" in p or "hashpartitioning" in p for p in scans)
     assert profile.describe(df, ["a", "b"]).count() == 2
+
+
+def test_pr_auc_equals_brute_force(spark):
+    """Average precision over distinct scores, whatever the ranges; ties count together."""
+    from netscope.operators import metrics as M
+    rng = np.random.default_rng(4)
+    for scores in (rng.integers(0, 12, 800).astype(float), rng.normal(0, 1, 800), np.zeros(50)):
+        y = rng.integers(0, 2, len(scores))
+        df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, scores)] + [(None, 1.0), (1, None)], "y int, s double")
+        want, cut = 0.0, 0
+        for v in sorted(set(scores), reverse=True):
+            tp, n = y[scores >= v].sum(), (scores >= v).sum()
+            want += (tp - cut) * tp / n
+            cut = tp
+        r = M.pr_auc(df.repartition(5), "y", "s").first()
+        assert (r["positives"], r["n"]) == (y.sum(), len(y)) and abs(r["pr_auc"] - want / y.sum()) < 1e-6
+        curve = M.pr_curve(df, "y", "s").orderBy(F.desc("score")).collect()
+        assert curve[-1]["recall"] == 1.0 and curve[-1]["n"] == len(y) and len(curve) == len(set(scores))
+    empty = M.pr_auc(df.limit(0), "y", "s").first()
+    assert (empty["positives"], empty["n"], empty["pr_auc"]) == (0, 0, None)
+
+
+def test_boosting_loss_falls_every_round(spark):
+    from netscope.operators import models as Mo
+    rng = np.random.default_rng(6)
+    x = rng.uniform(0, 10, 500)
+    df = spark.createDataFrame([(i, float(a), float(np.sin(a) * 5 + 6 + rng.normal(0, 0.2))) for i, a in enumerate(x)], "id long, x double, y double")
+    model, _, m = Mo.regression_task(df, "y", ["x"], [], ["id"], "gbt", dict(maxIter=15, stepSize=0.3, maxDepth=3, seed=1))
+    ready = model.stages[0].transform(df)
+    for st in model.stages[1:-1]:
+        ready = st.transform(ready)
+    loss = model.stages[-1].evaluateEachIteration(ready.withColumn("y", F.col("y")), "squared")
+    assert len(loss) == 15 and all(b < a for a, b in zip(loss, loss[1:])) and m.first()["r2"] > 0.9
