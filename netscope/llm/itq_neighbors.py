@@ -83,6 +83,11 @@ def codes(x: np.ndarray, projection: np.ndarray) -> np.ndarray:
     return (bits << np.arange(TABLE_BITS)).sum(2).astype(np.int32)
 
 
+def _digest(v: np.ndarray) -> bytes:
+    """Hash of a vector's content; negative zero counts as zero."""
+    return xxhash.xxh3_128_digest((v + 0.0).tobytes())
+
+
 def _classes(vectors: DataFrame, key: str, column: str) -> DataFrame:
     """``key, dim, same``: the vector's length and a hash of its content (null for unusable ones)."""
     kind = vectors.schema[key].dataType.simpleString()
@@ -90,8 +95,7 @@ def _classes(vectors: DataFrame, key: str, column: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [usable(v.as_py()) for v in batch.column(1)]
-            # negative zero counts as zero
-            digest = [None if v is None else xxhash.xxh3_128_digest((v + 0.0).tobytes()) for v in found]
+            digest = [None if v is None else _digest(v) for v in found]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([None if v is None else len(v) for v in found], pa.int32()),
                  pa.array(digest, pa.binary())], names=["key", "dim", "same"])
@@ -143,13 +147,21 @@ def _compare(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
 def neighbors(vectors: DataFrame, key: str = "vec_id", column: str = "embedding",
               threshold: float = THRESHOLD, tables: int = TABLES) -> DataFrame:
     """``key, n_links, component_id, kept`` of every row of ``vectors``."""
-    kind = vectors.schema[key].dataType.simpleString()
     items = vectors.schema[column].dataType.simpleString()
     rows = cut_lineage(_classes(vectors, key, column))
-    classes = cut_lineage(rows.filter("same is not null and key is not null").groupBy("dim", "same").agg(
-        F.min("key").alias("key"), F.countDistinct("key").alias("copies")))
-    content = vectors.select(F.col(key).alias("key"), F.col(column).alias("vector"))
-    units = classes.join(content, "key").dropDuplicates(["key"])
+    # a class of equal vectors is a node of its own: its smallest key may hold other vectors too
+    groups = cut_lineage(rows.filter("same is not null and key is not null").groupBy("dim", "same").agg(
+        F.min("key").alias("of"), F.countDistinct("key").alias("copies")))
+    classes = cut_lineage(groups.withColumn("key", F.monotonically_increasing_id()))
+    content = vectors.select(F.col(key).alias("of"), F.col(column).alias("vector"))
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [usable(v.as_py()) for v in batch.column(4)]
+            yield batch.filter(pa.array([v is not None and _digest(v) == d.as_py() for v, d in zip(found, batch.column(2))], pa.bool_()))
+
+    units = classes.join(content, "of").select("key", "dim", "same", "copies", "vector").mapInArrow(
+        own, f"key bigint, dim int, same binary, copies bigint, vector {items}").dropDuplicates(["key"])
 
     # rotations per vector length, each from a bounded sample
     projections = {}
@@ -168,7 +180,7 @@ def neighbors(vectors: DataFrame, key: str = "vec_id", column: str = "embedding"
                                              names=[*batch.schema.names, "code"])
 
     coded = cut_lineage(units.select("key", "dim", "same", "copies", "vector").mapInArrow(
-        encode, f"key {kind}, dim int, same binary, copies bigint, vector {items}, code array<int>"))
+        encode, f"key bigint, dim int, same binary, copies bigint, vector {items}, code array<int>"))
 
     # every class stands in one bucket a table; large buckets are dealt to parts, and part meets part
     stand = coded.select("key", "dim", F.posexplode("code").alias("t", "v"))
@@ -182,14 +194,15 @@ def neighbors(vectors: DataFrame, key: str = "vec_id", column: str = "embedding"
             F.greatest("mine", "other").alias("y"), (F.col("mine") > F.col("other")).cast("int").alias("side"))
     found = cut_lineage(met.join(coded.select("key", "copies", "vector", "code"), "key").groupBy(
         "dim", "t", "slice", "x", "y").applyInPandas(
-            lambda pdf: _compare(pdf, threshold), f"a {kind}, n bigint, b {kind}"))
+            lambda pdf: _compare(pdf, threshold), "a bigint, n bigint, b bigint"))
 
     roots = components(found.filter("b is not null").select("a", "b"))
     links = found.filter("b is null").groupBy("a").agg(F.sum("n").alias("n"))
-    label = classes.select("same", "key", "copies").join(links, F.col("key") == F.col("a"), "left").join(
+    label = classes.select("same", "key", "of", "copies").join(links, F.col("key") == F.col("a"), "left").join(
         roots, F.col("key") == F.col("node"), "left").select(
-            "same", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("root", "key").alias("component"))
+            "same", "of", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "key").alias("group"))
+    smallest = label.groupBy("group").agg(F.min("of").alias("component"))
+    label = label.join(smallest, "group").select("same", "n_links", "component")
     out = rows.select("key", "same").join(cut_lineage(label), "same", "left")
     component = F.when(F.col("key").isNotNull(), F.coalesce("component", "key"))
     count = F.when(F.col("key").isNull(), 0).otherwise(F.coalesce("n_links", F.lit(0)))

@@ -71,40 +71,42 @@ def signature(shingles: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, key: str, text: str, words: int, coordinates: int) -> DataFrame:
-    """``key, n, set_id, sig`` of every row (``set_id`` and ``sig`` null for empty sets)."""
+    """``key, same, n, set_id, sig`` of every row (``same``: its text's hash; ``set_id`` and ``sig`` null for empty sets)."""
     kind = docs.schema[key].dataType.simpleString()
     mult = _signature_multipliers(coordinates)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, ids, sigs = [], [], []
-            for t in batch.column(1):
+            for t in batch.column(2):
                 s = shingle_set(t.as_py(), words)
                 sizes.append(len(s))
                 ids.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 sigs.append(signature(s, mult).tolist() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()),
-                 pa.array(sigs, pa.list_(pa.int32()))], names=["key", "n", "set_id", "sig"])
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()),
+                 pa.array(sigs, pa.list_(pa.int32()))], names=["key", "same", "n", "set_id", "sig"])
 
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(
-        run, f"key {kind}, n bigint, set_id binary, sig array<int>")
+    return docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("same"), F.col(text).alias("text")).mapInArrow(
+        run, f"key {kind}, same bigint, n bigint, set_id binary, sig array<int>")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """``key, shingles`` of the documents whose key is in ``wanted``."""
-    kind = docs.schema[key].dataType.simpleString()
-
+    """``key, shingles`` of the classes in ``wanted`` (``key`` the class; ``of, set_id`` a row that holds its set)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t.as_py(), words).astype(np.int64) for t in batch.column(1)]
+            sets = [shingle_set(t.as_py(), words) for t in batch.column(2)]
+            # a document's key may also stand on rows with another text
+            own = np.array([xxhash.xxh3_128_digest(s.tobytes()) == d.as_py() for s, d in zip(sets, batch.column(1))], bool)
+            sets = [s.astype(np.int64) for s, m in zip(sets, own) if m]
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int64)
             values = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists(values, offsets)], names=["key", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(own)), lists(values, offsets)],
+                                             names=["key", "shingles"])
 
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(
-        wanted.select("key"), "key", "left_semi")
-    return rows.mapInArrow(run, f"key {kind}, shingles array<bigint>").dropDuplicates(["key"])
+    rows = docs.select(F.col(key).alias("of"), F.col(text).alias("text")).join(
+        wanted.select("key", "of", "set_id"), "of").select("key", "set_id", "text")
+    return rows.mapInArrow(run, "key bigint, shingles array<bigint>").dropDuplicates(["key"])
 
 
 def _common_tokens(reps: DataFrame, matches: int) -> DataFrame:
@@ -233,13 +235,15 @@ def cross_links(live: DataFrame, postings: DataFrame, roots: DataFrame, percent:
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4, percent: int = 80,
             coordinates: int = COORDINATES, matches: int = MATCHES) -> DataFrame:
-    """``key, n_shingles, component_id, kept`` of every row of ``docs``."""
+    """``key, n_shingles, component_id, kept, same`` of every row of ``docs`` (``same``: its text's hash)."""
     sigs = cut_lineage(signatures(docs, key, text, words, coordinates))
+    # a class of equal sets is a node of its own: its smallest key may hold other texts too
     sets = cut_lineage(sigs.filter("set_id is not null and key is not null").groupBy("set_id").agg(
-        F.min(F.struct("key", "sig")).alias("rep")).select("set_id", "rep.key", "rep.sig"))
+        F.min(F.struct("key", "sig")).alias("rep")).select("set_id", F.col("rep.key").alias("of"), "rep.sig"))
+    sets = cut_lineage(sets.withColumn("key", F.monotonically_increasing_id()))
     maybe = _common_tokens(sets.select("key", "sig"), matches)
-    maybe = cut_lineage(maybe.select("key").join(sets.select("key", "sig"), "key"))
-    live = cut_lineage(_prune(full_sets(docs, maybe, key, text, words), percent).join(maybe, "key"))
+    maybe = cut_lineage(maybe.select("key").join(sets, "key"))
+    live = cut_lineage(_prune(full_sets(docs, maybe, key, text, words), percent).join(maybe.select("key", "sig"), "key"))
     tokens = _common_tokens(live.select("key", "sig"), matches)
     central = F.aggregate("tokens", F.lit(0.0), lambda acc, t: acc + F.log(t["f"].cast("double")))
     postings = cut_lineage(tokens.select(
@@ -249,14 +253,16 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
     links = cut_lineage(star_links(live, postings, percent, matches))
     more = cut_lineage(cross_links(live, postings, components(links), percent, matches))
     roots = components(links.unionByName(more))
-    label = sets.select("set_id", "key").join(roots, F.col("key") == F.col("node"), "left").select(
-        "set_id", F.coalesce("root", "key").alias("component"))
-    out = sigs.select("key", "n", "set_id").join(cut_lineage(label), "set_id", "left")
+    label = sets.select("set_id", "key", "of").join(roots, F.col("key") == F.col("node"), "left").select(
+        "set_id", "of", F.coalesce("root", "key").alias("group"))
+    smallest = label.groupBy("group").agg(F.min("of").alias("component"))
+    label = label.join(smallest, "group").select("set_id", "component")
+    out = sigs.select("key", "same", "n", "set_id").join(cut_lineage(label), "set_id", "left")
     component = F.when(F.col("key").isNotNull(), F.coalesce("component", "key"))
     return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      F.coalesce(F.col("key") == component, F.lit(True)).alias("kept"))
+                      F.coalesce(F.col("key") == component, F.lit(True)).alias("kept"), "same")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of near copies over all documents: 4-word shingles, similarity 0.8."""
-    return classes(table(spark, sf_dir, "documents"))
+    return classes(table(spark, sf_dir, "documents")).drop("same")

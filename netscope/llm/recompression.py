@@ -15,7 +15,8 @@ that decide that it is formed; any window of words that holds the context holds
    share sends one row per task, not one per document.
 
 Order is by key, then by place; windows are judged on the input.  A repeated row (same key and text) is
-the same document and loses nothing to its copy.  Rows with a null key lose nothing; null and blank texts
+the same document and loses nothing to its copy; rows with one key and different texts are documents of their
+own, in the order of their texts' hashes.  Rows with a null key lose nothing; null and blank texts
 have no words; texts shorter than a window lose nothing; an empty table gives an empty result; other
 columns pass through.
 """
@@ -202,17 +203,20 @@ def window_hashes(words: np.ndarray, starts: np.ndarray, window: int) -> tuple[n
 
 
 def repeats(docs: DataFrame, key: str, text: str, window: int, repeated: np.ndarray) -> DataFrame:
-    """``key, a, b``: word ranges covered by windows that also start earlier."""
+    """``key, same, a, b``: word ranges covered by windows that also start earlier.
+
+    Documents go by key, rows of one key by ``same``, the hash of their text."""
     kind = docs.schema[key].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(repeated)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each task's first window of a kind, to meet the others (``b`` null); repeats found here as ranges."""
         for batch in batches:
-            keys, texts = batch.column(0), batch.column(1).to_pylist()
+            keys, texts = batch.column(0), batch.column(2).to_pylist()
             for lo, hi in text_groups(texts, GROUP_CHARS):
-                own = keys.slice(lo, hi - lo)
-                rank = np.array(pa.compute.rank(own, tiebreaker="dense"))
+                own = keys.slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo)
+                by_key = np.array(pa.compute.rank(own[0], tiebreaker="dense")).astype(np.int64)
+                rank = np.unique(np.stack([by_key, own[1].to_numpy()]), axis=1, return_inverse=True)[1].ravel()
                 words, doc = _texts(texts[lo:hi])
                 starts = candidates(words, doc, shared.value, window)
                 if not len(starts):
@@ -243,13 +247,13 @@ def repeats(docs: DataFrame, key: str, text: str, window: int, repeated: np.ndar
         """Rows come sorted by hash, key and place: the first of a hash stays, the others are repeats."""
         before = None   # the last group's hash, and its first window
         for batch in batches:
-            done = batch.filter(pa.compute.is_valid(batch.column(4)))
+            done = batch.filter(pa.compute.is_valid(batch.column(5)))
             if len(done):
-                yield pa.RecordBatch.from_arrays([done.column(2), done.column(3), done.column(4)], names=["key", "a", "b"])
-            rows = batch.filter(pa.compute.is_null(batch.column(4)))
+                yield pa.RecordBatch.from_arrays([done.column(i) for i in (2, 3, 4, 5)], names=["key", "same", "a", "b"])
+            rows = batch.filter(pa.compute.is_null(batch.column(5)))
             if not len(rows):
                 continue
-            x, y, p = (rows.column(i).to_numpy() for i in (0, 1, 3))
+            x, y, t, p = (rows.column(i).to_numpy() for i in (0, 1, 3, 4))
             keys = rows.column(2)
             head = np.ones(len(x), bool)
             head[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
@@ -259,31 +263,34 @@ def repeats(docs: DataFrame, key: str, text: str, window: int, repeated: np.ndar
             at = np.cumsum(head) - 1
             first_p = np.where(at >= 0, p[lead[np.maximum(at, 0)]] if len(lead) else 0, before[3] if before else 0)
             firsts = keys.take(pa.array(lead[np.maximum(at, 0)])) if len(lead) else keys
+            first_t = np.where(at >= 0, t[lead[np.maximum(at, 0)]] if len(lead) else 0, before[4] if before else 0)
             same = pa.compute.equal(keys, firsts).to_numpy(zero_copy_only=False)
             if (at < 0).any():
                 n = int((at < 0).sum())
                 same[:n] = [k == before[2] for k in keys.slice(0, n).to_pylist()]
+            same &= t == first_t
             again = ~(same & (p == first_p))
             again[lead] = False
             if len(lead):
-                before = (int(x[-1]), int(y[-1]), keys[int(lead[-1])].as_py(), int(p[lead[-1]]))
+                before = (int(x[-1]), int(y[-1]), keys[int(lead[-1])].as_py(), int(p[lead[-1]]), int(t[lead[-1]]))
             if again.any():
                 q = p[again]
                 yield pa.RecordBatch.from_arrays(
-                    [keys.filter(pa.array(again)), pa.array(q), pa.array((q + window).astype(np.int32))],
-                    names=["key", "a", "b"])
+                    [keys.filter(pa.array(again)), pa.array(t[again]), pa.array(q), pa.array((q + window).astype(np.int32))],
+                    names=["key", "same", "a", "b"])
 
-    rows = docs.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
-    met = rows.mapInArrow(find, f"x bigint, y int, key {kind}, a int, b int")
-    return met.repartition("x").sortWithinPartitions("x", "y", "key", "a").mapInArrow(flag, f"key {kind}, a int, b int")
+    rows = docs.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.xxhash64(text).alias("same"), F.col(text).alias("text"))
+    met = rows.mapInArrow(find, f"x bigint, y int, key {kind}, same bigint, a int, b int")
+    return met.repartition("x").sortWithinPartitions("x", "y", "key", "same", "a").mapInArrow(
+        flag, f"key {kind}, same bigint, a int, b int")
 
 
-def _batch(keys: pa.Array, doc: np.ndarray, x: np.ndarray, y: np.ndarray, a: np.ndarray,
+def _batch(keys: tuple[pa.Array, pa.Array], doc: np.ndarray, x: np.ndarray, y: np.ndarray, a: np.ndarray,
            b: np.ndarray | None) -> pa.RecordBatch:
     end = pa.nulls(len(a), pa.int32()) if b is None else pa.array(b.astype(np.int32))
     return pa.RecordBatch.from_arrays(
-        [pa.array(x), pa.array(y), keys.take(pa.array(doc)), pa.array(a.astype(np.int32)), end],
-        names=["x", "y", "key", "a", "b"])
+        [pa.array(x), pa.array(y), *(k.take(pa.array(doc)) for k in keys), pa.array(a.astype(np.int32)), end],
+        names=["x", "y", "key", "same", "a", "b"])
 
 
 def remove_words(text: str | None, ranges: list[tuple[int, int]]) -> tuple[str | None, int, int]:
@@ -308,10 +315,10 @@ def remove_words(text: str | None, ranges: list[tuple[int, int]]) -> tuple[str |
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """``row`` (the document as it came), ``kept`` (its text without repeats), ``n_words``, ``n_removed``."""
     repeated = bloom(repeated_symbols(docs.filter(F.col(key).isNotNull()), text, window))
-    found = repeats(docs, key, text, window, repeated).groupBy("key").agg(
+    found = repeats(docs, key, text, window, repeated).groupBy("key", "same").agg(
         F.collect_list("a").alias("a"), F.collect_list("b").alias("b"))
-    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(key).alias("key")).join(
-        found, "key", "left").select("row", "a", "b")  # the text moves once, inside the row
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(key).alias("key"),
+                       F.xxhash64(text).alias("same")).join(found, ["key", "same"], "left").select("row", "a", "b")  # the text moves once, inside the row
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -67,3 +67,12 @@ def test_rotation_lowers_quantisation_loss():
     loss = lambda r: ((np.where(x @ r >= 0, 1, -1) / np.sqrt(8) - x @ r) ** 2).sum()
     directions = np.linalg.svd(x.T @ x)[2].T
     assert loss(p) < loss(directions)
+
+
+def test_repeated_keys_with_other_vectors(spark):
+    """Each content of a key has links of its own, whatever else stands on the key (null and shorter vectors too)."""
+    rows = [(1, [1.0, 2.0]), (1, None), (1, [2.0, -1.0]), (2, [1.0, 2.1]), (3, [2.0, -1.1]), (3, [1.0, 2.0]), (4, [0.0, 0.0]),
+            (4, [-1.0, 0.0]), (5, [1.0]), (5, [1.0, 2.05])]
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in N.neighbors(frame(spark, rows, "double")).collect())
+    # [1, 2] stands on 1 and 3, its near copies on 2 and 5; [2, -1] on 1, its near copy on 3
+    assert got == sorted([(1, 3, 1), (1, 0, 1), (1, 1, 1), (2, 3, 1), (3, 1, 1), (3, 3, 1), (4, 0, 4), (4, 0, 4), (5, 0, 5), (5, 3, 1)])

@@ -74,3 +74,13 @@ def test_missing_a_link_is_unlikely():
     from math import comb
     k, t = M.COORDINATES, M.MATCHES
     assert sum(comb(k, i) * 0.8 ** i * 0.2 ** (k - i) for i in range(t)) < 2e-6
+
+
+def test_repeated_keys_with_other_texts(make_docs):
+    """Each text of a key has links of its own: no link is lost to the other texts that stand on the key."""
+    words = [f"w{i}" for i in range(60)]
+    a, b = " ".join(words), " ".join(reversed(words))
+    rows = [(1, a), (2, b), (2, a + " more"), (2, None), (3, b + " end"), (4, "short"), (4, a + " more"), (5, "short")]
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in M.classes(make_docs(rows)).collect())
+    assert got == sorted([(1, 57, 1, True), (2, 57, 2, True), (2, 58, 1, False), (2, 0, 2, True), (3, 58, 2, False),
+                          (4, 1, 4, True), (4, 58, 1, False), (5, 1, 4, False)])

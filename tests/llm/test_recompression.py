@@ -97,3 +97,16 @@ def test_words_column_is_the_same_split(make_docs, edge_rows):
     rows = make_docs(edge_rows).select("text", words_column(F.col("text")).alias("w")).collect()
     for text, words in rows:
         assert [w.encode() for w in words] == (text or "").encode().split()
+
+
+def test_repeated_keys_with_other_texts(make_docs):
+    """Rows of one key with other texts (shorter, null) are documents of their own."""
+    words = [f"w{k}" for k in range(80)]
+    passage, more = " ".join(words[:50]), " ".join(words[50:])
+    rows = [(1, passage), (2, f"{passage} {more}"), (2, "tiny text"), (2, None), (3, f"{more} end"), (3, "tiny text"),
+            (4, f"{passage} x"), (4, f"x {more}")]
+    got = sorted((r[0], r[1], r[2], (r[3] or "").split()) for r in R.dedup(make_docs(rows)).select(
+        "row.doc_id", "n_words", "n_removed", "kept").collect())
+    end = f"{more} end".split()
+    assert got == sorted([(1, 50, 0, words[:50]), (2, 80, 50, words[50:]), (2, 2, 0, ["tiny", "text"]), (2, 0, 0, []),
+                          (3, 31, 30, end[30:]), (3, 2, 0, ["tiny", "text"]), (4, 51, 50, ["x"]), (4, 31, 30, ["x"])])
