@@ -5,7 +5,7 @@ Every stage takes what its predecessor kept, whole, and all but the last return
 stage repeats one stage's work at most.
 
 Documents with a null ``doc_id`` pass the dedup stages untouched; repeated rows (same ``doc_id`` and
-text) become one in the near-dedup stage; null texts are rejected by the first stage; empty tables give
+text) become one in the near-dedup stage, where rows with one ``doc_id`` and other texts are told apart; null texts are rejected by the first stage; empty tables give
 empty results; further columns pass through.  No part of the result can be told in SQL (the packing is by
 a tokenizer), so ``ORACLE_SQL`` is None and the tests compare the stages with brute force.
 """
@@ -42,12 +42,14 @@ def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the smallest ``doc_id``, of each group of near copies (5-word shingles, similarity 0.8)."""
-    again = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
-    if not again.isEmpty():
-        whole = docs.filter("doc_id is not null").dropDuplicates(["doc_id", "text"])
-        docs = whole.unionByName(docs.filter("doc_id is null"))
-    copies = minhash_links.classes(docs, words=5).filter("not kept").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    known = docs.filter("doc_id is not null")
+    if not known.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        docs = known.dropDuplicates(["doc_id", "text"]).unionByName(docs.filter("doc_id is null"))
+    # a row is its key and its text: other texts of the same key stay
+    copies = minhash_links.classes(docs, words=5).filter("not kept").select(
+        F.col("doc_id").alias("_of"), F.col("same").alias("_same")).distinct()
+    same = (F.col("doc_id") == F.col("_of")) & (F.xxhash64("text") == F.col("_same"))
+    return docs.join(copies, same, "left_anti").select(*docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
