@@ -31,7 +31,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netscope.llm.common import hash_words, split_words, table, text_groups, words_column
@@ -202,10 +202,16 @@ def window_hashes(words: np.ndarray, starts: np.ndarray, window: int) -> tuple[n
     return mix(one), (mix(two) >> U(32)).astype(np.uint32)
 
 
-def repeats(docs: DataFrame, key: str, text: str, window: int, repeated: np.ndarray) -> DataFrame:
+def row_hash(docs: DataFrame, key: str, text: str) -> Column:
+    """Tells rows of one key apart by their text; the same for all where no key is repeated, so that it weighs nothing."""
+    again = docs.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1")
+    return F.lit(0).cast("bigint") if again.isEmpty() else F.xxhash64(text)
+
+
+def repeats(docs: DataFrame, key: str, text: str, window: int, repeated: np.ndarray, same: Column) -> DataFrame:
     """``key, same, a, b``: word ranges covered by windows that also start earlier.
 
-    Documents go by key, rows of one key by ``same``, the hash of their text."""
+    Documents go by key, rows of one key by ``same``."""
     kind = docs.schema[key].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(repeated)
 
@@ -279,7 +285,7 @@ def repeats(docs: DataFrame, key: str, text: str, window: int, repeated: np.ndar
                     [keys.filter(pa.array(again)), pa.array(t[again]), pa.array(q), pa.array((q + window).astype(np.int32))],
                     names=["key", "same", "a", "b"])
 
-    rows = docs.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.xxhash64(text).alias("same"), F.col(text).alias("text"))
+    rows = docs.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), same.alias("same"), F.col(text).alias("text"))
     met = rows.mapInArrow(find, f"x bigint, y int, key {kind}, same bigint, a int, b int")
     return met.repartition("x").sortWithinPartitions("x", "y", "key", "same", "a").mapInArrow(
         flag, f"key {kind}, same bigint, a int, b int")
@@ -315,10 +321,11 @@ def remove_words(text: str | None, ranges: list[tuple[int, int]]) -> tuple[str |
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """``row`` (the document as it came), ``kept`` (its text without repeats), ``n_words``, ``n_removed``."""
     repeated = bloom(repeated_symbols(docs.filter(F.col(key).isNotNull()), text, window))
-    found = repeats(docs, key, text, window, repeated).groupBy("key", "same").agg(
+    same = row_hash(docs, key, text)
+    found = repeats(docs, key, text, window, repeated, same).groupBy("key", "same").agg(
         F.collect_list("a").alias("a"), F.collect_list("b").alias("b"))
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(key).alias("key"),
-                       F.xxhash64(text).alias("same")).join(found, ["key", "same"], "left").select("row", "a", "b")  # the text moves once, inside the row
+                       same.alias("same")).join(found, ["key", "same"], "left").select("row", "a", "b")  # the text moves once, inside the row
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
