@@ -17,11 +17,11 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
-import unicodedata
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,8 +30,7 @@ from netscope.llm.common import Recent, lists, table, text_groups
 NAME = "op8_byte_bpe"
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
-# White space of the pattern's \s, and its contractions.
-SPACES = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+# The contractions of the pattern.
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 
 # Classes of code points after look-ahead.
@@ -63,17 +62,21 @@ def _step(state: int, cls: int) -> tuple[int, bool]:
     return (NEED_1 if cls == SHORT else NEED_2), True
 
 
+def _members(engine_class: str) -> np.ndarray:
+    """Code points of one class of the pattern, as tiktoken's own engine has it (Python's tables may be of
+    another Unicode version): an encoding whose pattern is the class keeps just these characters."""
+    one = tiktoken.Encoding(engine_class, pat_str=engine_class, special_tokens={},
+                            mergeable_ranks={bytes([i]): i for i in range(256)})
+    every = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
+    return np.frombuffer(bytes(one.encode_ordinary(every)).decode().encode("utf-32-le"), "<u4")
+
+
 @functools.cache
 def _classes() -> np.ndarray:
-    """Class of every code point, without look-ahead (apostrophes count as OTHER)."""
+    """Class of every code point, without look-ahead (apostrophes count as OTHER); once per worker."""
     out = np.full(0x110000, OTHER, np.uint8)
-    for c in range(0x110000):
-        kind = unicodedata.category(chr(c))[0]
-        if kind == "L":
-            out[c] = LETTER
-        elif kind == "N":
-            out[c] = NUMBER
-    out[SPACES] = WHITE
+    for cls, engine_class in ((LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (WHITE, r"\s")):
+        out[_members(engine_class)] = cls
     return out
 
 

@@ -40,6 +40,16 @@ def test_any_text(texts):
         same(texts)
 
 
+def test_all_planes():
+    """Every code point beside a letter, a digit, white space and a sign; and letters newer than Python's tables."""
+    rng = random.Random(7)
+    every = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    same(["".join(chr(c) + rng.choice("한1 !\n") for c in every[i:i + 8000]) for i in range(0, len(every), 8000)])
+    same([chr(c) + "한" for c in (0x105CC, 0x1396C, 0x13A00, 0x14110)])
+    astral = [c for c in every if 0x10000 <= c < 0x32000]
+    same(["".join(chr(rng.choice(astral)) for _ in range(rng.randint(1, 12))) for _ in range(3000)])
+
+
 def test_scan_is_associative():
     """Blocked composition equals stepping through the automaton."""
     own, compose, at_fresh, _ = B._monoid()
