@@ -13,7 +13,12 @@ its letters recur, the page is a copy of an article with changes, and only its l
 
 Words of class, id and role mark an element if a whole word of the attribute consists of them; if only a
 part does (``related-posts``), the element must hold mostly links and less than half of the page.  No word
-drops ``html``, ``body``, ``main``, ``article`` or an element around one of them.
+drops ``html``, ``body``, ``main``, ``article`` or an element around one of them; only reader comments that
+follow a main element or stand in one go whole, ``article`` elements within them and comments that are
+``article`` elements themselves included.
+
+Parsing takes time linear in a page: open elements are found by name, an unclosed tag isn't scanned twice, and
+ranges of blocks are marked by their ends.
 
 A batch sends at most ``MIN_PAGES`` rows per (host, subtree) to the count, and a page gets back only its
 own recurring subtrees, so a host with a third of all pages needs no task of its own.
@@ -26,7 +31,9 @@ from __future__ import annotations
 
 import html as htmllib
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -59,12 +66,15 @@ MARKS = frozenset("""ad ads advert adverts advertisement advertising sponsor spo
     sharing social comment comments reply replies disqus footer masthead skip search login complementary
     contentinfo""".split())
 HEADER_MARKS = frozenset(("header", "site-header"))
-# How an element is marked: by its tag or as hidden, by a whole word, by a part of a word.
-KIND, WORD, PART = 1, 2, 3
+COMMENT_MARKS = frozenset("comment comments reply replies disqus".split())
+# How an element is marked: by its tag or as hidden, by a whole word, by a part of a word, as reader comments.
+KIND, WORD, PART, COMMENT = 1, 2, 3, 4
 
+# No "<" outside quotes in a tag: at most three unfinished tags (one a state of quoting) are read at any place.
+_IN_TAG = r"(?:\"[^\"]*\"|'[^']*'|[^'\"<>])*+"
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r")\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?/][^>]*>", re.S | re.I)
+    r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r")\b" + _IN_TAG + r">.*?(?:</\1\s*>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/<>]*+)(" + _IN_TAG + r")>|<(?:[!?]|/(?![a-zA-Z]))[^>]*+(?:>|\Z)", re.S | re.I)
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _INVISIBLE = re.compile(r"display\s*:\s*none")
 _PART = re.compile(r"[a-z]+")
@@ -80,6 +90,15 @@ class Element:
         self.mutes = False  # an inline element whose text is left out of the block around it
 
 
+def _spread(ranges: list[tuple[int, int]], n: int) -> list[bool]:
+    """Which of ``n`` places lie in a range."""
+    ends = [0] * (n + 1)
+    for a, b in ranges:
+        ends[a] += 1
+        ends[b] -= 1
+    return [x > 0 for x in accumulate(ends)][:n]
+
+
 def _marked(tag: str, attributes: str, in_content: bool) -> tuple[int, bool]:
     """How tag or attributes say that an element isn't part of the article, and whether it is a main element."""
     main = tag in ("article", "main")
@@ -98,10 +117,12 @@ def _marked(tag: str, attributes: str, in_content: bool) -> tuple[int, bool]:
         for word in value.split():
             parts = _PART.findall(word)
             if word in MARKS or (not in_content and word in HEADER_MARKS) or parts and MARKS.issuperset(parts):
-                mark = WORD
+                if word in COMMENT_MARKS or not COMMENT_MARKS.isdisjoint(parts):
+                    mark = COMMENT
+                mark = mark if mark == COMMENT else WORD
             elif not mark and not MARKS.isdisjoint(parts):
                 mark = PART
-    return 0 if main else mark, main
+    return 0 if main and mark != COMMENT else mark, main
 
 
 class Page:
@@ -124,6 +145,8 @@ class Page:
         self._partly: list[tuple[int, int, int]] = []   # first block, block after the last, letters
         root = Element("", False, False, 0)
         self._stack, self._links, self._muted = [root], 0, 0
+        self._places: dict[str, list[int]] = defaultdict(list)   # where open elements of a name stand in the stack
+        self._open_marks: list[Element] = []   # open elements with a mark that a main element inside takes away
         at = 0
         for m in _TOKEN.finditer(source):
             if m.start() > at:
@@ -141,9 +164,8 @@ class Page:
         while len(self._stack) > 1:
             self._pop()
         self._flush()
-        for a, b, chars in self._partly:
-            if 2 * chars < root.chars:
-                self.blocks[a:b] = [(t, content, True) for t, content, _ in self.blocks[a:b]]
+        partly = _spread([(a, b) for a, b, chars in self._partly if 2 * chars < root.chars], len(self.blocks))
+        self.blocks[:] = [(t, content, dropped or p) for (t, content, dropped), p in zip(self.blocks, partly)]
 
     def _text(self, raw: str) -> None:
         if self._muted:
@@ -167,7 +189,7 @@ class Page:
     def _open(self, tag: str, attributes: str, at: int) -> None:
         if tag == "p" or tag in BLOCK:
             self._flush()
-            if any(e.tag == "p" for e in self._stack):
+            if self._places["p"]:
                 self._end(("p",), ("article", "main", "section", "td", "li", "body", "div"))
         if tag in CLOSES:
             self._end(*CLOSES[tag])
@@ -180,42 +202,54 @@ class Page:
         top = self._stack[-1]
         if tag not in BLOCK:
             mark = KIND if tag in NOT_TEXT else _marked(tag, attributes, top.content)[0] if attributes else 0
-            drops = mark == KIND or mark == WORD and at not in self._spared
+            if mark == COMMENT and not self.has_content:
+                mark = WORD
+            drops = mark in (KIND, COMMENT) or mark == WORD and at not in self._spared
             if tag == "a" or drops:
                 new = Element(tag, top.dropped, top.content, len(self.blocks), mark if drops else 0, at)
                 new.mutes = drops
                 self._muted += new.mutes
-                self._stack.append(new)
+                self._push(new)
             return
         mark, main = _marked(tag, attributes, top.content)
-        if main or tag in ("html", "body"):
-            for e in self._stack:
+        if mark == COMMENT and not self.has_content:
+            mark = 0 if main else WORD
+        if main and mark != COMMENT or tag in ("html", "body"):
+            for e in self._open_marks:
                 if e.mark == WORD:
                     self._spared.add(e.at)
-                elif e.mark == PART:
+                else:
                     e.mark = 0
+            self._open_marks.clear()
         if mark == WORD and at in self._spared:
             mark = 0
-        dropped = top.dropped or mark in (KIND, WORD)
+        dropped = top.dropped or mark in (KIND, WORD, COMMENT)
         content = top.content or (not dropped and main)
         self.has_content |= content
-        self._stack.append(Element(tag, dropped, content, len(self.blocks), mark, at))
+        self._push(Element(tag, dropped, content, len(self.blocks), mark, at))
+
+    def _push(self, new: Element) -> None:
+        self._places[new.tag].append(len(self._stack))
+        self._stack.append(new)
+        if new.mark in (WORD, PART):
+            self._open_marks.append(new)
+
+    def _innermost(self, tags: tuple[str, ...]) -> int:
+        """Place in the stack of the innermost open element of ``tags``, 0 if there is none."""
+        return max((self._places[t][-1] for t in tags if self._places[t]), default=0)
 
     def _end(self, tags: tuple[str, ...], boundary: tuple[str, ...]) -> None:
         """Closes the innermost open element of ``tags`` unless a boundary element lies above it."""
-        for i in range(len(self._stack) - 1, 0, -1):
-            if self._stack[i].tag in tags:
-                while len(self._stack) > i:
-                    self._pop()
-                return
-            if self._stack[i].tag in boundary:
-                return
+        place = self._innermost(tags)
+        if place > self._innermost(boundary):
+            while len(self._stack) > place:
+                self._pop()
 
     def _close(self, tag: str) -> None:
-        if any(e.tag == tag for e in self._stack):
-            while self._stack[-1].tag != tag:
+        if self._places[tag]:
+            place = self._places[tag][-1]
+            while len(self._stack) > place:
                 self._pop()
-            self._pop()
         elif tag in BLOCK:
             self._flush()
 
@@ -225,6 +259,9 @@ class Page:
             self._flush()
         self._muted -= top.mutes
         self._stack.pop()
+        self._places[top.tag].pop()
+        if self._open_marks and self._open_marks[-1] is top:
+            self._open_marks.pop()
         parent.hash.update(top.hash.digest())
         parent.chars += top.chars
         parent.linked += top.linked
@@ -252,14 +289,14 @@ class Page:
 
     def text(self, recurring: set[int]) -> str:
         """Text without the recurring subtrees."""
-        read = self.visible()
-        shared = [False] * len(read)
+        read, n = self.visible(), len(self.blocks)
+        inside = [0, *accumulate(content for _, content, _ in self.blocks)]
+        gone, again = [], []
         for h, a, b, links in self.subtrees:
             if h in recurring:
-                if links or not any(content for _, content, _ in self.blocks[a:b]):
-                    read[a:b] = [False] * (b - a)
-                else:
-                    shared[a:b] = [True] * (b - a)
+                (gone if links or inside[a] == inside[b] else again).append((a, b))
+        read = [r and not x for r, x in zip(read, _spread(gone, n))]
+        shared = _spread(again, n)
         if any(shared):
             sizes = [len(t) * r for (t, _, _), r in zip(self.blocks, read)]
             again = [n for n, x in zip(sizes, shared) if n and x]

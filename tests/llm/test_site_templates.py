@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 from conftest import SF_SMALL
 from netscope.llm import site_templates as S
@@ -29,6 +30,30 @@ def test_broken_pages():
     assert len(text("<p>" + "word " * 50_000)) == 50_000 * 5 - 1
 
 
+def test_reader_comments_go():
+    """Comments after or in a main element go whole; a page that only has such a wrapper keeps its article."""
+    for tail in ('<section id="comments"><article><p>I liked it</p></article></section>',
+                 '<div class="comment-replies"><main><p>I liked it</main></div>', '<article class="comment"><p>I liked it</article>'):
+        assert text(f"<article><p>One</p>{tail}<p>Two</p></article>") == "One\nTwo", tail
+        assert text(f"<article><p>One</p><p>Two</article>{tail}") == "One\nTwo", tail
+    assert text('<div class="comments"><article><p>One</p></article></div>') == "One"
+    assert text('<article class="comment"><p>One</p></article>') == "One"
+
+
+def test_hostile_pages_take_linear_time():
+    """A page four times as long takes some four times as long, not sixteen."""
+    def seconds(page):
+        begin = time.process_time()
+        text(page)
+        return time.process_time() - begin
+
+    for piece in ("<script ", "<a ", "<div>", "<main>", "<!", "</", "</x ", '<a "', "<p><div><a>", '<div class="related-posts"><a>x',
+                  '<div class="ad">', "<ul>", "<p>x", "<li>", "</div>", "<![CDATA[", "&lt", '<a "<a" '):
+        short, long = (seconds(piece * n) for n in (8_000, 32_000))
+        assert long < 8 * short + 0.3, (piece, short, long)
+    assert seconds("<script " * 130_000) < 5
+
+
 def test_templates_recur_per_host(spark):
     """Without an article element the recurring blocks of a host go, the same block elsewhere stays."""
     rows = []
