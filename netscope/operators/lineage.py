@@ -6,6 +6,7 @@ import hashlib
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def schema_hash(df: DataFrame) -> str:
@@ -20,6 +21,33 @@ def row_digest(df: DataFrame):
     return F.md5(F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]))
 
 
+def canonical_text(df: DataFrame, name: str):
+    """A value as a text that does not depend on an engine's way of printing: times as microseconds and days of
+    the epoch, floating-point numbers as exact 53-bit integer and exponent, bytes as hex, nested values as JSON."""
+    x, kind = F.col(f"`{name}`"), df.schema[name].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(x.cast("timestamp")).cast("string")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(x).cast("string")
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        x = x.cast("double")
+        size, two = F.abs(x), F.lit(2.0)
+        e = F.floor(F.log2(size))
+        e = (e + F.when(F.pow(two, e + 1) <= size, 1).when(F.pow(two, e) > size, -1).otherwise(0)).cast("int")
+        half = F.floor((F.lit(52) - e) / 2)
+        whole = (size * F.pow(two, half) * F.pow(two, F.lit(52) - e - half)).cast("bigint")
+        return (F.when(F.isnan(x), "nan").when(x == 0, "0").when(size == float("inf"), F.when(x > 0, "inf").otherwise("-inf"))
+                .otherwise(F.concat(F.when(x < 0, "-").otherwise(""), whole.cast("string"), F.lit("p"), e.cast("string"))))
+    if isinstance(kind, T.BinaryType):
+        return F.hex(x)
+    return x.cast("string") if isinstance(kind, T.AtomicType) else F.to_json(F.struct(x))
+
+
+def canonical(df: DataFrame) -> DataFrame:
+    """``df`` with every column as its canonical text: input for a ``fingerprint`` that other engines reproduce."""
+    return df.select(*[canonical_text(df, c).alias(c) for c in df.columns])
+
+
 def fingerprint(df: DataFrame) -> DataFrame:
     """Order-free fingerprint over all rows: row count and the exact sum of 60-bit row digests, which
     partial aggregation combines.  The schema's hash goes with it in ``schema_hash``."""

@@ -434,6 +434,21 @@ def q_correlation_pairs(spark, sf):
     return P.correlation_pairs(ship(spark, sf), SHIP_NUMERIC)
 
 
+_CANDIDATES = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query("correlation_candidates", sql=" UNION ALL ".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, COUNT(*) FILTER ({a} IS NOT NULL AND {b} IS NOT NULL) AS n, "
+    f"ROUND(CORR({a}, {b}), 6) AS corr FROM lineitem"
+    for i, a in enumerate(_CANDIDATES) for j, b in enumerate(_CANDIDATES) if j < i))
+def q_correlation_candidates(spark, sf):
+    """P32 + A14: all numeric columns that are no identifiers, found from the schema."""
+    from netscope.functions.exprs import correlation_candidates
+    from netscope.operators.wide import correlations
+    li = table(spark, sf, "lineitem")
+    return correlations(li, correlation_candidates(li))
+
+
 @query("histogram30", sql="""
 WITH r AS (SELECT MIN(delay_mean) AS lo, MAX(delay_mean) AS hi FROM ship),
 b AS (SELECT CAST(CASE WHEN r.hi = r.lo THEN 0 ELSE LEAST(FLOOR((s.delay_mean - r.lo) / ((r.hi - r.lo) / 30.0)), 29) END AS INTEGER) AS bin,

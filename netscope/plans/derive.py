@@ -79,3 +79,48 @@ def write_raw_json(spark: SparkSession, sf_dir: str) -> str:
      .select("provider", "vm", "region", "d.*")
      .write.partitionBy("provider", "vm", "region").json(out))
     return out
+
+
+# Files of ``write_documents``: 256 events each, of eight kinds by the file's number.
+FILE_EVENTS = 256
+DOCUMENTS_SQL = f"""files AS (
+  SELECT event_id // {FILE_EVENTS} AS f, (event_id // {FILE_EVENTS}) % 8 AS kind, event_id, event_type, value,
+         epoch_us(ts) // 1000000 AS sec,
+         event_id = MIN(event_id) OVER (PARTITION BY event_id // {FILE_EVENTS}) AS first_of_file
+  FROM events),
+named AS (
+  SELECT *, CASE WHEN kind = 3 THEN 'AWS' ELSE CASE WHEN f % 3 = 0 THEN 'Azure' ELSE 'AWS' END || '/m3.xlarge_udp/US-EU' END
+         || '/f' || f || CASE WHEN kind = 2 THEN '.txt' ELSE '.json' END AS rel_path
+  FROM files)"""
+
+
+def write_documents(spark: SparkSession, sf_dir: str) -> str:
+    """Result files as single documents, good and bad ones, derived from all ``events``.
+
+    Kind of a file by its number modulo 8: 0 an array of records, 1 one object (its first event), 2 records
+    under a ``.txt`` name, 3 an array right below the provider's folder, 4 an empty file, 5 an array cut in
+    its middle, 6 a bare number, 7 an array in which the records of ``error`` events are plain strings.
+    Records of ``signup`` events have empty results."""
+    from netscope.sinks import write_objects
+    e = table(spark, sf_dir, "events")
+    f = F.floor(F.col("event_id") / FILE_EVENTS).cast("bigint")
+    sec = F.unix_seconds(F.col("ts").cast("timestamp"))
+    name = F.concat(F.lit("e"), "event_id")
+    tput = F.when(F.col("event_type") != "signup", F.struct(F.struct(F.col("value").alias("mean")).alias("synt")))
+    record = F.to_json(F.struct(sec.alias("start"), F.col("event_type").alias("proto"), name.alias("exp_name"),
+                                F.struct(tput.alias("tput")).alias("results")))
+    kind = F.col("f") % 8
+    member = F.when((kind == 7) & (F.col("event_type") == "error"), F.concat(F.lit('"'), name, F.lit('"'))).otherwise(record)
+    docs = (e.select(f.alias("f"), "event_id", "event_type", "value", "ts")
+            .select("f", "event_id", member.alias("member"))
+            .groupBy("f").agg(F.array_sort(F.collect_list(F.struct("event_id", "member"))).getField("member").alias("m")))
+    array = F.concat(F.lit("["), F.array_join("m", ",\n"), F.lit("]"))
+    text = (F.when(kind == 1, F.col("m")[0]).when(kind == 4, F.lit(""))
+            .when(kind == 5, F.substring(array, F.lit(1), F.length(array) - 5)).when(kind == 6, F.col("f").cast("string"))
+            .otherwise(array))
+    provider = F.when((F.col("f") % 3 == 0) & (kind != 3), F.lit("Azure")).otherwise(F.lit("AWS"))
+    rel = F.concat(provider, F.when(kind == 3, F.lit("")).otherwise(F.lit("/m3.xlarge_udp/US-EU")), F.lit("/f"),
+                   F.col("f").cast("string"), F.when(kind == 2, F.lit(".txt")).otherwise(F.lit(".json")))
+    out = unique_subdir(spark, "documents")
+    write_objects(docs.select(rel.alias("rel_path"), text.alias("text")), out)
+    return out

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from netscope.functions.exprs import ts_text
-from netscope.plans.derive import POINTS_SQL, write_raw_json
+from netscope.plans.derive import DOCUMENTS_SQL, POINTS_SQL, write_documents, write_raw_json
 from netscope.plans.registry import query
 from netscope.plans.standins import table
 from netscope.sources import experiments as E
@@ -48,6 +48,49 @@ def q_ingest_tagged(spark, sf):
     return tagged.groupBy("provider", "region", "vm_size", "l4_protocol").agg(F.count(F.lit(1)).alias("n_records"))
 
 
+@query("file_listing", sql=f"""WITH {DOCUMENTS_SQL}
+SELECT DISTINCT rel_path, kind = 4 AS is_empty FROM named""")
+def q_file_listing(spark, sf):
+    """Names and emptiness of all files, listed by tasks."""
+    from netscope.sources.ingest import listing
+    return listing(spark, write_documents(spark, sf)).select("rel_path", (F.col("length") == 0).alias("is_empty"))
+
+
+@query("ingest_documents", sql=f"""WITH {DOCUMENTS_SQL}
+SELECT split_part(rel_path, '/', 1) AS provider, 'US-EU' AS region, 'm3.xlarge' AS vm_size, 'udp' AS l4_protocol,
+       'e' || event_id AS exp_name, event_type AS proto
+FROM named WHERE kind IN (0, 7) AND NOT (kind = 7 AND event_type = 'error') OR kind = 1 AND first_of_file""")
+def q_ingest_documents(spark, sf):
+    """S6 + S7: records of array and object documents, with their context tags."""
+    tagged, _ = ingest(spark, write_documents(spark, sf))
+    return tagged.select("provider", "region", "vm_size", "l4_protocol", "exp_name", "proto")
+
+
+@query("ingest_rejects", sql=f"""WITH {DOCUMENTS_SQL}
+SELECT rel_path, CASE kind WHEN 2 THEN 'not_json' WHEN 3 THEN 'short_path' WHEN 4 THEN 'empty' WHEN 5 THEN 'invalid_json'
+                 ELSE 'not_object' END AS reason,
+       CAST(CASE WHEN kind = 7 THEN COUNT(*) FILTER (event_type = 'error') ELSE 1 END AS BIGINT) AS n
+FROM named WHERE kind >= 2 GROUP BY ALL HAVING n > 0""".replace("GROUP BY ALL", "GROUP BY rel_path, kind"))
+def q_ingest_rejects(spark, sf):
+    """skipped files and skipped array members, with the reason."""
+    root = write_documents(spark, sf)
+    _, skipped = ingest(spark, root)
+    rel = F.substring_index("path", root.rstrip("/").rsplit("/", 1)[-1] + "/", -1)
+    return skipped.groupBy(rel.alias("rel_path"), "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("experiment_documents", sql=f"""WITH {DOCUMENTS_SQL}
+SELECT split_part(rel_path, '/', 1) AS provider, 'e' || event_id AS exp_name, event_type AS proto, sec AS start_ts,
+       ROUND(value, 6) AS tput_mean
+FROM named WHERE event_type <> 'signup' AND (kind IN (0, 3) OR kind = 1 AND first_of_file)""")
+def q_experiment_documents(spark, sf):
+    """Experiments from whole-file documents, arrays and objects; a document that isn't made of records
+    throughout is a reject as a whole."""
+    root = write_documents(spark, sf)
+    exp = E.flatten(E.read_raw(spark, root, "*.json"), root)
+    return exp.select("provider", "exp_name", "proto", "start_ts", F.round("tput_mean", 6).alias("tput_mean"))
+
+
 _TABLES = ["lineitem", "orders", "customer", "supplier", "part", "events"]
 
 
@@ -89,6 +132,41 @@ def q_table_fingerprint_all(spark, sf):
     return out
 
 
+# The canonical text of ``operators.lineage.canonical_text``, in SQL.
+def _exact_double(c: str) -> str:
+    e0 = f"floor(log2(abs({c})))"
+    e = f"({e0} + CASE WHEN pow(2.0::DOUBLE, {e0} + 1) <= abs({c}) THEN 1 WHEN pow(2.0::DOUBLE, {e0}) > abs({c}) THEN -1 ELSE 0 END)"
+    half = f"floor((52 - {e}) / 2)"
+    return (f"CASE WHEN {c} IS NULL THEN NULL WHEN isnan({c}) THEN 'nan' WHEN {c} = 0 THEN '0' WHEN isinf({c}) THEN "
+            f"CASE WHEN {c} > 0 THEN 'inf' ELSE '-inf' END ELSE CASE WHEN {c} < 0 THEN '-' ELSE '' END || "
+            f"(abs({c}) * pow(2.0::DOUBLE, {half}) * pow(2.0::DOUBLE, 52 - {e} - {half}))::BIGINT || 'p' || ({e})::INTEGER END")
+
+
+_CANONICAL = {
+    "events": ["event_id::VARCHAR", "epoch_us(ts)::VARCHAR", "user_id::VARCHAR", "event_type", _exact_double("value"), "props"],
+    "lineitem": [*(f"{c}::VARCHAR" for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")),
+                 *map(_exact_double, ("l_quantity", "l_extendedprice", "l_discount", "l_tax")), "l_returnflag",
+                 "l_linestatus", "epoch_us(l_shipdate)::VARCHAR"]}
+
+
+def _fingerprint_sql(name: str, texts: list[str]) -> str:
+    row = " || ".join(f"coalesce(length(t{i})::VARCHAR || ':' || t{i}, '-')" for i in range(len(texts)))
+    inner = ", ".join(f"{t} AS t{i}" for i, t in enumerate(texts))
+    return (f"SELECT '{name}' AS table_name, COUNT(*) AS n_rows, CAST(SUM(CAST('0x' || substr(md5({row}), 1, 15) AS BIGINT)"
+            f"::HUGEINT) AS VARCHAR) AS content_hash FROM (SELECT {inner} FROM {name})")
+
+
+@query("table_fingerprint_columns", sql=" UNION ALL ".join(_fingerprint_sql(*x) for x in _CANONICAL.items()))
+def q_table_fingerprint_columns(spark, sf):
+    """Fingerprint over every column of the whole tables, from canonical texts."""
+    from netscope.operators.lineage import canonical, fingerprint
+    out = None
+    for t in _CANONICAL:
+        f = fingerprint(canonical(table(spark, sf, t))).select(F.lit(t).alias("table_name"), "n_rows", "content_hash")
+        out = f if out is None else out.unionByName(f)
+    return out
+
+
 @query("sample_exact", sql="""
 SELECT event_id, user_id, event_type, value FROM events
 ORDER BY md5('42:' || event_id::VARCHAR), event_id LIMIT 1000""")

@@ -46,12 +46,32 @@ def write_report_json(df: DataFrame, path: str) -> None:
 def latest_file(spark: SparkSession, root: str, glob: str = "*") -> str | None:
     """Newest file under ``root`` by modification time (one aggregate over the listing)."""
     from pyspark.sql import functions as F
-    lst = (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-           .load(root).select("path", "modificationTime"))
+
+    from netscope.sources.listing import list_files
+    lst = list_files(spark, root, glob).withColumnRenamed("modified", "modificationTime")
     row = lst.agg(F.max_by("path", F.struct("modificationTime", "path")).alias("p")).first()
     return row["p"] if row else None
 
 
+def write_objects(df: DataFrame, root: str) -> int:
+    """One file per row of ``(rel_path, text)`` under ``root``, written by the tasks; the number of files.
+
+    A task that runs again writes the same names again, so a lost executor leaves no half or double file."""
+    from netscope.sources.listing import open_store
+
+    def write(batches):
+        store, base, _ = open_store(root)
+        for batch in batches:
+            for rel, text in zip(batch["rel_path"], batch["text"]):
+                path = f"{base}/{rel}"
+                store.create_dir(path.rsplit("/", 1)[0], recursive=True)
+                with store.open_output_stream(path) as f:
+                    f.write((text or "").encode())
+            yield batch[["rel_path"]]
+
+    return df.select("rel_path", "text").mapInPandas(write, "rel_path string").count()
+
+
 def clean_and_save(df: DataFrame, out_dir: str, sample_n: int = 1000, key: str | None = None, seed: int = 42) -> dict:
     """K2: CSV + Parquet of the prepared table, an exact-size sample and a summary,
     all written from one persisted DataFrame."""

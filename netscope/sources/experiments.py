@@ -3,7 +3,7 @@
 A results file holds one JSON object or an array of objects.  Spark's JSON
 reader with ``multiLine`` turns an array into one row per element; corrupt
 text and non-object JSON land in the corrupt-record column; an empty file
-yields no row at all, so rejects also come from the file listing.
+yields no row at all, so empty files come from the listing source.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from netscope.functions.exprs import epoch_to_ts, falsy_coalesce, region_pair, safe_double
+from netscope.sources.listing import list_files
 
 METRICS = ("tput", "delay", "loss", "jitter")
 STATS = ("mean", "median", "min", "max", "std", "pctl5", "pctl25", "pctl75", "pctl95")
@@ -48,10 +49,8 @@ EXPERIMENT_METRICS = sorted([f"{m}_{s}" for m in METRICS for s in STATS] + [f"{m
 
 
 def discover(spark: SparkSession, root: str, glob: str = "*_results.json") -> DataFrame:
-    """Recursive listing (path, length, modificationTime); contents are not read."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-            .load(root).select(F.regexp_replace("path", "^file:/+", "file:/").alias("path"), "length",
-                               "modificationTime"))
+    """Recursive listing (path, length, modificationTime) by tasks; contents are not read."""
+    return list_files(spark, root, glob).withColumnRenamed("modified", "modificationTime")
 
 
 def read_raw(spark: SparkSession, root: str, glob: str = "*_results.json", multiline: bool = True) -> DataFrame:
@@ -67,20 +66,12 @@ def read_raw(spark: SparkSession, root: str, glob: str = "*_results.json", multi
 
 def rejects(spark: SparkSession, root: str, glob: str = "*_results.json", multiline: bool = True) -> DataFrame:
     """Files or records that yield no experiment: (path, reason)."""
-    listing = discover(spark, root, glob)
     raw = read_raw(spark, root, glob, multiline)
-    # zero-length files produce no split, hence no listing row: they are the files the
-    # file index knows (``inputFiles``, the driver-side listing Spark keeps anyway)
-    # that are missing from the scanned listing
-    known = spark.createDataFrame([(p,) for p in listing.inputFiles()], "path string").select(
-        F.regexp_replace("path", "^file:/+", "file:/").alias("path"))
-    empty = (known.join(listing.select("path"), "path", "left_anti")
-             .unionByName(listing.where(F.col("length") == 0).select("path"))
-             .select("path", F.lit("empty").alias("reason")))
+    empty = list_files(spark, root, glob).where("length = 0").select("path", F.lit("empty").alias("reason"))
     # one pass over the records; the corrupt column is read together with parsed fields
     reason = (F.when(F.col(CORRUPT).isNotNull(), F.lit("invalid_json"))
               .when(~_has_results(), F.lit("no_results")))
-    bad = raw.select(F.col("source_path").alias("path"), reason.alias("reason")).where(F.col("reason").isNotNull())
+    bad = raw.select(F.regexp_replace("source_path", "^file:/+", "file:/").alias("path"), reason.alias("reason")).where(F.col("reason").isNotNull())
     return empty.unionByName(bad)
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netscope.functions.exprs import split_first
+from netscope.sources.listing import list_files
 
 # record fields kept as columns (declared list; absent -> NULL)
 RECORD_FIELDS = ("protocol", "exp_name", "start_time", "tool", "ip_sender", "ip_receiver", "port",
@@ -48,13 +49,7 @@ def path_context(path, root: str) -> dict:
 
 def listing(spark: SparkSession, root: str) -> DataFrame:
     """S5 + F2 + P15: every object under ``root`` with its path context and a skip reason."""
-    scan = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-            .select(F.regexp_replace("path", "^file:/+", "file:/").alias("path"), "length"))
-    # zero-length files give no split: add them back from the file index's listing
-    known = spark.createDataFrame([(p,) for p in scan.inputFiles()], "path string").select(
-        F.regexp_replace("path", "^file:/+", "file:/").alias("path"))
-    files = scan.unionByName(known.join(scan.select("path"), "path", "left_anti").select(
-        "path", F.lit(0).cast("bigint").alias("length")))
+    files = list_files(spark, root)
     context = path_context(F.col("path"), root)
     reason = F.coalesce(context.pop("skip_reason"), F.when(F.col("length") == 0, F.lit("empty")))
     return files.select("path", "length", *[c.alias(k) for k, c in context.items()], reason.alias("skip_reason"))

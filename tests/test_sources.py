@@ -171,3 +171,25 @@ def test_generic_flatten_without_merge_and_prepare(spark, workdir):
     prep = prepare(typed).collect()  # names normalised, duplicates dropped, median / Unknown fills
     assert len(prep) == 2 and {r["exp_name"] for r in prep} == {"a", "b"}
     assert all(r["duration"] == 120.0 for r in prep)
+
+
+def test_listing_by_tasks(spark, workdir):
+    """Names, lengths and empty files come from one task per folder, however deep; hidden names are passed over."""
+    from netscope.sinks import latest_file, write_objects
+    from netscope.sources.listing import Reader, find_root, list_files
+    root = os.path.join(workdir, "deep")
+    names = [f"p{i % 3}/vm={i % 5}/a/b/c/f {i}.json" for i in range(40)] + ["top.json", "p0/e.txt", "p0/_tmp/x.json", "p0/.y.json"]
+    rows = spark.createDataFrame([(n, "" if i % 7 == 0 else "{}") for i, n in enumerate(names)], "rel_path string, text string")
+    assert write_objects(rows, root) == len(names)
+    want = {("file:" + os.path.join(root, n), 0 if i % 7 == 0 else 2) for i, n in enumerate(names[:42])}
+    for bound in (1, 2, 7, 4096):
+        assert {(r["path"], r["length"]) for r in list_files(spark, root, "*", bound).collect()} == want
+        folders = Reader(root, "*", bound).partitions()
+        assert len({p.path for p in folders}) == len(folders) and len(folders) <= bound + 5
+    assert list_files(spark, "file://" + root, "*.txt").count() == 1
+    assert latest_file(spark, root, "*.txt").endswith("p0/e.txt")
+    assert find_root(spark, [root + "-none", root]) == root
+    with pytest.raises(FileNotFoundError):
+        find_root(spark, [root + "-none"])
+    with pytest.raises(Exception, match="no such folder"):
+        list_files(spark, root + "-none").count()
