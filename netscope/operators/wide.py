@@ -19,7 +19,8 @@ SALTS = 64    # states of a block are added up by this many tasks before one add
 # ---------------------------------------------------------------- co-moments of pairs
 
 def _batch_state(x):
-    """(n, mean_i, mean_j, m_ii, m_jj, c_ij) of the rows in which both of a pair are present.
+    """(n, mean_i, mean_j, m_ii, m_jj, c_ij, k_i, k_j) of the rows in which both of a pair are present; k is the
+    column's value if it has only one there, else NaN.
 
     Values are taken from a centre (exactly the value itself where a column is constant), so large offsets cancel
     before they are squared; means are doubles, so offsets may be some 1e9 deviations large."""
@@ -30,13 +31,19 @@ def _batch_state(x):
     first = np.where(count > 0, x[there.argmax(0), np.arange(x.shape[1])], 0.0)
     rest = np.where(there, x, first) - first
     centre = first + rest.sum(0) / np.maximum(count, 1)
-    x = np.where(there, x, centre) - centre
+    raw, x = x, np.where(there, x, centre) - centre
     n, s, q, p = w.T @ w, x.T @ w, (x * x).T @ w, x.T @ x
     mu = s / np.maximum(n, 1)
     m = q - s * mu
-    m[m <= 1e-13 * q] = 0.0   # constant where the other column is present
+    k = np.full(n.shape, np.nan)
+    for i, maybe in enumerate((n > 0) & (m <= 1e-10 * q)):   # looked at by value, rounding can't tell
+        js = np.flatnonzero(maybe)
+        if len(js):
+            both = there[:, [i]] & there[:, js]
+            value = raw[both.argmax(0), i]
+            k[i, js] = np.where(((raw[:, [i]] == value) | ~both).all(0), value, np.nan)
     mean = centre[:, None] + mu
-    return np.stack([n, mean, mean.T, m, m.T, p - s * mu.T])
+    return np.stack([n, mean, mean.T, m, m.T, p - s * mu.T, k, k.T])
 
 
 def _merged(one, two):
@@ -48,8 +55,9 @@ def _merged(one, two):
     f = one[0] * share
     di, dj = np.where(both, two[1] - one[1], 0.0), np.where(both, two[2] - one[2], 0.0)
     empty = one[0] == 0
+    ki, kj = (np.where(empty, two[k], np.where((two[0] == 0) | (one[k] == two[k]), one[k], np.nan)) for k in (6, 7))
     return np.stack([n, np.where(empty, two[1], one[1] + di * share), np.where(empty, two[2], one[2] + dj * share),
-                     one[3] + two[3] + di * di * f, one[4] + two[4] + dj * dj * f, one[5] + two[5] + di * dj * f])
+                     one[3] + two[3] + di * di * f, one[4] + two[4] + dj * dj * f, one[5] + two[5] + di * dj * f, ki, kj])
 
 
 def _add_up(rows: Iterator, d: int) -> dict:
@@ -58,7 +66,7 @@ def _add_up(rows: Iterator, d: int) -> dict:
     found = {}
     for batch in rows:
         for block, state in zip(batch.column("block").to_pylist(), batch.column("state")):
-            x = np.frombuffer(state.as_py(), "<f8").reshape(6, -1, d)
+            x = np.frombuffer(state.as_py(), "<f8").reshape(8, -1, d)
             found[block] = _merged(found[block], x) if block in found else x
     return found
 
@@ -100,8 +108,8 @@ def pair_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             for block, x in _add_up(batches, d).items():
                 for k in range(x.shape[1]):
                     i = block * BLOCK + k
-                    n, _, _, mi, mj, c = x[:, k, :i]
-                    r = c / (np.sqrt(mi) * np.sqrt(mj))
+                    n, _, _, mi, mj, c, ki, kj = x[:, k, :i]
+                    r = np.where(np.isnan(ki) & np.isnan(kj), c / (np.sqrt(mi) * np.sqrt(mj)), np.nan)
                     yield pa.RecordBatch.from_pydict({
                         "i": pa.array(np.full(i, i, np.int32)), "j": pa.array(np.arange(i, dtype=np.int32)),
                         "n": pa.array(n.astype(np.int64)), "corr": pa.array(r, mask=~np.isfinite(r))})
