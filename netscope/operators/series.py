@@ -188,10 +188,11 @@ def longest_series(df: DataFrame, key: str = "exp_id", min_points: int | None =
 def compare_summaries(exp: DataFrame, points: DataFrame, key: str, prefix: str = "tput_",
                       value: str = "value") -> DataFrame:
     """Recompute the nine statistics from the points and report, per statistic,
-    the largest absolute difference to the stored ones (one aggregate row)."""
+    the largest absolute difference to the stored ones (one aggregate row).  An experiment without points
+    counts as zero points."""
     re = summary_stats(points, [key], value, prefix="re_")
-    j = exp.join(re, key)
+    j = exp.join(re, key, "left")
     stats = ["mean", "median", "min", "max", "std", *PCTL_NAMES]
     return j.agg(F.count(F.lit(1)).alias("n_experiments"),
-                 F.sum((F.col(f"{prefix}n") != F.col("re_n")).cast("int")).cast("bigint").alias("n_count_mismatch"),
+                 F.sum((F.coalesce(f"{prefix}n", F.lit(0)) != F.coalesce("re_n", F.lit(0))).cast("int")).cast("bigint").alias("n_count_mismatch"),
                  *[F.max(F.abs(F.col(f"{prefix}{s}") - F.col(f"re_{s}"))).alias(f"max_diff_{s}") for s in stats])

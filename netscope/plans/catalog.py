@@ -358,7 +358,7 @@ SELECT CAST(isodow(ts) - 1 AS INTEGER) AS dow, dayname(ts) AS day_name, COUNT(*)
 def q_dow_counts(spark, sf):
     e = table(spark, sf, "events")
     return e.groupBy(F.weekday("ts").alias("dow"), F.date_format("ts", "EEEE").alias("day_name")).agg(
-        F.count(F.lit(1)).alias("count"))
+        F.count(F.lit(1)).alias("count")).orderBy("dow")
 
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]

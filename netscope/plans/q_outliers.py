@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from netscope.operators import outliers as O
 from netscope.plans.registry import query
 from netscope.plans.standins import EXP_FEATURES, exp, table
-from netscope.session import cut_lineage
+from netscope.session import cut_lineage, unique_subdir
 
 EPS_LIST = (0.3, 0.5, 0.7, 1.0)
 MS_LIST = (5, 10, 20)
@@ -180,6 +180,20 @@ def q_iforest_sweep(spark, sf):
                     (F.col("n_flagged") <= F.ceil(F.col("contamination") * n)).alias("rate_fits"))
 
 
+@query("detector_roundtrip", sql="SELECT COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS n_differing FROM exp", views=("exp",))
+def q_detector_roundtrip(spark, sf):
+    """The fitted detector saved with its features, loaded, and applied in batch to all rows: the scores
+    are those of the detector in memory."""
+    z = _zexp(spark, sf)
+    forest = cut_lineage(O.fit_isolation_forest(z, ZCOLS, ["user_id", "day"], n_trees=50, max_samples=256, seed=42))
+    at = unique_subdir(spark, "detector")
+    O.save_forest(forest, ZCOLS, at)
+    loaded, cols = O.load_forest(spark, at)
+    both = O.score_isolation_forest(O.score_isolation_forest(z, forest, ZCOLS, "before"), loaded, cols, "after")
+    return both.agg(F.count(F.lit(1)).alias("n_rows"),
+                    F.count_if(~F.col("before").eqNullSafe(F.col("after"))).alias("n_differing"))
+
+
 @query("iforest_rates")
 def q_iforest_rates(spark, sf):
     """Observed rate per contamination, the selected one marked, and the automatic cut."""

@@ -146,3 +146,41 @@ def q_clean_and_save(spark, sf):
     count = lambda k: n[k].agg(F.count(F.lit(1))).scalar()
     return n["parquet"].agg(F.count(F.lit(1)).alias("n_parquet"), F.countDistinct("o_orderkey").alias("n_keys")).select(
         "n_parquet", count("csv").alias("n_csv"), count("sample").alias("n_sample"), "n_keys")
+
+
+@query("clean_and_save_content", sql="""
+WITH s AS (SELECT * FROM orders ORDER BY md5('42:' || o_orderkey::VARCHAR), o_orderkey LIMIT 1000),
+a AS (SELECT 'parquet' AS source, o_orderstatus, o_totalprice, o_orderkey FROM orders UNION ALL
+      SELECT 'csv', o_orderstatus, o_totalprice, o_orderkey FROM orders UNION ALL
+      SELECT 'sample', o_orderstatus, o_totalprice, o_orderkey FROM s)
+SELECT source, o_orderstatus, COUNT(*) AS count, ROUND(SUM(o_totalprice), 2) AS total, CAST(SUM(o_orderkey) AS BIGINT) AS keys
+FROM a GROUP BY source, o_orderstatus
+UNION ALL SELECT 'summary', NULL, COUNT(*), 3.0, 2 FROM orders""")
+def q_clean_and_save_content(spark, sf):
+    """K2: what the written files hold: both formats by content, the sample by its rows, the summary's figures."""
+    at = unique_subdir(spark, "prepared")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    out = sinks.clean_and_save(o, at, 1000, key="o_orderkey")
+    rows = None
+    for k in ("parquet", "csv", "sample"):
+        one = sinks.read_any(spark, out[k]).groupBy(F.lit(k).alias("source"), "o_orderstatus").agg(
+            F.count(F.lit(1)).alias("count"), F.round(F.sum("o_totalprice"), 2).alias("total"),
+            F.sum("o_orderkey").cast("bigint").alias("keys"))
+        rows = one if rows is None else rows.unionByName(one)
+    facts = spark.read.schema("n_records bigint, n_features bigint, n_numeric bigint").json(out["summary"])
+    return rows.unionByName(facts.select(F.lit("summary").alias("source"), F.lit(None).cast("string").alias("o_orderstatus"),
+                                         F.col("n_records").alias("count"), F.col("n_features").cast("double").alias("total"),
+                                         F.col("n_numeric").alias("keys")))
+
+
+@query("overwrite_roundtrip", sql="""
+SELECT event_type, COUNT(*) AS count, CAST(SUM(event_id) AS BIGINT) AS ids FROM events WHERE event_type <> 'click' GROUP BY 1""")
+def q_overwrite_roundtrip(spark, sf):
+    """A CSV dataset written again under its name; its newest file names the dataset that is read back."""
+    at = unique_subdir(spark, "overwritten")
+    e = table(spark, sf, "events").select("event_id", "event_type")
+    for part in (e, e.where("event_type <> 'click'")):
+        sinks.write_dataset(part, at, "csv", stamp=False, mode="overwrite")
+    newest = sinks.latest_file(spark, at, "*.csv")
+    back = sinks.read_any(spark, newest.rsplit("/", 1)[0])
+    return back.groupBy("event_type").agg(F.count(F.lit(1)).alias("count"), F.sum("event_id").cast("bigint").alias("ids"))

@@ -79,10 +79,13 @@ def q_ingest_rejects(spark, sf):
     return skipped.groupBy(rel.alias("rel_path"), "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("experiment_documents", sql=f"""WITH {DOCUMENTS_SQL}
+_DOCUMENT_EXPERIMENTS = f"""WITH {DOCUMENTS_SQL}
 SELECT split_part(rel_path, '/', 1) AS provider, 'e' || event_id AS exp_name, event_type AS proto, sec AS start_ts,
        ROUND(value, 6) AS tput_mean
-FROM named WHERE event_type <> 'signup' AND (kind IN (0, 3) OR kind = 1 AND first_of_file)""")
+FROM named WHERE event_type <> 'signup' AND (kind IN (0, 3) OR kind = 1 AND first_of_file)"""
+
+
+@query("experiment_documents", sql=_DOCUMENT_EXPERIMENTS)
 def q_experiment_documents(spark, sf):
     """Experiments from whole-file documents, arrays and objects; a document that isn't made of records
     throughout is a reject as a whole."""
@@ -91,6 +94,31 @@ def q_experiment_documents(spark, sf):
     return exp.select("provider", "exp_name", "proto", "start_ts", F.round("tput_mean", 6).alias("tput_mean"))
 
 
+@query("experiment_stream", sql=_DOCUMENT_EXPERIMENTS)
+def q_experiment_stream(spark, sf):
+    """K5: the same documents through the file stream into Parquet, run twice (nothing arrives twice)."""
+    from netscope.session import unique_subdir
+    from netscope.streaming.ingest_stream import run_available
+    root, out, state = write_documents(spark, sf), unique_subdir(spark, "stream-out"), unique_subdir(spark, "stream-state")
+    for _ in range(2):
+        run_available(spark, root, out, state, "*.json")
+    return spark.read.parquet(out).select("provider", "exp_name", "proto", "start_ts",
+                                          F.round("tput_mean", 6).alias("tput_mean"))
+
+
+@query("experiment_rejects", sql=f"""WITH {DOCUMENTS_SQL}
+SELECT rel_path, CASE WHEN kind = 4 THEN 'empty' WHEN kind IN (5, 6, 7) THEN 'invalid_json' ELSE 'no_results' END AS reason,
+       CAST(CASE WHEN kind IN (0, 1, 3) THEN COUNT(*) FILTER (event_type = 'signup' AND (kind <> 1 OR first_of_file))
+            ELSE 1 END AS BIGINT) AS n
+FROM named WHERE kind <> 2 GROUP BY rel_path, kind
+HAVING n > 0 AND (kind <> 7 OR COUNT(*) FILTER (event_type = 'error') > 0)""")
+def q_experiment_rejects(spark, sf):
+    """documents and records without an experiment, with the reason."""
+    root = write_documents(spark, sf)
+    rel = F.substring_index("path", root.rstrip("/").rsplit("/", 1)[-1] + "/", -1)
+    return E.rejects(spark, root, "*.json").groupBy(rel.alias("rel_path"), "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 _TABLES = ["lineitem", "orders", "customer", "supplier", "part", "events"]
 
 

@@ -87,6 +87,58 @@ def test_isolation_forest_ranks_planted_outliers(spark):
     assert len(rates) == 6 and [c for c, r in rates.items() if r["selected"]] == [0.03 if rates[0.03]["rate"] <= 0.03 else 0.02]
 
 
+def test_saved_detector_against_walking_its_trees(spark, workdir):
+    """Scores of a loaded forest equal a walk through its stored nodes, row by row; nodes split their sample."""
+    import math
+    import os
+
+    import numpy as np
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(size=(300, 3)), np.zeros((40, 3)), [[9.0, 9, 9]]])
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, a double, b double, c double")
+    at = os.path.join(workdir, "detector")
+    O.save_forest(O.fit_isolation_forest(df, ["a", "b", "c"], "id", n_trees=20, max_samples=64, seed=3), ["a", "b", "c"], at)
+    forest, cols = O.load_forest(spark, at)
+    assert cols == ["a", "b", "c"]
+    trees = forest.collect()
+    assert len(trees) == 20 and all(t["n_sample"] == 64 and t["size"][0] == 64 for t in trees)
+
+    def unsuccessful(n):
+        return 0.0 if n <= 1 else 1.0 if n == 2 else 2 * (math.log(n - 1) + 0.5772156649015329) - 2 * (n - 1) / n
+
+    def depth(t, row):
+        node, steps = 0, 0
+        while t["feat"][node] >= 0:
+            assert t["size"][node] == t["size"][t["left"][node]] + t["size"][t["right"][node]]
+            node = t["left"][node] if row[t["feat"][node]] < t["thr"][node] else t["right"][node]
+            steps += 1
+        assert steps <= 6
+        return steps + unsuccessful(t["size"][node])
+
+    for r in O.score_isolation_forest(df, forest, cols).collect():
+        want = 2 ** (-np.mean([depth(t, x[r["id"]]) for t in trees]) / unsuccessful(64))
+        assert abs(r["iforest_score"] - want) < 1e-9
+
+
+def test_experiment_without_points_is_a_mismatch(spark):
+    from netscope.operators.series import PCTL_NAMES, compare_summaries
+    stats = ["mean", "median", "min", "max", "std", *PCTL_NAMES]
+    exp = spark.createDataFrame([("a", 1, *[2.0] * 4, 0.0, *[2.0] * 4), ("b", 3, *[1.0] * 9), ("c", 0, *[None] * 9)],
+                                "k string, tput_n long, " + ", ".join(f"tput_{s} double" for s in stats))
+    r = compare_summaries(exp, spark.createDataFrame([("a", 2.0)], "k string, value double"), "k").first()
+    assert (r["n_experiments"], r["n_count_mismatch"], r["max_diff_mean"]) == (3, 1, 0.0)
+
+
+def test_orders_and_bounds_of_profiles(spark):
+    from netscope.operators import profile as P
+    df = spark.createDataFrame([("b",), ("a",), ("b",), ("c",), ("a",), (None,)], "x string")
+    assert [tuple(r) for r in P.value_counts(df, "x").collect()] == [("a", 2), ("b", 2), ("c", 1)]
+    assert [r["d"] for r in P.count_by(df, F.col("x"), "d").where("d is not null").collect()] == ["a", "b", "c"]
+    wide = spark.range(P.MAX_PIVOT + 1).select(F.lit("r").alias("r"), "id")
+    with pytest.raises(ValueError, match="more than"):
+        P.crosstab(wide, "r", "id")
+
+
 def test_forest_samples_are_exact_and_spread(spark):
     """90 % identical rows: every tree still draws exactly 256 rows, and not the same ones."""
     df = spark.range(40_000).select("id", F.when(F.col("id") % 10 == 0, F.rand(1)).otherwise(0.0).alias("a"))
