@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from netscope.operators.ranges import RANGE_ROWS, range_of
+
 
 def digest(key: str, seed: int):
     """Seeded md5 of the key's text: an order that any engine can reproduce."""
@@ -28,14 +30,15 @@ def hash_split(df: DataFrame, key: str, train_pct: int = 80, seed: int = 42) ->
 
 
 def stratified_split(df: DataFrame, key: str, label: str, train_pct: int = 80, seed: int = 42,
-                     buckets: int = 4096) -> DataFrame:
+                     range_rows: int = RANGE_ROWS) -> DataFrame:
     """``train_pct`` % of every class, and at least one row on each side of a class of two or more.
 
-    Rows of a class are ordered by a seeded digest.  Classes are cut into ``buckets`` digest ranges whose
-    counts give each range its offset, so a class is never ranked in one task.
+    Rows of a class are ordered by a seeded digest.  Classes are cut into digest ranges of at most some
+    ``range_rows`` rows whose counts give each range its offset, so a class is never ranked in one task.
     """
-    d = df.withColumn("_by", digest(key, seed)).withColumn(
-        "_range", F.pmod(F.conv(F.substring("_by", 1, 8), 16, 10).cast("long") * buckets / 2 ** 32, F.lit(buckets)).cast("int"))
+    d = df.withColumn("_by", digest(key, seed))
+    start = F.coalesce(F.conv(F.substring("_by", 1, 15), 16, 10).cast("bigint"), F.lit(-1))
+    d = d.withColumn("_range", range_of(d, [F.xxhash64(label), start], range_rows))
     counts = d.groupBy(label, "_range").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(label).orderBy("_range")
     counts = counts.withColumn("_off", F.sum("_n").over(before) - F.col("_n")).withColumn(

@@ -2,7 +2,7 @@
 
 Ordered window work (lags, leads, rolling frames, chronological splits) is
 planned so that no single task has to hold a whole series: a series is cut
-into time chunks, a global row index is derived from per-chunk counts, and
+into ranges of bounded row count, a global row index is derived from their counts, and
 the window functions then run per fixed-size block of that index with a
 small halo of neighbouring rows.  A series holding a third of all rows is
 therefore spread over many tasks instead of one.
@@ -14,6 +14,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from netscope.operators.ranges import RANGE_ROWS, range_of
 
 PCTLS = (0.05, 0.25, 0.75, 0.95)
 PCTL_NAMES = ("pctl5", "pctl25", "pctl75", "pctl95")
@@ -58,20 +61,19 @@ def align_metrics(series: DataFrame, metrics: Sequence[str], keys: Sequence[str]
 
 # ---------------------------------------------------------------- skew-safe row index
 
-def series_index(df: DataFrame, keys: Sequence[str], ts: str, tie: str,
-                 chunk_seconds: int = 3600) -> DataFrame:
+def series_index(df: DataFrame, keys: Sequence[str], ts: str, tie: str, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Add ``_idx`` (1-based position of the row inside its series by (ts, tie)) and ``_n``.
 
-    Plan: rows are cut into (series, time-chunk) groups; per-chunk counts are
-    aggregated (partial aggregation, small output) and turned into offsets by a
-    window over chunks; the row number is then taken inside each chunk only.
-    No window ever spans a whole series.  ``chunk_seconds`` bounds the largest
-    task: pick it so that one chunk of the busiest series fits a task (hourly by
-    default; the counts table grows by one row per non-empty chunk).
+    Plan: rows are cut into ranges of (series, time, tie) that hold at most some ``range_rows`` rows each, however
+    fast a series comes in; per-range counts are aggregated (partial aggregation, small output) and turned into
+    offsets by a window over ranges; the row number is then taken inside each range only.  No window ever spans a
+    whole series.  Ties that are no integers share the range of their time.
     """
     keys = list(keys)
-    chunk = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(chunk_seconds * 1_000_000)).cast("bigint")
-    d = df.withColumn("_chunk", chunk)
+    place = [F.xxhash64(*keys), F.coalesce(F.unix_micros(F.col(ts).cast("timestamp")), F.lit(-2 ** 63))]
+    if isinstance(df.schema[tie].dataType, T.IntegralType):
+        place.append(F.coalesce(F.col(tie).cast("bigint"), F.lit(-2 ** 63)))
+    d = df.withColumn("_chunk", range_of(df, place, range_rows))
     counts = d.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     wall = Window.partitionBy(*keys)
@@ -103,11 +105,10 @@ def _blocked(indexed: DataFrame, keys: Sequence[str], back: int, fwd: int,
 
 
 def windowed(df: DataFrame, keys: Sequence[str], ts: str, tie: str,
-             make_cols, back: int, fwd: int, block_rows: int = 100_000,
-             chunk_seconds: int = 3600) -> DataFrame:
+             make_cols, back: int, fwd: int, block_rows: int = 100_000, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Apply window expressions built by ``make_cols(window)`` row-by-row in
     series order, using the skew-safe index + block + halo plan."""
-    idx = series_index(df, keys, ts, tie, chunk_seconds)
+    idx = series_index(df, keys, ts, tie, range_rows)
     blk = _blocked(idx, keys, back, fwd, block_rows)
     w = Window.partitionBy(*keys, "_block").orderBy("_idx")
     cols: dict[str, Column] = make_cols(w)
@@ -119,7 +120,7 @@ def windowed(df: DataFrame, keys: Sequence[str], ts: str, tie: str,
 
 def supervised_lags(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str = "value",
                     lags: int = 12, horizon: int = 1, drop_incomplete: bool = True,
-                    block_rows: int = 100_000, chunk_seconds: int = 3600) -> DataFrame:
+                    block_rows: int = 100_000, range_rows: int = RANGE_ROWS) -> DataFrame:
     """``y = value[t+h]``, ``lag_i = value[t-i]`` (i=1..lags); value at t is not a feature."""
     def mk(w):
         cols = {"y": F.lead(value, horizon).over(w)}
@@ -127,26 +128,25 @@ def supervised_lags(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value
             cols[f"lag_{i}"] = F.lag(value, i).over(w)
         return cols
     out = windowed(df, keys, ts, tie, mk, back=lags, fwd=horizon, block_rows=block_rows,
-                   chunk_seconds=chunk_seconds)
+                   range_rows=range_rows)
     if drop_incomplete:
         out = out.na.drop(subset=["y"] + [f"lag_{i}" for i in range(1, lags + 1)])
     return out
 
 
 def lag_set(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str = "value",
-            offsets: Sequence[int] = (1, 3, 6, 12), block_rows: int = 100_000, chunk_seconds: int = 3600) -> DataFrame:
+            offsets: Sequence[int] = (1, 3, 6, 12), block_rows: int = 100_000, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Selected lags, NULL where the series is too short."""
     def mk(w):
         return {f"lag_{i}": F.lag(value, i).over(w) for i in offsets}
     return windowed(df, keys, ts, tie, mk, back=max(offsets), fwd=0, block_rows=block_rows,
-                    chunk_seconds=chunk_seconds)
+                    range_rows=range_rows)
 
 
 # ---------------------------------------------------------------- D2 rolling frames
 
 def rolling(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str = "value",
-            mean_window: int = 6, std_window: int = 12, block_rows: int = 100_000,
-            chunk_seconds: int = 3600) -> DataFrame:
+            mean_window: int = 6, std_window: int = 12, block_rows: int = 100_000, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Rolling mean over ``mean_window`` rows and sample std over ``std_window`` rows;
     NULL until the frame is full (pandas ``rolling(w)`` default)."""
     def mk(w):
@@ -157,15 +157,14 @@ def rolling(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str =
             f"roll_std_{std_window}": F.when(F.count(value).over(ws) == std_window, F.stddev_samp(value).over(ws)),
         }
     return windowed(df, keys, ts, tie, mk, back=max(mean_window, std_window) - 1, fwd=0,
-                    block_rows=block_rows, chunk_seconds=chunk_seconds)
+                    block_rows=block_rows, range_rows=range_rows)
 
 
 # ---------------------------------------------------------------- U6 chronological split
 
-def chrono_split(df: DataFrame, keys: Sequence[str], ts: str, tie: str, train_frac: float = 0.8,
-                 chunk_seconds: int = 3600) -> DataFrame:
+def chrono_split(df: DataFrame, keys: Sequence[str], ts: str, tie: str, train_frac: float = 0.8, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Per series, the first floor(frac*n) rows by time are ``train``, the rest ``test``."""
-    idx = series_index(df, keys, ts, tie, chunk_seconds)
+    idx = series_index(df, keys, ts, tie, range_rows)
     cut = F.floor(F.col("_n") * F.lit(train_frac))
     return (idx.withColumn("split", F.when(F.col("_idx") <= cut, F.lit("train")).otherwise(F.lit("test")))
             .drop("_idx", "_n"))
