@@ -88,6 +88,9 @@ MEASURES: dict[str, Callable[[Column, Column], Column]] = {
     "n_repeat_words": _repeat_words,
 }
 
+#: Measures that the query returns for every document.
+BASE_MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
 Rule = Callable[[Callable[[str], Column]], Column]
 
 #: Conditions that reject, over a function that gives a measure by its name.
@@ -145,30 +148,33 @@ def verdict(rules: Mapping[str, Rule], order: list[str], measure: Callable[[str]
 
 
 def apply_rules(docs: DataFrame, text: str = "text", rules: Mapping[str, Rule] = RULES,
-                order: list[str] | None = None) -> DataFrame:
+                order: list[str] | None = None, known: Mapping[str, Column] | None = None) -> DataFrame:
     """``docs`` with ``rejected_by``, the rule that rejects a row (null: kept).
 
-    The cascade is lazy: a measure is computed only for the rows that reach a rule which needs it.
+    The cascade is lazy: a measure is computed only for the rows that reach a rule which needs it.  ``known``
+    measures are columns of ``docs`` and aren't computed again.
     """
     order = order or [x["rule"] for x in order_rules(sample_rows(docs, text), rules)]
     column = F.col(text)
+    if known:
+        return docs.withColumn("rejected_by", verdict(rules, order, lambda k: known[k] if k in known else (
+            MEASURES[k](column, words_column(column)))))
     return docs.withColumn("rejected_by", let(words_column(column), lambda w: verdict(
         rules, order, lambda k: MEASURES[k](column, w))))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base measures and verdict of every document."""
+    """Base measures of every document, and the cascade's verdict; what no base measure gives is computed lazily."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     order = [x["rule"] for x in order_rules(sample_rows(docs))]
-    m = docs.select("doc_id", measures(F.col("text")).alias("m"))
-    get = lambda k: F.col(f"m.{k}")
-    judged = m.withColumn("rejected_by", verdict(RULES, order, get))
+    m = docs.select("doc_id", "text", measures(F.col("text"), {k: MEASURES[k] for k in BASE_MEASURES}).alias("m"))
+    known = {k: F.col(f"m.{k}") for k in BASE_MEASURES}
+    judged = apply_rules(m, order=order, known=known)
     failed = F.lit(False)
     for rule in BASE_RULES.values():
-        failed = failed | rule(get)
-    return judged.select(
-        "doc_id", *[get(k).alias(k) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
-        failed.alias("base_failed"), F.col("rejected_by").isNull().alias("kept"))
+        failed = failed | rule(known.__getitem__)
+    return judged.select("doc_id", *[c.alias(k) for k, c in known.items()], failed.alias("base_failed"),
+                         F.col("rejected_by").isNull().alias("kept"))
 
 
 ORACLE = r"""

@@ -50,5 +50,16 @@ def test_plan_is_native_and_rows_pass_through(make_docs, edge_rows):
     assert all(r[0] == "too_few_words" for r in nulls)
 
 
+def test_known_measures_give_the_same_verdict(make_docs, edge_rows):
+    docs = make_docs([*edge_rows, (40, "# " * 60), (41, "one line here\n" * 30), (42, "a b c d " * 20), (43, "word " * 9)])
+    names = list(Q.RULES)[::-1]
+    m = docs.withColumn("m", Q.measures(F.col("text"), {k: Q.MEASURES[k] for k in Q.BASE_MEASURES}))
+    known = Q.apply_rules(m, order=names, known={k: F.col(f"m.{k}") for k in Q.BASE_MEASURES})
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] or "", r[2] or "")
+    cols = ["doc_id", "text", "rejected_by"]
+    assert sorted(known.select(cols).collect(), key=key) == sorted(Q.apply_rules(docs, order=names).select(cols).collect(), key=key)
+    assert not re.search("Python|Pandas|Arrow|Exchange", known._jdf.queryExecution().executedPlan().toString())
+
+
 def test_empty_table(make_docs):
     assert Q.apply_rules(make_docs([])).count() == 0
