@@ -133,13 +133,25 @@ def crc_part(key: Column, parts: int) -> Column:
 
 
 def sample(docs: DataFrame, keep: Column, key: str, text: str, lang: str, max_docs: int) -> DataFrame:
-    """About ``max_docs`` learning rows by a hash of the key, materialised; ``fold`` is 0 to 4."""
+    """About ``max_docs`` learning rows by a hash of the key, materialised; ``fold`` is 0 to 4.
+
+    Every language gets the same number of rows; what a rare one doesn't use goes to the others, so that none is
+    lost however rare it is."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")).filter(
         keep & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    total = rows.select("key").count()
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}   # the model has a row for each
+    level, left = 0.0, float(max_docs)
+    for done, n in enumerate(sorted(counts.values())):
+        level = left / (len(counts) - done)
+        if n > level:
+            break
+        level, left = float(n), left - n
     hashed = F.shiftright(F.xxhash64(F.col("key"), F.lit(31)), 1)
-    bound = min(1.0, max_docs / max(total, 1)) * 2.0 ** 62
-    return cut_lineage(rows.filter(F.abs(hashed) <= bound).withColumn("fold", F.pmod(hashed, F.lit(5))))
+    bounds = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, level / n) * 2.0 ** 62)])
+    kept = rows.filter(F.abs(hashed) <= F.try_element_at(bounds, F.col("lang"))) if counts else rows
+    rare = [lang for lang, n in counts.items() if n < 10]   # too few to spare any for the weights of bits
+    fold = F.when(F.col("lang").isin(rare), F.lit(1)).otherwise(F.pmod(hashed, F.lit(5)))
+    return cut_lineage(kept.withColumn("fold", fold))
 
 
 def fit(rows: DataFrame) -> Model:

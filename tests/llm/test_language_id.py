@@ -41,6 +41,21 @@ def test_nothing_to_learn_from(make_docs, edge_rows):
     assert {(r["lang_pred"], r["score"]) for r in L.identify(docs, model).collect()} == {("und", 0.0)}
 
 
+def test_rare_languages_are_learned(make_docs):
+    """The sample is shared out by language: 3 rows among 3,000 are learned, the bound holds."""
+    words = {"aa": "the cat and the dog ran home", "bb": "el gato y el perro van a casa", "zz": "қызыл үй және ақ ит"}
+    rows = [(i, words["zz" if i % 1000 == 7 else "bb" if i % 10 == 3 else "aa"]) for i in range(3000)]
+    lang = F.when(F.col("doc_id") % 1000 == 7, "zz").when(F.col("doc_id") % 10 == 3, "bb").otherwise("aa")
+    docs = make_docs(rows).withColumn("lang", lang)
+    sampled = L.sample(docs, F.lit(True), "doc_id", "text", "lang", 400)
+    counts = {r["lang"]: r["count"] for r in sampled.groupBy("lang").count().collect()}
+    assert counts["zz"] == 3 and 130 < counts["aa"] < 270 and 130 < counts["bb"] < 270
+    model = L.fit(sampled)
+    assert model.languages == ["aa", "bb", "zz"]
+    got = {r["doc_id"]: r["lang_pred"] for r in L.identify(docs, model).collect()}
+    assert all(words[got[i]] == t for i, t in rows)
+
+
 def test_codewords_correct_errors():
     for n in (1, 2, 3, 4, 7, 8, 20):
         codes = L.codewords(n)
