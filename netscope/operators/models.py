@@ -2,7 +2,7 @@
 
 One ``Pipeline`` holds imputation, encoding, scaling and the estimator, so the
 saved model carries its scaler (the reference fitted it outside).  Forests
-are grown by ``operators.forest``, boosting by Spark ML.
+are grown by ``operators.forest``, boosted trees by ``operators.boosting``.
 """
 
 from __future__ import annotations
@@ -11,11 +11,11 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netscope.functions.exprs import finite_or_null
+from netscope.operators.boosting import BoostedRegressor
 from netscope.operators.forest import ForestClassifier, ForestRegressor
 from netscope.operators.labels import with_class_weights
 from netscope.operators.metrics import classification_report, regression_metrics
@@ -136,7 +136,7 @@ def regression_task(df: DataFrame, target: str, num: Sequence[str], cat: Sequenc
     if model == "rf":
         p.setdefault("featureSubsetStrategy", "all")  # every feature at every split, as the reference's forest
     est = (ForestRegressor(labelCol=target, featuresCol="features", **p) if model == "rf"
-           else GBTRegressor(labelCol=target, featuresCol="features", checkpointInterval=10, cacheNodeIds=True, **p))
+           else BoostedRegressor(labelCol=target, featuresCol="features", **p))
     train = d.where(F.col("split") == "train")
     fitted = Pipeline(stages=preprocessor(train, num, cat)[0] + [est]).fit(train)
     pred = fitted.transform(d.where(F.col("split") == "test"))
