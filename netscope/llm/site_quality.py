@@ -10,7 +10,8 @@ Site evidence comes from all documents: the calibrated probabilities are average
 host in grouped aggregations (partial sums, so a host with a third of the rows is no problem).  The
 spread between sites, beyond what their sizes explain, gives the strength of the priors: a path's rate
 is shrunk towards its host's, a host's towards the global rate, sparse ones most.  A document's
-posterior adds its path's log odds to its own evidence.
+posterior adds its path's log odds to its own evidence; its own probability is taken out of the path's, the
+host's and the global sums first, so it counts once.
 
 The host is the source's part before the first slash (without scheme), the path its next segment, or
 the language where a source has none.  Null sources and languages are sites of their own; null and
@@ -40,7 +41,7 @@ MAX_LABELLED = 20_000
 MAX_FEATURES = 4_000
 REJECT = 0.5
 TARGETS = ("low", "toxic")
-BROADCAST_SITES = 100_000
+BROADCAST_SITES, SALTS = 100_000, 16
 SYMBOLS = "#*$%&|<>"
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -232,7 +233,9 @@ def _strength(sites: DataFrame, hits: str, n: str, mean: Column) -> float:
 
 
 def posteriors(scored: DataFrame, rates: dict[str, float]) -> DataFrame:
-    """``host, path`` and, per target, the shrunk rates ``host_<t>`` and ``path_<t>``.
+    """``host, path`` and, per target, the shrunk rates ``top_<t>``, ``host_<t>`` and ``path_<t>``, with what
+    ``without_own`` needs: documents ``n`` and ``hn``, probability sums ``s_<t>``, ``h_<t>`` and ``a_<t>``
+    (of path, host and all ``an`` documents), prior strengths ``kp_<t>`` and ``kh_<t>``.
 
     ``scored`` has host, path and the probability ``p_<t>`` of every document.
     """
@@ -240,57 +243,70 @@ def posteriors(scored: DataFrame, rates: dict[str, float]) -> DataFrame:
         F.count("*").alias("n"), *[F.sum(f"p_{t}").alias(f"s_{t}") for t in TARGETS]))
     hosts = paths.groupBy("host").agg(F.sum("n").alias("hn"), *[F.sum(f"s_{t}").alias(f"h_{t}") for t in TARGETS])
     total = hosts.agg(F.sum("hn"), *[F.sum(f"h_{t}") for t in TARGETS]).first()
+    hosts = hosts.withColumn("an", F.lit(float(total[0] or 0)))
     for i, t in enumerate(TARGETS):
         top = (float(total[i + 1] or 0) + rates[t]) / (float(total[0] or 0) + 1)
         k = _strength(hosts, f"h_{t}", "hn", F.lit(top))
-        hosts = hosts.withColumn(f"host_{t}", (F.col(f"h_{t}") + k * top) / (F.col("hn") + k)).withColumn(f"top_{t}", F.lit(top))
+        hosts = hosts.withColumns({f"host_{t}": (F.col(f"h_{t}") + k * top) / (F.col("hn") + k), f"top_{t}": F.lit(top),
+                                   f"kh_{t}": F.lit(k), f"a_{t}": F.lit(float(total[i + 1] or 0))})
     out = cut_lineage(paths.join(hosts, "host"))
     for t in TARGETS:
         k = _strength(out, f"s_{t}", "n", F.col(f"host_{t}"))
-        out = out.withColumn(f"path_{t}", (F.col(f"s_{t}") + k * F.col(f"host_{t}")) / (F.col("n") + k))
-    return cut_lineage(out.select("host", "path", *[f"{x}_{t}" for t in TARGETS for x in ("top", "host", "path")]))
+        out = out.withColumns({f"path_{t}": (F.col(f"s_{t}") + k * F.col(f"host_{t}")) / (F.col("n") + k), f"kp_{t}": F.lit(k)})
+    return cut_lineage(out)
+
+
+def without_own(t: str, p: Column, rate: float) -> tuple[Column, Column]:
+    """Global and path rate as the other documents give them; ``p`` is the document's own probability."""
+    at = lambda x: F.col(f"{x}_{t}")
+    top = (F.greatest(at("a") - p, F.lit(0.0)) + rate) / F.col("an")
+    host = (F.greatest(at("h") - p, F.lit(0.0)) + at("kh") * top) / (F.col("hn") - 1 + at("kh"))
+    return top, (F.greatest(at("s") - p, F.lit(0.0)) + at("kp") * host) / (F.col("n") - 1 + at("kp"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
-             lang: str = "lang", max_labelled: int = MAX_LABELLED) -> DataFrame:
+             lang: str = "lang", max_labelled: int = MAX_LABELLED, keep: list[str] | None = None) -> DataFrame:
     """``row`` (the document as it came), the site's ``host_<t>`` and ``path_<t>`` and the document's
-    ``p_<t>`` for both targets."""
+    ``p_<t>`` for both targets.
+
+    ``keep`` names the columns of ``row`` where not all are wanted: evidence is then computed once and written
+    beside them.  Whole rows (None) have theirs computed twice, which is less than writing every text once more.
+    """
     model = fit(labelled(docs, labels, key, text, max_labelled))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     host, path = site(F.col(source), F.col(lang))
-    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(text).alias("text"),
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row"), F.col(text).alias("text"),
                        host.alias("host"), path.alias("path"))
 
-    def probability(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def odds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            odds = np.array([shared.value.log_odds(t) for t in batch.column(0).to_pylist()]).reshape(-1, len(TARGETS))
-            p = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *[pa.array(x) for x in p.T]],
-                                             names=["host", "path", *[f"p_{t}" for t in TARGETS]])
-
-    scored = rows.select("text", "host", "path").mapInArrow(
-        probability, "host string, path string, p_low double, p_toxic double")
-    sites = posteriors(scored, model.rates)
+            own = np.array([shared.value.log_odds(t) for t in batch.column(0).to_pylist()]).reshape(-1, len(TARGETS))
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *[pa.array(x) for x in np.clip(own, -30, 30).T]],
+                                             names=[*batch.schema.names[1:], *[f"o_{t}" for t in TARGETS]])
+
+    told = "host string, path string, " + ", ".join(f"o_{t} double" for t in TARGETS)
+    scored = rows.select("text", "row", "host", "path").mapInArrow(odds, f"row {rows.schema['row'].dataType.simpleString()}, {told}")
+    if keep:
+        scored = small = cut_lineage(scored)
+    else:
+        small = rows.select("text", "host", "path").mapInArrow(odds, told)
+    p = {t: 1 / (1 + F.exp(-F.col(f"o_{t}"))) for t in TARGETS}
+    sites = posteriors(small.select("host", "path", *[p[t].alias(f"p_{t}") for t in TARGETS]), model.rates)
     if sites.count() <= BROADCAST_SITES:
-        sites = F.broadcast(sites)  # bounded by the check; more sites join by shuffle
-    joined = rows.join(sites, ["host", "path"], "left")
+        joined = scored.join(F.broadcast(sites), ["host", "path"])  # bounded by the check
+    else:
+        # more sites: by shuffle, a hot site's documents dealt over SALTS tasks
+        salt = F.pmod(F.xxhash64(*[f"o_{t}" for t in TARGETS]), F.lit(SALTS)).cast("int")
+        each = sites.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = scored.withColumn("salt", salt).join(each, ["host", "path", "salt"])
     kept = [f"{x}_{t}" for t in TARGETS for x in ("host", "path")]
 
-    def posterior(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logit = lambda p: np.log(p / (1 - p))
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            odds = np.array([shared.value.log_odds(t) for t in texts]).reshape(-1, len(TARGETS))
-            get = lambda c: np.clip(batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False), 1e-6, 1 - 1e-6)  # noqa: E731,B023
-            p = [odds[:, i] + logit(get(f"path_{t}")) - logit(get(f"top_{t}")) for i, t in enumerate(TARGETS)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[batch.column(batch.schema.get_field_index(c)) for c in kept],
-                 *[pa.array(1 / (1 + np.exp(-np.clip(x, -30, 30)))) for x in p]],
-                names=["row", *kept, *[f"p_{t}" for t in TARGETS]])
+    def posterior(t: str) -> Column:
+        logit = lambda x: F.log(x / (1 - x))
+        top, rest = (F.greatest(F.least(x, F.lit(1 - 1e-6)), F.lit(1e-6)) for x in without_own(t, p[t], model.rates[t]))
+        return (1 / (1 + F.exp(-(F.col(f"o_{t}") + logit(rest) - logit(top))))).alias(f"p_{t}")
 
-    row = rows.schema["row"].dataType.simpleString()
-    schema = ", ".join([f"row {row}", *[f"{c} double" for c in kept], *[f"p_{t} double" for t in TARGETS]])
-    return joined.select("row", "text", *kept, *[f"top_{t}" for t in TARGETS]).mapInArrow(posterior, schema)
+    return joined.select("row", *kept, *[posterior(t) for t in TARGETS])
 
 
 def accepted(judged: DataFrame) -> Column:
@@ -300,7 +316,7 @@ def accepted(judged: DataFrame) -> Column:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probabilities and verdict of every document."""
-    judged = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    judged = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=["doc_id"])
     return judged.select(F.col("row.doc_id").alias("doc_id"), (1 - F.col("p_low")).alias("p_quality"), "p_toxic",
                          (1 - F.col("host_low")).alias("host_quality"), (1 - F.col("path_low")).alias("path_quality"),
                          F.col("host_toxic"), F.col("path_toxic"), accepted(judged).alias("kept"))

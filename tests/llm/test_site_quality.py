@@ -1,6 +1,8 @@
 """Classifier: planted toxic words and junk, shrinkage, edge cases."""
 
+import math
 import random
+from collections import defaultdict
 
 from pyspark.sql import functions as F
 
@@ -51,3 +53,60 @@ def test_site_of_urls_and_plain_sources(spark):
     host, path = Q.site(F.col("s"), F.col("l"))
     got = [tuple(r) for r in spark.createDataFrame(rows, "s string, l string").select(host, path).collect()]
     assert got == [("a.org", "news"), ("a.org", "fr"), ("src1", "de"), ("", "")]
+
+
+def brute(docs, odds, rates):
+    """Posteriors of (host, path) rows, each document's own probability left out of its site."""
+    def strength(sites, mean):
+        seen = [(s, n, m) for (s, n), m in zip(sites, mean) if n >= 2]
+        total = sum(n for _, n, _ in seen)
+        if not total:
+            return 100.0
+        spread = sum(n * (s / n - m) ** 2 for s, n, m in seen) / total
+        noise, mid = sum(m * (1 - m) for *_, m in seen) / total, sum(n * m * (1 - m) for _, n, m in seen) / total
+        return min(max(mid / max(spread - noise, 1e-6) - 1, 5.0), 1000.0)
+
+    p = [1 / (1 + math.exp(-o)) for o in odds]
+    hosts, paths = defaultdict(lambda: [0.0, 0]), defaultdict(lambda: [0.0, 0])
+    for (h, q), x in zip(docs, p):
+        for site in (hosts[h], paths[h, q]):
+            site[0] += x
+            site[1] += 1
+    top = (sum(p) + rates) / (len(p) + 1)
+    kh = strength(hosts.values(), [top] * len(hosts))
+    rate = {h: (s + kh * top) / (n + kh) for h, (s, n) in hosts.items()}
+    kp = strength(paths.values(), [rate[h] for h, _ in paths])
+    out = []
+    for (h, q), x, o in zip(docs, p, odds):
+        all_ = (sum(p) - x + rates) / len(p)
+        host = (hosts[h][0] - x + kh * all_) / (hosts[h][1] - 1 + kh)
+        own = (paths[h, q][0] - x + kp * host) / (paths[h, q][1] - 1 + kp)
+        a, b = (min(max(v, 1e-6), 1 - 1e-6) for v in (own, all_))
+        out.append(1 / (1 + math.exp(-(o + math.log(a / (1 - a)) - math.log(b / (1 - b))))))
+    return out
+
+
+def test_equals_brute_force(spark, monkeypatch):
+    """Both targets of the smallest tables, by broadcast and by the salted join, with whole and with few columns."""
+    docs, labels = (spark.read.parquet(f"{SF_MID}/{t}.parquet") for t in ("documents", "labels"))
+    docs = docs.filter("doc_id < 1500").cache()
+    model = Q.fit(Q.labelled(docs, labels, "doc_id", "text", Q.MAX_LABELLED))
+    rows = docs.select("doc_id", "text", *[c.alias(n) for c, n in zip(Q.site(F.col("source"), F.col("lang")), ("h", "q"))]).collect()
+    odds = [[min(max(o, -30), 30) for o in model.log_odds(r["text"])] for r in rows]
+    want = {t: brute([(r["h"], r["q"]) for r in rows], [o[i] for o in odds], model.rates[t]) for i, t in enumerate(Q.TARGETS)}
+    for sites, keep in ((Q.BROADCAST_SITES, None), (0, ["doc_id"])):
+        monkeypatch.setattr(Q, "BROADCAST_SITES", sites)
+        got = {r["doc_id"]: r for r in Q.classify(docs, labels, keep=keep).select("row.doc_id", "p_low", "p_toxic").collect()}
+        assert len(got) == len(rows)
+        for t in Q.TARGETS:
+            assert all(abs(got[r["doc_id"]][f"p_{t}"] - x) < 1e-7 for r, x in zip(rows, want[t]))
+
+
+def test_a_lone_document_counts_once(spark, make_docs):
+    """The only document of the only site: its posterior is its own evidence."""
+    docs = make_docs([(1, "buy now buy now !!!")])
+    labels = spark.createDataFrame([(9, 1, 0)], "doc_id long, quality int, toxic int")
+    row = Q.classify(docs, labels).first()
+    model = Q.fit(Q.labelled(docs, labels, "doc_id", "text", 10))
+    for p, o in zip((row["p_low"], row["p_toxic"]), model.log_odds("buy now buy now !!!")):
+        assert abs(p - 1 / (1 + math.exp(-o))) < 1e-9
