@@ -2,30 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _top1(df: DataFrame, col: str) -> DataFrame:
-    return (df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
-            .orderBy(F.desc("_c"), F.asc(col)).limit(1))
-
-
 def insights(df: DataFrame, provider: str = "provider", proto: str = "proto",
              region: str = "region_snd", tool: str = "tool") -> DataFrame:
     """One row: top provider and its share, dominant protocol, most active region, tool list.
 
-    Each piece is a small aggregate used as a scalar subquery.
+    One scan counts the values of all four columns by grouping sets; the row is read off the counts.  Ties go
+    to the smallest value; missing values don't count; without rows all is null and the list empty.
     """
-    pc = df.where(F.col(provider).isNotNull()).groupBy(provider).agg(F.count(F.lit(1)).alias("_c"))
-    tp = pc.orderBy(F.desc("_c"), F.asc(provider)).limit(1)
-    total = pc.agg(F.sum("_c"))
-    tools = df.agg(F.array_join(F.array_sort(F.collect_set(tool)), ",").alias("tools"))
-    one = df.sparkSession.range(1)
-    return one.select(
-        tp.select(provider).scalar().alias("top_provider"),
-        F.round(tp.select("_c").scalar() * 100.0 / total.scalar(), 2).alias("top_provider_share_pct"),
-        _top1(df, proto).select(proto).scalar().alias("dominant_proto"),
-        _top1(df, region).select(region).scalar().alias("most_active_region"),
-        tools.scalar().alias("tools"),
-    )
+    cols = [provider, proto, region, tool]
+    counts = df.select(*cols).groupingSets([[F.col(c)] for c in cols], *[F.col(c) for c in cols]).agg(
+        F.count(F.lit(1)).alias("_c"), *[(F.grouping(c) == 0).alias(f"_of{i}") for i, c in enumerate(cols)])
+    of = {c: F.col(f"_of{i}") & F.col(c).isNotNull() for i, c in enumerate(cols)}
+
+    def top(c: str) -> Column:
+        return F.min(F.when(of[c], F.struct((-F.col("_c")).alias("n"), F.col(c).alias("v"))))
+
+    best = counts.agg(top(provider).alias("p"), top(proto).alias("q"), top(region).alias("r"),
+                      F.sum(F.when(of[provider], F.col("_c"))).alias("n"),
+                      F.array_join(F.array_sort(F.collect_set(F.when(of[tool], F.col(tool)))), ",").alias("tools"))
+    return best.select(F.col("p.v").alias("top_provider"),
+                       F.round(-F.col("p.n") * 100.0 / F.col("n"), 2).alias("top_provider_share_pct"),
+                       F.col("q.v").alias("dominant_proto"), F.col("r.v").alias("most_active_region"), "tools")

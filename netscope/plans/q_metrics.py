@@ -95,8 +95,7 @@ SELECT event_type, ROUND(SUM((c_p - r_p) * LN(c_p / r_p)), 6) AS psi, CAST(SUM(r
 FROM p GROUP BY event_type""")
 def q_psi_drift(spark, sf):
     e = table(spark, sf, "events").select("event_type", "value", "ts")
-    ref, cur = D.time_windows(e, "ts", ref_days=7, cur_days=1)
-    return D.psi(ref, cur, "value", ["event_type"], bins=10, threshold=0.2)
+    return D.psi_of_sides(D.time_sides(e, "ts", ref_days=7, cur_days=1), "value", "side", ["event_type"], bins=10, threshold=0.2)
 
 
 _SCORES = {"price": "target_bwd", "quantity": "tput_mean", "wait": "delay_mean"}

@@ -46,3 +46,27 @@ def test_psi_no_drift_on_identical_windows(spark):
     df = spark.range(1000).select((F.col("id") % 97).cast("double").alias("v"))
     r = psi(df, df, "v").first()
     assert r["psi"] == 0.0 and r["drifted"] is False
+
+
+def test_psi_of_awkward_groups(spark):
+    """Groups without current rows, without values, and rows of neither side; two sides counted in one scan."""
+    from netscope.operators.drift import psi_of_sides
+    rows = ([("a", float(i), True) for i in range(20)] + [("a", float(i + 100), False) for i in range(5)]
+            + [("a", 3.0, None), ("a", None, False)] + [("b", float(i), True) for i in range(10)]
+            + [("c", None, True), ("d", 1.0, False)])
+    df = spark.createDataFrame(rows, "k string, v double, side boolean")
+    got = {r["k"]: r for r in psi_of_sides(df, "v", "side", ["k"]).collect()}
+    assert set(got) == {"a", "b", "c"}
+    assert (got["a"]["n_ref"], got["a"]["n_cur"], got["a"]["drifted"]) == (20, 5, True)
+    assert (got["b"]["n_ref"], got["b"]["n_cur"]) == (10, 0) and (got["c"]["n_ref"], got["c"]["psi"]) == (0, 0.0)
+    assert psi_of_sides(df.limit(0), "v", "side", ["k"]).count() == 0
+
+
+def test_insights_ties_and_empty(spark):
+    from netscope.operators.report import insights
+    rows = [("q", "tcp", "r2", "x"), ("p", "udp", "r1", "y"), (None, "udp", None, "x"), (None, None, None, None), (None, None, None, None)]
+    df = spark.createDataFrame(rows, "provider string, proto string, region_snd string, tool string")
+    assert tuple(insights(df).first()) == ("p", 50.0, "udp", "r1", "x,y")
+    assert tuple(insights(df.limit(0)).first()) == (None, None, None, None, "")
+    plan = insights(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Expand") == 1 and "Join" not in plan and "subquery" not in plan
