@@ -180,3 +180,17 @@ def test_empty_and_tiny_tables(spark):
     ready = model.stages[2].transform(model.stages[1].transform(model.stages[0].transform(df)))
     with pytest.raises(ValueError):
         Fo.ForestRegressor(labelCol="y").fit(ready.limit(0))
+
+
+def test_a_column_is_looked_at_only_where_it_is_tried(monkeypatch):
+    """With one feature in twenty tried per node, a level costs a few columns' rows, not all columns'."""
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 300, (4000, 20)).astype(float)
+    columns = [{"features": [i], "cuts": (np.arange(299) + 0.5).tolist()} for i in range(20)]
+    seen, cells = [], Fo._cells
+    monkeypatch.setattr(Fo, "_cells", lambda code, *a: (seen.append(len(code)), cells(code, *a))[1])
+    rules = Fo.Rules(columns, 1, 12, 1, 3)
+    nodes = Fo.grow(Fo.codes_of(x, columns), rng.integers(0, 3, 4000).astype(float), np.ones(4000), rules, 0, "")
+    assert nodes["n"][0] == 4000 and sum(seen) <= 12 * 4000 * 4
+    leaf = nodes["column"] < 0
+    assert nodes["n"][leaf].sum() == 4000
