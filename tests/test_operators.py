@@ -374,3 +374,24 @@ def test_boosting_loss_falls_every_round(spark):
         ready = st.transform(ready)
     loss = model.stages[-1].evaluateEachIteration(ready.withColumn("y", F.col("y")), "squared")
     assert len(loss) == 15 and all(b < a for a, b in zip(loss, loss[1:])) and m.first()["r2"] > 0.9
+
+
+def test_path_lengths_equal_a_walk_of_each_tree():
+    import numpy as np
+
+    from netscope.operators import outliers as O
+    rng = np.random.default_rng(2)
+    trees = [O._grow_tree(rng.normal(size=(64, 3)).round(1), rng, 6) for _ in range(7)] + [O._grow_tree(np.ones((4, 3)), rng, 6)]
+    x = rng.normal(size=(50, 3))
+    x[4, 1] = np.nan
+
+    def walk(row, tree):
+        feat, thr, left, right, size = tree
+        node, depth = 0, 0.0
+        while feat[node] >= 0:
+            node = left[node] if row[feat[node]] < thr[node] else right[node]
+            depth += 1
+        return depth + O._c_factor(size[node])
+
+    want = [sum(walk(r, t) for t in trees) / len(trees) for r in x]
+    assert np.allclose(O._path_lengths(x, O._joined(trees)), want, rtol=1e-12)
