@@ -244,13 +244,12 @@ def histogram(df: DataFrame, col: str, bins: int = 30, decimals: int = 6) -> Dat
 
 def box_stats(df: DataFrame, group: str, col: str, decimals: int = 6, method: str = "bounded") -> DataFrame:
     """Quartiles, 1.5*IQR whiskers clipped to the data, outlier counts per group."""
-    from netscope.operators.quantiles import quantile_columns
+    from netscope.operators.quantiles import for_join, quantile_columns
     x = F.col(col)
-    quart = quantile_columns(df, [group], col, [0.25, 0.5, 0.75], ["q1", "median", "q3"], method)
+    quart = for_join(quantile_columns(df, [group], col, [0.25, 0.5, 0.75], ["q1", "median", "q3"], method))
     quart = quart.where(F.col("q1").isNotNull()).withColumn("iqr", F.col("q3") - F.col("q1"))
     lo_f = F.col("q1") - 1.5 * F.col("iqr")
     hi_f = F.col("q3") + 1.5 * F.col("iqr")
-    # quart has one row per group; the join is an ordinary equi-join that AQE may broadcast
     j = df.select(group, x.alias("_x")).where(F.col("_x").isNotNull()).join(quart, group)
     inside = (F.col("_x") >= lo_f) & (F.col("_x") <= hi_f)
     agg = j.groupBy(group, "q1", "median", "q3", "iqr").agg(
@@ -264,9 +263,9 @@ def box_stats(df: DataFrame, group: str, col: str, decimals: int = 6, method: st
 
 def iqr_outlier_flags(df: DataFrame, group: str, col: str, k: float = 1.5, method: str = "bounded") -> DataFrame:
     """Per-row outlier flag against the group's 1.5*IQR fences."""
-    from netscope.operators.quantiles import quantile_columns
+    from netscope.operators.quantiles import for_join, quantile_columns
     x = F.col(col)
-    quart = quantile_columns(df, [group], col, [0.25, 0.75], ["_q1", "_q3"], method)
+    quart = for_join(quantile_columns(df, [group], col, [0.25, 0.75], ["_q1", "_q3"], method))
     j = df.join(quart, group)
     iqr = F.col("_q3") - F.col("_q1")
     flag = (x < F.col("_q1") - k * iqr) | (x > F.col("_q3") + k * iqr)

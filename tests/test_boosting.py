@@ -102,3 +102,15 @@ def test_awkward_rows(spark):
         assert model.nodes.count() == 3 and model.nodes.filter("n <> 20 or loss <> 0").isEmpty()
         assert {r[0] for r in model.transform(feed).select("prediction").collect()} == {7.0}
     assert model.transform(feed.limit(0)).count() == 0
+
+
+def test_steps_lead_where_a_walk_ends():
+    rng = np.random.default_rng(3)
+    codes, blocks = rng.integers(0, 6, (3, 200)).astype(np.uint16), np.array([False, True, False])
+    tree = B.Tree(3)
+    for i in (0, 1, 2, 4, 6):
+        tree.column[i], tree.cut[i] = rng.integers(0, 3), rng.integers(1, 5)
+    at = np.zeros(200, np.int64)
+    for _ in range(4):
+        at = tree.step(at, codes, blocks)
+    assert (at == tree.walk(codes, blocks)).all() and len(set(at)) > 3

@@ -395,3 +395,18 @@ def test_path_lengths_equal_a_walk_of_each_tree():
 
     want = [sum(walk(r, t) for t in trees) / len(trees) for r in x]
     assert np.allclose(O._path_lengths(x, O._joined(trees)), want, rtol=1e-12)
+
+
+def test_quantiles_of_repeated_values_need_no_bracket(spark, monkeypatch):
+    """Many rows of few values are counted where they are read; few groups' figures are broadcast to their rows."""
+    from netscope.operators import profile as P
+    from netscope.operators import quantiles as Q
+    monkeypatch.setattr(Q, "_bracket_quantiles", lambda *a: pytest.fail("rows were bracketed"))
+    df = spark.range(30_000).selectExpr("id % 3 AS g", "CASE WHEN id % 7 > 0 THEN CAST(id % 40 AS DOUBLE) END AS x")
+    got = {r["g"]: (r["_n"], r["a"], r["b"]) for r in Q.exact_quantiles(
+        df, ["g"], "x", [0.25, 0.9], ["a", "b"], accuracy=100, max_exact=100).collect()}
+    want = {r["g"]: (r["n"], *r["q"]) for r in df.groupBy("g").agg(
+        F.count("x").alias("n"), F.expr("percentile(x, array(0.25D, 0.9D))").alias("q")).collect()}
+    assert got == want
+    plan = P.iqr_outlier_flags(df, "g", "x")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
