@@ -107,7 +107,7 @@ def test_awkward_rows(spark):
 def test_steps_lead_where_a_walk_ends():
     rng = np.random.default_rng(3)
     codes, blocks = rng.integers(0, 6, (3, 200)).astype(np.uint16), np.array([False, True, False])
-    tree = B.Tree(3)
+    tree = Bo.Tree(3)
     for i in (0, 1, 2, 4, 6):
         tree.column[i], tree.cut[i] = rng.integers(0, 3), rng.integers(1, 5)
     at = np.zeros(200, np.int64)
