@@ -136,15 +136,23 @@ class Half:
     """One direction of the index over a cyclic text: rows in the order of their first ``depth`` symbols."""
 
     def __init__(self, text: np.ndarray, depth: int):
-        rank, covered = text.astype(np.int64), 1
+        # numbers of 4 bytes but for the keys, and no array kept longer than needed: this is a task's largest state
+        rank, covered = np.ascontiguousarray(text, np.int32), 1
         order = np.argsort(rank, kind="stable")
         while covered < depth:
-            key = (rank << 32) | np.roll(rank, -covered)
+            del order
+            key = rank.astype(np.int64)
+            key <<= 32
+            key |= np.roll(rank, -covered)
+            del rank
             order = np.argsort(key, kind="stable")
-            rank = np.empty_like(key)
-            rank[order] = np.cumsum(np.diff(key[order], prepend=key[order[0]]) != 0)
-            covered *= 2
+            key = key[order]
+            new = np.zeros(len(key), bool)
+            np.not_equal(key[1:], key[:-1], out=new[1:])
             del key
+            rank = np.empty(len(new), np.int32)
+            rank[order] = np.cumsum(new, dtype=np.int32)
+            covered *= 2
         del rank
         #: symbol before each row's suffix, and the row of the suffix that starts with it
         self.before = text[order - 1]
