@@ -64,9 +64,13 @@ class _Chunks:
         self.ids = Recent(self._chunk)
 
     def _chunk(self, chunk: bytes) -> bytes:
+        if chunk.isalpha():     # letters of ASCII, the most of what is met: no look at each one
+            if not chunk.islower():
+                return self.ids[chunk.lower()]
+            return array("I", [t.id for t in self.model.tokenize(chunk.decode())]).tobytes()
         text = chunk.decode()
         core = text.rstrip(".,")
-        if core and max(core) < "ɐ" and core.isalpha():
+        if core and (core.isascii() or max(core) < "ɐ") and core.isalpha():
             low = core.lower()
             if low.isalpha():
                 if low != text:
