@@ -5,7 +5,9 @@
    word can stand in a candidate, so all others become breaks.
 2. Each shard extends its words to the right and sends its word pairs with their counts; Spark sums them and
    gives every shard back those of its pairs that are frequent in the corpus.
-3. Each shard keeps the stretches whose neighbouring words are all frequent pairs, builds a bidirectional index
+3. Each shard keeps the stretches whose neighbouring words are all frequent pairs and sends its phrases of three
+   words; Spark sums them and gives every shard back its frequent ones.
+4. Each shard keeps the stretches whose three neighbouring words are all frequent, builds a bidirectional index
    (depth-limited suffix order and last-to-first mapping of the text and of its reverse) and enumerates all
    phrases up to ``MAX_WORDS`` words, extending intervals on either side in turn.  Spark sums the counts.
 
@@ -29,7 +31,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession, Window
 from pyspark.sql import functions as F
 
 from netscope.llm.common import table
@@ -38,9 +40,11 @@ from netscope.session import cut_lineage, unique_subdir
 NAME = "op11_phrase_index"
 MAX_WORDS, MIN_COUNT, TOP = 5, 100, 2000
 UNKNOWN = "und"
-SHARD_TOKENS = 1 << 23
+SHARD_TOKENS = 1 << 22
 SEGMENT_BYTES = 1 << 22
 BLOCK_ROWS = 1 << 20
+# rows of one Arrow batch on its way from a shard to Spark, which holds a batch outside its heap
+SENT_ROWS = 100_000
 # a word's number in the corpus: that of its first shard (task and place in it), then its id there
 SHARD_BITS, ID_BITS = 12, 26
 
@@ -155,7 +159,8 @@ class Half:
             covered *= 2
         del rank
         #: symbol before each row's suffix, and the row of the suffix that starts with it
-        self.before = text[order - 1]
+        order -= 1
+        self.before = text[order]
         del order
         by_symbol = np.argsort(self.before, kind="stable")
         self.to = np.empty(len(text), np.int32)
@@ -237,6 +242,11 @@ def recode(body: bytes, ids: np.ndarray, wids: np.ndarray) -> tuple[np.ndarray,
     return single_breaks(code[text]), wids[order]
 
 
+def _sent(rows: pa.Table) -> pa.Table:
+    """The same rows, ``SENT_ROWS`` to a batch."""
+    return pa.Table.from_batches(rows.to_batches(max_chunksize=SENT_ROWS), rows.schema)
+
+
 def _pairs(texts: pa.Table, words: pa.Table) -> pa.Table:
     """``shard, w1, w2, n``: the pairs of frequent words in a shard."""
     cols = [np.zeros(0, np.int64)] * 4
@@ -245,45 +255,68 @@ def _pairs(texts: pa.Table, words: pa.Table) -> pa.Table:
         for pair, n in phrases(text, 2):
             if pair.shape[1] == 2:
                 cols = [np.full(len(n), texts["shard"][0].as_py()), names[pair[:, 0] - 1], names[pair[:, 1] - 1], n]
-    return pa.table([pa.array(c, pa.int64()) for c in cols], names=["shard", "w1", "w2", "n"])
+    return _sent(pa.table([pa.array(c, pa.int64()) for c in cols], names=["shard", "w1", "w2", "n"]))
 
 
-def stretches(text: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """``text`` without what lies in no three words whose two pairs are given; breaks where a pair is not."""
+def stretches(text: np.ndarray, *parts: np.ndarray) -> np.ndarray:
+    """``text`` without what lies in no two neighbouring given phrases; breaks where no such two go on.
+
+    ``parts`` are the first, second, ... words of the given phrases."""
     width = int(text.max(initial=0)) + 1
-    given = np.sort(first.astype(np.int64) * width + second)
-    pair = text[:-1].astype(np.int64) * width + text[1:]
-    found = np.minimum(np.searchsorted(given, pair), len(given) - 1)
-    ok = np.append(given[found] == pair, False)      # the pair that starts here
-    three = ok[:-1] & ok[1:]
-    keep = np.zeros(len(text), bool)
-    for k in range(3):
-        keep[k:k + len(three)] |= three[:len(keep) - k]
+    here, given, ok = text.astype(np.int64), parts[0].astype(np.int64), np.ones(len(text), bool)
+    for part, words in zip([*parts[1:], None], [text[i:] for i in range(1, len(parts) + 1)]):
+        # phrases so far by number, so that one and the next word fit into 64 bits
+        names, given = np.unique(given, return_inverse=True)
+        found = np.minimum(np.searchsorted(names, here), len(names) - 1)
+        ok &= names[found] == here                    # the phrase that starts here
+        if part is not None:
+            here, given, ok = found[:-1] * width + words, given * width + part, ok[:-1]
+    two = ok[:-1] & ok[1:]
+    keep, on = np.zeros(len(text), bool), np.zeros(len(text), bool)
+    for k in range(len(parts) + 1):
+        keep[k:k + len(two)] |= two
+        if k < len(parts):
+            on[k:k + len(two)] |= two                 # the next word belongs to it
     out = np.zeros((len(text), 2), text.dtype)       # each word, and the break that may follow
     out[:, 0] = text
-    out[:, 1] = np.where(ok & np.append(keep[1:], False), -1, 0)
+    out[:, 1] = np.where(on, -1, 0)
     return single_breaks(out[keep].ravel()[out[keep].ravel() >= 0])
 
 
-def _long(texts: pa.Table, given: pa.Table) -> pa.Table:
-    """``w1 ... w5, n`` of a shard's phrases of three words and more whose pairs are all frequent.
+def _longer(texts: pa.Table, given: pa.Table, lengths: range) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``words, n`` (corpus numbers) of a shard's phrases of these lengths in the stretches of its given phrases.
 
-    ``given`` holds the shard's frequent words (id, number) and pairs (two numbers), told apart by ``pair``.
+    ``given`` holds the shard's frequent words (id, number) and phrases (numbers), told apart by ``phrase``.
     """
+    known = given.filter(given["phrase"])
+    if not len(texts) or not len(known):
+        return
+    words = given.filter(pa.compute.invert(given["phrase"]))
+    text, names = recode(texts["body"][0].as_py(), words["a"].to_numpy(), words["b"].to_numpy())
+    parts = [np.searchsorted(names, known[c].to_numpy()) + 1 for c in ("a", "b", "c")[:lengths[0] - 1]]
+    for found, n in phrases(stretches(text, *parts), lengths[-1]):
+        if found.shape[1] in lengths:
+            yield names[found - 1], n
+
+
+def _threes(texts: pa.Table, given: pa.Table) -> pa.Table:
+    """``shard, w1, w2, w3, n`` of a shard's phrases of three words whose pairs are both frequent."""
+    cols = [np.zeros(0, np.int64)] * 5
+    for found, n in _longer(texts, given, range(3, 4)):
+        cols = [np.full(len(n), texts["shard"][0].as_py()), *found.T, n]
+    return _sent(pa.table([pa.array(c, pa.int64()) for c in cols], names=["shard", "w1", "w2", "w3", "n"]))
+
+
+def _long(texts: pa.Table, given: pa.Table) -> pa.Table:
+    """``w1 ... w5, n`` of a shard's phrases of four words and more whose phrases of three are all frequent."""
     cols = [[] for _ in range(MAX_WORDS + 1)]
-    pairs = given.filter(given["pair"])
-    if len(texts) and len(pairs):
-        words = given.filter(pa.compute.invert(given["pair"]))
-        text, names = recode(texts["body"][0].as_py(), words["a"].to_numpy(), words["b"].to_numpy())
-        code = [np.searchsorted(names, pairs[c].to_numpy()) + 1 for c in ("a", "b")]
-        for found, n in phrases(stretches(text, *code), MAX_WORDS):
-            k = found.shape[1]
-            if k > 2:
-                for i, c in enumerate(cols[:-1]):
-                    c.append(pa.array(names[found[:, i] - 1]) if i < k else pa.nulls(len(n), pa.int64()))
-                cols[-1].append(pa.array(n.astype(np.int64)))
-    return pa.table([pa.chunked_array(c, pa.int64()).combine_chunks() for c in cols],
-                    names=[f"w{i + 1}" for i in range(MAX_WORDS)] + ["n"])
+    for found, n in _longer(texts, given, range(4, MAX_WORDS + 1)):
+        k = found.shape[1]
+        for i, c in enumerate(cols[:-1]):
+            c.append(pa.array(found[:, i]) if i < k else pa.nulls(len(n), pa.int64()))
+        cols[-1].append(pa.array(n.astype(np.int64)))
+    return _sent(pa.table([pa.chunked_array(c, pa.int64()).combine_chunks() for c in cols],
+                          names=[f"w{i + 1}" for i in range(MAX_WORDS)] + ["n"]))
 
 
 def frequent(docs: DataFrame, text: str = "text", lang: str = "lang",
@@ -313,16 +346,25 @@ def frequent(docs: DataFrame, text: str = "text", lang: str = "lang",
     words = held.filter("place = wid").select("wid", "lang", "word", "f")
     ids = held.select(F.col("shard").alias("of"), F.col("id").cast("long").alias("a"), F.col("wid").alias("b"))
     pairs = texts.groupBy("shard").cogroup(ids.groupBy("of")).applyInArrow(_pairs, "shard bigint, w1 bigint, w2 bigint, n bigint")
-    good = written(pairs.select("shard", "w1", "w2", F.sum("n").over(Window.partitionBy("w1", "w2")).alias("f")).filter(
-        F.col("f") >= min_count), "good")
-    given = ids.withColumn("pair", F.lit(False)).unionByName(good.select(
-        F.col("shard").alias("of"), F.col("w1").alias("a"), F.col("w2").alias("b"), F.lit(True).alias("pair")))
     w = [f"w{i + 1}" for i in range(MAX_WORDS)]
-    longer = texts.groupBy("shard").cogroup(given.groupBy("of")).applyInArrow(
+
+    def often(rows: DataFrame, k: int) -> DataFrame:
+        return written(rows.select("shard", *w[:k], F.sum("n").over(Window.partitionBy(*w[:k])).alias("f")).filter(
+            F.col("f") >= min_count), f"good{k}")
+
+    def shown(good: DataFrame, k: int) -> GroupedData:
+        own = good.select(F.col("shard").alias("of"), *[F.col(c).alias(x) for c, x in zip(w[:k], "abc")])
+        return ids.withColumn("phrase", F.lit(False)).unionByName(own.withColumn("phrase", F.lit(True)), True).groupBy("of")
+
+    good = often(pairs, 2)
+    threes = often(texts.groupBy("shard").cogroup(shown(good, 2)).applyInArrow(
+        _threes, "shard bigint, w1 bigint, w2 bigint, w3 bigint, n bigint"), 3)
+    longer = texts.groupBy("shard").cogroup(shown(threes, 3)).applyInArrow(
         _long, ", ".join(f"{c} bigint" for c in w) + ", n bigint").groupBy(*w).agg(F.sum("n").alias("f")).filter(
             F.col("f") >= min_count)
     found = words.select(F.array("wid").alias("p"), "f").unionByName(
         good.groupBy("w1", "w2").agg(F.first("f").alias("f")).select(F.array("w1", "w2").alias("p"), "f")).unionByName(
+        threes.groupBy("w1", "w2", "w3").agg(F.first("f").alias("f")).select(F.array("w1", "w2", "w3").alias("p"), "f")).unionByName(
         longer.select(F.array_compact(F.array(*w)).alias("p"), "f"))
     return totals, words, written(found, "found")
 

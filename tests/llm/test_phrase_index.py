@@ -96,6 +96,28 @@ def test_stretches():
     assert P.stretches(text, given[:, 0], given[:, 1]).tolist() == [1, 2, 3, 0, 2, 3, 4, 0]
 
 
+def test_stretches_of_three_words():
+    text = np.array([1, 2, 3, 4, 5, 0, 2, 3, 4, 9, 1, 2, 3, 4, 9, 3, 4, 5], np.int32)
+    given = np.array([(1, 2, 3), (2, 3, 4), (3, 4, 5)]).T
+    assert P.stretches(text, *given).tolist() == [1, 2, 3, 4, 5, 0, 1, 2, 3, 4, 0]
+    assert P.stretches(np.array([1, 2], np.int32), *given).tolist() == []
+
+
+def test_longer_phrases_need_frequent_threes():
+    """A shard sends no phrase of four words that holds an infrequent one of three, even if its pairs are frequent."""
+    import pyarrow as pa
+    text = np.array([1, 2, 3, 4, 0, 1, 2, 3, 0, 5, 2, 3, 0], np.int32)
+    texts = pa.table({"shard": pa.array([7], pa.int64()), "body": pa.array([P.pack(text)], pa.binary())})
+    words = [{"a": i, "b": i + 10, "phrase": False} for i in range(1, 6)]
+    given = lambda phrases: pa.Table.from_pylist(words + [
+        {**dict(zip("abc", [w + 10 for w in p])), "phrase": True} for p in phrases],
+        pa.schema([("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("phrase", pa.bool_())]))
+    threes = P._threes(texts, given([(1, 2), (2, 3), (3, 4), (5, 2)])).to_pylist()
+    assert sorted((r["w1"], r["w2"], r["w3"], r["n"]) for r in threes) == [(11, 12, 13, 2), (12, 13, 14, 1), (15, 12, 13, 1)]
+    assert len(P._long(texts, given([(1, 2, 3)]))) == 0
+    assert [list(r.values()) for r in P._long(texts, given([(1, 2, 3), (2, 3, 4)])).to_pylist()] == [[11, 12, 13, 14, None, 1]]
+
+
 def test_segments_cut_between_pieces_only():
     text = "one two.three four\nfive\x0bsix " * 50
     whole = [w for s in P.segments(text) for w in s if w]
@@ -129,3 +151,27 @@ def test_products_beyond_64_bits(spark):
     got = spark.createDataFrame(big, "a long, n long, l long, r long").select(
         "*", P._score(F.col("a"), F.col("n"), F.col("l"), F.col("r")).alias("s")).collect()
     assert [r["s"] for r in got] == [1000 * r["a"] * r["n"] // (r["l"] * r["r"]) for r in got]
+
+
+def test_a_full_shard_stays_small():
+    """Two tasks share an executor with its heap: a shard of full size, and the batches it sends, stay small."""
+    import tracemalloc
+
+    import pyarrow as pa
+    text = (np.random.default_rng(1).zipf(1.3, P.SHARD_TOKENS) % 30_000).astype(np.int32)
+    ids = np.unique(text[text > 0]).astype(np.int64)
+    texts = pa.table({"shard": pa.array([7], pa.int64()), "body": pa.array([P.pack(P.single_breaks(text))], pa.binary())})
+    words = pa.table({"of": np.full(len(ids), 7), "a": ids, "b": ids + 1000})
+    tracemalloc.start()
+    try:
+        got = P._pairs(texts, words)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 160e6
+    assert len(got) > P.SENT_ROWS >= max(len(b) for b in got.to_batches())
+    pair = text[:-1].astype(np.int64) * 30_000 + text[1:]
+    pair, n = np.unique(pair[(text[:-1] > 0) & (text[1:] > 0)], return_counts=True)
+    assert np.array_equal(np.sort(got["w1"].to_numpy() * 40_000 + got["w2"].to_numpy()),
+                          np.sort((pair // 30_000 + 1000) * 40_000 + pair % 30_000 + 1000))
+    assert got["n"].to_numpy().sum() == n.sum()
