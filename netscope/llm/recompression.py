@@ -211,7 +211,8 @@ def row_hash(docs: DataFrame, key: str, text: str) -> Column:
 def repeats(docs: DataFrame, key: str, text: str, window: int, repeated: np.ndarray, same: Column) -> DataFrame:
     """``key, same, a, b``: word ranges covered by windows that also start earlier.
 
-    Documents go by key, rows of one key by ``same``."""
+    Documents go by key, rows of one key by ``same``.  A window travels as its 64-bit hash ``x`` and as ``z``, its
+    32-bit hash above its place: numbers side by side, so that rows of one document differ in one stretch of bytes."""
     kind = docs.schema[key].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(repeated)
 
@@ -251,15 +252,18 @@ def repeats(docs: DataFrame, key: str, text: str, window: int, repeated: np.ndar
 
     def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by hash, key and place: the first of a hash stays, the others are repeats."""
+        names = ["key", "same", "a", "b"]
         before = None   # the last group's hash, and its first window
         for batch in batches:
-            done = batch.filter(pa.compute.is_valid(batch.column(5)))
+            done = batch.filter(pa.compute.is_valid(batch.column(4)))
             if len(done):
-                yield pa.RecordBatch.from_arrays([done.column(i) for i in (2, 3, 4, 5)], names=["key", "same", "a", "b"])
-            rows = batch.filter(pa.compute.is_null(batch.column(5)))
+                yield pa.RecordBatch.from_arrays([done.column(2), done.column(3), done.column(1).cast(pa.int32()),
+                                                  done.column(4)], names=names)
+            rows = batch.filter(pa.compute.is_null(batch.column(4)))
             if not len(rows):
                 continue
-            x, y, t, p = (rows.column(i).to_numpy() for i in (0, 1, 3, 4))
+            x, z, t = (rows.column(i).to_numpy() for i in (0, 1, 3))
+            y, p = z >> 32, (z & 0xFFFFFFFF).astype(np.int32)
             keys = rows.column(2)
             head = np.ones(len(x), bool)
             head[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
@@ -283,20 +287,20 @@ def repeats(docs: DataFrame, key: str, text: str, window: int, repeated: np.ndar
                 q = p[again]
                 yield pa.RecordBatch.from_arrays(
                     [keys.filter(pa.array(again)), pa.array(t[again]), pa.array(q), pa.array((q + window).astype(np.int32))],
-                    names=["key", "same", "a", "b"])
+                    names=names)
 
     rows = docs.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), same.alias("same"), F.col(text).alias("text"))
-    met = rows.mapInArrow(find, f"x bigint, y int, key {kind}, same bigint, a int, b int")
-    return met.repartition("x").sortWithinPartitions("x", "y", "key", "same", "a").mapInArrow(
+    met = rows.mapInArrow(find, f"x bigint, z bigint, key {kind}, same bigint, b int")
+    return met.repartition("x").sortWithinPartitions("x", F.shiftright("z", 32), "key", "same", "z").mapInArrow(
         flag, f"key {kind}, same bigint, a int, b int")
 
 
 def _batch(keys: tuple[pa.Array, pa.Array], doc: np.ndarray, x: np.ndarray, y: np.ndarray, a: np.ndarray,
            b: np.ndarray | None) -> pa.RecordBatch:
     end = pa.nulls(len(a), pa.int32()) if b is None else pa.array(b.astype(np.int32))
+    z = y.astype(np.int64) << 32 | a.astype(np.int64)
     return pa.RecordBatch.from_arrays(
-        [pa.array(x), pa.array(y), *(k.take(pa.array(doc)) for k in keys), pa.array(a.astype(np.int32)), end],
-        names=["x", "y", "key", "same", "a", "b"])
+        [pa.array(x), pa.array(z), *(k.take(pa.array(doc)) for k in keys), end], names=["x", "z", "key", "same", "b"])
 
 
 def remove_words(text: str | None, ranges: list[tuple[int, int]]) -> tuple[str | None, int, int]:

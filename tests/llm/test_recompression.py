@@ -110,3 +110,16 @@ def test_repeated_keys_with_other_texts(make_docs):
     end = f"{more} end".split()
     assert got == sorted([(1, 50, 0, words[:50]), (2, 80, 50, words[50:]), (2, 2, 0, ["tiny", "text"]), (2, 0, 0, []),
                           (3, 31, 30, end[30:]), (3, 2, 0, ["tiny", "text"]), (4, 51, 50, ["x"]), (4, 31, 30, ["x"])])
+
+
+def test_windows_travel_as_five_numbers(make_docs, capsys):
+    """A window is its two hashes, its place and its document; a hash with the highest bit set keeps its place."""
+    import re
+    docs = make_docs([(1, "a b")])
+    R.repeats(docs, "doc_id", "text", 20, np.full(R.SEGMENT_BITS // 8, 255, np.uint8), F.lit(0).cast("bigint")).explain("formatted")
+    sent = re.findall(r"Exchange\nInput \[(\d+)\]", capsys.readouterr().out)
+    assert sent and set(sent) == {"5"}
+    import pyarrow as pa
+    y, a = np.array([0, -1, -2 ** 31, 2 ** 31 - 1], np.int32), np.array([0, 2 ** 31 - 1, 5, 7])
+    z = R._batch((pa.array([1]), pa.array([0])), np.zeros(4, np.int64), np.zeros(4, np.int64), y, a, None).column("z").to_numpy()
+    assert (z >> 32).tolist() == y.tolist() and (z & 0xFFFFFFFF).tolist() == a.tolist()
