@@ -2,19 +2,31 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netscope.session import cut_lineage
 
 
-def _roots(parents: DataFrame) -> DataFrame:
+# links of one task: the driver keeps something of every task, and a round has a dozen stages
+TASK_LINKS = 200_000
+
+
+def _cut(rows: DataFrame, tasks: int) -> DataFrame:
+    """The checkpointed rows, written and read by at most ``tasks`` tasks."""
+    return cut_lineage(rows.coalesce(tasks)).coalesce(tasks)
+
+
+def _roots(parents: DataFrame, tasks: int) -> DataFrame:
     """``node, parent`` with parents smaller than nodes -> every node with the root above it."""
+    parents = parents.coalesce(tasks)
     while True:
         up = parents.select(F.col("node").alias("up"), F.col("parent").alias("next"))
-        joined = parents.join(up, F.col("parent") == F.col("up"), "left")
-        parents = cut_lineage(joined.select(
-            "node", F.coalesce("next", "parent").alias("parent"), F.col("next").isNotNull().alias("moved")))
+        joined = parents.join(up.hint("merge"), F.col("parent") == F.col("up"), "left")
+        parents = _cut(joined.select(
+            "node", F.coalesce("next", "parent").alias("parent"), F.col("next").isNotNull().alias("moved")), tasks)
         if not parents.agg(F.max("moved")).first()[0]:
             return parents.select("node", "parent")
 
@@ -24,28 +36,35 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Each node hooks to its smallest smaller neighbour (a partial aggregate, so a hub's links are combined
     before the shuffle); chains are shortened by pointer jumping; links are then drawn between the roots
-    and the rest repeats until none is left.  Every round ends in a reliable checkpoint.
+    and the rest repeats until none is left.  Every round ends in a reliable checkpoint.  Stages have no more
+    tasks than their links need, however many partitions a shuffle has; merge joins, because a join that turns
+    into a broadcast has a stage of all partitions.
     """
     edges = links.select(F.greatest(a, b).alias("node"), F.least(a, b).alias("other")).filter(
         "node != other").distinct()
     total = None
     while True:
         edges = cut_lineage(edges)
-        if edges.isEmpty():
+        n = edges.count()
+        if not n:
             break
-        roots = _roots(edges.groupBy("node").agg(F.min("other").alias("parent")))
+        if total is None:    # no later table has more rows than twice these links
+            tasks = max(1, math.ceil(n / TASK_LINKS))
+        edges = edges.coalesce(tasks)
+        roots = _roots(edges.groupBy("node").agg(F.min("other").alias("parent")), tasks)
         if total is None:
             total = roots.select("node", F.col("parent").alias("root"))
         else:
-            below = total.join(roots, F.col("root") == roots["node"], "left").select(
+            below = total.join(roots.hint("merge"), F.col("root") == roots["node"], "left").select(
                 total["node"], F.coalesce("parent", "root").alias("root"))
-            total = cut_lineage(below.unionByName(roots.select("node", F.col("parent").alias("root"))))
+            total = _cut(below.unionByName(roots.select("node", F.col("parent").alias("root"))), tasks)
         one, two = roots.select("node", F.col("parent").alias("p")), roots.select(
             F.col("node").alias("other"), F.col("parent").alias("q"))
-        moved = edges.join(one, "node", "left").join(two, "other", "left").select(
+        moved = edges.join(one.hint("merge"), "node", "left").coalesce(tasks).join(
+            two.hint("merge"), "other", "left").coalesce(tasks).select(
             F.coalesce("p", "node").alias("x"), F.coalesce("q", "other").alias("y"))
         edges = moved.filter("x != y").select(F.greatest("x", "y").alias("node"),
-                                              F.least("x", "y").alias("other")).distinct()
+                                              F.least("x", "y").alias("other")).distinct().coalesce(tasks)
     if total is None:
         return edges.select("node", F.col("other").alias("root"))
     return total

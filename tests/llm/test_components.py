@@ -1,5 +1,6 @@
 import random
 
+from netscope.llm import components as C
 from netscope.llm.components import components
 
 
@@ -23,3 +24,30 @@ def test_random_graphs_and_chains(spark):
 
 def test_no_links(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(C, "TASK_LINKS", 20)
+    edges = [(i, i + 1) for i in range(100, 140)] + [(7 * i % 90, 7 * (i + 1) % 90) for i in range(80)]
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(1, 90) if i * 13 % 90 <= 80}, **{i: 100 for i in range(101, 141)}}
+
+
+def test_a_round_has_no_more_tasks_than_its_links_need(spark):
+    """The driver keeps something of every task: few links must not cost a task per shuffle partition and stage."""
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "40"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", "few links")
+    try:
+        got = components(spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long"))
+        assert got.count() == 60
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    stages = {s for j in tracker.getJobIdsForGroup("few links") for s in tracker.getJobInfo(j).stageIds}
+    done = [i.numCompletedTasks for i in map(tracker.getStageInfo, stages) if i]
+    assert len(done) > 10 and sum(done) < 4 * 40
