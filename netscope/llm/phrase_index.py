@@ -5,8 +5,10 @@
    word can stand in a candidate, so all others become breaks.
 2. Each shard extends its words to the right and sends its word pairs with their counts; Spark sums them and
    gives every shard back those of its pairs that are frequent in the corpus.
-3. Each shard keeps the stretches whose neighbouring words are all frequent pairs and sends its phrases of three
-   words; Spark sums them and gives every shard back its frequent ones.
+3. Each shard keeps the stretches whose neighbouring words are all frequent pairs and counts its phrases of three
+   words in buckets by their hash; Spark sums the buckets.  Each shard then sends its phrases of three words that lie
+   in a full bucket; Spark sums them and gives every shard back its frequent ones.  (Pairs that only just become
+   frequent in a larger corpus bring many phrases of three words that don't: most of them stay in their shard.)
 4. Each shard keeps the stretches whose three neighbouring words are all frequent, builds a bidirectional index
    (depth-limited suffix order and last-to-first mapping of the text and of its reverse) and enumerates all
    phrases up to ``MAX_WORDS`` words, extending intervals on either side in turn.  Spark sums the counts.
@@ -45,6 +47,8 @@ SEGMENT_BYTES = 1 << 22
 BLOCK_ROWS = 1 << 20
 # rows of one Arrow batch on its way from a shard to Spark, which holds a batch outside its heap
 SENT_ROWS = 100_000
+# phrases of three words are counted in buckets first, some 2 to 4 words of the corpus for each until they are MOST_BUCKETS
+MOST_BUCKETS, CHUNKS = 1 << 28, 1 << 10
 # a word's number in the corpus: that of its first shard (task and place in it), then its id there
 SHARD_BITS, ID_BITS = 12, 26
 
@@ -299,10 +303,58 @@ def _longer(texts: pa.Table, given: pa.Table, lengths: range) -> Iterator[tuple[
             yield names[found - 1], n
 
 
-def _threes(texts: pa.Table, given: pa.Table) -> pa.Table:
-    """``shard, w1, w2, w3, n`` of a shard's phrases of three words whose pairs are both frequent."""
+def _bucket(found: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each phrase of three words, by its corpus numbers."""
+    h = np.zeros(len(found), np.uint64)
+    for word in found.T.astype(np.uint64):
+        h = (h ^ word) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return (h % np.uint64(buckets)).astype(np.int64)
+
+
+def _bucket_counts(texts: pa.Table, given: pa.Table, buckets: int, min_count: int) -> pa.Table:
+    """``chunk, at, n``: how often a shard's phrases of three words fall into each bucket, none above ``min_count``."""
+    chunk, at, counts = [], [], []
+    for found, n in _longer(texts, given, range(3, 4)):
+        bucket, group = np.unique(_bucket(found, buckets), return_inverse=True)
+        total = np.minimum(np.bincount(group, n), min_count).astype(np.int32)
+        part = bucket // (buckets // CHUNKS)
+        cuts = np.flatnonzero(np.diff(part, prepend=-1))
+        chunk = part[cuts]
+        inside = (bucket % (buckets // CHUNKS)).astype(np.int32)
+        at = [pack(x) for x in np.split(inside, cuts[1:])] if len(cuts) else []
+        counts = [pack(x) for x in np.split(total, cuts[1:])] if len(cuts) else []
+    return pa.table([pa.array(chunk, pa.int32()), pa.array(at, pa.binary()), pa.array(counts, pa.binary())],
+                    names=["chunk", "at", "n"])
+
+
+def full_buckets(counts: DataFrame, buckets: int, min_count: int) -> np.ndarray:
+    """The buckets with ``min_count`` in all shards together, as bits (``MOST_BUCKETS / 8`` bytes at most)."""
+    size = buckets // CHUNKS
+
+    def add(chunk: pa.Table) -> pa.Table:
+        total = np.zeros(size, np.int64)
+        for at, n in zip(chunk["at"], chunk["n"]):
+            total[unpack(at.as_py(), np.int32)] += unpack(n.as_py(), np.int32)
+        return pa.table([chunk["chunk"].slice(0, 1), pa.array([pack(np.packbits(total >= min_count))], pa.binary())],
+                        names=["chunk", "bits"])
+
+    out = np.zeros((CHUNKS, size // 8), np.uint8)
+    for chunk, bits in counts.groupBy("chunk").applyInArrow(add, "chunk int, bits binary").toPandas().itertuples(index=False):
+        out[chunk] = unpack(bits, np.uint8)
+    return out.ravel()
+
+
+def _threes(texts: pa.Table, given: pa.Table, full: np.ndarray | None = None) -> pa.Table:
+    """``shard, w1, w2, w3, n`` of a shard's phrases of three words whose pairs are both frequent.
+
+    With ``full``, those in a full bucket only: all others are infrequent."""
     cols = [np.zeros(0, np.int64)] * 5
     for found, n in _longer(texts, given, range(3, 4)):
+        if full is not None:
+            at = _bucket(found, 8 * len(full))
+            keep = (full[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
+            found, n = found[keep], n[keep]
         cols = [np.full(len(n), texts["shard"][0].as_py()), *found.T, n]
     return _sent(pa.table([pa.array(c, pa.int64()) for c in cols], names=["shard", "w1", "w2", "w3", "n"]))
 
@@ -357,8 +409,13 @@ def frequent(docs: DataFrame, text: str = "text", lang: str = "lang",
         return ids.withColumn("phrase", F.lit(False)).unionByName(own.withColumn("phrase", F.lit(True)), True).groupBy("of")
 
     good = often(pairs, 2)
+    tokens = totals.agg(F.sum("n")).first()[0] or 0
+    buckets = min(MOST_BUCKETS, max(8 * CHUNKS, 1 << max(0, int(tokens // 4)).bit_length()))
+    limit = max(1, min(min_count, 1 << 30))
+    full = full_buckets(texts.groupBy("shard").cogroup(shown(good, 2)).applyInArrow(
+        lambda texts, given: _bucket_counts(texts, given, buckets, limit), "chunk int, at binary, n binary"), buckets, limit)
     threes = often(texts.groupBy("shard").cogroup(shown(good, 2)).applyInArrow(
-        _threes, "shard bigint, w1 bigint, w2 bigint, w3 bigint, n bigint"), 3)
+        lambda texts, given: _threes(texts, given, full), "shard bigint, w1 bigint, w2 bigint, w3 bigint, n bigint"), 3)
     longer = texts.groupBy("shard").cogroup(shown(threes, 3)).applyInArrow(
         _long, ", ".join(f"{c} bigint" for c in w) + ", n bigint").groupBy(*w).agg(F.sum("n").alias("f")).filter(
             F.col("f") >= min_count)

@@ -118,6 +118,28 @@ def test_longer_phrases_need_frequent_threes():
     assert [list(r.values()) for r in P._long(texts, given([(1, 2, 3), (2, 3, 4)])).to_pylist()] == [[11, 12, 13, 14, None, 1]]
 
 
+def test_threes_outside_full_buckets_stay_in_their_shard():
+    """Threes that all shards together hold too seldom are not sent, whatever their pairs; frequent ones all are."""
+    import pyarrow as pa
+    rng = np.random.default_rng(3)
+    text = np.column_stack([rng.integers(1, 30, (4000, 3)), np.zeros(4000, int)]).ravel().astype(np.int32)
+    text = np.append(text, np.tile([5, 6, 7, 0], 90)).astype(np.int32)
+    shards = [pa.table({"shard": pa.array([i], pa.int64()), "body": pa.array([P.pack(text)], pa.binary())}) for i in (1, 2)]
+    pairs = {(int(a), int(b)) for a, b in zip(text, text[1:]) if a and b}
+    given = pa.Table.from_pylist([{"a": i, "b": i + 10, "phrase": False} for i in range(1, 30)] + [
+        {"a": a + 10, "b": b + 10, "phrase": True} for a, b in pairs],
+        pa.schema([("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("phrase", pa.bool_())]))
+    buckets, total = 1 << 20, np.zeros(1 << 20, np.int64)
+    for texts in shards:
+        for r in P._bucket_counts(texts, given, buckets, 100).to_pylist():
+            at = P.unpack(r["at"], np.int32) + r["chunk"] * (buckets // P.CHUNKS)
+            total[at] += P.unpack(r["n"], np.int32)
+    full = np.packbits(total >= 100)
+    rows = [P._threes(t, given, full).to_pylist() for t in shards]
+    assert len(P._threes(shards[0], given)) > 3000 and [len(r) for r in rows] == [1, 1]
+    assert [tuple(r.values())[1:4] for r in rows[0]] == [(15, 16, 17)] and 2 * rows[0][0]["n"] >= 180
+
+
 def test_segments_cut_between_pieces_only():
     text = "one two.three four\nfive\x0bsix " * 50
     whole = [w for s in P.segments(text) for w in s if w]
