@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,45 @@ def _cut(rows: DataFrame, tasks: int) -> DataFrame:
     return cut_lineage(rows.coalesce(tasks)).coalesce(tasks)
 
 
+def _forest(links: DataFrame) -> DataFrame:
+    """``node, other`` that connect what the links ``node, other`` connect, one row per node and task: the smallest
+    node that its links of this task lead to.
+
+    The rows come out of Python, so they have none of the constraints that a checkpoint hands on and that the
+    optimizer multiplies with each round's joins (a round's plan took the driver seconds and its heap).
+    """
+    kinds = [links.schema[c].dataType.simpleString() for c in ("node", "other")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        above, read = {}, 0
+
+        def top(x):
+            while x in above:
+                above[x] = x = above.get(above[x], above[x])
+            return x
+
+        for batch in batches:
+            types = [c.type for c in batch.columns]
+            for pair in zip(*(c.to_pylist() for c in batch.columns)):
+                low, high = sorted(map(top, pair))
+                if low != high:
+                    above[high] = low
+            read += len(batch)
+            if read >= TASK_LINKS:
+                yield rows(above, types)
+                above, read = {}, 0
+        if above:
+            yield rows(above, types)
+
+    def rows(above: dict, types: list[pa.DataType]) -> pa.RecordBatch:
+        for x in sorted(above):    # what lies above a node is smaller, and so done
+            above[x] = above.get(above[x], above[x])
+        return pa.RecordBatch.from_arrays([pa.array(above.keys(), types[0]), pa.array(above.values(), types[1])],
+                                          names=["node", "other"])
+
+    return links.select("node", "other").mapInArrow(run, f"node {kinds[0]}, other {kinds[1]}")
+
+
 def _roots(parents: DataFrame, tasks: int) -> DataFrame:
     """``node, parent`` with parents smaller than nodes -> every node with the root above it."""
     parents = parents.coalesce(tasks)
@@ -34,23 +75,22 @@ def _roots(parents: DataFrame, tasks: int) -> DataFrame:
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node, root`` for every node that is not the smallest of its component.
 
-    Each node hooks to its smallest smaller neighbour (a partial aggregate, so a hub's links are combined
-    before the shuffle); chains are shortened by pointer jumping; links are then drawn between the roots
-    and the rest repeats until none is left.  Every round ends in a reliable checkpoint.  Stages have no more
-    tasks than their links need, however many partitions a shuffle has; merge joins, because a join that turns
-    into a broadcast has a stage of all partitions.
+    Each task first replaces its links by a forest.  Each node hooks to its smallest smaller neighbour (a partial
+    aggregate, so a hub's links are combined before the shuffle); chains are shortened by pointer jumping; links
+    are then drawn between the roots and the rest repeats until none is left: one round if all links fit a task.
+    Every round ends in a reliable checkpoint.  Stages have no more tasks than their links need, however many
+    partitions a shuffle has; merge joins, because a join that turns into a broadcast has a stage of all partitions.
     """
-    edges = links.select(F.greatest(a, b).alias("node"), F.least(a, b).alias("other")).filter(
-        "node != other").distinct()
+    edges = links.select(F.greatest(a, b).alias("node"), F.least(a, b).alias("other")).filter("node != other")
+    edges = cut_lineage(_forest(edges).distinct())
     total = None
     while True:
-        edges = cut_lineage(edges)
         n = edges.count()
         if not n:
             break
         if total is None:    # no later table has more rows than twice these links
             tasks = max(1, math.ceil(n / TASK_LINKS))
-        edges = edges.coalesce(tasks)
+        edges = _cut(_forest(edges.coalesce(tasks)), tasks)
         roots = _roots(edges.groupBy("node").agg(F.min("other").alias("parent")), tasks)
         if total is None:
             total = roots.select("node", F.col("parent").alias("root"))
@@ -64,7 +104,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             two.hint("merge"), "other", "left").coalesce(tasks).select(
             F.coalesce("p", "node").alias("x"), F.coalesce("q", "other").alias("y"))
         edges = moved.filter("x != y").select(F.greatest("x", "y").alias("node"),
-                                              F.least("x", "y").alias("other")).distinct().coalesce(tasks)
+                                              F.least("x", "y").alias("other")).distinct()
+        edges = _cut(edges, tasks)
     if total is None:
         return edges.select("node", F.col("other").alias("root"))
     return total

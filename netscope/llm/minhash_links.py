@@ -202,7 +202,7 @@ def cross_links(live: DataFrame, postings: DataFrame, roots: DataFrame, percent:
     open_lists = state.groupBy("j", "v").agg(
         F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.struct("central", "key")).alias("hub")).filter(
             "lo != hi").select("j", "v", "hub")
-    still = state.join(open_lists, ["j", "v"])
+    still = cut_lineage(state.join(open_lists, ["j", "v"]))
     family = still.groupBy("key", "comp").agg(F.max("hub").alias("hub"))
     sizes = family.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
     place = cut_lineage(family.join(sizes, "hub").select(
@@ -251,8 +251,10 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
         F.explode(F.slice("tokens", F.lit(1), F.size("tokens") - (matches - 1))).alias("t")).select(
             "key", "central", "t.j", "t.v"))
     links = cut_lineage(star_links(live, postings, percent, matches))
-    more = cut_lineage(cross_links(live, postings, components(links), percent, matches))
-    roots = components(links.unionByName(more))
+    roots = components(links)
+    more = cut_lineage(cross_links(live, postings, roots, percent, matches))
+    # the stars of the first components connect what their links connected
+    roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
     label = sets.select("set_id", "key", "of").join(roots, F.col("key") == F.col("node"), "left").select(
         "set_id", "of", F.coalesce("root", "key").alias("group"))
     smallest = label.groupBy("group").agg(F.min("of").alias("component"))

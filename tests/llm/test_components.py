@@ -51,3 +51,31 @@ def test_a_round_has_no_more_tasks_than_its_links_need(spark):
     stages = {s for j in tracker.getJobIdsForGroup("few links") for s in tracker.getJobInfo(j).stageIds}
     done = [i.numCompletedTasks for i in map(tracker.getStageInfo, stages) if i]
     assert len(done) > 10 and sum(done) < 4 * 40
+
+
+def test_links_of_one_task_need_one_round(spark):
+    """Each round is a dozen of the driver's plans, and each plan was larger than the round's before."""
+    rng = random.Random(9)
+    nodes = rng.sample(range(1000), 300)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", "one round")
+    try:
+        got = {r["node"]: r["root"] for r in components(
+            spark.createDataFrame(list(zip(nodes, nodes[1:])), "a long, b long")).collect()}
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got == {x: min(nodes) for x in nodes if x != min(nodes)}
+    assert len(tracker.getJobIdsForGroup("one round")) < 20
+
+
+def test_a_forest_for_every_so_many_links(spark, monkeypatch):
+    """Text nodes, links that come twice and both ways, more links in a task than it holds at once."""
+    monkeypatch.setattr(C, "TASK_LINKS", 3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        pairs = [(f"k{i}", f"k{i + 2}") for i in range(30)] * 2 + [("k9", "k7"), ("x", "x"), (None, "k1"), ("é", "z")]
+        got = {r["node"]: r["root"] for r in components(spark.createDataFrame(pairs, "a string, b string")).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    even, odd = (sorted(f"k{i}" for i in range(s, 32, 2)) for s in (0, 1))
+    assert got == {**{x: even[0] for x in even[1:]}, **{x: odd[0] for x in odd[1:]}, "é": "z"}
