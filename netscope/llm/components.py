@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netscope.session import cut_lineage
+from netscope.session import cut_lineage, unique_subdir
 
 
 # links of one task: the driver keeps something of every task, and a round has a dozen stages
@@ -17,16 +17,21 @@ TASK_LINKS = 200_000
 
 
 def _cut(rows: DataFrame, tasks: int) -> DataFrame:
-    """The checkpointed rows, written and read by at most ``tasks`` tasks."""
-    return cut_lineage(rows.coalesce(tasks)).coalesce(tasks)
+    """The rows, written and read by at most ``tasks`` tasks.
+
+    A checkpoint hands on the size estimated for its plan, and that of a join is a product: after many rounds such
+    numbers took the driver seconds and its heap.  One task needs one round; several read their rows from a table.
+    """
+    if tasks == 1:
+        return cut_lineage(rows.coalesce(1)).coalesce(1)
+    at = unique_subdir(rows.sparkSession, "components")
+    rows.coalesce(tasks).write.parquet(at)
+    return rows.sparkSession.read.schema(rows.schema).parquet(at).coalesce(tasks)
 
 
 def _forest(links: DataFrame) -> DataFrame:
     """``node, other`` that connect what the links ``node, other`` connect, one row per node and task: the smallest
     node that its links of this task lead to.
-
-    The rows come out of Python, so they have none of the constraints that a checkpoint hands on and that the
-    optimizer multiplies with each round's joins (a round's plan took the driver seconds and its heap).
     """
     kinds = [links.schema[c].dataType.simpleString() for c in ("node", "other")]
 
@@ -78,7 +83,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Each task first replaces its links by a forest.  Each node hooks to its smallest smaller neighbour (a partial
     aggregate, so a hub's links are combined before the shuffle); chains are shortened by pointer jumping; links
     are then drawn between the roots and the rest repeats until none is left: one round if all links fit a task.
-    Every round ends in a reliable checkpoint.  Stages have no more tasks than their links need, however many
+    Every round's tables stand in the shared folder.  Stages have no more tasks than their links need, however many
     partitions a shuffle has; merge joins, because a join that turns into a broadcast has a stage of all partitions.
     """
     edges = links.select(F.greatest(a, b).alias("node"), F.least(a, b).alias("other")).filter("node != other")

@@ -79,3 +79,13 @@ def test_a_forest_for_every_so_many_links(spark, monkeypatch):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     even, odd = (sorted(f"k{i}" for i in range(s, 32, 2)) for s in (0, 1))
     assert got == {**{x: even[0] for x in even[1:]}, **{x: odd[0] for x in odd[1:]}, "é": "z"}
+
+
+def test_estimated_sizes_stay_small(spark, monkeypatch):
+    """A join's estimated size is a product: handed on from round to round it had hundreds of thousands of bits."""
+    monkeypatch.setattr(C, "TASK_LINKS", 12)
+    rng = random.Random(9)
+    nodes = rng.sample(range(1000), 60)
+    got = components(spark.createDataFrame(list(zip(nodes, nodes[1:])), "a long, b long"))
+    assert {r["node"]: r["root"] for r in got.collect()} == {x: min(nodes) for x in nodes if x != min(nodes)}
+    assert got._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() < 100
