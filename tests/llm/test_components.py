@@ -82,7 +82,7 @@ def test_a_forest_for_every_so_many_links(spark, monkeypatch):
 
 
 def test_estimated_sizes_stay_small(spark, monkeypatch):
-    """A join's estimated size is a product: handed on from round to round it had hundreds of thousands of bits."""
+    """A join's estimated size is a product: handed on from round to round it soon had thousands of bits."""
     monkeypatch.setattr(C, "TASK_LINKS", 12)
     rng = random.Random(9)
     nodes = rng.sample(range(1000), 60)
