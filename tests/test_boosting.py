@@ -114,3 +114,40 @@ def test_steps_lead_where_a_walk_ends():
     for _ in range(4):
         at = tree.step(at, codes, blocks)
     assert (at == tree.walk(codes, blocks)).all() and len(set(at)) > 3
+
+
+def test_places_hold_the_rows_that_walk_there():
+    rng = np.random.default_rng(3)
+    codes, blocks = rng.integers(0, 6, (3, 200)).astype(np.uint16), np.array([False, True, False])
+    tree = Bo.Tree(3)
+    assert list(Bo._places(tree, codes, blocks).items()) == [(0, None)]
+    for i in (0, 1, 2, 4, 6):
+        tree.column[i], tree.cut[i] = rng.integers(0, 3), rng.integers(1, 5)
+    at = np.full(200, -1)
+    for i, rows in Bo._places(tree, codes, blocks).items():
+        assert (at[rows] == -1).all()
+        at[rows] = i
+    assert (at == tree.walk(codes, blocks)).all()
+
+
+def test_sums_of_many_partitions_meet_in_few_places(spark, monkeypatch):
+    """Lists are added in the partitions' order, and at most one list per place comes to the driver."""
+    parts = spark.sparkContext.parallelize(range(30), 30).map(lambda i: [np.array([0.1 * i, 1.0]), float(i)])
+    want = [sum((np.array([0.1 * i, 1.0]) for i in range(1, 30)), np.array([0.0, 1.0])), 435.0]
+    got = Bo._gathered(parts)
+    assert (got[0] == want[0]).all() and got[1] == want[1]
+    monkeypatch.setattr(Bo, "GATHERED", 8)
+    seen, frame = [], type(parts.map(len))
+    collect = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda self: (seen.append(self.getNumPartitions()), collect(self))[1])
+    got = Bo._gathered(parts)
+    assert np.allclose(got[0], want[0]) and got[1] == want[1] and seen == [4]
+
+
+def test_many_tasks_grow_the_trees_of_one_task(spark, monkeypatch):
+    monkeypatch.setattr(Bo, "LEAST_ROWS", 100)
+    df = table(spark, 1200)
+    nodes = [sorted(tuple(r) for r in stages(Bo.BoostedRegressor(labelCol="y", maxIter=4, stepSize=0.3, maxDepth=3, checkpointInterval=2,
+                                                                 bound=b)).fit(df).stages[-1].nodes.select(
+        "round", "node", "column", "cut", "n").collect()) for b in (1 << 19, 0)]
+    assert nodes[0] == nodes[1] and len(nodes[0]) > 30
